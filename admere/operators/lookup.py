@@ -1,4 +1,8 @@
-"""Joins to dimensions."""
+"""Joins to dimensions.
+
+No side is hinted for broadcast here: Spark copies a side to all tasks only where its
+planned or measured size is below ``spark.sql.autoBroadcastJoinThreshold``.
+"""
 
 from __future__ import annotations
 
@@ -7,20 +11,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: A relation up to this many bytes may be copied to every task.
-BROADCAST_BYTES = 32 * 1024 * 1024
-
-
-def planned_bytes(df: DataFrame) -> int:
-    """Catalyst's own size estimate of a relation; huge when it cannot tell."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
-
-
-def small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only where the planned size proves the relation small."""
-    return F.broadcast(df) if planned_bytes(df) <= limit else df
-
-
 def left_lookup(df: DataFrame, dimension: DataFrame, on: dict[str, str] | Sequence[str]) -> DataFrame:
     """Left join that spreads rows with a NULL key over all tasks.
 

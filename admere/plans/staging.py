@@ -23,7 +23,7 @@ from admere.functions.clean import (
     url_parameter,
 )
 from admere.functions.values import DEFAULT_ZONE, compact_date, convert, local_date, micros_to_money, micros_to_timestamp
-from admere.operators.lookup import left_lookup, small
+from admere.operators.lookup import left_lookup
 from admere.operators.sessions import CARRIED, carry_session_values
 from admere.operators.spread import date_spine, forward_fill, with_scalars
 from admere.operators.versions import drop_exact_copies, latest_version, two_stage_dedupe
@@ -46,9 +46,9 @@ def crm_customers(raw: DataFrame, cities: DataFrame, domains: DataFrame, zone: s
         *LINEAGE,
     )
     latest = latest_version(typed, ["customer_id"], ["dt", "created_at_utc", "source_file_name"])
-    placed = latest.join(small(cities), "city_raw_normalized", "left").withColumn("email_domain", email_domain("email_text"))
+    placed = latest.join(cities, "city_raw_normalized", "left").withColumn("email_domain", email_domain("email_text"))
     internal = domains.select("email_domain", F.lit(True).alias("is_internal"))
-    known = placed.join(small(internal), "email_domain", "left")
+    known = placed.join(internal, "email_domain", "left")
     return known.select(
         "customer_id",
         pseudonym("email_text").alias("email_hash"),
@@ -137,7 +137,7 @@ def by_header(raw: DataFrame, first_column: str, columns: list[str], line: str =
     # A header repeated inside its file gives the same positions.
     headers = headers.groupBy(*LINEAGE).agg(F.max("__header").alias("__header"))
     data = raw.filter(~is_header & (F.trim(line) != "")).select(*LINEAGE, F.split(line, ",").alias("__fields"))
-    joined = data.join(small(headers), list(LINEAGE))
+    joined = data.join(headers, list(LINEAGE))
     position = lambda c: F.nullif(F.array_position("__header", c), F.lit(0)).cast("int") - 1
     return joined.select(*[F.get("__fields", position(c)).alias(c) for c in columns], *LINEAGE)
 
@@ -189,7 +189,7 @@ def meta_ads(raw: DataFrame, rates: DataFrame) -> DataFrame:
     )
     latest = latest_version(typed, ["ad_id", "insight_date"], ["pulled_at_utc", *LINEAGE])
     daily = rates.select(F.col("rate_date").alias("insight_date"), F.col("rate").alias("usd_zar_rate"))
-    priced = latest.join(small(daily), "insight_date", "left")
+    priced = latest.join(daily, "insight_date", "left")
     return priced.select(
         *latest.columns,
         "usd_zar_rate",

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from admere.functions.values import DEFAULT_ZONE, calendar_columns, date_key, local_date, when_amount
-from admere.operators.lookup import small
 from admere.operators.spread import date_spine, one_bounds
 from admere.operators.versions import distinct_history, latest_by
 
@@ -93,7 +92,7 @@ def dim_ad(google: DataFrame, meta: DataFrame, features: DataFrame) -> DataFrame
     copy = features.select(
         "ad_id", "copy_text", "tone", "discount_pct", "cta", "product", F.col("extraction_method").alias("creative_extraction_method")
     )
-    return ads.join(small(copy), "ad_id", "left").select(
+    return ads.join(copy, "ad_id", "left").select(
         "platform", "ad_id", "campaign_id", "ad_group_id", "ad_group_name", "ad_name", "first_seen_date", "last_seen_date",
         "dt", "source_file_name", "copy_text", "tone", "discount_pct", "cta", "product", "creative_extraction_method",
     )

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from admere.operators.versions import latest_version
@@ -38,27 +38,29 @@ def append_snapshot(df: DataFrame, path: str, partition: str = "run_date") -> No
 def upsert(
     batch: DataFrame,
     path: str,
-    keys: Sequence[str] | Sequence[Sequence[str]],
+    keys: Sequence[str],
     partition: str,
     newest: Sequence[str] = (),
     cluster: Sequence[str] = (),
     rebuild: Callable[[DataFrame], DataFrame] | None = None,
+    links: Sequence[tuple[Sequence[str], Column | None]] | None = None,
 ) -> None:
     """Replace rows with the same key, insert the rest.
 
     Whole partitions are rebuilt from target and batch: those the batch falls in
     and those that hold a row with a key of the batch, since a new version may sit
-    in another partition than the old one. ``keys`` may list several keys; any
-    shared one links two rows. ``rebuild`` turns the union into the final rows
-    (default: latest version of the first key by ``newest``).
+    in another partition than the old one. ``links`` lists further ways in which a
+    target row depends on the batch: equal key columns, looked for among the target
+    rows that meet a condition (so row groups can be skipped). ``rebuild`` turns the
+    union into the final rows (default: latest version of ``keys`` by ``newest``).
 
     Spark stages the new files and swaps whole partition folders when the job
     commits; a failed job leaves the table as it was. Running the same batch again
     changes nothing.
     """
     spark = batch.sparkSession
-    key_sets = [list(k) for k in keys] if keys and not isinstance(keys[0], str) else [list(keys)]
-    rebuild = rebuild or (lambda rows: latest_version(rows, key_sets[0], newest))
+    links = [(keys, None)] if links is None else links
+    rebuild = rebuild or (lambda rows: latest_version(rows, keys, newest))
     if not table_exists(spark, path):
         fresh = rebuild(batch)
         write_full(fresh.hint("rebalance", partition), path, partition, cluster)
@@ -67,8 +69,10 @@ def upsert(
     target = spark.read.parquet(path)
     # ``rebalance`` keeps one partition's rows together but splits a very large one.
     touched = batch.select(partition)
-    for key in key_sets:
-        hit = target.select(partition, *key).join(batch.select(*key).distinct(), key, "left_semi")
+    for key, condition in links:
+        among = target if condition is None else target.filter(condition)
+        columns = [partition, *[k for k in key if k != partition]]
+        hit = among.select(*columns).join(batch.select(*key).distinct(), list(key), "left_semi")
         touched = touched.union(hit.select(partition))
     # The driver holds one date per touched partition, so folders are pruned by value.
     days = [row[0] for row in touched.distinct().collect()]
