@@ -446,7 +446,7 @@ _model(
        order_file AS source_file_name FROM z_mart_features""",
 )
 _model(
-    "mart_customer_value", "customer_key acquisition_date:d acquisition_platform acquisition_campaign_name predicted_value_90d:n3 value_segment observed_future_value_90d:n2 lifetime_order_count:i is_one_time_buyer:b dt:d",
+    "mart_customer_value", "customer_key acquisition_date:d acquisition_platform acquisition_campaign_name predicted_value_90d:n4 value_segment observed_future_value_90d:n2 lifetime_order_count:i is_one_time_buyer:b dt:d",
     """SELECT f.customer_key, acquisition_date, acquisition_platform, c.current_campaign_name AS acquisition_campaign_name, s.predicted AS predicted_value_90d, ['high', 'steady', 'low'][s.tile] AS value_segment,
        future_value_90d AS observed_future_value_90d, lifetime_order_count, lifetime_order_count = 1 AS is_one_time_buyer, f.dt
        FROM z_mart_features f JOIN z_scores s USING (customer_key) LEFT JOIN z_campaigns c ON c.platform = f.acquisition_platform AND c.campaign_id = f.acquisition_campaign_id""",
@@ -454,7 +454,7 @@ _model(
 _model(
     "mart_campaign_value",
     "week_start_date:d platform campaign_id campaign_name spend_zar:n4 impressions:i clicks:i claimed_conversions:n2 claimed_revenue_zar:n4 real_orders:i completed_orders:i real_revenue_zar:n2 new_customers:i "
-    "first_order_revenue_zar:n2 predicted_value_90d:n3 one_time_buyer_share:n6 platform_roas:n6 actual_roas:n6 value_adjusted_roas:n6 dt:d",
+    "first_order_revenue_zar:n2 predicted_value_90d:n2 one_time_buyer_share:n6 platform_roas:n6 actual_roas:n6 value_adjusted_roas:n6 dt:d",
     """SELECT w.*, c.current_campaign_name AS campaign_name, spend_units / 10000 AS spend_zar, claimed_units / 10000 AS claimed_revenue_zar, real_revenue AS real_revenue_zar, first_revenue AS first_order_revenue_zar,
        predicted AS predicted_value_90d, once_share AS one_time_buyer_share, raw_claimed / nullif(raw_spend, 0) AS platform_roas, raw_revenue / (nullif(raw_spend, 0) / 10000) AS actual_roas,
        (CAST(first_revenue AS DOUBLE) + predicted) / (nullif(raw_spend, 0) / 10000) AS value_adjusted_roas, coalesce(s_dt, CAST(week_start_date + 6 AS DATE)) AS dt
@@ -462,7 +462,7 @@ _model(
 )
 _model(
     "mart_campaign_drivers",
-    "week_start_date:d platform campaign_id campaign_name city_standard attributed_sessions:i real_orders:i real_revenue_zar:n2 new_customers:i allocated_spend_zar:n2 city_actual_roas:n6 avg_temperature_max_c:n4 "
+    "week_start_date:d platform campaign_id campaign_name city_standard attributed_sessions:i real_orders:i real_revenue_zar:n2 new_customers:i allocated_spend_zar:n6 city_actual_roas:n6 avg_temperature_max_c:n4 "
     "avg_temperature_min_c:n4 total_precipitation_mm:n2 dominant_tone dominant_cta creative_discount_pct:n4",
     f"""WITH visits AS (SELECT CAST(date_trunc('week', session_date) AS DATE) AS week, attributed_platform AS platform, campaign_id, city, count(*) AS n FROM z_sessions
             WHERE attributed_platform IN ('google', 'meta') AND campaign_id IS NOT NULL AND city IN ({_cities}) GROUP BY ALL),

@@ -17,8 +17,10 @@ from admere.sources.tables import upsert
 LATENESS = "3 days"
 
 
-def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1000, kind: str = "parquet") -> DataFrame:
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).format(kind).load(path)
+def file_stream(spark: SparkSession, folder: str, schema, pattern: str = "*.parquet", files_per_batch: int = 1000) -> DataFrame:
+    """Parquet files of a folder as they arrive."""
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("pathGlobFilter", pattern)
+    return reader.parquet(folder)
 
 
 def dedupe_stream(events: DataFrame, at: str, keys: Sequence[str], lateness: str = LATENESS) -> DataFrame:
@@ -58,10 +60,12 @@ def upsert_sink(
     partition: str,
     newest: Sequence[str],
     rebuild: Callable[[DataFrame], DataFrame] | None = None,
+    output_mode: str = "append",
 ) -> StreamingQuery:
     """Keyed upsert per micro-batch. The upsert gives the same table when a batch is replayed."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         upsert(batch, path, keys, partition, newest, rebuild=rebuild)
 
-    return df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    writer = df.writeStream.foreachBatch(write).outputMode(output_mode).option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start()

@@ -1,4 +1,4 @@
-"""Run proof queries and their SQL side by side: ``python tools_check.py [sf] [name ...]``."""
+"""Run proof queries and their SQL side by side: ``python check.py [sf] [name ...]``."""
 
 import sys
 import time
