@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from admere.functions.clean import col, strip_code_fence
 
@@ -103,7 +104,8 @@ def enrich(df: DataFrame, answer: Callable | None = None, copy: str = "copy_text
         return asked.withColumn("model_response", F.lit(None).cast("string")).withColumn(
             "model_status", F.lit("").cast("string")
         )
-    schema = asked.schema.add("model_response", "string").add("model_status", "string")
+    answers = [T.StructField(name, T.StringType()) for name in ("model_response", "model_status")]
+    schema = T.StructType([*asked.schema.fields, *answers])
 
     def batches(frames: Iterator) -> Iterator:
         for frame in frames:

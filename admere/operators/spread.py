@@ -37,8 +37,9 @@ def share_of_group(df: DataFrame, keys: Sequence[str], measure: str, name: str)
 
 
 def with_scalars(df: DataFrame, scalars: DataFrame) -> DataFrame:
-    """Add the columns of a one-row relation to every row."""
-    return df.crossJoin(F.broadcast(scalars))
+    """Add the columns of a one-row relation to every row, as a scalar subquery."""
+    row = scalars.select(F.struct(*scalars.columns).alias("row")).scalar()
+    return df.select("*", row.alias("__scalars")).select("*", *[F.col("__scalars")[c].alias(c) for c in scalars.columns]).drop("__scalars")
 
 
 def date_spine(bounds: DataFrame, first: str, last: str, name: str = "calendar_date") -> DataFrame:

@@ -11,7 +11,7 @@ from admere.functions.values import DEFAULT_ZONE
 from admere.operators.checks import assert_empty, scorecard, snapshot
 from admere.plans import conformed, incremental, marts, monitoring, staging, star, value
 from admere.sources.files import city_mapping, internal_domains, read_landing
-from admere.sources.tables import append_snapshot, table_exists, write_full
+from admere.sources.tables import append_snapshot, existing, write_full
 
 
 class Build:
@@ -101,7 +101,7 @@ class Build:
     def monitor(self, run_at: str | None = None, manifest: DataFrame | None = None) -> DataFrame:
         """Append a snapshot of the detectors; with a truth manifest also write the scorecard."""
         path = self.path("ops_dq_results")
-        history = self.spark.read.parquet(path) if table_exists(self.spark, path) else None
+        history = existing(self.spark, path)
         found = monitoring.detectors(self.raw, self.tables["stg_google_ads_performance"], self.domains)
         stamp = F.lit(run_at).cast("timestamp") if run_at else F.current_timestamp()
         append_snapshot(snapshot(found, history, stamp, self.zone), path)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from admere.functions.values import greatest_or_null, ratio, week_start
-from admere.operators.spread import add_partials, share_of_group
+from admere.operators.spread import add_partials, share_of_group, with_scalars
 from admere.operators.versions import latest_by, top_per_key
 from admere.plans.value import LABEL, SESSION_COUNTS
 from admere.sources.schemas import CITIES
@@ -251,7 +251,7 @@ def people_value(orders: DataFrame, people: DataFrame) -> DataFrame:
     dated = orders.filter(F.col("status") == "completed").join(people.select("person_id", "acquired_date"), "person_id")
     age = F.datediff(F.to_date("order_ts"), F.col("acquired_date"))
     later = dated.filter((age > 7) & (age <= 97)).groupBy("person_id").agg(F.sum("revenue").alias("later_value"))
-    ripe = people.crossJoin(F.broadcast(last)).filter(F.col("acquired_date") <= F.date_sub("last_day", 97))
+    ripe = with_scalars(people, last).filter(F.col("acquired_date") <= F.date_sub("last_day", 97))
     return ripe.join(later, "person_id", "left").select(
         "person_id", "value_type", F.coalesce("later_value", F.lit(0.0)).alias("later_value")
     )

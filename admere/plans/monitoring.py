@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from admere.functions import nested
 from admere.functions.clean import blank_to_null, email_domain, email_key, safe_cast
 from admere.operators.checks import checks, one_row, ratio_outliers, unique_violations
-from admere.operators.spread import date_spine, with_scalars
+from admere.operators.spread import date_spine, with_group_values, with_scalars
 from admere.operators.versions import duplicate_excess, latest_version
 from admere.plans.staging import typed_orders
 from admere.sources.schemas import CITIES, DELIVERED_TEXT
@@ -43,119 +43,106 @@ def monitored_events(raw: DataFrame) -> DataFrame:
     )
 
 
-def _finding(row: DataFrame, code: str) -> DataFrame:
-    """A one-row relation ``(detected_count, source_max_dt)`` as a detector row."""
-    source, unit = UNITS[code]
-    return row.select(
-        F.lit(code).alias("dq_code"), F.lit(source).alias("source_name"), F.lit(unit).alias("detection_unit"),
-        F.coalesce(F.col("detected_count").cast("bigint"), F.lit(0).cast("bigint")).alias("detected_count"),
-        F.col("source_max_dt"),
-    )
+def _findings(row: DataFrame, found: dict[str, tuple[str, str]]) -> DataFrame:
+    """Detector rows from a one-row relation: code -> (count column, newest-delivery column)."""
+    entries = [
+        F.struct(
+            F.lit(code).alias("dq_code"), F.lit(UNITS[code][0]).alias("source_name"), F.lit(UNITS[code][1]).alias("detection_unit"),
+            F.coalesce(F.col(count).cast("bigint"), F.lit(0).cast("bigint")).alias("detected_count"), F.col(newest).alias("source_max_dt"),
+        )
+        for code, (count, newest) in found.items()
+    ]
+    return row.select(F.inline(F.array(*entries)))
 
 
-def order_findings(raw: DataFrame) -> list[DataFrame]:
+def order_findings(raw: DataFrame) -> DataFrame:
     """DQ01 rows exported twice; DQ03 orders with more than one version."""
-    newest = F.max("dt").alias("source_max_dt")
     excess = duplicate_excess(raw, ["dt", "source_file_name"], DELIVERED_TEXT["crm_orders"])
     versions = (
         typed_orders(raw).filter(F.col("order_id").isNotNull() & F.col("updated_at_utc").isNotNull())
         .groupBy("order_id").agg(F.min("updated_at_utc").alias("lo"), F.max("updated_at_utc").alias("hi"), F.max("dt").alias("dt"))
         .filter(F.col("lo") != F.col("hi"))
     )
-    return [
-        _finding(excess.agg(F.sum("duplicate_rows").alias("detected_count"), newest), "DQ01"),
-        _finding(versions.agg(F.count(F.lit(1)).alias("detected_count"), newest), "DQ03"),
-    ]
+    row = one_row(
+        excess.agg(F.sum("duplicate_rows").alias("copies"), F.max("dt").alias("copies_dt")),
+        versions.agg(F.count(F.lit(1)).alias("changed"), F.max("dt").alias("changed_dt")),
+    )
+    return _findings(row, {"DQ01": ("copies", "copies_dt"), "DQ03": ("changed", "changed_dt")})
 
 
-def event_findings(events: DataFrame, orders: DataFrame) -> list[DataFrame]:
+def event_findings(events: DataFrame, orders: DataFrame) -> DataFrame:
     """DQ02 late or re-sent purchases; DQ06 values out of proportion; DQ08 staff sessions."""
-    newest = F.max("dt").alias("source_max_dt")
     same_event = ["user_pseudo_id", "event_timestamp", "event_name", "ga_session_id"]
     bought = events.filter(F.col("event_name") == "purchase")
-    purchases = bought.filter(F.col("transaction_id").isNotNull())
     # Copies of an event agree in all key fields, so counting among purchases is enough.
     copies = bought.groupBy(*same_event, "transaction_id").agg(
         F.count(F.lit(1)).alias("n"), F.bool_or(F.col("event_date") != F.col("dt")).alias("late")
     )
-    # Copies of one event may carry different orders: sum over the event first.
-    per_event = copies.groupBy(*same_event).agg(F.sum("n").alias("total"))
-    condition = F.lit(True)
-    renamed = per_event
-    for i, c in enumerate(same_event):
-        renamed = renamed.withColumnRenamed(c, f"__e{i}")
-        condition = condition & F.col(c).eqNullSafe(F.col(f"__e{i}"))
-    named = copies.filter(F.col("transaction_id").isNotNull())
-    flagged = named.join(renamed, condition).filter(F.coalesce("late", F.lit(False)) | (F.col("total") > 1))
-    day = events.agg(newest)
-    dq02 = one_row(flagged.agg(F.count_distinct("transaction_id").alias("detected_count")), day)
+    # Copies of one event may carry different orders, so they are added up per event.
+    totals = with_group_values(copies, same_event, {"total": F.sum("n")})
+    flagged = totals.filter(F.col("transaction_id").isNotNull() & (F.coalesce("late", F.lit(False)) | (F.col("total") > 1)))
     latest = latest_version(
         typed_orders(orders).filter(F.col("order_id").isNotNull()), ["order_id"], ["updated_at_utc", "dt", "source_file_name"]
     ).select("order_id", "revenue")
-    matched = purchases.join(latest, F.col("transaction_id") == F.col("order_id"))
-    dq06 = ratio_outliers(matched, "ga4_reported_value", "revenue").agg(F.count_distinct("transaction_id").alias("detected_count"), newest)
-    staff = events.filter("is_internal").select("user_pseudo_id", "ga_session_id").distinct()
-    dq08 = one_row(staff.agg(F.count(F.lit(1)).alias("detected_count")), day)
-    return [_finding(dq02, "DQ02"), _finding(dq06, "DQ06"), _finding(dq08, "DQ08")]
+    matched = bought.join(latest, F.col("transaction_id") == F.col("order_id"))
+    session = F.struct("user_pseudo_id", "ga_session_id")
+    row = one_row(
+        events.agg(F.max("dt").alias("newest"), F.count_distinct(F.when(F.col("is_internal"), session)).alias("staff")),
+        flagged.agg(F.count_distinct("transaction_id").alias("resent")),
+        ratio_outliers(matched, "ga4_reported_value", "revenue").agg(F.count_distinct("transaction_id").alias("odd"), F.max("dt").alias("odd_dt")),
+    )
+    return _findings(row, {"DQ02": ("resent", "newest"), "DQ06": ("odd", "odd_dt"), "DQ08": ("staff", "newest")})
 
 
-def customer_findings(customers: DataFrame, orders: DataFrame, domains: DataFrame) -> list[DataFrame]:
+def customer_findings(customers: DataFrame, orders: DataFrame, domains: DataFrame) -> DataFrame:
     """DQ04 customers delivered after their order; DQ07 QA keys; DQ09 city spellings; DQ12 blank e-mails."""
-    newest = F.max("dt").alias("source_max_dt")
     c = customers.select(blank_to_null("customer_id").alias("customer_id"), email_key("email").alias("email_text"), F.col("city"), "dt")
-    known = c.filter(F.col("customer_id").isNotNull())
-    delivered = known.groupBy("customer_id").agg(F.min("dt").alias("first_customer_dt"))
+    per_customer = c.groupBy("customer_id").agg(
+        F.min("dt").alias("first_customer_dt"), F.max("dt").alias("dt"),
+        F.bool_or(~F.col("city").isin(*CITIES)).alias("odd_city"), F.bool_or(F.col("email_text").isNull()).alias("no_email"),
+    )
     o = orders.select(blank_to_null("order_id").alias("order_id"), blank_to_null("customer_id").alias("customer_id"), safe_cast("revenue", "decimal(18,4)").alias("revenue"), "dt")
     ordered = o.filter(F.col("customer_id").isNotNull()).groupBy("customer_id").agg(F.min("dt").alias("first_order_dt"))
-    late = ordered.join(delivered, "customer_id", "left").filter(
+    late = ordered.join(per_customer.select("customer_id", "first_customer_dt"), "customer_id", "left").filter(
         F.col("first_customer_dt").isNull() | (F.col("first_customer_dt") > F.col("first_order_dt"))
     )
-    dq04 = late.agg(F.count(F.lit(1)).alias("detected_count"), F.max("first_order_dt").alias("source_max_dt"))
     internal = c.join(domains, email_domain("email_text") == F.col("email_domain"), "left_semi").select("customer_id").distinct()
     theirs = o.join(internal, "customer_id", "left_semi").select("order_id")
     cheap = o.filter(F.col("revenue") <= 1).select("order_id")
     keys = internal.select(F.col("customer_id").alias("record_key")).union(theirs).union(cheap).distinct()
-    dq07 = one_row(keys.agg(F.count(F.lit(1)).alias("detected_count")), o.agg(newest))
-    per_customer = c.groupBy("customer_id").agg(
-        F.bool_or(~F.col("city").isin(*CITIES)).alias("odd_city"), F.bool_or(F.col("email_text").isNull()).alias("no_email"), F.max("dt").alias("dt")
-    )
     has_id = F.col("customer_id").isNotNull()
-    both = per_customer.agg(
-        F.count_if(has_id & F.col("odd_city")).alias("odd"), F.count_if(has_id & F.col("no_email")).alias("blank"), newest
+    row = one_row(
+        late.agg(F.count(F.lit(1)).alias("late"), F.max("first_order_dt").alias("late_dt")),
+        keys.agg(F.count(F.lit(1)).alias("qa")),
+        o.agg(F.max("dt").alias("orders_dt")),
+        per_customer.agg(F.count_if(has_id & F.col("odd_city")).alias("odd"), F.count_if(has_id & F.col("no_email")).alias("blank"), F.max("dt").alias("customers_dt")),
     )
-    return [
-        _finding(dq04, "DQ04"),
-        _finding(dq07, "DQ07"),
-        _finding(both.withColumnRenamed("odd", "detected_count"), "DQ09"),
-        _finding(both.withColumnRenamed("blank", "detected_count"), "DQ12"),
-    ]
+    return _findings(row, {"DQ04": ("late", "late_dt"), "DQ07": ("qa", "orders_dt"), "DQ09": ("odd", "customers_dt"), "DQ12": ("blank", "customers_dt")})
 
 
-def feed_findings(insights: DataFrame, google: DataFrame, google_raw: DataFrame, rates: DataFrame) -> list[DataFrame]:
+def feed_findings(insights: DataFrame, google: DataFrame, google_raw: DataFrame, rates: DataFrame) -> DataFrame:
     """DQ05 unreadable lines; DQ10 renamed campaigns; DQ11 days without a published rate."""
-    newest = F.max("dt").alias("source_max_dt")
-    dq05 = insights.agg(F.count_if(~nested.valid_json("raw_line")).alias("detected_count"), newest)
     names = google.filter(F.col("campaign_id").isNotNull()).groupBy("campaign_id").agg(F.min("campaign_name").alias("lo"), F.max("campaign_name").alias("hi"))
-    dq10 = one_row(names.agg(F.count_if(F.col("lo") != F.col("hi")).alias("detected_count")), google_raw.agg(newest))
     published = rates.filter(safe_cast("rate", "decimal(18,6)").isNotNull()).select(safe_cast("rate_date", "date").alias("rate_date")).distinct()
     calendar = date_spine(rates.agg(F.min("dt").alias("lo"), F.max("dt").alias("hi")), "lo", "hi")
     gaps = calendar.join(published, F.col("calendar_date") == F.col("rate_date"), "left")
-    dq11 = gaps.agg(F.count_if(F.col("rate_date").isNull()).alias("detected_count"), F.max("calendar_date").alias("source_max_dt"))
-    return [_finding(dq05, "DQ05"), _finding(dq10, "DQ10"), _finding(dq11, "DQ11")]
+    row = one_row(
+        insights.agg(F.count_if(~nested.valid_json("raw_line")).alias("cut"), F.max("dt").alias("cut_dt")),
+        names.agg(F.count_if(F.col("lo") != F.col("hi")).alias("renamed")),
+        google_raw.agg(F.max("dt").alias("google_dt")),
+        gaps.agg(F.count_if(F.col("rate_date").isNull()).alias("gap"), F.max("calendar_date").alias("gap_dt")),
+    )
+    return _findings(row, {"DQ05": ("cut", "cut_dt"), "DQ10": ("renamed", "google_dt"), "DQ11": ("gap", "gap_dt")})
 
 
 def detectors(landing: dict[str, DataFrame], google: DataFrame, domains: DataFrame) -> DataFrame:
     """All twelve findings, one row per code. Reads delivered data only, never the truth."""
-    findings = [
-        *order_findings(landing["crm_orders"]),
-        *event_findings(monitored_events(landing["ga4_events"]), landing["crm_orders"]),
-        *customer_findings(landing["crm_customers"], landing["crm_orders"], domains),
-        *feed_findings(landing["meta_ads_insights_raw"], google, landing["google_ads_performance_raw"], landing["fx_rates"]),
-    ]
-    report = findings[0]
-    for finding in findings[1:]:
-        report = report.unionByName(finding)
-    return report
+    return (
+        order_findings(landing["crm_orders"])
+        .unionByName(event_findings(monitored_events(landing["ga4_events"]), landing["crm_orders"]))
+        .unionByName(customer_findings(landing["crm_customers"], landing["crm_orders"], domains))
+        .unionByName(feed_findings(landing["meta_ads_insights_raw"], google, landing["google_ads_performance_raw"], landing["fx_rates"]))
+    )
 
 
 def violations(t: dict[str, DataFrame]) -> dict[str, DataFrame]:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -135,13 +136,25 @@ TEXT_INPUTS = {
 MISSING_NUMBER = {"days_from_signup_to_first_order": -1.0}
 
 
+MODEL_INPUTS = (*NUMERIC_INPUTS, *FLAG_INPUTS, *TEXT_INPUTS)
+
+
+def category_code(c: Column, buckets: int = 65_536) -> Column:
+    """A fixed number per text.
+
+    No list of labels is learnt, so a junk tag with millions of values costs
+    nothing and a new one needs no special case. Trees split the codes by range.
+    """
+    return F.pmod(F.xxhash64(c), F.lit(buckets)).cast("double")
+
+
 def model_inputs(features: DataFrame) -> DataFrame:
     """Model columns with the constants that stand for a missing value; keys stay beside them."""
     return features.select(
         *features.columns,
         *[F.coalesce(F.col(c).cast("double"), F.lit(MISSING_NUMBER.get(c, 0.0))).alias(f"in_{c}") for c in NUMERIC_INPUTS],
         *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"in_{c}") for c in FLAG_INPUTS],
-        *[F.coalesce(F.col(c), F.lit(default)).alias(f"in_{c}") for c, default in TEXT_INPUTS.items()],
+        *[category_code(F.coalesce(F.col(c), F.lit(default))).alias(f"in_{c}") for c, default in TEXT_INPUTS.items()],
     )
 
 
@@ -178,27 +191,22 @@ def train(features: DataFrame, key: str = "customer_key", iterations: int = 50,
     """Boosted trees on the mature cohort, stopped early on the holdout."""
     frame = model_inputs(features.filter(F.col("is_training_eligible")))
     frame = frame.withColumn("label", F.col(LABEL).cast("double")).withColumn("is_holdout", holdout(key))
-    texts = [f"in_{c}" for c in TEXT_INPUTS]
-    numbers = [f"in_{c}" for c in (*NUMERIC_INPUTS, *FLAG_INPUTS)]
-    indexer = StringIndexer(
-        inputCols=texts, outputCols=[f"{c}_i" for c in texts], handleInvalid="keep", stringOrderType="alphabetAsc"
-    )
-    # Every platform tag is a category of its own, so the bins must hold them all.
-    assembler = VectorAssembler(inputCols=[*numbers, *indexer.getOutputCols()], outputCol="features")
-    indexed = indexer.fit(frame)
-    widest = max((len(a) for a in indexed.labelsArray), default=0) + 1
+    assembler = VectorAssembler(inputCols=[f"in_{c}" for c in MODEL_INPUTS], outputCol="features")
     trees = GBTRegressor(
         featuresCol="features", labelCol="label", predictionCol="prediction", maxIter=iterations, seed=seed,
-        maxBins=max(32, widest), validationIndicatorCol="is_holdout", validationTol=0.001, cacheNodeIds=True, maxMemoryInMB=256,
+        validationTol=0.001, cacheNodeIds=True, maxMemoryInMB=256,
     )
-    assembled = assembler.transform(indexed.transform(frame)).select("features", "label", "is_holdout").cache()
+    # Training passes over this frame many times; it is kept while they last.
+    assembled = assembler.transform(frame).select("features", "label", "is_holdout").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        fitted = trees.fit(assembled)
-        losses = fitted.evaluateEachIteration(assembled.filter("is_holdout"), "squared")
+        sides = assembled.agg(F.bool_or("is_holdout").alias("held"), F.bool_and("is_holdout").alias("only")).first()
+        # A cohort too small to fall on both sides trains without early stopping.
+        split = bool(sides["held"]) and not sides["only"]
+        fitted = (trees.setValidationIndicatorCol("is_holdout") if split else trees).fit(assembled)
+        losses = fitted.evaluateEachIteration(assembled.filter("is_holdout") if split else assembled, "squared")
     finally:
         assembled.unpersist()
-    names = [c.removeprefix("in_") for c in (*numbers, *texts)]
-    return ValueModel(PipelineModel([indexed, assembler, fitted]), names, list(losses))
+    return ValueModel(PipelineModel([assembler, fitted]), list(MODEL_INPUTS), list(losses))
 
 
 def regression_metrics(scored: DataFrame, label: str, prediction: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from admere.functions import clean, creative, nested, values
-from admere.operators.spread import date_spine, forward_fill, one_bounds
+from admere.operators.spread import date_spine, forward_fill, one_bounds, with_scalars
 from admere.plans import staging, star
 from admere.proofs.landing import flat, google_lines, web_events
 from admere.proofs.registry import CTES, Tables, proof
@@ -314,9 +314,9 @@ CTES["weekday_rates"] = "SELECT CAST(o_orderdate AS DATE) AS day, o_orderpriorit
 def _rate_days(t: Tables) -> DataFrame:
     day = F.to_date("o_orderdate")
     rates = t.orders.filter(F.dayofweek(day).between(2, 6)).groupBy(day.alias("day"), F.col("o_orderpriority").alias("series")).agg((F.count(F.lit(1)) + 1000).alias("rate"))
-    spine = date_spine(one_bounds([(t.orders.select(day.alias("d")), "d")]), "first_day", "last_day", "day")
     series = t.orders.select(F.col("o_orderpriority").alias("series")).distinct()
-    return series.join(spine).join(rates, ["series", "day"], "left")
+    bounds = with_scalars(series, one_bounds([(t.orders.select(day.alias("d")), "d")]))
+    return date_spine(bounds, "first_day", "last_day", "day").join(rates, ["series", "day"], "left")
 
 
 _FILLED = """SELECT s.series, s.day, r.rate FROM (

@@ -13,6 +13,8 @@ flat.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -275,8 +277,6 @@ for _name, (_make, _table) in RELATIONS.items():
 def flat(t: Tables, name: str) -> DataFrame:
     """A derived relation in flat form."""
     make, table = RELATIONS[name]
-    import re
-
     sql = re.sub(rf"\bFROM {table}\b", f"FROM {{{table}}}", make(Spark))
     sql = re.sub(r"\{(?!%s\})" % table, "{{", sql)
     return t.spark.sql(sql, **{table: getattr(t, table)})
@@ -406,17 +406,26 @@ def weather_documents(t: Tables) -> DataFrame:
     )
 
 
-def delivered(t: Tables) -> dict[str, DataFrame]:
-    """All ten delivered tables."""
-    return {
-        "google_ads_performance_raw": google_lines(t),
-        "google_ads_clicks": flat(t, "raw_clicks"),
-        "meta_ads_insights_raw": meta_lines(t),
-        "ga4_events": web_events(t),
-        "crm_customers": flat(t, "raw_customers"),
-        "crm_orders": flat(t, "raw_orders"),
-        "crm_order_items": flat(t, "raw_items"),
-        "creative_copy_raw": flat(t, "raw_copy"),
-        "weather_daily": weather_documents(t),
-        "fx_rates": flat(t, "raw_rates"),
+class Delivered(dict):
+    """The ten delivered tables, each built on first use."""
+
+    MAKERS = {
+        "google_ads_performance_raw": google_lines,
+        "google_ads_clicks": lambda t: flat(t, "raw_clicks"),
+        "meta_ads_insights_raw": meta_lines,
+        "ga4_events": web_events,
+        "crm_customers": lambda t: flat(t, "raw_customers"),
+        "crm_orders": lambda t: flat(t, "raw_orders"),
+        "crm_order_items": lambda t: flat(t, "raw_items"),
+        "creative_copy_raw": lambda t: flat(t, "raw_copy"),
+        "weather_daily": weather_documents,
+        "fx_rates": lambda t: flat(t, "raw_rates"),
     }
+
+    def __init__(self, t: Tables):
+        super().__init__()
+        self.t = t
+
+    def __missing__(self, name: str) -> DataFrame:
+        self[name] = self.MAKERS[name](self.t)
+        return self[name]

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from admere.operators import checks
 from admere.plans import monitoring
-from admere.proofs.landing import INTERNAL_DOMAIN, delivered, flat, google_lines, meta_lines
+from admere.proofs.landing import INTERNAL_DOMAIN, Delivered, flat, google_lines, meta_lines
 from admere.proofs.models import Chain
 from admere.proofs.registry import CTES, Tables, proof
 from admere.session import scratch_path
@@ -171,7 +171,7 @@ CTES["z_findings"] = f"""
 
 
 def _findings(t: Tables) -> DataFrame:
-    landing = delivered(t)
+    landing = Delivered(t)
     return monitoring.detectors(landing, Chain(t)["stg_google_ads_performance"], internal_domains(t.spark, [INTERNAL_DOMAIN]))
 
 

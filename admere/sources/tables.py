@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +18,18 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
+def existing(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table at ``path``; None if nothing was written there, or only empty loads."""
+    if not table_exists(spark, path):
+        return None
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() == "UNABLE_TO_INFER_SCHEMA":
+            return None
+        raise
+
+
 def _drop_folder(spark: SparkSession, path: str) -> None:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
@@ -61,12 +74,12 @@ def upsert(
     spark = batch.sparkSession
     links = [(keys, None)] if links is None else links
     rebuild = rebuild or (lambda rows: latest_version(rows, keys, newest))
-    if not table_exists(spark, path):
+    target = existing(spark, path)
+    if target is None:
         fresh = rebuild(batch)
         write_full(fresh.hint("rebalance", partition), path, partition, cluster)
         return
     batch = stable(batch)
-    target = spark.read.parquet(path)
     # ``rebalance`` keeps one partition's rows together but splits a very large one.
     touched = batch.select(partition)
     for key, condition in links:
