@@ -10,9 +10,13 @@ from admere.functions.clean import col, safe_cast
 
 
 def kv_lookup(array: Column | str, key: str, slot: str) -> Column:
-    """``slot`` of the first element whose key is ``key``; NULL when absent."""
-    hit = F.get(F.filter(col(array), lambda p: p["key"] == key), F.lit(0))
-    return hit["value"][slot]
+    """``slot`` of the first element whose key is ``key``; NULL when absent.
+
+    Position of the key, then the value there: both stay in generated code, which a
+    lambda over the array would not.
+    """
+    array = col(array)
+    return F.get(array["value"][slot], F.array_position(array["key"], key).cast("int") - 1)
 
 
 def kv_number(array: Column | str, key: str, slots: tuple[str, ...] = ("double_value", "float_value", "int_value")) -> Column:

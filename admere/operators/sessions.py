@@ -27,9 +27,17 @@ CARRIED = {
 }
 
 
-def carry_session_values(events: DataFrame, columns: dict[str, str], keys: tuple[str, ...] = SESSION) -> DataFrame:
-    """Give every event the greatest value its session holds, per column pair ``event -> session``."""
-    return with_group_values(events, keys, {new: F.max(old) for old, new in columns.items()})
+def carry_session_values(
+    events: DataFrame, columns: dict[str, str], keys: tuple[str, ...] = SESSION, source: DataFrame | None = None
+) -> DataFrame:
+    """Give every event the greatest value its session holds, per column pair ``event -> session``.
+
+    ``source`` holds the rows to look in (default: the events). Only its rows with
+    any value are aggregated, in practice the landing pages.
+    """
+    source = events if source is None else source
+    telling = source.filter(F.coalesce(*[F.col(c).cast("string") for c in columns]).isNotNull())
+    return with_group_values(events, keys, {new: F.max(old) for old, new in columns.items()}, telling)
 
 
 def roll_up(events: DataFrame, keys: tuple[str, ...] = SESSION) -> DataFrame:

@@ -15,10 +15,13 @@ from pyspark.sql import functions as F
 from admere.session import stable
 
 
-def with_group_values(df: DataFrame, keys: Sequence[str], values: dict[str, Column]) -> DataFrame:
-    """Add aggregates over each key group to every row; NULL keys are one group."""
+def with_group_values(df: DataFrame, keys: Sequence[str], values: dict[str, Column], source: DataFrame | None = None) -> DataFrame:
+    """Add aggregates over each key group to every row; NULL keys are one group.
+
+    ``source`` aggregates other rows than ``df``; a key it lacks gives NULL.
+    """
     renamed = [f"__key_{i}" for i in range(len(keys))]
-    totals = df.groupBy(*[F.col(k).alias(r) for k, r in zip(keys, renamed)]).agg(
+    totals = (df if source is None else source).groupBy(*[F.col(k).alias(r) for k, r in zip(keys, renamed)]).agg(
         *[c.alias(f"__{n}") for n, c in values.items()]
     )
     condition = F.lit(True)

@@ -39,15 +39,17 @@ def two_stage_dedupe(
     once_key: str,
     earliest: Sequence[Column],
 ) -> DataFrame:
-    """Drop re-sent copies, then repeats of a once-only event.
+    """Drop re-sent copies, then repeats of a once-only kind of event.
 
-    Only rows where ``once`` holds can repeat, so only those take the second
-    shuffle; all other rows pass by it.
+    ``once`` must depend on the fingerprint alone (all copies of an event agree), so
+    the rows are split before the first shuffle: the bulk takes one shuffle, and only
+    the once-only events take a second. A once-only event without a key stays.
     """
-    unique = latest_version(df, [fingerprint], newest)
-    once = F.coalesce(once, F.lit(False)) & F.col(once_key).isNotNull()
-    repeated = top_per_key(unique.filter(once), [once_key], list(earliest))
-    return unique.filter(~once).unionByName(repeated)
+    once = F.coalesce(once, F.lit(False))
+    bulk = latest_version(df.filter(~once), [fingerprint], newest)
+    single = latest_version(df.filter(once), [fingerprint], newest)
+    key = F.coalesce(F.concat(F.lit("once|"), F.col(once_key)), F.concat(F.lit("event|"), F.col(fingerprint)))
+    return bulk.unionByName(top_per_key(single, [key], list(earliest)))
 
 
 def latest_by(value: Column | str, *order: Column | str, ignore_nulls: bool = False) -> Column:

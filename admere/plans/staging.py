@@ -293,9 +293,12 @@ EVENT_TAGS = {
 }
 
 
+def _parameter(key: str, slot: str):
+    return nested.kv_lookup("event_params", key, slot)
+
+
 def flat_events(raw: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:
     """Nested web events to one flat, typed row each, before any group work."""
-    look = lambda key, slot: nested.kv_lookup("event_params", key, slot)
     flat = raw.select(
         compact_date("event_date").alias("event_date"),
         micros_to_timestamp("event_timestamp").alias("event_timestamp_utc"),
@@ -308,26 +311,38 @@ def flat_events(raw: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:
         F.col("ecommerce.total_item_quantity").alias("total_item_quantity"),
         "items",
         *LINEAGE,
-        F.col("collected_traffic_source").alias("__tags"),
-        F.coalesce("ecommerce.transaction_id", look("transaction_id", "string_value")).alias("transaction_id"),
+        F.coalesce("ecommerce.transaction_id", _parameter("transaction_id", "string_value")).alias("transaction_id"),
         nested.kv_number("event_params", "value").alias("ga4_reported_value"),
-        F.coalesce(F.lower(look("traffic_type", "string_value")) == "internal", F.lit(False)).alias("is_internal_traffic"),
-        *[look(key, slot).alias(key) for key, slot in EVENT_PARAMETERS.items()],
+        F.coalesce(F.lower(_parameter("traffic_type", "string_value")) == "internal", F.lit(False)).alias("is_internal_traffic"),
+        *[_parameter(key, slot).alias(key) for key, slot in EVENT_PARAMETERS.items()],
     )
-    tagged = flat.select(
+    return flat.select(
         "*",
-        *[
-            url_parameter("page_location", parameter, f"__tags.{field}" if field else None).alias(f"event_{name}")
-            for name, (field, parameter) in EVENT_TAGS.items()
-        ],
-    ).drop("__tags")
-    return tagged.withColumn(
-        "event_fingerprint", event_fingerprint("user_pseudo_id", "event_timestamp_utc", "event_name", "ga_session_id")
-    ).withColumn("report_date_local", local_date("event_timestamp_utc", zone)).withColumn(
-        "arrived_late", F.col("event_date") != F.col("dt")
+        event_fingerprint("user_pseudo_id", "event_timestamp_utc", "event_name", "ga_session_id").alias("event_fingerprint"),
+        local_date("event_timestamp_utc", zone).alias("report_date_local"),
+        (F.col("event_date") != F.col("dt")).alias("arrived_late"),
     )
 
 
+def event_tags(raw: DataFrame) -> DataFrame:
+    """Session key, click ids and campaign tags of each event: delivered fields first, then the page address."""
+    places = raw.select(
+        "user_pseudo_id",
+        _parameter("ga_session_id", "int_value").alias("ga_session_id"),
+        _parameter("page_location", "string_value").alias("page_location"),
+        "collected_traffic_source",
+    )
+    tags = [
+        url_parameter("page_location", parameter, f"collected_traffic_source.{field}" if field else None).alias(f"event_{name}")
+        for name, (field, parameter) in EVENT_TAGS.items()
+    ]
+    # As a generator each pattern runs once per row; as a plain projection a filter
+    # on the tags would be pushed below it and run them all again.
+    return places.select("user_pseudo_id", "ga_session_id", F.inline(F.array(F.struct(*tags))))
+
+
+TAG_COLUMNS = {f"event_{name}": f"session_{name}" for name in EVENT_TAGS}
+
 EVENT_COLUMNS = (
     "event_fingerprint", "event_date", "event_timestamp_utc", "report_date_local", "event_name", "user_pseudo_id",
     "ga_session_id", "ga_session_number", "page_location", "page_referrer", "page_title", "engagement_time_msec",
@@ -336,9 +351,12 @@ EVENT_COLUMNS = (
 )
 
 
-def mark_provisional(events: DataFrame, days: int = 2) -> DataFrame:
-    """Flag the last ``days`` event dates. The maximum is one aggregate, not a global window."""
-    newest = events.agg(F.max("event_date").alias("__newest"))
+def mark_provisional(events: DataFrame, days: int = 2, source: DataFrame | None = None) -> DataFrame:
+    """Flag the last ``days`` event dates of ``source`` (default: the events).
+
+    The newest date is one aggregate, used as a scalar, not a global window.
+    """
+    newest = (events if source is None else source).agg(F.max("event_date").alias("__newest"))
     flagged = with_scalars(events.drop("is_provisional"), newest)
     return flagged.withColumn("is_provisional", F.col("event_date") >= F.date_sub("__newest", days - 1)).drop("__newest")
 
@@ -355,8 +373,16 @@ def dedupe_events(events: DataFrame) -> DataFrame:
     )
 
 
+def settle_events(rows: DataFrame, tags: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """Final events: deduplicated, then given the values and flags that look at all rows.
+
+    Session values and the newest date include rows the dedupe drops. Joining them
+    on afterwards lets the dropped rows skip the join.
+    """
+    carried = carry_session_values(dedupe_events(rows), columns, source=tags)
+    return mark_provisional(carried, source=rows).select(*EVENT_COLUMNS)
+
+
 def ga4_events(raw: DataFrame, zone: str = DEFAULT_ZONE) -> DataFrame:
     """Clean web events with session-wide click ids and campaign tags."""
-    flat = flat_events(raw, zone)
-    carried = carry_session_values(flat, {f"event_{name}": f"session_{name}" for name in EVENT_TAGS})
-    return dedupe_events(mark_provisional(carried).select(*EVENT_COLUMNS))
+    return settle_events(flat_events(raw, zone), event_tags(raw), TAG_COLUMNS)

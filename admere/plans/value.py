@@ -84,42 +84,37 @@ def mart_customer_features(
 ) -> DataFrame:
     """One row per acquired customer. ``trained_until`` is a date or a one-row ``last_day`` relation."""
     acquired = customers.filter(F.col("first_order_date").isNotNull()).withColumn("acquisition_date", F.col("first_order_date"))
-    joined = (
-        acquired.join(order_windows(acquired, orders), "customer_key")
-        .join(session_windows(acquired, sessions), "customer_key", "left")
-        .withColumn("acquisition_platform", F.col("first.attributed_platform"))
-        .withColumn("acquisition_ad_id", F.col("first.ad_id"))
-    )
+    first = lambda c: F.col(f"first.{c}")
+    joined = acquired.join(order_windows(acquired, orders), "customer_key").join(session_windows(acquired, sessions), "customer_key", "left")
     copy = ads.select(
-        F.col("platform").alias("acquisition_platform"), F.col("ad_id").alias("acquisition_ad_id"),
+        F.col("platform").alias("ad_platform"), F.col("ad_id").alias("ad_key"),
         *[F.col(c).alias(f"acquisition_creative_{c}") for c in ("tone", "discount_pct", "cta", "product")],
     )
-    joined = joined.join(copy, ["acquisition_platform", "acquisition_ad_id"], "left")
+    joined = joined.join(copy, (first("attributed_platform") == F.col("ad_platform")) & (first("ad_id") == F.col("ad_key")), "left")
     if isinstance(trained_until, DataFrame):
-        joined = with_scalars(joined, trained_until.select(training_cutoff(F.col("last_day")).alias("__cutoff")))
-        trained_until = F.col("__cutoff")
+        joined = with_scalars(joined, trained_until.select(training_cutoff(F.col("last_day")).alias("trained_until")))
+        trained_until = F.col("trained_until")
     day = F.col("acquisition_date")
-    shaped = (
-        joined.withColumn("acquisition_month", F.month(day))
-        .withColumn("acquisition_iso_week", F.weekofyear(day))
-        .withColumn("days_from_signup_to_first_order", F.datediff(day, F.col("first_created_date")))
-        .withColumn("acquisition_campaign_id", F.col("first.campaign_id"))
-        .withColumn("acquisition_attribution_method", F.col("first.attribution_method"))
-        .withColumn("first_order_value", F.col("first.revenue"))
-        .withColumn("first_order_completed_revenue", F.col("first.completed_revenue"))
-        .withColumn("first_order_item_count", F.col("first.item_count"))
-        .withColumn("first_order_discount", F.col("first.discount"))
-        .withColumn(
-            "avg_completed_order_value_7d",
-            F.try_divide(F.col("completed_revenue_7d").cast("decimal(29,9)"), F.col("completed_orders_7d").cast("decimal(29,9)")),
-        )
-        .withColumn("is_training_eligible", day <= trained_until)
-        .withColumn("source_file_name", F.coalesce("order_source_file_name", "session_source_file_name", "source_file_name"))
-        .withColumn("dt", greatest_or_null("dt", "order_dt", F.coalesce("session_dt", "dt")))
-    )
-    for c in SESSION_COUNTS:
-        shaped = shaped.withColumn(c, F.coalesce(c, F.lit(0).cast("bigint")))
-    return shaped.select(*FEATURE_COLUMNS)
+    money = lambda c: F.col(c).cast("decimal(29,9)")
+    derived = {
+        "acquisition_month": F.month(day),
+        "acquisition_iso_week": F.weekofyear(day),
+        "days_from_signup_to_first_order": F.datediff(day, F.col("first_created_date")),
+        "acquisition_platform": first("attributed_platform"),
+        "acquisition_campaign_id": first("campaign_id"),
+        "acquisition_ad_id": first("ad_id"),
+        "acquisition_attribution_method": first("attribution_method"),
+        "first_order_value": first("revenue"),
+        "first_order_completed_revenue": first("completed_revenue"),
+        "first_order_item_count": first("item_count"),
+        "first_order_discount": first("discount"),
+        "avg_completed_order_value_7d": F.try_divide(money("completed_revenue_7d"), money("completed_orders_7d")),
+        "is_training_eligible": day <= trained_until,
+        "source_file_name": F.coalesce("order_source_file_name", "session_source_file_name", "source_file_name"),
+        "dt": greatest_or_null("dt", "order_dt", F.coalesce("session_dt", "dt")),
+        **{c: F.coalesce(c, F.lit(0).cast("bigint")) for c in SESSION_COUNTS},
+    }
+    return joined.select(*[derived[c].alias(c) if c in derived else F.col(c) for c in FEATURE_COLUMNS])
 
 
 NUMERIC_INPUTS = (

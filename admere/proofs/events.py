@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from admere.operators import identity, matching, sessions, spread, versions
 from admere.plans import conformed, incremental, staging
-from admere.proofs.landing import flat, web_events
+from admere.proofs.landing import Delivered, flat
 from admere.proofs.models import Chain
 from admere.proofs.registry import CTES, Tables, proof
 from admere.session import scratch_path
@@ -30,7 +30,7 @@ def exact_dedupe(t: Tables) -> DataFrame:
 
 @proof("event_fingerprint transaction_id dt:d", "SELECT fp AS event_fingerprint, transaction_id, dt FROM z_events")
 def two_stage_dedupe(t: Tables) -> DataFrame:
-    return staging.dedupe_events(staging.flat_events(web_events(t)))
+    return staging.dedupe_events(staging.flat_events(Delivered(t)["ga4_events"]))
 
 
 @proof("event_timestamp:i user_pseudo_id dt:d copies:i", "SELECT event_timestamp, user_pseudo_id, dt, count(*) OVER (PARTITION BY event_timestamp, user_pseudo_id, event_name, ga_session_id) AS copies FROM raw_events")
@@ -111,8 +111,8 @@ def session_rollup(t: Tables) -> DataFrame:
     "SELECT fp AS event_fingerprint, dt, s_gclid AS session_gclid, s_fbclid AS session_fbclid, s_source AS session_source FROM z_event_flat JOIN z_session_values USING (user_pseudo_id, ga_session_id)",
 )
 def session_carry(t: Tables) -> DataFrame:
-    flat_rows = staging.flat_events(web_events(t))
-    return sessions.carry_session_values(flat_rows, {f"event_{n}": f"session_{n}" for n in ("gclid", "fbclid", "source")})
+    raw = Delivered(t)["ga4_events"]
+    return sessions.carry_session_values(staging.flat_events(raw), {f"event_{n}": f"session_{n}" for n in ("gclid", "fbclid", "source")}, source=staging.event_tags(raw))
 
 
 @proof(f"{_SESSION} customer_id customer_key", "SELECT r.user_pseudo_id, r.ga_session_id, s.customer_id, s.customer_key FROM z_rolled r LEFT JOIN z_sessions s USING (user_pseudo_id, ga_session_id) WHERE NOT staff")
@@ -158,7 +158,7 @@ def quality_flags(t: Tables) -> DataFrame:
 
 @proof("event_fingerprint dt:d is_provisional:b arrived_late:b", "SELECT fp AS event_fingerprint, dt, event_date >= (SELECT max(event_date) - 1 FROM z_event_flat) AS is_provisional, event_date <> dt AS arrived_late FROM z_event_flat")
 def provisional_flag(t: Tables) -> DataFrame:
-    return staging.mark_provisional(staging.flat_events(web_events(t)))
+    return staging.mark_provisional(staging.flat_events(Delivered(t)["ga4_events"]))
 
 
 @proof("customer_id identity_hash identity_method", """
@@ -249,7 +249,7 @@ def lookback_window(t: Tables) -> DataFrame:
 def upsert_merge(t: Tables) -> DataFrame:
     """Two daily loads give the table a full refresh gives."""
     path = scratch_path(t.spark, "events")
-    raw = web_events(t)
+    raw = Delivered(t)["ga4_events"]
     incremental.load_events(raw.filter(F.col("dt") <= F.lit("2024-01-15").cast("date")), path)
     incremental.load_events(raw, path)
     return t.spark.read.parquet(path)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from admere.functions import clean, creative, nested, values
 from admere.operators.spread import date_spine, forward_fill, one_bounds, with_scalars
 from admere.plans import staging, star
-from admere.proofs.landing import flat, google_lines, web_events
+from admere.proofs.landing import Delivered, flat
 from admere.proofs.registry import CTES, Tables, proof
 from admere.session import scratch_path
 from admere.sources import files, schemas
@@ -123,7 +123,7 @@ def json_typed(t: Tables) -> DataFrame:
 )
 def kv_lookup(t: Tables) -> DataFrame:
     look = lambda key, slot: nested.kv_lookup("event_params", key, slot)
-    e = web_events(t)
+    e = Delivered(t)["ga4_events"]
     return e.select(
         clean.event_fingerprint("user_pseudo_id", values.micros_to_timestamp("event_timestamp"), "event_name", look("ga_session_id", "int_value")).alias("event_fingerprint"),
         look("ga_session_id", "int_value").alias("session"), look("page_location", "string_value").alias("location"), look("traffic_type", "string_value").alias("traffic"),
@@ -132,13 +132,13 @@ def kv_lookup(t: Tables) -> DataFrame:
 
 @proof("event_timestamp:i user_pseudo_id reported:n4", "SELECT event_timestamp, user_pseudo_id, coalesce(value_double, value_float, value_int) AS reported FROM raw_events")
 def kv_numeric(t: Tables) -> DataFrame:
-    return web_events(t).select("event_timestamp", "user_pseudo_id", nested.kv_number("event_params", "value").alias("reported"))
+    return Delivered(t)["ga4_events"].select("event_timestamp", "user_pseudo_id", nested.kv_number("event_params", "value").alias("reported"))
 
 
 @proof("event_timestamp:i device system city gclid transaction", "SELECT event_timestamp, device_category AS device, operating_system AS system, city, field_gclid AS gclid, order_field AS transaction FROM raw_events")
 def struct_flatten(t: Tables) -> DataFrame:
     paths = {"device": "device.category", "system": "device.operating_system", "city": "geo.city", "gclid": "collected_traffic_source.gclid", "transaction": "ecommerce.transaction_id"}
-    return web_events(t).select("event_timestamp", *[F.col(p).alias(n) for n, p in paths.items()])
+    return Delivered(t)["ga4_events"].select("event_timestamp", *[F.col(p).alias(n) for n, p in paths.items()])
 
 
 CTES["cut_lines"] = "SELECT event_id, CASE WHEN event_type = 'error' THEN substr(props, 1, length(props) - 1) ELSE props END AS raw_line, CAST(ts AS DATE) AS dt FROM events"
@@ -239,7 +239,7 @@ def path_id(t: Tables) -> DataFrame:
 )
 def header_projection(t: Tables) -> DataFrame:
     columns = ["segments_date", "ad_group_ad_ad_id", "metrics_impressions", "metrics_all_conversions", "metrics_conversions", "metrics_cost_micros"]
-    return staging.by_header(google_lines(t), "segments_date", columns).withColumnRenamed("ad_group_ad_ad_id", "ad")
+    return staging.by_header(Delivered(t)["google_ads_performance_raw"], "segments_date", columns).withColumnRenamed("ad_group_ad_ad_id", "ad")
 
 
 @proof(
@@ -372,7 +372,7 @@ def source_lines(t: Tables) -> DataFrame:
 @proof("event_timestamp:i user_pseudo_id session:i location device city dt:d", "SELECT event_timestamp, user_pseudo_id, ga_session_id AS session, page_location AS location, device_category AS device, city, dt FROM raw_events")
 def source_nested_json(t: Tables) -> DataFrame:
     root = scratch_path(t.spark, "json")
-    web_events(t).drop("source_file_name").write.option("compression", "gzip").partitionBy("dt").json(root)
+    Delivered(t)["ga4_events"].drop("source_file_name").write.option("compression", "gzip").partitionBy("dt").json(root)
     e = files.read_nested_json(t.spark, root, "*.json.gz", schemas.EVENT_SCHEMA)
     look = lambda key, slot: nested.kv_lookup("event_params", key, slot)
     return e.select(

@@ -19,7 +19,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from admere.proofs.registry import CTES, Tables
+from admere.session import scratch_path
 from admere.sources.schemas import CITIES
+from admere.sources.tables import write_full
 
 INTERNAL_DOMAIN = "qa.example"
 
@@ -406,8 +408,11 @@ def weather_documents(t: Tables) -> DataFrame:
     )
 
 
+_LANDED: dict[tuple[str, str], dict[str, str]] = {}
+
+
 class Delivered(dict):
-    """The ten delivered tables, each built on first use."""
+    """The ten delivered tables. Each is landed as files on first use and kept for the session."""
 
     MAKERS = {
         "google_ads_performance_raw": google_lines,
@@ -425,7 +430,12 @@ class Delivered(dict):
     def __init__(self, t: Tables):
         super().__init__()
         self.t = t
+        self.landed = _LANDED.setdefault((t.spark.sparkContext.applicationId, t.sf_dir), {})
 
     def __missing__(self, name: str) -> DataFrame:
-        self[name] = self.MAKERS[name](self.t)
+        if name not in self.landed:
+            path = scratch_path(self.t.spark, f"landed-{name}")
+            write_full(self.MAKERS[name](self.t), path)
+            self.landed[name] = path
+        self[name] = self.t.spark.read.parquet(self.landed[name])
         return self[name]

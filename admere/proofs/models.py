@@ -31,13 +31,17 @@ class Chain:
         self.t, self.raw = t, Delivered(t)
         self.domains = internal_domains(t.spark, [INTERNAL_DOMAIN])
         self.stored = _STORED.setdefault((t.spark.sparkContext.applicationId, t.sf_dir), {})
+        self.opened: dict[str, DataFrame] = {}
 
     def define(self, name: str) -> DataFrame:
         return getattr(self, f"_{name}")()
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name in PROJECTIONS:
-            return self.define(name)
+        if name not in self.opened:
+            self.opened[name] = self.define(name) if name in PROJECTIONS else self._open(name)
+        return self.opened[name]
+
+    def _open(self, name: str) -> DataFrame:
         if name not in self.stored:
             path = scratch_path(self.t.spark, name)
             write_full(self.define(name), path)

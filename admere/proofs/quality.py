@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from admere.operators import checks
 from admere.plans import monitoring
-from admere.proofs.landing import INTERNAL_DOMAIN, Delivered, flat, google_lines, meta_lines
+from admere.proofs.landing import INTERNAL_DOMAIN, Delivered, flat
 from admere.proofs.models import Chain
 from admere.proofs.registry import CTES, Tables, proof
 from admere.session import scratch_path
@@ -254,11 +254,11 @@ def pii_scan(t: Tables) -> DataFrame:
 
 @proof("day:d n:i", "SELECT dt AS day, count(*) AS n FROM raw_ad_days JOIN (VALUES (1), (2)) v(p) ON true, LATERAL (SELECT CAST(day + p AS DATE) AS dt) WHERE ad % 2 = 1 AND p = 1 AND ad % 25 = 7 GROUP BY 1")
 def quarantine_by_day(t: Tables) -> DataFrame:
-    rows = monitoring.nested.split_json(meta_lines(t))[1]
+    rows = monitoring.nested.split_json(Delivered(t)["meta_ads_insights_raw"])[1]
     return rows.groupBy(F.col("dt").alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
 @proof("dt:d header_lines:i data_lines:i", "SELECT CAST(day + 1 AS DATE) AS dt, 1 AS header_lines, count(*) AS data_lines FROM raw_ad_days WHERE ad % 2 = 0 GROUP BY 1")
 def delivered_lines(t: Tables) -> DataFrame:
     line = F.col("raw_line")
-    return google_lines(t).groupBy("dt").agg(F.count_if(line.startswith("segments_date,")).alias("header_lines"), F.count_if(~line.startswith("segments_date,") & (F.trim(line) != "")).alias("data_lines"))
+    return Delivered(t)["google_ads_performance_raw"].groupBy("dt").agg(F.count_if(line.startswith("segments_date,")).alias("header_lines"), F.count_if(~line.startswith("segments_date,") & (F.trim(line) != "")).alias("data_lines"))

@@ -31,6 +31,7 @@ class Tables:
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         if name == "events":
             df = df.withColumn("ts", F.col("ts").cast("timestamp"))
+        self.__dict__[name] = df
         return df
 
 
