@@ -16,47 +16,43 @@ from pyspark.sql import functions as F
 HOUR = 3_600_000_000
 
 
-def running_values(
-    events: DataFrame, points: DataFrame, person: str, at: str, payload: Sequence[str] = (), forward: bool = False
-) -> DataFrame:
-    """For each point in time: how many events of the person lie up to it, and the last of them.
+def running_values(events: DataFrame, points: DataFrame, person: str, at: str, payload: Sequence[str] = ()) -> DataFrame:
+    """For each point in time: how many events of the person lie up to it, the last of them, and the next one.
 
     ``events`` holds ``person``, ``at`` (epoch micros) and the payload; ``points``
-    holds ``person``, ``at``, ``id`` and ``kind``. Gives ``id``, ``kind``, ``n``
-    and ``hit``, a struct ``(at, payload...)``. An event at the very instant
-    counts. ``forward`` looks at the events from the instant on instead.
+    holds ``person``, ``at``, ``id`` and ``kind``. Gives ``id``, ``kind``, ``n``,
+    ``hit`` and ``next``, structs ``(at, payload...)``. An event at the very instant
+    counts as up to it.
     """
-    sign = -1 if forward else 1
     marks = events.select(
         F.col(person).alias("who"),
         F.lit(None).cast(points.schema["id"].dataType).alias("id"),
         F.lit(None).cast("string").alias("kind"),
-        (F.col(at) * sign).alias("when"),
+        F.col(at).alias("when"),
         F.struct(F.col(at).alias("at"), *[F.col(p) for p in payload]).alias("event"),
     )
     asks = points.select(
-        F.col(person).alias("who"),
-        "id",
-        "kind",
-        (F.col(at) * sign).alias("when"),
-        F.lit(None).cast(marks.schema["event"].dataType).alias("event"),
+        F.col(person).alias("who"), "id", "kind", F.col(at).alias("when"), F.lit(None).cast(marks.schema["event"].dataType).alias("event")
     )
     both = marks.unionByName(asks).withColumn("cell", F.floor(F.col("when") / F.lit(HOUR)).cast("bigint"))
-    is_event = F.col("event").isNotNull()
+    event = F.col("event")
+    is_event = event.isNotNull()
     # Events of one instant sort before the points there; the greatest payload is last.
-    ordering = [F.col("when"), F.col("event").asc_nulls_last()]
-    inside = Window.partitionBy("who", "cell").orderBy(*ordering).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    here = Window.partitionBy("who", "cell").orderBy(F.col("when"), event.asc_nulls_last())
+    until, onward = (Window.unboundedPreceding, Window.currentRow), (Window.currentRow, Window.unboundedFollowing)
+    order = F.when(is_event, F.struct("when", "event"))
     cells = both.groupBy("who", "cell").agg(
-        F.count_if(is_event).alias("cell_n"),
-        F.max_by("event", F.when(is_event, F.struct("when", "event"))).alias("cell_last"),
+        F.count_if(is_event).alias("cell_n"), F.max_by(event, order).alias("cell_last"), F.min_by(event, order).alias("cell_first")
     )
     # One row per person and active hour, bounded by the calendar.
-    before = Window.partitionBy("who").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)
+    hours = Window.partitionBy("who").orderBy("cell")
+    earlier, later = hours.rowsBetween(Window.unboundedPreceding, -1), hours.rowsBetween(1, Window.unboundedFollowing)
     carried = cells.select(
         F.col("who").alias("carry_who"),
         F.col("cell").alias("carry_cell"),
-        F.coalesce(F.sum("cell_n").over(before), F.lit(0)).alias("carry_n"),
-        F.last("cell_last", ignorenulls=True).over(before).alias("carry_last"),
+        F.coalesce(F.sum("cell_n").over(earlier), F.lit(0)).alias("carry_n"),
+        F.last("cell_last", ignorenulls=True).over(earlier).alias("carry_last"),
+        F.first("cell_first", ignorenulls=True).over(later).alias("carry_next"),
     )
     local = both.select(
         "who",
@@ -64,8 +60,9 @@ def running_values(
         "id",
         "kind",
         is_event.alias("is_event"),
-        F.count_if(is_event).over(inside).alias("here_n"),
-        F.last("event", ignorenulls=True).over(inside).alias("here_last"),
+        F.count_if(is_event).over(here.rowsBetween(*until)).alias("here_n"),
+        F.last(event, ignorenulls=True).over(here.rowsBetween(*until)).alias("here_last"),
+        F.first(event, ignorenulls=True).over(here.rowsBetween(*onward)).alias("here_next"),
     ).filter(~F.col("is_event"))
     found = local.join(carried, (F.col("who") == F.col("carry_who")) & (F.col("cell") == F.col("carry_cell")), "left")
     return found.select(
@@ -73,6 +70,7 @@ def running_values(
         "kind",
         (F.col("here_n") + F.coalesce("carry_n", F.lit(0))).alias("n"),
         F.coalesce("here_last", "carry_last").alias("hit"),
+        F.coalesce("here_next", "carry_next").alias("next"),
     )
 
 
@@ -106,27 +104,29 @@ def interval_matches(
         each = F.array(*[F.struct(F.lit(kind).alias("kind"), c.alias("at")) for kind, c in at.items()])
         return source.select("id", person, F.inline(each))
 
-    back = running_values(marks, points(asks, low=o - before * micros - 1, past=o, high=o + after * micros), person, "at", ["sid"])
-    kind = F.col("kind")
-    counted = back.groupBy("id").agg(
-        (F.max(F.when(kind == "high", F.col("n"))) - F.max(F.when(kind == "low", F.col("n")))).alias("n_matches"),
-        F.max(F.when(kind == "past", F.col("hit"))).alias("past"),
+    around = points(asks, low=o - before * micros - 1, past=o, high=o + after * micros)
+    kind = lambda name, c: F.max(F.when(F.col("kind") == name, F.col(c)))
+    counted = (
+        running_values(marks, around, person, "at", ["sid"])
+        .groupBy("id")
+        .agg((kind("high", "n") - kind("low", "n")).alias("n_matches"), kind("past", "hit").alias("past"), kind("past", "next").alias("next"))
+        .filter(F.col("n_matches") > 0)
     )
-    ahead = running_values(marks, points(asks, next=o + 1), person, "at", forward=True).select("id", F.col("hit").alias("next"))
+    found = asks.join(counted, "id")
     seconds = lambda at: F.floor(F.abs(at - o) / micros).cast("bigint")
     # Whole seconds decide first: of the later sessions, the last one within the
     # second of the nearest counts.
-    following = asks.join(ahead, "id").filter(F.col("next.at") <= o + after * micros)
+    following = found.filter(F.col("next.at") <= o + after * micros)
     edge = F.least(o + (seconds(F.col("next.at")) + 1) * micros - 1, o + after * micros)
     tied = running_values(marks, points(following, tie=edge), person, "at", ["sid"]).select("id", F.col("hit").alias("tie"))
-    found = asks.join(counted.filter(F.col("n_matches") > 0), "id").join(tied, "id", "left")
+    paired = found.join(tied, "id", "left")
 
     def candidate(hit: str) -> Column:
         shaped = F.struct((-seconds(F.col(f"{hit}.at"))).alias("closeness"), F.col(f"{hit}.at"), F.col(f"{hit}.sid"))
         return F.when(F.col(f"{hit}.at") >= o - before * micros, shaped)
 
     best = F.greatest(candidate("past"), candidate("tie"))
-    return found.select(
+    return paired.select(
         F.col("id").alias(order_id),
         "n_matches",
         best["sid"].alias(session_id),

@@ -77,22 +77,26 @@ def attributed_platform(google: list[str], meta: list[str], source: str) -> Colu
     )
 
 
-def session_people(sessions: DataFrame, order_customers: DataFrame, keys: tuple[str, ...] = SESSION) -> DataFrame:
+def session_orders(events: DataFrame, keys: tuple[str, ...] = SESSION) -> DataFrame:
+    """Sessions that name an order, with the first one named; reads only events that name one."""
+    named = events.filter(F.col("transaction_id").isNotNull())
+    return named.groupBy(*keys).agg(earliest_by("transaction_id", "event_timestamp_utc", "transaction_id").alias("transaction_id"))
+
+
+def session_people(sessions: DataFrame, named: DataFrame, order_customers: DataFrame, keys: tuple[str, ...] = SESSION) -> DataFrame:
     """Add the customer behind each session.
 
     Direct: the session names an order. Otherwise the visitor's identity from the
-    latest session that did. ``order_customers`` is unique per ``order_id``.
+    latest session that did. ``named`` lists the sessions that name an order,
+    ``order_customers`` is unique per ``order_id``.
     """
     visitor, session = keys
-    direct = left_lookup(
-        sessions, order_customers.select("order_id", F.struct("customer_id", "customer_key").alias("__direct")), {"transaction_id": "order_id"}
-    )
+    person = F.struct("customer_id", "customer_key")
+    direct = left_lookup(sessions, order_customers.select("order_id", person.alias("__direct")), {"transaction_id": "order_id"})
     known = (
-        sessions.filter(F.col("transaction_id").isNotNull())
-        .select(visitor, session, "transaction_id")
-        .join(order_customers, F.col("transaction_id") == F.col("order_id"))
+        named.join(order_customers, F.col("transaction_id") == F.col("order_id"))
         .groupBy(F.col(visitor).alias("__visitor"))
-        .agg(latest_by(F.struct("customer_id", "customer_key"), session).alias("__known"))
+        .agg(latest_by(person, session).alias("__known"))
     )
     joined = direct.join(known, F.col(visitor) == F.col("__visitor"), "left")
     who = F.coalesce("__direct", "__known")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from admere.functions import creative
 from admere.operators.identity import bridge_identity, late_placeholders, person_key
 from admere.operators.matching import best_session
-from admere.operators.sessions import roll_up, session_campaigns, session_key, session_people
+from admere.operators.sessions import roll_up, session_campaigns, session_key, session_orders, session_people
 from admere.operators.versions import latest_by
 
 IDENTITY_COLUMNS = (
@@ -49,7 +49,7 @@ def sessions(events: DataFrame, orders: DataFrame, identity: DataFrame, clicks:
     rolled = roll_up(events)
     order_people = orders.select("order_id", "customer_id").join(identity.select("customer_id", "customer_key"), "customer_id")
     current_ads = meta.groupBy("ad_id").agg(latest_by("campaign_id", "insight_date", "pulled_at_utc").alias("campaign_id"))
-    placed = session_campaigns(session_people(rolled, order_people), clicks, current_ads)
+    placed = session_campaigns(session_people(rolled, session_orders(events), order_people), clicks, current_ads)
     return placed.withColumn("session_key", session_key()).filter(~F.col("is_internal_session")).select(*SESSION_COLUMNS)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from admere.functions.values import greatest_or_null, when_amount, within
 from admere.operators.spread import ntile, with_scalars
 from admere.operators.versions import earliest_by, latest_by
+from admere.session import use_checkpoints
 
 FEATURE_DAYS = 7
 LABEL_DAYS = 90
@@ -192,6 +193,7 @@ def train(features: DataFrame, key: str = "customer_key", iterations: int = 50,
         validationTol=0.001, cacheNodeIds=True, maxMemoryInMB=256,
     )
     # Training passes over this frame many times; it is kept while they last.
+    use_checkpoints(features.sparkSession)
     assembled = assembler.transform(frame).select("features", "label", "is_holdout").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         sides = assembled.agg(F.bool_or("is_holdout").alias("held"), F.bool_and("is_holdout").alias("only")).first()

@@ -119,8 +119,8 @@ def session_carry(t: Tables) -> DataFrame:
 def session_identity(t: Tables) -> DataFrame:
     c = Chain(t)
     order_people = c["stg_crm_orders"].select("order_id", "customer_id").join(c["int_customer_identity"].select("customer_id", "customer_key"), "customer_id")
-    rolled = sessions.roll_up(c["stg_ga4_events"])
-    return sessions.session_people(rolled, order_people).filter(~F.col("is_internal_session"))
+    events = c["stg_ga4_events"]
+    return sessions.session_people(sessions.roll_up(events), sessions.session_orders(events), order_people).filter(~F.col("is_internal_session"))
 
 
 @proof(f"{_SESSION} campaign_id ad_id", "SELECT user_pseudo_id, ga_session_id, campaign_id, ad_id FROM z_sessions")

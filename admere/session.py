@@ -20,6 +20,8 @@ SPEED_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Stream state beyond the heap.
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -71,10 +73,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stable(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: same rows on every use."""
-    spark = df.sparkSession
+def use_checkpoints(spark: SparkSession) -> None:
+    """Point the context's checkpoints at the shared folder."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+
+
+def stable(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
+
+    Every later use sees the same rows, also after executors are lost, and reads
+    only the columns it needs.
+    """
+    path = scratch_path(df.sparkSession, "stable")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
