@@ -1,13 +1,13 @@
-"""Twelve issue detectors on delivered data, and the checks clean tables must pass."""
+"""Twelve issue detectors on delivered data, and the rules clean tables must keep."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from admere.functions import nested
 from admere.functions.clean import blank_to_null, email_domain, email_key, safe_cast
-from admere.operators.checks import checks, one_row, ratio_outliers, unique_violations
+from admere.operators.checks import one_row, ratio_outliers, unique_violations
 from admere.operators.spread import date_spine, with_group_values, with_scalars
 from admere.operators.versions import duplicate_excess, latest_version
 from admere.plans.staging import typed_orders
@@ -59,7 +59,7 @@ def order_findings(raw: DataFrame) -> DataFrame:
     """DQ01 rows exported twice; DQ03 orders with more than one version."""
     excess = duplicate_excess(raw, ["dt", "source_file_name"], DELIVERED_TEXT["crm_orders"])
     versions = (
-        typed_orders(raw).filter(F.col("order_id").isNotNull() & F.col("updated_at_utc").isNotNull())
+        typed_orders(raw).filter(F.col("order_id").isNotNull())
         .groupBy("order_id").agg(F.min("updated_at_utc").alias("lo"), F.max("updated_at_utc").alias("hi"), F.max("dt").alias("dt"))
         .filter(F.col("lo") != F.col("hi"))
     )
@@ -209,148 +209,3 @@ def layer_gap(t: dict[str, DataFrame], tolerance: float = 0.01) -> DataFrame:
     return m.filter(
         (F.col("silver_orders") != F.col("gold_orders")) | apart("silver_revenue", "gold_revenue") | apart("silver_spend", "gold_spend")
     )
-
-
-def _excess(column: Column | str) -> Column:
-    """Rows minus distinct keys."""
-    return F.count(F.lit(1)) - F.count_distinct(column)
-
-
-def _no_lineage() -> Column:
-    return F.count_if(F.col("dt").isNull() | F.col("source_file_name").isNull())
-
-
-def star_report(t: dict[str, DataFrame]) -> DataFrame:
-    """Named checks on the star schema, one pass per table."""
-    m = one_row(
-        t["dim_date"].agg(F.count(F.lit(1)).alias("dates"), _excess("calendar_date").alias("dup_dates")),
-        t["dim_customer"].agg(F.count(F.lit(1)).alias("customers"), _excess("customer_key").alias("dup_customers"), F.count_if("is_internal_customer").alias("internal"), _no_lineage().alias("l1")),
-        t["dim_campaign"].agg(_excess(F.struct("platform", "campaign_id")).alias("dup_campaigns"), F.count_if(F.size("campaign_name_history") > 1).alias("renamed"), _no_lineage().alias("l2")),
-        t["dim_ad"].agg(_excess(F.struct("platform", "ad_id")).alias("dup_ads"), _no_lineage().alias("l3")),
-        t["fct_sessions"].agg(F.count(F.lit(1)).alias("gold_sessions"), _excess("session_key").alias("dup_sessions"), _no_lineage().alias("l4")),
-        t["int_sessions"].agg(F.count(F.lit(1)).alias("silver_sessions")),
-        t["fct_orders"].agg(F.count_if("is_test_order").alias("tests"), _excess("order_id").alias("dup_orders"), _no_lineage().alias("l5")),
-        t["fct_ad_spend_daily"].agg(_excess(F.struct("spend_date", "platform", "ad_id")).alias("dup_spend"), F.count_if(F.col("spend_zar").isNull() | (F.col("spend_zar") < 0)).alias("bad_spend"), _no_lineage().alias("l6")),
-        layer_metrics(t),
-    )
-    missing = F.col("l1") + F.col("l2") + F.col("l3") + F.col("l4") + F.col("l5") + F.col("l6")
-    none = lambda c: (F.col(c), "0", F.col(c) == 0)
-    some = lambda c: (F.col(c), "> 0", F.col(c) > 0)
-    pair = lambda a, b: (F.concat_ws("/", F.col(a).cast("string"), F.col(b).cast("string")), "equal", F.col(a) == F.col(b))
-    return checks(m, {
-        "Date dimension populated": some("dates"),
-        "Date keys unique": none("dup_dates"),
-        "Customer dimension populated": some("customers"),
-        "Customer keys unique": none("dup_customers"),
-        "Internal customers excluded": none("internal"),
-        "Campaign keys unique": none("dup_campaigns"),
-        "Campaign rename history retained": some("renamed"),
-        "Ad keys unique": none("dup_ads"),
-        "Session totals reconcile": pair("gold_sessions", "silver_sessions"),
-        "Session keys unique": none("dup_sessions"),
-        "Order totals reconcile": pair("gold_orders", "silver_orders"),
-        "Order keys unique": none("dup_orders"),
-        "QA orders excluded": none("tests"),
-        "Completed revenue reconciles": pair("gold_revenue", "silver_revenue"),
-        "Ad spend grain unique": none("dup_spend"),
-        "Ad spend valid": none("bad_spend"),
-        "Source lineage retained": (missing, "0", missing == 0),
-    })
-
-
-def feature_report(features: DataFrame, customers: DataFrame) -> DataFrame:
-    """Named checks on the feature mart."""
-    counts = ("orders_7d", "completed_orders_7d", "completed_revenue_7d", "sessions_7d", "future_value_90d")
-    bad = F.col("orders_7d") < 1
-    for c in counts[1:]:
-        bad = bad | (F.col(c) < 0)
-    m = one_row(
-        features.agg(F.count(F.lit(1)).alias("rows"), _excess("customer_key").alias("dup"), F.count_if("is_training_eligible").alias("training"), F.count_if(~F.col("is_training_eligible")).alias("scoring"), F.count_if(bad).alias("bad"), _no_lineage().alias("lineage")),
-        customers.agg(F.count("first_order_date").alias("acquired")),
-    )
-    none = lambda c: (F.col(c), "0", F.col(c) == 0)
-    some = lambda c: (F.col(c), "> 0", F.col(c) > 0)
-    return checks(m, {
-        "Feature rows match acquired customers": (F.concat_ws("/", F.col("rows").cast("string"), F.col("acquired").cast("string")), "equal", F.col("rows") == F.col("acquired")),
-        "Customer feature keys unique": none("dup"),
-        "Feature metrics valid": none("bad"),
-        "Training cohort present": some("training"),
-        "Scoring-only cohort present": some("scoring"),
-        "Source lineage retained": none("lineage"),
-    })
-
-
-def score_report(scores: DataFrame, features: DataFrame, last_day: DataFrame, evaluation: DataFrame, info: DataFrame, inputs: DataFrame) -> DataFrame:
-    """Named checks on model, evaluation and scores."""
-    p, seg = F.col("predicted_future_value_90d"), F.col("value_segment")
-    ripe = with_scalars(features, last_day.select("last_day")).filter(F.col("acquisition_date") <= F.date_sub("last_day", 7))
-    m = one_row(
-        scores.agg(
-            F.count(F.lit(1)).alias("scored"), _excess("customer_key").alias("dup"), F.count_if(p < 0).alias("negative"),
-            F.count_distinct(seg).alias("segments"), _no_lineage().alias("lineage"),
-            F.min(F.when(seg == "high", p)).alias("min_high"), F.max(F.when(seg == "steady", p)).alias("max_steady"),
-            F.min(F.when(seg == "steady", p)).alias("min_steady"), F.max(F.when(seg == "low", p)).alias("max_low"),
-        ),
-        ripe.agg(F.count(F.lit(1)).alias("eligible")),
-        evaluation.agg(F.count(F.lit(1)).alias("evaluations"), F.count_if(F.col("r2_score").isNull() | F.col("mean_absolute_error").isNull() | (F.col("mean_absolute_error") < 0) | (F.col("mean_squared_error") < 0)).alias("bad_evaluations")),
-        info.agg(F.count("eval_loss").alias("iterations")),
-        inputs.agg(F.count_if(F.col("input") == "future_value_90d").alias("leaks")),
-    )
-    none = lambda c: (F.col(c), "0", F.col(c) == 0)
-    ordered = (F.col("min_high") >= F.col("max_steady")) & (F.col("min_steady") >= F.col("max_low"))
-    return checks(m, {
-        "Model training info available": (F.col("iterations"), "> 0", F.col("iterations") > 0),
-        "Evaluation metrics persisted": (F.col("evaluations"), "1", F.col("evaluations") == 1),
-        "Evaluation metrics valid": none("bad_evaluations"),
-        "Eligible customers scored": (F.concat_ws("/", F.col("scored").cast("string"), F.col("eligible").cast("string")), "equal", F.col("scored") == F.col("eligible")),
-        "Prediction keys unique": none("dup"),
-        "Predicted values non-negative": none("negative"),
-        "All value segments populated": (F.col("segments"), "3", F.col("segments") == 3),
-        "Value segment ordering valid": (F.concat_ws(" ", "min_high", "max_steady", "min_steady", "max_low"), "high >= steady >= low", ordered),
-        "Target excluded from model features": none("leaks"),
-        "Prediction lineage retained": none("lineage"),
-    })
-
-
-def mart_report(values: DataFrame, campaign_value: DataFrame, drivers: DataFrame, spend: DataFrame, orders: DataFrame) -> DataFrame:
-    """Named checks on the final marts."""
-    grain = ("week_start_date", "platform", "campaign_id")
-    off = F.abs(F.col("value_adjusted_roas") - F.try_divide(F.col("first_order_revenue_zar").cast("double") + F.col("predicted_value_90d"), F.col("spend_zar").cast("double"))) > 1e-6
-    bad_value = ~F.col("one_time_buyer_share").between(0, 1)
-    for c in ("spend_zar", "claimed_revenue_zar", "real_revenue_zar", "predicted_value_90d"):
-        bad_value = bad_value | (F.col(c) < 0)
-    paid = F.col("attributed_platform").isin("google", "meta") & F.col("campaign_id").isNotNull()
-    m = one_row(
-        values.agg(F.count(F.lit(1)).alias("value_rows"), _excess("customer_key").alias("dup_values"), F.count_if(F.col("predicted_value_90d") < 0).alias("negative"), _no_lineage().alias("l1"),
-                   F.sum(F.when(F.col("acquisition_platform").isin("google", "meta") & F.col("acquisition_campaign_id").isNotNull(), F.col("predicted_value_90d"))).alias("customer_value")),
-        campaign_value.agg(F.count(F.lit(1)).alias("campaign_rows"), _excess(F.struct(*grain)).alias("dup_campaigns"), F.count_if(bad_value).alias("bad_campaigns"), F.count_if((F.col("spend_zar") > 0) & off).alias("bad_roas"), _no_lineage().alias("l2"),
-                           F.sum("spend_zar").alias("mart_spend"), F.sum("claimed_revenue_zar").alias("mart_claimed"), F.sum("real_revenue_zar").alias("mart_revenue"), F.sum("predicted_value_90d").alias("campaign_value")),
-        drivers.agg(F.count(F.lit(1)).alias("driver_rows"), _excess(F.struct(*grain, "city_standard")).alias("dup_drivers"), F.count_if((F.col("allocated_spend_zar") > 0) & (F.col("dominant_tone").isNull() | F.col("dominant_cta").isNull())).alias("no_copy"), _no_lineage().alias("l3")),
-        spend.agg(F.sum("spend_zar").alias("fact_spend"), F.sum("claimed_revenue_zar").alias("fact_claimed")),
-        orders.agg(F.sum(F.when(paid, F.col("completed_revenue"))).alias("fact_revenue")),
-    )
-    none = lambda c: (F.col(c), "0", F.col(c) == 0)
-    some = lambda c: (F.col(c), "> 0", F.col(c) > 0)
-
-    def pair(a: str, b: str, tolerance: float = 0.0) -> tuple:
-        gap = F.abs(F.coalesce(a, F.lit(0)).cast("double") - F.coalesce(b, F.lit(0)).cast("double"))
-        return F.concat_ws("/", F.col(a).cast("string"), F.col(b).cast("string")), "equal", gap <= tolerance
-
-    missing = F.col("l1") + F.col("l2") + F.col("l3")
-    return checks(m, {
-        "Customer value mart populated": some("value_rows"),
-        "Customer value keys unique": none("dup_values"),
-        "Customer predictions valid": none("negative"),
-        "Campaign value mart populated": some("campaign_rows"),
-        "Campaign value grain unique": none("dup_campaigns"),
-        "Campaign value metrics valid": none("bad_campaigns"),
-        "Value-adjusted return formula valid": none("bad_roas"),
-        "Campaign spend reconciles": pair("mart_spend", "fact_spend"),
-        "Campaign claimed revenue reconciles": pair("mart_claimed", "fact_claimed"),
-        "Attributed CRM revenue reconciles": pair("mart_revenue", "fact_revenue"),
-        "Predicted campaign value reconciles": pair("campaign_value", "customer_value", 1e-6),
-        "Campaign drivers populated": some("driver_rows"),
-        "Campaign driver grain unique": none("dup_drivers"),
-        "Campaign creative drivers retained": none("no_copy"),
-        "Mart lineage retained": (missing, "0", missing == 0),
-    })

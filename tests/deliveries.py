@@ -140,4 +140,4 @@ def deliver(root: pathlib.Path) -> None:
         event("20260302", "2026-03-02 10:00:01", "purchase", "v1", 1, tx="o1", value={"double_value": 500.0}),
         event("20260304", "2026-03-04 07:00:00", "page_view", "v2", 5, "https://shop.example/?utm_source=Newsletter&utm_medium=email"),
     ])
-    put_events(root, "2026-03-09", [event("20260309", "2026-03-09 22:00:00", "page_view", "v1", 9, "https://shop.example/?utm_source=Newsletter")])
+    put_events(root, "2026-03-10", [event("20260310", "2026-03-09 22:00:00", "page_view", "v1", 9, "https://shop.example/?utm_source=Newsletter")])

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import deliveries
-from admere.plans import monitoring, staging
+from admere.plans import monitoring, reports, staging, value
 from admere.plans.build import Build
 from admere.plans.incremental import load_events, load_meta_ads
 
@@ -101,7 +101,7 @@ def test_people_sessions_and_attribution(build):
     assert o["o4"]["attribution_method"] == "unattributed" and o["o4"]["session_key"] is None
 
 
-def test_checks_pass_and_gold(build):
+def test_checks_pass_and_gold(spark, build):
     assert build.check(blocking=False) == ["DQ04 late customers resolved"]  # the customer that never came
     build.gold(trained_until="2026-03-05", scored_at="2026-03-13 00:00:00")
     t = build.tables
@@ -117,8 +117,20 @@ def test_checks_pass_and_gold(build):
     assert drivers and all(r.city_standard in ("Cape Town", "Durban") for r in drivers)
     story = [r.campaign_id for r in build.story().collect()]
     assert story[0] == "G1"
-    report = monitoring.star_report(t).collect()
-    assert {r.check_name for r in report if r.status == "FAIL"} == set()
+    failed = lambda df: {r.check_name for r in df.collect() if r.status == "FAIL"}
+    assert failed(reports.star_report(t)) == set()
+    assert failed(reports.customer_report(t)) == set()
+    assert failed(reports.ads_report(t, "2026-03-05")) == set()
+    assert failed(reports.event_report(t)) == set()
+    assert failed(reports.conformed_report(t, {"ids": 6, "people": 4, "late": 1, "orders": 6, "copies": 2})) == {"Model JSON parsed", "Creative features valid"}
+    cutoff = F.lit("2026-03-05").cast("date")
+    assert failed(reports.feature_report(t["mart_customer_features"], t["dim_customer"], t["fct_orders"], cutoff)) == set()
+    last = t["dim_date"].agg(F.max("calendar_date").alias("last_day"))
+    model = value.train(t["mart_customer_features"])
+    card = reports.score_report(t["ml_customer_pltv"], t["mart_customer_features"], last, t["ml_customer_pltv_evaluation"], model.training_info(spark), model.feature_info(spark))
+    assert failed(card) <= {"Evaluation metrics valid", "All value segments populated", "Value segment ordering valid"}  # two scored people
+    assert failed(reports.mart_report(t, t["ml_customer_pltv"], ("M1", "G1"))) == {"First campaign wins platform return"}
+    assert failed(reports.reconciliation_report(t, monitoring.violations(t))) == set()
 
 
 def test_monitoring(spark, build):
@@ -135,13 +147,15 @@ def test_monitoring(spark, build):
     card = by(build.monitor("2026-03-14 06:00:00", manifest), "dq_code")
     assert {k: v["status"] for k, v in card.items()} == {"DQ01": "MATCHED", "DQ08": "MATCHED", "DQ02": "MATCHED", "DQ12": "MISMATCH"}
     again = build.load("ops_dq_results").filter("run_date = '2026-03-14'").collect()
+    report = {r.check_name: r.status for r in reports.monitoring_report(build.tables["ops_dq_results"], build.tables["ops_dq_scorecard"]).collect()}
+    assert report == {"All 12 DQ codes monitored": "PASS", "All detected counts non-negative": "PASS", "All planted DQ codes matched": "FAIL", "Truth isolated to scorecard": "PASS"}
     assert len(again) == 12 and all(r.affected_rows_this_run == 0 and r.previous_detected_count == r.detected_count for r in again)
 
 
 def test_daily_loads_equal_full_refresh(spark, build, tmp_path):
     raw = build.raw
     path, ads = str(tmp_path / "events"), str(tmp_path / "ads")
-    for day in ("2026-03-02", "2026-03-03", "2026-03-04", "2026-03-09", "2026-03-09"):
+    for day in ("2026-03-02", "2026-03-03", "2026-03-04", "2026-03-10", "2026-03-10"):
         until = F.col("dt") <= F.lit(day).cast("date")
         load_events(raw["ga4_events"].filter(until), path)
         load_meta_ads(raw["meta_ads_insights_raw"].filter(until), build.tables["stg_fx_rates"], ads)
