@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from admere.functions.values import DEFAULT_ZONE
 from admere.operators.checks import assert_empty, scorecard, snapshot
 from admere.plans import conformed, incremental, marts, monitoring, staging, star, value
+from admere.session import prepare
 from admere.sources.files import city_mapping, internal_domains, read_landing
 from admere.sources.tables import append_snapshot, existing, write_full
 
@@ -18,7 +19,7 @@ class Build:
     """Tables below ``root``; each is written once and read back by its followers."""
 
     def __init__(self, spark: SparkSession, landing: str, root: str, domains: Sequence[str], zone: str = DEFAULT_ZONE):
-        self.spark, self.root, self.zone = spark, root.rstrip("/"), zone
+        self.spark, self.root, self.zone = prepare(spark), root.rstrip("/"), zone
         self.raw = read_landing(spark, landing)
         self.domains = internal_domains(spark, domains)
         self.tables: dict[str, DataFrame] = {}

@@ -14,7 +14,6 @@ from admere.functions.clean import (
     email_key,
     event_fingerprint,
     file_stem,
-    first_match,
     path_id,
     phone_key,
     pseudonym,

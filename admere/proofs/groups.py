@@ -212,7 +212,7 @@ def _promo_weeks(t: Tables) -> DataFrame:
 
 @proof(
     "week_start_date:d campaign_id spend_zar:n2 claimed_revenue_zar:n2 real_orders:i completed_orders:i real_revenue_zar:n2 new_customers:i first_order_revenue_zar:n2 predicted_value_90d:n2 one_time_buyer_share:n4 "
-    "platform_roas:n4 actual_roas:n4 value_adjusted_roas:n4",
+    "platform_roas:n9 actual_roas:n9 value_adjusted_roas:n6",
     "FROM promo_weeks",
 )
 def campaign_value(t: Tables) -> DataFrame:
@@ -221,7 +221,7 @@ def campaign_value(t: Tables) -> DataFrame:
 
 
 @proof(
-    "campaign_id spend_zar:n2 real_revenue_zar:n2 predicted_value_90d:n2 platform_roas:n4 actual_roas:n4 value_adjusted_roas:n4 platform_roas_rank:i value_adjusted_roas_rank:i",
+    "campaign_id spend_zar:n2 real_revenue_zar:n2 predicted_value_90d:n2 platform_roas:n9 actual_roas:n9 value_adjusted_roas:n6 platform_roas_rank:i value_adjusted_roas_rank:i",
     """SELECT *, dense_rank() OVER (ORDER BY platform_roas DESC) AS platform_roas_rank, dense_rank() OVER (ORDER BY value_adjusted_roas DESC) AS value_adjusted_roas_rank FROM (
        SELECT campaign_id, sum(spend_zar) AS spend_zar, sum(real_revenue_zar) AS real_revenue_zar, sum(predicted_value_90d) AS predicted_value_90d, CAST(sum(claimed_revenue_zar) AS DOUBLE) / CAST(sum(spend_zar) AS DOUBLE) AS platform_roas,
            CAST(sum(real_revenue_zar) AS DOUBLE) / CAST(sum(spend_zar) AS DOUBLE) AS actual_roas, (CAST(sum(first_order_revenue_zar) AS DOUBLE) + sum(predicted_value_90d)) / CAST(sum(spend_zar) AS DOUBLE) AS value_adjusted_roas FROM promo_weeks GROUP BY 1)""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from admere.plans import conformed, marts, monitoring, staging, star, value
+from admere.plans import conformed, marts, staging, star, value
 from admere.proofs.landing import INTERNAL_DOMAIN, Delivered
 from admere.proofs.registry import CTES, Tables, proof
 from admere.session import scratch_path
@@ -458,7 +458,7 @@ _model(
 _model(
     "mart_campaign_value",
     "week_start_date:d platform campaign_id campaign_name spend_zar:n4 impressions:i clicks:i claimed_conversions:n2 claimed_revenue_zar:n4 real_orders:i completed_orders:i real_revenue_zar:n2 new_customers:i "
-    "first_order_revenue_zar:n2 predicted_value_90d:n4 one_time_buyer_share:n6 platform_roas:n6 actual_roas:n6 value_adjusted_roas:n6 dt:d",
+    "first_order_revenue_zar:n2 predicted_value_90d:n4 one_time_buyer_share:n6 platform_roas:n9 actual_roas:n9 value_adjusted_roas:n6 dt:d",
     """SELECT w.*, c.current_campaign_name AS campaign_name, spend_units / 10000 AS spend_zar, claimed_units / 10000 AS claimed_revenue_zar, real_revenue AS real_revenue_zar, first_revenue AS first_order_revenue_zar,
        predicted AS predicted_value_90d, once_share AS one_time_buyer_share, raw_claimed / nullif(raw_spend, 0) AS platform_roas, raw_revenue / (nullif(raw_spend, 0) / 10000) AS actual_roas,
        (CAST(first_revenue AS DOUBLE) + predicted) / (nullif(raw_spend, 0) / 10000) AS value_adjusted_roas, coalesce(s_dt, CAST(week_start_date + 6 AS DATE)) AS dt

@@ -29,16 +29,18 @@ def stream_dedupe(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
-@proof("user_id:i day:d started:t ended:t n:i buys:i", "SELECT user_id, CAST(ts AS DATE) AS day, min(ts) AS started, max(ts) AS ended, count(*) AS n, count(*) FILTER (event_type = 'purchase') AS buys FROM events GROUP BY 1, 2")
+@proof("user_id:i week:d started:t ended:t n:i buys:i", "SELECT user_id, date_trunc('week', ts) AS week, min(ts) AS started, max(ts) AS ended, count(*) AS n, count(*) FILTER (event_type = 'purchase') AS buys FROM events GROUP BY 1, 2")
 def stream_sessions(t: Tables) -> DataFrame:
-    """Sessions of a visitor and day; every change of a session replaces its row."""
-    rolled = jobs.session_stream(
-        _event_stream(t).withColumn("day", F.to_date("ts")), "ts", ["user_id", "day"],
+    """Sessions of a visitor and week, in daily parts; every change of a part replaces its row."""
+    session = ["user_id", "week"]
+    parts = jobs.session_stream(
+        _event_stream(t).withColumn("week", F.to_date(F.date_trunc("week", "ts"))), "ts", session,
         {"started": F.min("ts"), "ended": F.max("ts"), "n": F.count(F.lit(1)), "buys": F.count_if(F.col("event_type") == "purchase")},
-    ).drop("window")
+    )
     path = scratch_path(t.spark, "stream-sessions")
-    _finish(jobs.upsert_sink(rolled, path, scratch_path(t.spark, "cp"), ["user_id", "day"], "day", ["n", "ended"], output_mode="update"))
-    return t.spark.read.parquet(path)
+    _finish(jobs.upsert_sink(parts, path, scratch_path(t.spark, "cp"), [*session, "window_start"], "window_day", ["n"], output_mode="update"))
+    merges = {"started": F.min("started"), "ended": F.max("ended"), "n": F.sum("n"), "buys": F.sum("buys")}
+    return jobs.whole_sessions(t.spark.read.parquet(path), session, merges)
 
 
 @proof("user_id:i day:d event_id:i value:n2", "SELECT DISTINCT ON (user_id, CAST(ts AS DATE)) user_id, CAST(ts AS DATE) AS day, event_id, value FROM events ORDER BY user_id, CAST(ts AS DATE), ts DESC, event_id DESC")

@@ -20,14 +20,19 @@ SPEED_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Stream state beyond the heap.
+}
+
+
+#: Stream state beyond the heap; on one machine the start-up costs more than it saves.
+CLUSTER_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings results depend on to a session made elsewhere."""
-    for key, value in {**RESULT_SETTINGS, **SPEED_SETTINGS}.items():
+    local = spark.sparkContext.master.startswith("local")
+    for key, value in {**RESULT_SETTINGS, **SPEED_SETTINGS, **({} if local else CLUSTER_SETTINGS)}.items():
         spark.conf.set(key, value)
     return spark
 

@@ -31,12 +31,23 @@ def dedupe_stream(events: DataFrame, at: str, keys: Sequence[str], lateness: str
 def session_stream(
     events: DataFrame, at: str, keys: Sequence[str], aggregates: dict[str, Column], lateness: str = LATENESS, span: str = "1 day"
 ) -> DataFrame:
-    """Roll-up of given sessions inside a window of their own, emitted once the watermark passed it."""
-    return (
+    """Parts of sessions that carry an id: one row per session and time window.
+
+    The window lets finished parts leave the state. A session that crosses a window
+    has several parts; :func:`whole_sessions` adds them up.
+    """
+    parts = (
         events.withWatermark(at, lateness)
-        .groupBy(F.window(at, span), *keys)
+        .groupBy(F.window(at, span).alias("window"), *keys)
         .agg(*[c.alias(n) for n, c in aggregates.items()])
     )
+    start = F.col("window.start")
+    return parts.select(start.alias("window_start"), F.to_date(start).alias("window_day"), *keys, *aggregates)
+
+
+def whole_sessions(parts: DataFrame, keys: Sequence[str], merges: dict[str, Column]) -> DataFrame:
+    """Sessions from their parts; ``merges`` combines each aggregate (sum, min, max)."""
+    return parts.groupBy(*keys).agg(*[c.alias(n) for n, c in merges.items()])
 
 
 def gap_session_stream(events: DataFrame, at: str, keys: Sequence[str], gap: str, aggregates: dict[str, Column], lateness: str = LATENESS) -> DataFrame:

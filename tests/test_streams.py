@@ -26,10 +26,12 @@ def test_dedupe_and_sessions_over_several_files(spark, tmp_path):
         jobs.append_sink(jobs.dedupe_stream(stream, "ts", ["id"]), sink, cp).awaitTermination()
     assert sorted(r.id for r in spark.read.parquet(sink).collect()) == [1, 2, 3, 4]
     stream = jobs.file_stream(spark, sink, SCHEMA, files_per_batch=1)
-    rolled = jobs.session_stream(stream, "ts", ["who", "day"], {"n": F.count(F.lit(1)), "total": F.sum("v")}).drop("window")
-    jobs.upsert_sink(rolled, sessions, cp2, ["who", "day"], "day", ["n"], output_mode="update").awaitTermination()
-    got = {(r.who, str(r.day)): (r.n, r.total) for r in spark.read.parquet(sessions).collect()}
-    assert got == {("a", "2024-01-01"): (3, 7), ("b", "2024-01-02"): (1, 3)}
+    parts = jobs.session_stream(stream, "ts", ["who"], {"n": F.count(F.lit(1)), "total": F.sum("v")}, span="12 hours")
+    jobs.upsert_sink(parts, sessions, cp2, ["who", "window_start"], "window_day", ["n"], output_mode="update").awaitTermination()
+    stored = spark.read.parquet(sessions)
+    assert stored.count() == 3  # the session of a has a morning and an evening part
+    whole = jobs.whole_sessions(stored, ["who"], {"n": F.sum("n"), "total": F.sum("total")})
+    assert {r.who: (r.n, r.total) for r in whole.collect()} == {"a": (3, 7), "b": (1, 3)}
 
 
 def test_restatement_and_replay(spark, tmp_path):
