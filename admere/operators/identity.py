@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from admere.functions.clean import surrogate_key
 from admere.operators.versions import latest_by
-from admere.session import stable
+from admere.session import release, stable
 
 
 def bridge_identity(customers: DataFrame, email: str = "email_hash", phone: str = "phone_hash") -> DataFrame:
@@ -52,7 +52,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     algorithm until no edge changes; the number of rounds grows with the logarithm
     of the component size. Each step is one minimum per node (partial on the map
     side) joined back to its edges, so a node with very many neighbours is never
-    held by one task. The edge list never grows and is checkpointed per round.
+    held by one task. The edge list never grows; each round is written and the one
+    before it deleted.
     """
     nodes = edges.select(F.col(src).alias("node")).union(edges.select(F.col(dst).alias("node"))).distinct()
     links = stable(
@@ -62,8 +63,8 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     )
     state = None
     while True:
-        links = _small_star(_large_star(links))
-        links = stable(links)
+        before, links = links, stable(_small_star(_large_star(links)))
+        release(before)
         row = links.agg(
             F.count(F.lit(1)).alias("n"),
             F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -85,6 +86,15 @@ def use_checkpoints(spark: SparkSession) -> None:
         context.setCheckpointDir(shared_folder(spark))
 
 
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of any file system Hadoop knows."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+_PATHS: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def stable(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
@@ -93,4 +103,13 @@ def stable(df: DataFrame) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, "stable")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    kept = df.sparkSession.read.schema(df.schema).parquet(path)
+    _PATHS[kept] = path
+    return kept
+
+
+def release(df: DataFrame) -> None:
+    """Delete what :func:`stable` wrote, once nothing reads it any more."""
+    path = _PATHS.pop(df, None)
+    if path:
+        remove_folder(df.sparkSession, path)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from admere.operators.versions import latest_version
-from admere.session import stable
+from admere.session import release, remove_folder, stable
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -30,11 +30,6 @@ def existing(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def _drop_folder(spark: SparkSession, path: str) -> None:
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
-
-
 def write_full(df: DataFrame, path: str, partition: str | None = None, cluster: Sequence[str] = ()) -> None:
     """Replace a table. ``cluster`` sorts rows inside files, so row groups can be skipped."""
     shaped = df.sortWithinPartitions(*cluster) if cluster else df
@@ -98,7 +93,9 @@ def upsert(
     # Overwriting never removes a partition that lost its last row.
     left = {row[0] for row in after.select(partition).distinct().collect()}
     for day in set(days) - left:
-        _drop_folder(spark, f"{path.rstrip('/')}/{partition}={day}")
+        remove_folder(spark, f"{path.rstrip('/')}/{partition}={day}")
+    release(after)
+    release(batch)
 
 
 def high_water_mark(target: DataFrame | None, column: str = "dt"):
