@@ -92,43 +92,44 @@ def interval_matches(
     ``distance_s``. ``before`` and ``after`` are seconds.
     """
     micros = 1_000_000
-    o = F.col("o")
     asks = orders.filter(F.col(person).isNotNull() & F.col(order_at).isNotNull()).select(
-        F.col(order_id).alias("id"), F.col(person), F.unix_micros(F.col(order_at)).alias("o")
+        F.struct(F.col(order_id).alias("key"), F.col(person).alias("who"), F.unix_micros(F.col(order_at)).alias("o")).alias("id")
     )
     marks = sessions.filter(F.col(person).isNotNull() & F.col(session_at).isNotNull()).select(
-        F.col(person), F.unix_micros(F.col(session_at)).alias("at"), F.col(session_id).alias("sid")
+        F.col(person).alias("who"), F.unix_micros(F.col(session_at)).alias("at"), F.col(session_id).alias("sid")
     )
+    # What is known of an order travels in its id, so neither step joins back.
+    o = F.col("id.o")
 
     def points(source: DataFrame, **at: Column) -> DataFrame:
         each = F.array(*[F.struct(F.lit(kind).alias("kind"), c.alias("at")) for kind, c in at.items()])
-        return source.select("id", person, F.inline(each))
+        return source.select("id", "id.who", F.inline(each))
 
     around = points(asks, low=o - before * micros - 1, past=o, high=o + after * micros)
-    kind = lambda name, c: F.max(F.when(F.col("kind") == name, F.col(c)))
-    counted = (
-        running_values(marks, around, person, "at", ["sid"])
+    of = lambda name, c: F.max(F.when(F.col("kind") == name, F.col(c)))
+    found = (
+        running_values(marks, around, "who", "at", ["sid"])
         .groupBy("id")
-        .agg((kind("high", "n") - kind("low", "n")).alias("n_matches"), kind("past", "hit").alias("past"), kind("past", "next").alias("next"))
+        .agg((of("high", "n") - of("low", "n")).alias("n_matches"), of("past", "hit").alias("past"), of("past", "next").alias("next"))
         .filter(F.col("n_matches") > 0)
     )
-    found = asks.join(counted, "id")
     seconds = lambda at: F.floor(F.abs(at - o) / micros).cast("bigint")
     # Whole seconds decide first: of the later sessions, the last one within the
-    # second of the nearest counts.
-    following = found.filter(F.col("next.at") <= o + after * micros)
+    # second of the nearest counts. Without a later one this looks back again.
+    following = F.col("next.at") <= o + after * micros
     edge = F.least(o + (seconds(F.col("next.at")) + 1) * micros - 1, o + after * micros)
-    tied = running_values(marks, points(following, tie=edge), person, "at", ["sid"]).select("id", F.col("hit").alias("tie"))
-    paired = found.join(tied, "id", "left")
+    known = F.struct("id.*", "n_matches", "past")
+    asked = found.select(known.alias("id"), F.when(following, edge).otherwise(o).alias("edge"))
+    tied = running_values(marks, points(asked, tie=F.col("edge")), "who", "at", ["sid"])
 
     def candidate(hit: str) -> Column:
         shaped = F.struct((-seconds(F.col(f"{hit}.at"))).alias("closeness"), F.col(f"{hit}.at"), F.col(f"{hit}.sid"))
         return F.when(F.col(f"{hit}.at") >= o - before * micros, shaped)
 
-    best = F.greatest(candidate("past"), candidate("tie"))
-    return paired.select(
-        F.col("id").alias(order_id),
-        "n_matches",
+    best = F.greatest(candidate("id.past"), candidate("hit"))
+    return tied.select(
+        F.col("id.key").alias(order_id),
+        F.col("id.n_matches").alias("n_matches"),
         best["sid"].alias(session_id),
         (-best["closeness"]).alias("distance_s"),
     )
