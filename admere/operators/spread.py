@@ -99,7 +99,7 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_n
     """Position of every row in one total order, without a one-partition sort.
 
     Rows are range-partitioned and sorted; ``monotonically_increasing_id`` then
-    holds partition and position. That frame is checkpointed, since a second
+    holds partition and position. That frame is written out, since a second
     sampling could cut the ranges elsewhere. Only one count per partition is
     summed up to get the offsets.
     """
