@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from admere.llm import langid
+from admere.llm import langid, quality
 from admere.llm.ship import ship
 from admere.session import prepare
 
@@ -26,3 +26,8 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 @query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.label_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))

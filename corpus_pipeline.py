@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from admere.llm import langid
+from admere.llm import langid, quality
 from admere.llm.ship import ship
 from admere.session import prepare, scratch_path
 
@@ -21,8 +21,15 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return langid.keep_known(docs)
 
 
+def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents of good quality."""
+    labels = ship(prepare(spark)).read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return quality.keep_good(docs, labels)
+
+
 STAGES = [
     ("language_id", language),
+    ("quality_rules", good),
 ]
 
 #: Models are learnt on the way, which SQL cannot express; tests hold the stages against brute force.
