@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from admere.llm import langid, quality
+from admere.llm import bpe, langid, quality
 from admere.llm.ship import ship
 from admere.session import prepare
 
@@ -31,3 +32,9 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return bpe.digest_documents(docs, bpe.vocabulary_file(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN))
