@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from admere.llm import bpe, langid, quality
+from admere.llm import bpe, langid, ngram_join, quality
 from admere.llm.ship import ship
 from admere.session import prepare
 
@@ -38,3 +38,25 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return bpe.digest_documents(docs, bpe.vocabulary_file(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN))
+
+
+@query
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.classes(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op2_ngram_jaccard"] = r"""
+WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w FROM documents),
+grams AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM split WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY 1),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT x, y FROM shared JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y WHERE c >= 0.8 * (a.n + b.n - c) - 1e-9),
+reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT d.doc_id, coalesce(least(d.doc_id, r.low), d.doc_id) AS class_id, coalesce(k.n, 0) AS n_links
+FROM documents d
+LEFT JOIN (SELECT x, min(y) AS low FROM reach GROUP BY 1) r ON r.x = d.doc_id
+LEFT JOIN (SELECT x, count(*) AS n FROM links GROUP BY 1) k ON k.x = d.doc_id
+"""

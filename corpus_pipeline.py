@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from admere.llm import langid, quality
+from admere.llm import langid, ngram_join, quality
 from admere.llm.ship import ship
 from admere.session import prepare, scratch_path
 
@@ -27,9 +27,16 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality.keep_good(docs, labels)
 
 
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-equal ones."""
+    ship(prepare(spark))
+    return ngram_join.one_of_each(docs).select("doc_id", "text", "lang", "source", "n_chars")
+
+
 STAGES = [
     ("language_id", language),
     ("quality_rules", good),
+    ("ngram_jaccard", distinct),
 ]
 
 #: Models are learnt on the way, which SQL cannot express; tests hold the stages against brute force.
