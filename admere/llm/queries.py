@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from admere.llm import bpe, langid, ngram_join, quality
+from admere.llm import bpe, langid, ngram_join, quality, source_mix
 from admere.llm.ship import ship
 from admere.session import prepare
 
@@ -60,3 +60,40 @@ FROM documents d
 LEFT JOIN (SELECT x, min(y) AS low FROM reach GROUP BY 1) r ON r.x = d.doc_id
 LEFT JOIN (SELECT x, count(*) AS n FROM links GROUP BY 1) k ON k.x = d.doc_id
 """
+
+
+@query
+def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mix.mix_documents(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op8_source_mix"] = r"""
+WITH sizes AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size, md5('mix|' || coalesce(CAST(doc_id AS VARCHAR), '')) AS turn
+  FROM documents
+),
+grouped AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sizes GROUP BY 1),
+placed AS (SELECT *, row_number() OVER (ORDER BY source NULLS LAST) AS place FROM grouped),
+weighed AS (SELECT *, (place - 1) % 3 + 1 AS weight, sum(source_size) OVER () AS budget FROM placed),
+levels AS (
+  SELECT budget - coalesce(sum(3 * source_size) OVER before, 0) AS rest, sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS open
+  FROM weighed
+  WINDOW before AS (ORDER BY source_size * 3.0 / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+filled AS (
+  SELECT w.*, least(CAST(3 * source_size AS DOUBLE), weight * (SELECT max(CAST(rest AS DOUBLE) / CAST(open AS DOUBLE)) FROM levels)) AS target FROM weighed w
+),
+queued AS (
+  SELECT s.*, f.place, f.source_size, f.target, f.budget,
+    sum(size) OVER (PARTITION BY f.place ORDER BY turn, doc_id, size ROWS UNBOUNDED PRECEDING) AS queue
+  FROM sizes s JOIN filled f ON s.source IS NOT DISTINCT FROM f.source
+),
+entries AS (
+  SELECT doc_id, turn, place, size, budget, CAST(queue + source_size * t AS DOUBLE) / target AS finish, queue
+  FROM queued, range(3) r(t) WHERE size > 0
+),
+cut AS (SELECT *, sum(size) OVER (ORDER BY finish, place ROWS UNBOUNDED PRECEDING) AS total FROM entries),
+kept AS (SELECT place, queue, count(*) AS copies FROM cut WHERE total <= budget GROUP BY 1, 2)
+SELECT q.doc_id, CAST(q.size AS BIGINT) AS size, q.source_size, q.target, CAST(q.size * coalesce(k.copies, 0) AS BIGINT) AS taken
+FROM queued q LEFT JOIN kept k ON k.place = q.place AND k.queue = q.queue AND q.size > 0
+"""
