@@ -8,9 +8,10 @@ again, so that a lost executor costs a stage at most.
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from admere.llm import langid, ngram_join, quality
+from admere.llm import bpe, langid, ngram_join, quality, source_mix
 from admere.llm.ship import ship
 from admere.session import prepare, scratch_path
 
@@ -33,10 +34,25 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return ngram_join.one_of_each(docs).select("doc_id", "text", "lang", "source", "n_chars")
 
 
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of their sources takes them."""
+    prepare(spark)
+    return source_mix.draw(docs).select("doc_id", "text", "lang", "source", "n_chars")
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, checked by decoding them."""
+    ship(prepare(spark))
+    file = bpe.vocabulary_file(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return bpe.tokenize(docs, file)
+
+
 STAGES = [
     ("language_id", language),
     ("quality_rules", good),
     ("ngram_jaccard", distinct),
+    ("source_mix", mixed),
+    ("byte_bpe", tokens),
 ]
 
 #: Models are learnt on the way, which SQL cannot express; tests hold the stages against brute force.
