@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from admere.llm import bpe, langid, ngram_join, quality, source_mix
+from admere.llm import bpe, langid, ngram_join, quality, source_mix, token_count
 from admere.llm.ship import ship
 from admere.session import prepare
 
@@ -97,3 +97,8 @@ kept AS (SELECT place, queue, count(*) AS copies FROM cut WHERE total <= budget
 SELECT q.doc_id, CAST(q.size AS BIGINT) AS size, q.source_size, q.target, CAST(q.size * coalesce(k.copies, 0) AS BIGINT) AS taken
 FROM queued q LEFT JOIN kept k ON k.place = q.place AND k.queue = q.queue AND q.size > 0
 """
+
+
+@query
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.count_documents(table(spark, sf_dir, "documents"), token_count.tokenizer_file(public_tokenizers.path("word_bpe_49k.json")))

@@ -34,12 +34,12 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def pieces(column: pa.Array, limit: int = PIECE) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Cut a string column into runs of about ``limit`` bytes: first row, end row, bytes, bounds.
+    """Cut a column of strings or bytes into runs of about ``limit`` bytes: first row, end row, bytes, bounds.
 
     Bounds holds one more entry than rows: where each text starts in the bytes. NULL
     counts as empty.
     """
-    column = pc.fill_null(column.cast(pa.large_string()), "")
+    column = pc.fill_null(column.cast(pa.large_binary()), b"")
     _, where, data = column.buffers()
     at = np.frombuffer(where, np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
