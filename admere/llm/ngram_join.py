@@ -43,6 +43,8 @@ RECALL = 0.99999
 MINIMA = 100
 #: Members of a block; a tile holds two blocks.
 BLOCK = 256
+#: Bits of the bitmap that picks texts for verification: 8 MB.
+BITS = 1 << 26
 #: Matrix columns that a tile multiplies at a time.
 COLUMNS = 4096
 
@@ -227,6 +229,25 @@ def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
     yield out(ready)
 
 
+def _marked(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``texts`` whose id may be wanted, so that only these are shuffled.
+
+    Wanted ids set bits in a bitmap of ``BITS`` bits, which is broadcast whatever their
+    number. A row that shares its bit with a wanted id passes, and goes at the join.
+    """
+    place = F.pmod(F.xxhash64("id"), F.lit(BITS))
+    bitmap = (
+        wanted.select(place.alias("p"))
+        .groupBy(F.bitmap_bucket_number("p").alias("part"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
+    )
+    spot = F.bitmap_bit_position("p")
+    byte = F.conv(F.hex(F.substring(F.col("bits"), (spot / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = texts.withColumn("p", place).withColumn("part", F.bitmap_bucket_number("p"))
+    found = found.join(F.broadcast(bitmap), "part").withColumn("byte", byte)
+    return found.filter(F.expr("shiftright(byte, cast(bitmap_bit_position(p) % 8 AS int)) & 1 = 1")).select(*texts.columns)
+
+
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = SIZE, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One row per row of ``docs``: its id, ``class_id`` and ``n_links``."""
     bands, rows = plan(threshold, recall)
@@ -251,7 +272,7 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int =
         member.groupBy("key").agg(F.sort_array(F.collect_list("bucket")).alias("buckets")).join(heads.select("key", "id", "copies"), "key")
     )
     wanted = near.select("id", F.col("key").alias("wanted"))
-    whole = texts.join(wanted, "id").select("text", "wanted").mapInArrow(lambda b: _members(b, size), "key binary, grams binary")
+    whole = _marked(texts, wanted).join(wanted, "id").select("text", "wanted").mapInArrow(lambda b: _members(b, size), "key binary, grams binary")
     armed = member.join(near.select("key", "copies", "buckets").join(whole, "key"), "key")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("key", "bucket"), blocks).cast("int")
