@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from admere.llm import bpe, langid, ngram_join, quality, source_mix, token_count, topk
+from admere.llm import bpe, html_text, langid, ngram_join, quality, source_mix, token_count, topk
 from admere.llm.ship import ship
 from admere.session import prepare
 
@@ -123,3 +123,8 @@ scored AS (
 ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+@query
+def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
