@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from admere.llm import bpe, html_text, langid, ngram_join, quality, source_mix, token_count, topk
+from admere.llm import bpe, html_text, langid, licenses, ngram_join, quality, source_mix, token_count, topk
 from admere.llm.ship import ship
 from admere.session import prepare
 
@@ -128,3 +128,31 @@ SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE
 @query
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
+@query
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_documents(table(spark, sf_dir, "documents"))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+ORACLES["op1_license_scan"] = f"""
+WITH templates(license_id, text) AS (VALUES {", ".join(f"({_quoted(k)}, {_quoted(v)})" for k, v in licenses.NOTICES.items())}),
+split AS (
+  SELECT license_id, NULL AS doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w FROM templates
+  UNION ALL SELECT NULL, doc_id, list_transform(regexp_extract_all(text, '[A-Za-z0-9]+'), lambda x: lower(x)) FROM documents
+),
+runs AS (
+  SELECT DISTINCT license_id, doc_id, array_to_string(w[i:i + 4], ' ') AS g
+  FROM (SELECT license_id, doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM split WHERE len(w) >= 5)
+),
+sizes AS (SELECT license_id, count(*) AS n FROM runs WHERE license_id IS NOT NULL GROUP BY 1),
+shared AS (
+  SELECT d.doc_id, t.license_id, count(*) AS c FROM runs d JOIN runs t ON d.g = t.g
+  WHERE d.license_id IS NULL AND t.license_id IS NOT NULL GROUP BY 1, 2
+)
+SELECT doc_id, license_id, n AS n_shingles, c AS n_found, c / n AS containment FROM shared JOIN sizes USING (license_id) WHERE c >= 0.8 * n
+"""
