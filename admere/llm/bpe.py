@@ -1,18 +1,13 @@
 """Byte-level byte-pair encoding and decoding of whole texts.
 
 A text is cut by the vocabulary's pattern, and every cut piece is folded on its own:
-start from single bytes, and merge the neighbouring pair of lowest rank until none has
-one. The encoding of a piece depends on the piece alone, so each task folds a distinct
-piece once and keeps a bounded table of them (``KEPT``); pieces come back far more often
-than they are new. Ids are kept as little-endian unsigned 32-bit numbers; decoding puts
-the byte strings of the ids end to end.
-
-Texts are first cut before spaces that follow a visible character. No match of the
-pattern reaches over such a cut, so these units, mostly words, can be looked up whole.
+start from single bytes and merge the neighbouring pair of lowest rank until none has
+one. Within an Arrow batch every distinct piece is folded once, all of them side by side
+(:mod:`admere.llm.merges`), and the ids are put back in the order of the texts. Ids are
+little-endian unsigned 32-bit numbers; decoding puts their byte strings end to end.
 
 Defined results: NULL and empty texts have no ids and decode to no bytes. Very long
-pieces are folded with a heap, in time that grows little faster than their length.
-Extra columns come through whatever their names.
+pieces are folded with a heap. Extra columns come through whatever their names.
 """
 
 from __future__ import annotations
@@ -20,190 +15,198 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-import heapq
-import re
-from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Entries of each table of folded pieces that a task keeps.
-KEPT = 400_000
-#: Pieces longer than this many bytes are folded with a heap.
-LONG = 48
-#: Bytes of ids or text in one batch that is handed back.
-ROOM = 8 << 20
+from admere.llm.merges import LETTER, OTHER, SPACE, Merges, classes, codes, fold_spans
+from admere.llm.text import hashes, pieces
+
+#: The cutting pattern that is also built as array operations; any other goes through its regular expression.
+USUAL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def cut(points: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Where the matches of :data:`USUAL` begin; each ends where the next one, or its text, does."""
+    n = len(points)
+    if not n:
+        return np.zeros(0, np.int64)
+    kind = classes()[points]
+    first = np.zeros(n + 1, bool)
+    first[bounds] = True
+    fresh = first[:n].copy()
+    fresh[1:] |= kind[1:] != kind[:-1]
+    start = np.flatnonzero(fresh)
+    end = np.append(start[1:], n)
+    what = kind[start]
+    followed = ~first[end]
+    begins = fresh
+    # the last blank of a run goes by itself, or with what follows if it is a plain space
+    blank = (what == SPACE) & followed
+    begins[end[blank] - 1] = True
+    plain = blank & (points[end - 1] == 32)
+    begins[end[plain]] = False
+    # a lone apostrophe with a known ending, unless a plain space goes with it
+    alone = (what == OTHER) & (end - start == 1) & (points[start] == 39) & followed
+    after_plain = np.zeros(len(start), bool)
+    after_plain[1:] = plain[:-1]
+    at = np.flatnonzero(alone & ~after_plain)
+    at = at[what[at + 1] == LETTER] if len(at) else at
+    if len(at):
+        here, stop = start[at] + 1, end[at + 1]
+        one, two = points[here], np.where(here + 1 < stop, points[np.minimum(here + 1, n - 1)], 0)
+        size = np.where(np.isin(one, [ord(c) for c in "stmd"]), 1, 0)
+        for a, b in ("re", "ve", "ll"):
+            size = np.where((one == ord(a)) & (two == ord(b)), 2, size)
+        here, stop, size = here[size > 0], stop[size > 0], size[size > 0]
+        begins[here] = False
+        rest = here + size
+        begins[rest[rest < stop]] = True
+    return np.flatnonzero(begins)
 
 
 class Vocabulary:
-    """Byte strings by rank, and the pattern that cuts texts."""
+    """Byte strings by rank, their merges, and the pattern that cuts texts."""
 
     def __init__(self, file: bytes, pattern: str):
-        self.ranks = {base64.b64decode(word): int(rank) for word, rank in (line.split() for line in file.splitlines() if line.strip())}
-        self.words = {rank: word for word, rank in self.ranks.items()}
-        self.cut = regex.compile(pattern)
-        self.packed = {rank: rank.to_bytes(4, "little") for rank in self.words}
-        self.pieces: dict[str, bytes] = {}
-        self.units: dict[str, bytes] = {}
-
-    def fold(self, piece: bytes) -> list[bytes]:
-        """The byte strings that ranked merges leave of a piece."""
-        if piece in self.ranks:
-            return [piece]
-        if len(piece) > LONG:
-            return self._fold_long(piece)
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        rank = self.ranks.get
-        while len(parts) > 1:
-            found = [rank(a + b, _NONE) for a, b in zip(parts, parts[1:], strict=False)]
-            low = min(found)
-            if low == _NONE:
-                break
-            at = found.index(low)
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return parts
-
-    def _fold_long(self, piece: bytes) -> list[bytes]:
-        n = len(piece)
-        parts: list[bytes | None] = [piece[i : i + 1] for i in range(n)]
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(rank, i, 2) for i in range(n - 1) if (rank := self.ranks.get(piece[i : i + 2])) is not None]
-        heapq.heapify(heap)
-        while heap:
-            _, i, size = heapq.heappop(heap)
-            left = parts[i]
-            j = after[i]
-            # an entry made before one of its two parts changed no longer fits
-            if left is None or j >= n or len(left) + len(parts[j]) != size:
-                continue
-            parts[i], parts[j] = left + parts[j], None
-            after[i] = after[j]
-            if after[i] < n:
-                before[after[i]] = i
-            for a in (before[i], i):
-                if a >= 0 and after[a] < n:
-                    both = parts[a] + parts[after[a]]
-                    if (rank := self.ranks.get(both)) is not None:
-                        heapq.heappush(heap, (rank, a, len(both)))
-        return [p for p in parts if p is not None]
-
-    def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            found = b"".join([self.packed[self.ranks[p]] for p in self.fold(piece.encode())])
-            if len(piece) <= LONG:
-                if len(self.pieces) >= KEPT:
-                    self.pieces.clear()
-                self.pieces[piece] = found
-        return found
-
-    def _unit(self, unit: str) -> bytes:
-        found = b"".join([self._piece(p) for p in self.cut.findall(unit)])
-        if len(unit) <= LONG:
-            if len(self.units) >= KEPT:
-                self.units.clear()
-            self.units[unit] = found
-        return found
-
-    def encode(self, text: str) -> bytes:
-        """Ids of the text as little-endian unsigned 32-bit numbers."""
-        if _WIDE.search(text):
-            return self._unit(text)
-        first, *rest = text.split(" ")
-        known, unit = self.units.get, self._unit
-        out = [self._unit(first)]
-        for word in rest:
-            word = " " + word
-            out.append(known(word) or unit(word))
-        return b"".join(out)
-
-    def decode(self, ids: bytes) -> bytes:
-        numbers = array("I", ids)
-        if _SWAPPED:
-            numbers.byteswap()
-        return b"".join(map(self.words.__getitem__, numbers))
-
-
-_NONE = 1 << 62
-_WIDE = re.compile(r" \s| \Z|[\x1c-\x1f]")
-_SWAPPED = array("I", b"\1\0\0\0")[0] != 1
+        ranks = {base64.b64decode(word): int(rank) for word, rank in (line.split() for line in file.splitlines() if line.strip())}
+        missing = [b for b in range(256) if bytes([b]) not in ranks]
+        if missing:
+            raise ValueError(f"the vocabulary lacks {len(missing)} single bytes")
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        size = max(ranks.values()) + 1
+        self.length = np.zeros(size, np.int64)
+        self.start = np.zeros(size, np.int64)
+        ordered = sorted(ranks, key=ranks.get)
+        self.blob = np.frombuffer(b"".join(ordered), np.uint8)
+        number = np.array([ranks[w] for w in ordered])
+        self.length[number] = [len(w) for w in ordered]
+        ends = np.cumsum(self.length[number])
+        self.start[number] = ends - self.length[number]
+        # a piece that is a word as a whole needs no merges
+        name = hashes(self.blob, self.start[number], ends)
+        order = np.argsort(name)
+        self.names, self.named = name[order], number[order]
+        found = [(ranks[w[:i]], ranks[w[i:]], r) for w, r in ranks.items() for i in range(1, len(w)) if w[:i] in ranks and w[i:] in ranks]
+        left, right, into = np.array(found, np.int64).reshape(-1, 3).T
+        self.merges = Merges(left, right, into, into)
+        self.pattern = None if pattern == USUAL else regex.compile(pattern)
+
+    def _cut(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Byte positions where pieces begin and end."""
+        if self.pattern is None:
+            points, edges, begins = codes(data, bounds)
+            start = begins[cut(points, edges)]
+            return start, np.append(start[1:], len(data))[: len(start)]
+        found: list[int] = []
+        for a, b in zip(bounds, bounds[1:], strict=False):
+            text = data[a:b].tobytes().decode("utf-8", "replace")
+            place = np.concatenate([[0], np.cumsum([len(c.encode()) for c in text])]) + a
+            found.extend(int(place[x]) for m in self.pattern.finditer(text) if m.end() > m.start() for x in m.span())
+        spans = np.array(found, np.int64).reshape(-1, 2)
+        return spans[:, 0], spans[:, 1]
+
+    def encode(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after another, and the bounds of each text's."""
+        start, end = self._cut(data, bounds)
+        name, first, place = np.unique(hashes(data, start, end), return_index=True, return_inverse=True)
+        start_of, length = start[first], (end - start)[first]
+        spot = np.minimum(np.searchsorted(self.names, name), len(self.names) - 1)
+        whole = self.names[spot] == name
+        ids, edges = fold_spans(self.merges, self.single[data], start_of[~whole], length[~whole])
+        # words known as a whole come behind the folded ones
+        size = np.ones(len(name), np.int64)
+        size[~whole] = np.diff(edges)
+        at = np.zeros(len(name), np.int64)
+        at[~whole] = edges[:-1]
+        at[whole] = len(ids) + np.arange(int(whole.sum()))
+        ids = np.concatenate([ids, self.named[spot[whole]]])
+        each = size[place]
+        stop = np.concatenate([[0], np.cumsum(each)])
+        flat = ids[np.repeat(at[place] - stop[:-1], each) + np.arange(stop[-1])]
+        return flat.astype("<u4"), stop[np.searchsorted(start, bounds)]
+
+    def decode(self, ids: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of all rows of ids one after another, and the bounds of each row's."""
+        each = self.length[ids]
+        stop = np.concatenate([[0], np.cumsum(each)])
+        return self.blob[np.repeat(self.start[ids] - stop[:-1], each) + np.arange(stop[-1])], stop[bounds]
 
 
 @functools.lru_cache(maxsize=2)
-def _vocabulary(digest: str, holder: "_File") -> Vocabulary:
-    return Vocabulary(holder.content, holder.pattern)
+def _vocabulary(file: VocabularyFile) -> Vocabulary:
+    return Vocabulary(file.content, file.pattern)
 
 
-class _File:
-    """A vocabulary file on its way to the tasks, equal to any other of the same content."""
+class VocabularyFile:
+    """A file of ranks on its way to the tasks, equal to any other of the same content."""
 
     def __init__(self, content: bytes, pattern: str):
         self.content, self.pattern = content, pattern
         self.digest = hashlib.sha256(content + pattern.encode()).hexdigest()
 
     def __eq__(self, other: object) -> bool:
-        return isinstance(other, _File) and self.digest == other.digest
+        return isinstance(other, VocabularyFile) and self.digest == other.digest
 
     def __hash__(self) -> int:
         return hash(self.digest)
 
     def vocabulary(self) -> Vocabulary:
         """The vocabulary with its tables, made once in a worker process."""
-        return _vocabulary(self.digest, self)
+        return _vocabulary(self)
 
 
-def vocabulary_file(path: str, pattern: str) -> _File:
+def vocabulary_file(path: str, pattern: str) -> VocabularyFile:
     """Read a file of ranks; its size is that of the vocabulary."""
     with open(path, "rb") as file:
-        return _File(file.read(), pattern)
+        return VocabularyFile(file.read(), pattern)
 
 
-def _map(df: DataFrame, column: str, kind: pa.DataType, sql_kind: str, name: str, change) -> DataFrame:
-    """Add ``name``: ``change(worker state)(value)`` of ``column``; the other columns come through."""
+def _map(df: DataFrame, column: str, name: str, change: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
+    """Add binary ``name``, made of the bytes of ``column``; the other columns come through."""
     own = [f"c{i}" for i in range(len(df.columns))]
     where = df.columns.index(column)
-    spec = ", ".join([f"{c} {f.dataType.simpleString()}" for c, f in zip(own, df.schema, strict=True)] + [f"added {sql_kind}"])
+    spec = ", ".join([f"{c} {f.dataType.simpleString()}" for c, f in zip(own, df.schema, strict=True)] + ["added binary"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        step = change()
         for batch in batches:
-            first, held, size = 0, [], 0
-            for i, value in enumerate(batch.column(where)):
-                held.append(step(value.as_py()))
-                size += len(held[-1])
-                if size >= ROOM or i == batch.num_rows - 1:
-                    part = batch.slice(first, i + 1 - first)
-                    yield pa.RecordBatch.from_arrays([*part.columns, pa.array(held, kind)], names=[*own, "added"])
-                    first, held, size = i + 1, [], 0
+            for a, b, data, bounds in pieces(batch.column(where)):
+                value, edges = change(data, bounds)
+                buffers = [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(value))]
+                added = pa.Array.from_buffers(pa.large_binary(), b - a, buffers).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), added], names=[*own, "added"])
 
     return df.toDF(*own).mapInArrow(run, spec).toDF(*df.columns, name)
 
 
-def encode(df: DataFrame, file: _File, text: str = "text", name: str = "ids") -> DataFrame:
+def encode(df: DataFrame, file: VocabularyFile, text: str = "text", name: str = "ids") -> DataFrame:
     """Add the ids of each text, as bytes of little-endian unsigned 32-bit numbers."""
 
-    def change():
-        vocabulary = file.vocabulary()
-        return lambda value: vocabulary.encode(value) if value else b""
+    def change(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ids, edges = file.vocabulary().encode(data, bounds)
+        return ids, edges * 4
 
-    return _map(df, text, pa.binary(), "binary", name, change)
+    return _map(df, text, name, change)
 
 
-def decode(df: DataFrame, file: _File, ids: str = "ids", name: str = "decoded") -> DataFrame:
+def decode(df: DataFrame, file: VocabularyFile, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """Add the bytes that ids stand for."""
-
-    def change():
-        vocabulary = file.vocabulary()
-        return lambda value: vocabulary.decode(value) if value else b""
-
-    return _map(df, ids, pa.binary(), "binary", name, change)
+    return _map(df, ids, name, lambda data, bounds: file.vocabulary().decode(np.frombuffer(data.tobytes(), "<u4"), bounds // 4))
 
 
-def digest_documents(docs: DataFrame, file: _File) -> DataFrame:
+def digest_documents(docs: DataFrame, file: VocabularyFile) -> DataFrame:
     """Number of tokens of every document, and digests of its ids and of what they decode to."""
     coded = decode(encode(docs.select("doc_id", "text"), file).drop("text"), file)
     count = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
     return coded.select("doc_id", count, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def tokenize(docs: DataFrame, file: VocabularyFile) -> DataFrame:
+    """Ids of every document and whether they decode to its text."""
+    coded = decode(encode(docs.select("doc_id", "lang", "source", "text"), file), file)
+    exact = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    return coded.select("doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", exact.alias("exact"))
