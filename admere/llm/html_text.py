@@ -151,7 +151,8 @@ class _Reader:
         """End the nearest open element of that name, unless one of ``bounds`` stands before it."""
         for i in range(len(self.stack) - 1, -1, -1):
             if self.stack[i].tag == tag:
-                self.flush()
+                if any(e.tag in _BLOCK for e in self.stack[i:]):
+                    self.flush()
                 del self.stack[i:]
                 return
             if self.stack[i].tag in bounds:
