@@ -34,6 +34,8 @@ PLACES = 1024
 #: Texts with a cosine below this are like no language learnt.
 FLOOR = 0.05
 UNKNOWN = "und"
+#: Bytes of text whose grams are counted together.
+PIECE = 2 << 20
 #: Prototypes are summed as whole numbers of this part, so that the order of addition does not matter.
 _UNIT = float(2**20)
 #: Code points above this are no letters.
@@ -65,10 +67,10 @@ def _letters(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarr
     sizes = np.diff(begins[bounds])
     folded = _folding()[np.minimum(codes, _LETTERS)]
     texts = np.repeat(np.arange(len(sizes)), sizes)
-    # one edge before each text and one after, then runs of edges are cut to one
+    # one edge after each text and one before the next, then runs of edges are cut to one
     at = np.cumsum(sizes) - sizes
-    letters = np.insert(folded, np.concatenate([at, at + sizes]), 0)
-    owner = np.insert(texts, np.concatenate([at, at + sizes]), np.concatenate([np.arange(len(sizes))] * 2))
+    letters = np.insert(folded, np.concatenate([at + sizes, at]), 0)
+    owner = np.insert(texts, np.concatenate([at + sizes, at]), np.concatenate([np.arange(len(sizes))] * 2))
     keep = np.ones(len(letters), bool)
     keep[1:] = (letters[1:] != 0) | (letters[:-1] != 0) | (owner[1:] != owner[:-1])
     return letters[keep], owner[keep]
@@ -120,7 +122,7 @@ def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[str, np.ndarray] = {}
     for batch in batches:
         names = np.array(batch.column(1).to_pylist(), object)
-        for first, end, data, bounds in pieces(batch.column(0)):
+        for first, end, data, bounds in pieces(batch.column(0), PIECE):
             whole = np.rint(_unit(bundles(data, bounds)) * _UNIT).astype(np.int64)
             for name in set(names[first:end]):
                 total[name] = total.get(name, 0) + whole[names[first:end] == name].sum(axis=0)
@@ -150,7 +152,7 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], text: str = "te
         for batch in batches:
             best = np.full(batch.num_rows, -1)
             score = np.zeros(batch.num_rows)
-            for first, end, data, bounds in pieces(batch.column(where)):
+            for first, end, data, bounds in pieces(batch.column(where), PIECE):
                 rows = _unit(bundles(data, bounds))
                 if langs:
                     cosine = rows @ profile.T
