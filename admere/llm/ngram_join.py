@@ -53,7 +53,7 @@ def plan(threshold: float = THRESHOLD, recall: float = RECALL, minima: int = MIN
     """Bands and rows: the most selective bands whose recall at the threshold is high enough."""
     for rows in range(16, 0, -1):
         match = threshold**rows
-        bands = 1 if match >= 1 else math.ceil(math.log(1 - recall) / math.log(1 - match))
+        bands = 1 if match >= 1 else math.ceil(math.log(1 - recall) / math.log1p(-match))
         if bands * rows <= minima:
             return bands, rows
     raise ValueError("no bands of so few minima have that recall")
@@ -255,9 +255,10 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int =
     texts = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
     signed = stable(texts.mapInArrow(lambda b: _sign(b, size, bands, rows), f"id {kind}, key binary, bands array<bigint>"))
     heads = stable(
-        signed.filter(F.col("key").isNotNull() & F.col("id").isNotNull())
+        signed.filter(F.col("key").isNotNull())
         .groupBy("key")
         .agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
+        .filter(F.col("id").isNotNull())
     )
     keyed = heads.select("key", F.posexplode("bands").alias("band", "value"))
     bucket = F.xxhash64("band", "value").alias("bucket")
