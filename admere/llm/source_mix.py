@@ -119,10 +119,10 @@ def draw(docs: DataFrame) -> DataFrame:
 
     Rows equal in id, text and source are taken alike.
     """
-    mark = F.xxhash64("text")
+    mark = F.xxhash64(docs["text"])
     rows = docs.select("doc_id", "source", mark.alias("mark"), word_count().alias("size"))
     units = stable(rows.groupBy("doc_id", "source", "mark").agg((F.max("size") * F.count(F.lit(1))).alias("size")))
-    chosen = mix(units).filter("copies > 0").select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("mark").alias("__mark"), "copies")
+    chosen = mix(units).filter("copies > 0").select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("mark").alias("__mark"), F.col("copies").alias("__copies"))
     same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")) & (mark == F.col("__mark"))
-    joined = docs.join(chosen, same).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy"))
+    joined = docs.join(chosen, same).select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy"))
     return joined.drop("__copy")
