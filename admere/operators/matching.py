@@ -1,9 +1,10 @@
-"""Joins with an interval or an OR in their condition, written as linear work.
+"""Joins with an interval or an OR in their condition, without listing pairs.
 
-Nothing here lists the pairs of a group. An order with its nearest session is
-found by two running values over (person, hour) cells; the number of sessions in
-an interval is the difference of two running counts. One person with a third of
-all rows therefore spreads over as many tasks as there are active hours.
+An order with its nearest session is found by two running values over range
+partitions of (person, time); the number of sessions in an interval is the
+difference of two running counts. Every running value looks back only, so a
+partition costs one sorted pass, and one person with a third of all rows, or one
+very busy hour, spreads over as many partitions as its rows fill.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOUR = 3_600_000_000
+from admere.session import stable
 
 
 def running_values(events: DataFrame, points: DataFrame, person: str, at: str, payload: Sequence[str] = ()) -> DataFrame:
@@ -34,37 +35,42 @@ def running_values(events: DataFrame, points: DataFrame, person: str, at: str, p
     asks = points.select(
         F.col(person).alias("who"), "id", "kind", F.col(at).alias("when"), F.lit(None).cast(marks.schema["event"].dataType).alias("event")
     )
-    both = marks.unionByName(asks).withColumn("cell", F.floor(F.col("when") / F.lit(HOUR)).cast("bigint"))
     event = F.col("event")
-    is_event = event.isNotNull()
     # Events of one instant sort before the points there; the greatest payload is last.
-    here = Window.partitionBy("who", "cell").orderBy(F.col("when"), event.asc_nulls_last())
-    until, onward = (Window.unboundedPreceding, Window.currentRow), (Window.currentRow, Window.unboundedFollowing)
-    order = F.when(is_event, F.struct("when", "event"))
-    cells = both.groupBy("who", "cell").agg(
-        F.count_if(is_event).alias("cell_n"), F.max_by(event, order).alias("cell_last"), F.min_by(event, order).alias("cell_first")
+    order = [F.col("who"), F.col("when"), event.asc_nulls_last()]
+    partitions = int(events.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Written out, since a second sampling could cut the ranges elsewhere.
+    both = stable(
+        marks.unionByName(asks).repartitionByRange(partitions, *order).sortWithinPartitions(*order).withColumn("place", F.monotonically_increasing_id())
+    ).withColumn("part", F.shiftrightunsigned("place", 33))
+    is_event = event.isNotNull()
+    here = Window.partitionBy("who", "part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    forth, back = here.orderBy("place"), here.orderBy(F.col("place").desc())
+    ends = both.groupBy("who", "part").agg(
+        F.count_if(is_event).alias("part_n"),
+        F.max_by(event, F.when(is_event, F.col("place"))).alias("part_last"),
+        F.min_by(event, F.when(is_event, F.col("place"))).alias("part_first"),
     )
-    # One row per person and active hour, bounded by the calendar.
-    hours = Window.partitionBy("who").orderBy("cell")
-    earlier, later = hours.rowsBetween(Window.unboundedPreceding, -1), hours.rowsBetween(1, Window.unboundedFollowing)
-    carried = cells.select(
+    # One row per person and range partition.
+    others = Window.partitionBy("who").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(
         F.col("who").alias("carry_who"),
-        F.col("cell").alias("carry_cell"),
-        F.coalesce(F.sum("cell_n").over(earlier), F.lit(0)).alias("carry_n"),
-        F.last("cell_last", ignorenulls=True).over(earlier).alias("carry_last"),
-        F.first("cell_first", ignorenulls=True).over(later).alias("carry_next"),
+        F.col("part").alias("carry_part"),
+        F.coalesce(F.sum("part_n").over(others.orderBy("part")), F.lit(0)).alias("carry_n"),
+        F.last("part_last", ignorenulls=True).over(others.orderBy("part")).alias("carry_last"),
+        F.last("part_first", ignorenulls=True).over(others.orderBy(F.col("part").desc())).alias("carry_next"),
     )
     local = both.select(
         "who",
-        "cell",
+        "part",
         "id",
         "kind",
         is_event.alias("is_event"),
-        F.count_if(is_event).over(here.rowsBetween(*until)).alias("here_n"),
-        F.last(event, ignorenulls=True).over(here.rowsBetween(*until)).alias("here_last"),
-        F.first(event, ignorenulls=True).over(here.rowsBetween(*onward)).alias("here_next"),
+        F.count_if(is_event).over(forth).alias("here_n"),
+        F.last(event, ignorenulls=True).over(forth).alias("here_last"),
+        F.last(event, ignorenulls=True).over(back).alias("here_next"),
     ).filter(~F.col("is_event"))
-    found = local.join(carried, (F.col("who") == F.col("carry_who")) & (F.col("cell") == F.col("carry_cell")), "left")
+    found = local.join(carried, (F.col("who") == F.col("carry_who")) & (F.col("part") == F.col("carry_part")), "left")
     return found.select(
         "id",
         "kind",

@@ -1,5 +1,7 @@
 """One key owns a third of all rows: its work must spread over several tasks."""
 
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,3 +87,34 @@ def test_nearest_session_of_a_hot_person(no_broadcast, spark):
     assert len(rows) == 2_000 and all(r.sid == r.oid for r in rows)
     middle = next(r for r in rows if r.oid == 10_000)
     assert middle.n_matches == 1_440 + 1 + 60
+
+
+def _busy_hour(spark, n):
+    """``n`` sessions of one person in one hour, and orders among them."""
+    second = F.timestamp_micros(F.lit(1_700_000_000_000_000) + F.col("id") * (3_600_000_000 // n))
+    sessions = spark.range(n).select(F.col("id").alias("sid"), F.lit("p").alias("who"), second.alias("sat"))
+    orders = spark.range(0, n, n // 50).select(F.col("id").alias("oid"), F.lit("p").alias("who"), (second + F.expr("INTERVAL 10 MICROSECONDS")).alias("oat"))
+    return orders, sessions
+
+
+def test_one_busy_hour_is_linear_and_split(spark, monkeypatch):
+    names = {"order_id": "oid", "order_at": "oat", "session_id": "sid", "session_at": "sat", "person": "who"}
+    written = []
+    monkeypatch.setattr(matching, "stable", lambda df, keep=matching.stable: written.append(keep(df)) or written[-1])
+    took = {}
+    for n in (40_000, 160_000):
+        orders, sessions = _busy_hour(spark, n)
+        start = time.time()
+        rows = matching.interval_matches(orders, sessions, **names, before=60, after=60).collect()
+        took[n] = time.time() - start
+        step = 3_600_000_000 // n
+        for r in rows:
+            # whole seconds decide, then the later start
+            assert r.distance_s == 0 and r.sid == min(n - 1, r.oid + (1_000_000 + 9) // step)
+            low, high = max(0, r.oid - (60_000_000 - 10) // step), min(n - 1, r.oid + (60_000_000 + 10) // step)
+            assert r.n_matches == high - low + 1
+        assert len(rows) == 50
+    parts = written[-1].groupBy(F.shiftrightunsigned("place", 33)).count().collect()
+    assert len(parts) > 2 and max(p["count"] for p in parts) < 100_000
+    # a quadratic window would take sixteen times as long
+    assert took[160_000] < 8 * max(took[40_000], 1.0)
