@@ -13,17 +13,26 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+#: Whole shapes of readable dates and instants. Spark alone would also read a year, a
+#: month, a bare time (as today's) or a date with any text behind it.
+_DATE = r"\s*\d{4}-\d{2}-\d{2}"
+_TIME = r"[ T]\d{2}:\d{2}(:\d{2}(\.\d{1,9})?)?"
+_ZONE = r"\s*(Z|UTC|[+-]\d{1,2}(:?\d{2})?)"
+SHAPES = {"date": rf"^{_DATE}\s*$", "timestamp": rf"^{_DATE}({_TIME}({_ZONE})?)?\s*$"}
+
+
 def safe_cast(c: Column | str, to: str) -> Column:
-    """Cast that turns an unreadable value into NULL.
+    """Cast of a text that turns an unreadable value into NULL.
 
     Booleans accept only ``true`` and ``false``; Spark alone would also read
-    ``yes``, ``t`` and ``1``.
+    ``yes``, ``t`` and ``1``. Dates and timestamps must be whole ones.
     """
     c = col(c)
     if to.lower() in ("boolean", "bool"):
         text = F.lower(c.cast("string"))
         return F.when(text.isin("true", "false"), text == "true")
-    return c.try_cast(to)
+    shape = SHAPES.get(to.lower())
+    return F.when(c.cast("string").rlike(shape), c.try_cast(to)) if shape else c.try_cast(to)
 
 
 def blank_to_null(c: Column | str) -> Column:

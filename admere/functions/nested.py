@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from admere.functions.clean import col, safe_cast
 
@@ -39,8 +38,7 @@ def json_number(payload: Column, path: str, to: str) -> Column:
 
 def action_value(payload: Column, field: str, action_type: str) -> Column:
     """Value of the first ``{action_type, value}`` entry of a kind, 0 when there is none."""
-    schema = T.ArrayType(T.StructType([T.StructField("action_type", T.StringType()), T.StructField("value", T.StringType())]))
-    entries = F.from_json(F.to_json(F.try_variant_get(payload, f"$.{field}", "variant")), schema)
+    entries = F.try_variant_get(payload, f"$.{field}", "array<struct<action_type:string,value:string>>")
     first = F.get(F.filter(entries, lambda e: e["action_type"] == action_type), F.lit(0))
     return F.coalesce(first["value"].try_cast("decimal(18,4)"), F.lit(0).cast("decimal(18,4)"))
 

@@ -18,10 +18,12 @@ def left_lookup(df: DataFrame, dimension: DataFrame, on: dict[str, str] | Sequen
     0 for every row that can match, takes many values on the NULL rows.
     """
     pairs = on if isinstance(on, dict) else {k: k for k in on}
+    # Maps and variants have no hash; the keys always do.
+    hashed = [f.name for f in df.schema if not any(kind in f.dataType.simpleString() for kind in ("map<", "variant"))]
     missing = F.lit(False)
     for left_key in pairs:
         missing = missing | df[left_key].isNull()
-    salted = df.withColumn("__salt", F.when(missing, F.pmod(F.xxhash64(*df.columns), F.lit(1009))).otherwise(F.lit(0).cast("bigint")))
+    salted = df.withColumn("__salt", F.when(missing, F.pmod(F.xxhash64(*hashed), F.lit(1009))).otherwise(F.lit(0).cast("bigint")))
     # pmod(x, 1) is always 0, but not a literal the optimizer could fold away.
     keyed = dimension.select(
         "*", F.pmod(F.xxhash64(*pairs.values()), F.lit(1)).cast("bigint").alias("__dim_salt")

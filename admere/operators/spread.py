@@ -123,6 +123,12 @@ def global_row_number(df: DataFrame, order: Sequence[Column], name: str = "row_n
     )
 
 
+def global_dense_rank(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Dense rank by descending value over all rows, NULL last: the distinct values are numbered and joined back."""
+    numbered = global_row_number(df.select(F.col(column).alias("__value")).distinct(), [F.col("__value").desc_nulls_last()], name)
+    return df.join(numbered, F.col(column).eqNullSafe(F.col("__value"))).select(*df.columns, F.col(name).cast("int").alias(name))
+
+
 def ntile(df: DataFrame, buckets: int, order: Sequence[Column], name: str = "tile") -> DataFrame:
     """``ntile`` over all rows: the first ``n mod k`` buckets get one row more."""
     numbered = global_row_number(df, order, "__row")

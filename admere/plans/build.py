@@ -11,7 +11,7 @@ from admere.functions.values import DEFAULT_ZONE
 from admere.operators.checks import assert_empty, scorecard, snapshot
 from admere.plans import conformed, incremental, marts, monitoring, staging, star, value
 from admere.session import prepare
-from admere.sources.files import city_mapping, internal_domains, read_landing
+from admere.sources.files import city_mapping, internal_domains, land, read_landing
 from admere.sources.tables import append_snapshot, existing, write_full
 
 
@@ -49,6 +49,8 @@ class Build:
         self.write("stg_creatives", staging.creatives(raw["creative_copy_raw"]))
         if full_refresh:
             self.write("stg_meta_ads", staging.meta_ads(raw["meta_ads_insights_raw"], t["stg_fx_rates"]), "insight_date", ("campaign_id", "ad_id"))
+            # Detectors read the landed rows, too.
+            raw["ga4_events"] = land(raw["ga4_events"])
             self.write("stg_ga4_events", staging.ga4_events(raw["ga4_events"], self.zone), "event_date", incremental.EVENT_CLUSTER)
         else:
             incremental.load_meta_ads(raw["meta_ads_insights_raw"], t["stg_fx_rates"], self.path("stg_meta_ads"))

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from admere.functions.values import greatest_or_null, ratio, week_start
-from admere.operators.spread import add_partials, share_of_group, with_scalars
+from admere.operators.spread import add_partials, global_dense_rank, share_of_group, with_scalars
 from admere.operators.versions import latest_by, top_per_key
 from admere.plans.value import LABEL, SESSION_COUNTS
+from admere.session import stable
 from admere.sources.schemas import CITIES
 
 PLATFORMS = ("google", "meta")
@@ -201,13 +202,9 @@ def campaign_story(campaign_value: DataFrame) -> DataFrame:
         .withColumn("actual_roas", ratio("real_revenue_zar", "spend_zar"))
         .withColumn("value_adjusted_roas", F.try_divide(promised, F.col("spend_zar").cast("double")))
     )
-    # Rows here are campaigns, already aggregated, so one ordered window holds them.
-    rank = lambda c: F.dense_rank().over(Window.partitionBy(F.lit(0)).orderBy(F.col(c).desc()))
-    return (
-        rated.withColumn("platform_roas_rank", rank("platform_roas"))
-        .withColumn("value_adjusted_roas_rank", rank("value_adjusted_roas"))
-        .orderBy("value_adjusted_roas_rank", "campaign_name")
-    )
+    rated = stable(rated)
+    ranked = global_dense_rank(global_dense_rank(rated, "platform_roas", "platform_roas_rank"), "value_adjusted_roas", "value_adjusted_roas_rank")
+    return ranked.orderBy("value_adjusted_roas_rank", "campaign_name")
 
 
 def truth_scoreboard(orders: DataFrame, people: DataFrame, spend: DataFrame, claims: DataFrame, ads: DataFrame) -> DataFrame:

@@ -26,6 +26,7 @@ from admere.operators.lookup import left_lookup
 from admere.operators.sessions import CARRIED, carry_session_values
 from admere.operators.spread import date_spine, forward_fill, with_scalars
 from admere.operators.versions import drop_exact_copies, latest_version, two_stage_dedupe
+from admere.session import stable
 from admere.sources.schemas import WEATHER_FILE_CITIES
 
 LINEAGE = ("dt", "source_file_name")
@@ -134,7 +135,8 @@ def by_header(raw: DataFrame, first_column: str, columns: list[str], line: str =
     is_header = F.col(line).startswith(f"{first_column},")
     headers = raw.filter(is_header).select(*LINEAGE, F.split(line, ",").alias("__header"))
     # A header repeated inside its file gives the same positions.
-    headers = headers.groupBy(*LINEAGE).agg(F.max("__header").alias("__header"))
+    # Written first, so that Spark joins a table of known, small size and leaves the lines where they are.
+    headers = stable(headers.groupBy(*LINEAGE).agg(F.max("__header").alias("__header")))
     data = raw.filter(~is_header & (F.trim(line) != "")).select(*LINEAGE, F.split(line, ",").alias("__fields"))
     joined = data.join(headers, list(LINEAGE))
     position = lambda c: F.nullif(F.array_position("__header", c), F.lit(0)).cast("int") - 1

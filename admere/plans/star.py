@@ -26,8 +26,6 @@ def dim_customer(identity: DataFrame, orders: DataFrame, zone: str = DEFAULT_ZON
         F.count(F.lit(1)).alias("lifetime_order_count"),
     )
     person = identity.groupBy("customer_key").agg(
-        F.sort_array(F.collect_set("customer_id")).alias("customer_ids"),
-        F.count_distinct("customer_id").alias("identity_count"),
         latest_by("city_standard", "created_at_utc", "customer_id", ignore_nulls=True).alias("city_standard"),
         F.min("created_at_utc").alias("first_created_at_utc"),
         F.min("created_date").alias("first_created_date"),
@@ -38,12 +36,18 @@ def dim_customer(identity: DataFrame, orders: DataFrame, zone: str = DEFAULT_ZON
         F.max("dt").alias("dt"),
         latest_by("source_file_name", "dt", "source_file_name").alias("source_file_name"),
     )
+    # Distinct pairs come first, so copies of a customer never meet in one task.
+    ids = distinct_history(identity, ["customer_key"], "customer_id", "customer_ids").withColumnRenamed("customer_key", "__key")
     first = "first_order_timestamp_utc"
     return (
         person.filter(~F.col("is_internal_customer"))
+        .join(ids, F.col("customer_key").eqNullSafe(F.col("__key")), "left")
         .join(ordered, "customer_key", "left")
         .select(
-            *person.columns,
+            "customer_key",
+            F.coalesce("customer_ids", F.array().cast("array<string>")).alias("customer_ids"),
+            F.coalesce(F.size("customer_ids"), F.lit(0)).cast("bigint").alias("identity_count"),
+            *person.columns[1:],
             first,
             local_date(first, zone).alias("first_order_date"),
             "latest_order_timestamp_utc",

@@ -12,9 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from admere.functions.values import greatest_or_null, when_amount, within
-from admere.operators.spread import ntile, with_scalars
+from admere.operators.spread import global_row_number, ntile, with_scalars
 from admere.operators.versions import earliest_by, latest_by
-from admere.session import use_checkpoints
+from admere.session import stable, use_checkpoints
 
 FEATURE_DAYS = 7
 LABEL_DAYS = 90
@@ -135,22 +135,34 @@ MISSING_NUMBER = {"days_from_signup_to_first_order": -1.0}
 MODEL_INPUTS = (*NUMERIC_INPUTS, *FLAG_INPUTS, *TEXT_INPUTS)
 
 
-def category_code(c: Column, buckets: int = 65_536) -> Column:
-    """A fixed number per text.
+def label_codes(features: DataFrame) -> DataFrame:
+    """Number of every label of the text inputs, from 1 in alphabetical order: ``input, label, code``.
 
-    No list of labels is learnt, so a junk tag with millions of values costs
-    nothing and a new one needs no special case. Trees split the codes by range.
+    No two labels share a number, however many there are; the table is as long as
+    the list of labels and is joined, never held by the driver.
     """
-    return F.pmod(F.xxhash64(c), F.lit(buckets)).cast("double")
+    each = F.array(*[F.struct(F.lit(c).alias("input"), F.coalesce(F.col(c), F.lit(default)).alias("label")) for c, default in TEXT_INPUTS.items()])
+    pairs = features.select(F.inline(each)).distinct()
+    numbered = global_row_number(pairs, [F.col("input"), F.col("label")], "__row")
+    first = numbered.groupBy(F.col("input").alias("__input")).agg(F.min("__row").alias("__first"))
+    return numbered.join(first, F.col("input") == F.col("__input")).select("input", "label", (F.col("__row") - F.col("__first") + 1).cast("double").alias("code"))
 
 
-def model_inputs(features: DataFrame) -> DataFrame:
+def with_codes(features: DataFrame, codes: DataFrame) -> DataFrame:
+    """Add ``code_<input>`` for every text input; a label not learnt is 0."""
+    for c, default in TEXT_INPUTS.items():
+        known = codes.filter(F.col("input") == c).select(F.col("label").alias("__label"), F.col("code").alias(f"code_{c}"))
+        features = features.join(known, F.coalesce(F.col(c), F.lit(default)) == F.col("__label"), "left").drop("__label")
+    return features.fillna(0.0, [f"code_{c}" for c in TEXT_INPUTS])
+
+
+def model_inputs(features: DataFrame, codes: DataFrame) -> DataFrame:
     """Model columns with the constants that stand for a missing value; keys stay beside them."""
-    return features.select(
+    return with_codes(features, codes).select(
         *features.columns,
         *[F.coalesce(F.col(c).cast("double"), F.lit(MISSING_NUMBER.get(c, 0.0))).alias(f"in_{c}") for c in NUMERIC_INPUTS],
         *[F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(f"in_{c}") for c in FLAG_INPUTS],
-        *[category_code(F.coalesce(F.col(c), F.lit(default))).alias(f"in_{c}") for c, default in TEXT_INPUTS.items()],
+        *[F.col(f"code_{c}").alias(f"in_{c}") for c in TEXT_INPUTS],
     )
 
 
@@ -166,10 +178,11 @@ class ValueModel:
     fitted: PipelineModel
     inputs: list[str]
     losses: list[float]
+    codes: DataFrame
 
     def score(self, features: DataFrame) -> DataFrame:
         """Features with ``prediction``."""
-        scored = self.fitted.transform(model_inputs(features))
+        scored = self.fitted.transform(model_inputs(features, self.codes))
         return scored.select(*features.columns, F.col("prediction").alias("prediction"))
 
     def training_info(self, spark) -> DataFrame:
@@ -185,7 +198,10 @@ class ValueModel:
 
 def train(features: DataFrame, key: str = "customer_key", iterations: int = 50, seed: int = 7) -> ValueModel:
     """Boosted trees on the mature cohort, stopped early on the holdout."""
-    frame = model_inputs(features.filter(F.col("is_training_eligible")))
+    learnt = features.filter(F.col("is_training_eligible"))
+    # Scores are asked for after training, so the codes are written out.
+    codes = stable(label_codes(learnt))
+    frame = model_inputs(learnt, codes)
     frame = frame.withColumn("label", F.col(LABEL).cast("double")).withColumn("is_holdout", holdout(key))
     assembler = VectorAssembler(inputCols=[f"in_{c}" for c in MODEL_INPUTS], outputCol="features")
     trees = GBTRegressor(
@@ -203,27 +219,29 @@ def train(features: DataFrame, key: str = "customer_key", iterations: int = 50,
         losses = fitted.evaluateEachIteration(assembled.filter("is_holdout") if split else assembled, "squared")
     finally:
         assembled.unpersist()
-    return ValueModel(PipelineModel([assembler, fitted]), list(MODEL_INPUTS), list(losses))
+    return ValueModel(PipelineModel([assembler, fitted]), list(MODEL_INPUTS), list(losses), codes)
 
 
 def regression_metrics(scored: DataFrame, label: str, prediction: str) -> DataFrame:
-    """Error measures of a regression as one row, from one aggregate.
+    """Error measures of a regression as one row.
 
-    The median is exact up to one part in 100,000 of the ranks and keeps a bounded
-    sketch per task instead of every value.
+    The median is the middle error, the lower one of two: its rank is found in a
+    sort over range partitions, so it is exact however many rows there are.
     """
     y, p = F.col(label).cast("double"), F.col(prediction).cast("double")
     error = y - p
     log_gap = F.log1p(F.greatest(y, F.lit(0.0))) - F.log1p(F.greatest(p, F.lit(0.0)))
-    row = scored.filter(y.isNotNull() & p.isNotNull()).agg(
+    both = scored.filter(y.isNotNull() & p.isNotNull())
+    ranked = global_row_number(both.select(F.abs(error).alias("__gap")), [F.col("__gap")], "__rank")
+    middle = with_scalars(ranked, ranked.agg(F.max("__rank").alias("__n"))).filter(F.col("__rank") == F.ceil(F.col("__n") / 2))
+    row = both.agg(
         F.avg(F.abs(error)).alias("mean_absolute_error"),
         F.avg(error * error).alias("mean_squared_error"),
         F.avg(log_gap * log_gap).alias("mean_squared_log_error"),
-        F.percentile_approx(F.abs(error), 0.5, 100_000).alias("median_absolute_error"),
         F.var_pop(y).alias("__spread"),
         F.var_pop(error).alias("__left"),
     )
-    return row.select(
+    return with_scalars(row, middle.agg(F.max("__gap").alias("median_absolute_error"))).select(
         "mean_absolute_error", "mean_squared_error", "mean_squared_log_error", "median_absolute_error",
         (1 - F.try_divide(F.col("mean_squared_error"), F.col("__spread"))).alias("r2_score"),
         (1 - F.try_divide(F.col("__left"), F.col("__spread"))).alias("explained_variance"),

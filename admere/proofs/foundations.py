@@ -18,14 +18,21 @@ from admere.sources.tables import write_full
 @proof(
     "customer_id phone:i is_guest:b created_at:t city:d first_name:i",
     """SELECT customer_id, try_cast(phone AS BIGINT) AS phone, CASE lower(is_guest) WHEN 'true' THEN true WHEN 'false' THEN false END AS is_guest,
-       try_cast(created_at AS TIMESTAMP) AS created_at, try_cast(city AS DATE) AS city, try_cast(substr(first_name, 10) AS BIGINT) AS first_name FROM raw_customers""",
+       try_cast(created_at AS TIMESTAMP) AS created_at, try_cast(city AS DATE) AS city, try_cast(substr(first_name, 10) AS BIGINT) AS first_name,
+       CASE k WHEN 0 THEN DATE '2024-01-05' WHEN 1 THEN DATE '2024-02-29' END AS day,
+       CASE k WHEN 0 THEN TIMESTAMP '2024-01-05 00:00:00' WHEN 1 THEN TIMESTAMP '2024-02-29 00:00:00' WHEN 2 THEN TIMESTAMP '2024-01-05 10:00:00' WHEN 3 THEN TIMESTAMP '2024-01-05 08:00:00' END AS at
+       FROM (SELECT *, CAST(substr(first_name, 10) AS BIGINT) % 10 AS k FROM raw_customers)""",
 )
 def safe_cast(t: Tables) -> DataFrame:
     c = flat(t, "raw_customers")
+    # Two whole dates, two whole instants, and what must not be read as either.
+    shapes = ["2024-01-05", " 2024-02-29 ", "2024-01-05 10:00:00", "2024-01-05T10:00:00+02:00", "10:00", "2024", "2024-01", "2024-01-05 junk", "2024-02-30", "05.01.2024"]
+    written = F.get(F.array(*map(F.lit, shapes)), (F.col("first_name").substr(10, 20).cast("bigint") % 10).cast("int"))
     return c.select(
         "customer_id", clean.safe_cast("phone", "bigint").alias("phone"), clean.safe_cast("is_guest", "boolean").alias("is_guest"),
         clean.safe_cast("created_at", "timestamp").alias("created_at"), clean.safe_cast("city", "date").alias("city"),
         clean.safe_cast(F.col("first_name").substr(10, 20), "bigint").alias("first_name"),
+        clean.safe_cast(written, "date").alias("day"), clean.safe_cast(written, "timestamp").alias("at"),
     )
 
 
@@ -112,8 +119,7 @@ def json_typed(t: Tables) -> DataFrame:
     return good.select(
         "event_id", F.nullif(nested.json_text(p, "$.ad_id"), F.lit("")).alias("ad_id"), nested.json_number(p, "$.impressions", "bigint").alias("impressions"),
         nested.json_number(p, "$.spend", clean.MONEY).alias("spend"), F.nullif(nested.json_text(p, "$.name"), F.lit("")).alias("name"),
-        # One-digit days are no dates here: '2024-01-7' must not pass as one.
-        F.when(F.length(nested.json_text(p, "$.date_start")) == 10, nested.json_number(p, "$.date_start", "date")).alias("day"),
+        nested.json_number(p, "$.date_start", "date").alias("day"),
     )
 
 

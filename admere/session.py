@@ -30,9 +30,15 @@ CLUSTER_SETTINGS = {
 }
 
 
+def one_machine(spark: SparkSession) -> bool:
+    """Whether driver and executors are one process; ``local-cluster`` is not."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the settings results depend on to a session made elsewhere."""
-    local = spark.sparkContext.master.startswith("local")
+    local = one_machine(spark)
     for key, value in {**RESULT_SETTINGS, **SPEED_SETTINGS, **({} if local else CLUSTER_SETTINGS)}.items():
         spark.conf.set(key, value)
     return spark
@@ -67,7 +73,7 @@ def shared_folder(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current.rstrip("/")
-    if not context.master.startswith("local"):
+    if not one_machine(spark):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="admere-")
     spark.conf.set("spark.checkpoint.dir", folder)

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
+from admere.session import stable
 from admere.sources import schemas
 
 
@@ -55,6 +56,15 @@ def read_nested_json(spark: SparkSession, root: str, pattern: str, schema: str,
     return found.repartition(partitions) if partitions else found
 
 
+def land(raw: DataFrame, day: str = "dt") -> DataFrame:
+    """Parse once: the rows as Parquet in evenly filled files, for everything that reads them after.
+
+    Compressed JSON can be neither split nor read by column, so each further reader
+    would decompress and parse all of it.
+    """
+    return stable(raw.hint("rebalance", day))
+
+
 def read_json_documents(spark: SparkSession, root: str, pattern: str, schema: str) -> DataFrame:
     """One JSON document per file, on one line or several."""
     reader = _under(spark.read.schema(schema + ", dt DATE"), root, pattern).option("multiLine", True)

@@ -13,6 +13,10 @@ from admere.operators.versions import latest_version
 from admere.session import release, remove_folder, stable
 
 
+#: Fixed value: the folder name of a partition without a value.
+_NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
@@ -57,14 +61,19 @@ def upsert(
 
     Whole partitions are rebuilt from target and batch: those the batch falls in
     and those that hold a row with a key of the batch, since a new version may sit
-    in another partition than the old one. ``links`` lists further ways in which a
+    in another partition than the old one. If the partition is part of the key, the
+    batch's own partitions are all of them and the target is not searched; else
+    only its key columns are read. Rows whose partition value is NULL make up a
+    partition like any other. ``links`` lists further ways in which a
     target row depends on the batch: equal key columns, looked for among the target
     rows that meet a condition (so row groups can be skipped). ``rebuild`` turns the
     union into the final rows (default: latest version of ``keys`` by ``newest``).
 
-    Spark stages the new files and swaps whole partition folders when the job
-    commits; a failed job leaves the table as it was. Running the same batch again
-    changes nothing.
+    Spark stages the new files and swaps partition folders when the job commits; a
+    job that fails before leaves the table as it was. Partitions that lost their
+    last row are removed after the commit. A driver lost in between leaves moved
+    rows in both places; running the same batch again finds both and repairs it.
+    Running a finished batch again changes nothing.
     """
     spark = batch.sparkSession
     links = [(keys, None)] if links is None else links
@@ -78,13 +87,15 @@ def upsert(
     # ``rebalance`` keeps one partition's rows together but splits a very large one.
     touched = batch.select(partition)
     for key, condition in links:
+        if partition in key:
+            continue
         among = target if condition is None else target.filter(condition)
         columns = [partition, *[k for k in key if k != partition]]
         hit = among.select(*columns).join(batch.select(*key).distinct(), list(key), "left_semi")
         touched = touched.union(hit.select(partition))
     # The driver holds one date per touched partition, so folders are pruned by value.
-    days = [row[0] for row in touched.distinct().collect()]
-    before = target.filter(F.col(partition).isin(days))
+    days = {row[0] for row in touched.distinct().collect()}
+    before = target.filter(_among(F.col(partition), days))
     after = stable(rebuild(before.select(*batch.columns).unionByName(batch)))
     shaped = after.hint("rebalance", partition)
     if cluster:
@@ -92,12 +103,19 @@ def upsert(
     shaped.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
     # Overwriting never removes a partition that lost its last row.
     left = {row[0] for row in after.select(partition).distinct().collect()}
-    for day in set(days) - left:
-        remove_folder(spark, f"{path.rstrip('/')}/{partition}={day}")
+    for day in days - left:
+        remove_folder(spark, f"{path.rstrip('/')}/{partition}={_NO_VALUE if day is None else day}")
     release(after)
     release(batch)
 
 
+def _among(column: Column, values: set) -> Column:
+    """Whether a column holds one of the values; NULL is a value here."""
+    known = [v for v in values if v is not None]
+    found = column.isin(known) if known else F.lit(False)
+    return found | column.isNull() if None in values else found
+
+
 def high_water_mark(target: DataFrame | None, column: str = "dt"):
     """Greatest delivery day already loaded; 1900-01-01 for an empty or missing target."""
     start = datetime.date(1900, 1, 1)

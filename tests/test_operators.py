@@ -156,3 +156,80 @@ def test_upsert_moves_a_row_and_drops_the_empty_partition(spark, tmp_path):
         got = sorted((r.k, r.v, str(r.day)) for r in spark.read.parquet(path).collect())
         assert got == [(1, 11, "2024-01-02"), (2, 20, "2024-01-02"), (3, 30, "2024-01-03"), (4, 40, "2024-01-04")]
     assert not tables.table_exists(spark, f"{path}/day=2024-01-01")
+
+
+def _days(spark, rows):
+    return spark.createDataFrame(rows, "k int, v int, n int, day string").withColumn("day", F.to_date("day"))
+
+
+def _stored(spark, path):
+    return sorted((r.k, r.v, str(r.day)) for r in spark.read.parquet(path).collect())
+
+
+def test_upsert_keeps_rows_without_a_partition_value(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.upsert(_days(spark, [(1, 10, 1, None), (2, 20, 1, "2024-01-01")]), path, ["k"], "day", ["n"])
+    tables.upsert(_days(spark, [(3, 30, 1, None)]), path, ["k"], "day", ["n"])
+    assert _stored(spark, path) == [(1, 10, "None"), (2, 20, "2024-01-01"), (3, 30, "None")]
+    # both rows without a value move away, and their folder goes
+    tables.upsert(_days(spark, [(1, 11, 2, "2024-01-01"), (3, 31, 2, "2024-01-02")]), path, ["k"], "day", ["n"])
+    assert _stored(spark, path) == [(1, 11, "2024-01-01"), (2, 20, "2024-01-01"), (3, 31, "2024-01-02")]
+
+
+def test_an_upsert_stopped_before_its_removals_is_repaired_by_a_rerun(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.upsert(_days(spark, [(1, 10, 1, "2024-01-01"), (2, 20, 1, "2024-01-02")]), path, ["k"], "day", ["n"])
+    batch = _days(spark, [(1, 11, 2, "2024-01-02")])
+
+    def stop(*_):
+        raise KeyboardInterrupt
+
+    monkeypatch.setattr(tables, "remove_folder", stop)
+    with pytest.raises(KeyboardInterrupt):
+        tables.upsert(batch, path, ["k"], "day", ["n"])
+    monkeypatch.undo()
+    assert len(_stored(spark, path)) == 3
+    tables.upsert(batch, path, ["k"], "day", ["n"])
+    assert _stored(spark, path) == [(1, 11, "2024-01-02"), (2, 20, "2024-01-02")]
+
+
+def test_upsert_by_partition_does_not_search_the_target(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    tables.upsert(_days(spark, [(1, 10, 1, "2024-01-01"), (2, 20, 1, "2024-01-02")]), path, ["k", "day"], "day", ["n"])
+    seen = []
+    monkeypatch.setattr(tables, "stable", lambda df, keep=tables.stable: seen.append(df) or keep(df))
+    tables.upsert(_days(spark, [(1, 11, 2, "2024-01-02")]), path, ["k", "day"], "day", ["n"])
+    assert _stored(spark, path) == [(1, 10, "2024-01-01"), (1, 11, "2024-01-02"), (2, 20, "2024-01-02")]
+    text = seen[-1]._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [day#" in text or "PartitionFilters: [isnotnull(day#" in text
+
+
+def test_labels_have_numbers_of_their_own(spark):
+    from admere.plans import value
+
+    names = list(value.TEXT_INPUTS)
+    rows = [[f"l{i}" if c == names[0] else None for c in names] for i in range(3000)]
+    features = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in names))
+    codes = value.label_codes(features)
+    assert sorted(r.code for r in codes.filter(F.col("input") == names[0]).collect()) == [float(i + 1) for i in range(3000)]
+    other = spark.createDataFrame([["l7", *[None] * (len(names) - 1)], ["new", *[None] * (len(names) - 1)]], features.schema)
+    found = {r[names[0]]: r[f"code_{names[0]}"] for r in value.with_codes(other, codes).collect()}
+    assert found["new"] == 0 and found["l7"] > 0 and value.with_codes(other, codes).filter(F.col(f"code_{names[1]}") == 1).count() == 2
+
+
+def test_the_median_error_is_that_of_all_rows(spark):
+    from admere.plans import value
+
+    df = spark.range(250_001).select((F.col("id") * 48_271 % 250_001).cast("double").alias("y"), F.lit(0.0).alias("p"))
+    assert value.regression_metrics(df, "y", "p").first().median_absolute_error == 125_000.0
+
+
+def test_global_dense_rank(spark):
+    df = spark.createDataFrame([(1, 5.0), (2, 7.0), (3, 5.0), (4, None), (5, None)], "k int, v double")
+    assert {r.k: r.r for r in spread.global_dense_rank(df, "v", "r").collect()} == {2: 1, 1: 2, 3: 2, 4: 3, 5: 3}
+
+
+def test_null_keys_of_rows_with_maps(spark):
+    df = spark.createDataFrame([(None, {"a": 1}), (1, {"b": 2})], "k int, m map<string,int>")
+    dim = spark.createDataFrame([(1, "x")], "k int, name string")
+    assert sorted((r.k, r.name) for r in lookup.left_lookup(df, dim, ["k"]).collect() if r.k) == [(1, "x")]

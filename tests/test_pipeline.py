@@ -167,6 +167,19 @@ def test_daily_loads_equal_full_refresh(spark, build, tmp_path):
     assert pick(spark.read.parquet(ads)) == pick(build.tables["stg_meta_ads"])
 
 
+def test_late_files_and_late_rates_reach_the_ad_table(spark, build, tmp_path):
+    raw, rates, ads = build.raw["meta_ads_insights_raw"], build.tables["stg_fx_rates"], str(tmp_path / "ads")
+    days = sorted(r.dt for r in raw.select("dt").distinct().collect())
+    early = F.col("dt") == F.lit(days[0])
+    load_meta_ads(raw.filter(~early), rates.limit(0), ads)
+    assert spark.read.parquet(ads).filter("spend_zar IS NOT NULL").count() == 0
+    # the oldest files come last, and the rates with them
+    load_meta_ads(raw, rates, ads)
+    money = ["ad_id", "insight_date", "purchases", "spend_zar", "dt"]
+    pick = lambda df: sorted(map(repr, df.select(*money).collect()))
+    assert pick(spark.read.parquet(ads)) == pick(build.tables["stg_meta_ads"])
+
+
 def test_an_incremental_build_from_nothing(spark, build, landing, tmp_path):
     other = Build(spark, str(landing), str(tmp_path / "tables"), ["staff.example"])
     other.silver(full_refresh=False, last_day="2026-03-12")

@@ -63,6 +63,29 @@ def test_nested_reads_only_the_fields_used(spark, tmp_path):
     assert "ReadSchema: struct<device:struct<category:string>>" in text
 
 
+def test_raw_events_are_parsed_once(spark, tmp_path):
+    import gzip
+
+    folder = tmp_path / "events" / "dt=2024-01-01"
+    folder.mkdir(parents=True)
+    with gzip.open(folder / "events.json.gz", "wt") as file:
+        file.write('{"event_date":"20240101","event_timestamp":1704067200000000,"event_name":"x","user_pseudo_id":"u"}\n' * 3)
+    raw = files.read_nested_json(spark, str(tmp_path / "events"), "*.json.gz", files.schemas.EVENT_SCHEMA)
+    landed = files.land(raw)
+    text = plan(staging.ga4_events(landed))
+    assert plan(raw.hint("rebalance", "dt")).count("FileScan json") == 1 and "FileScan json" not in text and "FileScan parquet" in text
+    assert staging.ga4_events(landed).count() == 1
+
+
+def test_headers_join_without_shuffling_lines(spark, tmp_path):
+    lines = spark.createDataFrame([("segments_date,b", "f1"), ("2024-01-01,2", "f1"), ("b,x", "f2"), ("2024-01-01,3", "f1")], "raw_line string, source_file_name string")
+    lines.withColumn("dt", F.lit("2024-01-01").cast("date")).write.parquet(str(tmp_path / "l"))
+    df = staging.by_header(spark.read.parquet(str(tmp_path / "l")), "segments_date", ["segments_date", "b", "c"])
+    text = plan(df)
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text and text.count("FileScan parquet") == 2
+    assert sorted((r.b, r.c) for r in df.collect()) == [("2", None), ("3", None)]
+
+
 def test_session_rollup_aggregates_before_the_shuffle(spark, wide):
     events = wide.select(
         F.col("k").alias("user_pseudo_id"), F.col("k").alias("ga_session_id"), F.col("ts").alias("event_timestamp_utc"), F.col("dt").alias("event_date"), "dt",
