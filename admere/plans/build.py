@@ -101,11 +101,15 @@ class Build:
     def story(self) -> DataFrame:
         return marts.campaign_story(self.tables["mart_campaign_value"])
 
+    def findings(self) -> DataFrame:
+        """The detectors on the delivered data, before anything of them is written."""
+        return monitoring.detectors(self.raw, self.tables["stg_google_ads_performance"], self.domains)
+
     def monitor(self, run_at: str | None = None, manifest: DataFrame | None = None) -> DataFrame:
         """Append a snapshot of the detectors; with a truth manifest also write the scorecard."""
         path = self.path("ops_dq_results")
         history = existing(self.spark, path)
-        found = monitoring.detectors(self.raw, self.tables["stg_google_ads_performance"], self.domains)
+        found = self.findings()
         stamp = F.lit(run_at).cast("timestamp") if run_at else F.current_timestamp()
         append_snapshot(snapshot(found, history, stamp, self.zone), path)
         results = self.load("ops_dq_results")

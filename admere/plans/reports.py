@@ -405,14 +405,14 @@ def reconciliation_report(t: dict[str, DataFrame], rules: dict[str, DataFrame])
     })
 
 
-def monitoring_report(snapshots: DataFrame, card: DataFrame, truth_files: tuple[str, ...] = ()) -> DataFrame:
+def monitoring_report(snapshots: DataFrame, card: DataFrame, findings: DataFrame, truth: DataFrame) -> DataFrame:
     """Latest snapshot complete, counts sane, every code matched, truth read by the scorecard only.
 
-    ``truth_files`` are the files of the truth manifest: none may be an input of the
-    snapshots.
+    ``findings`` is the detectors' frame before it is written, ``truth`` the manifest:
+    no file of the manifest may be an input of the detectors.
     """
     newest = with_scalars(snapshots, snapshots.agg(F.max("recorded_at").alias("newest")))
-    leaked = len(set(snapshots.inputFiles()) & set(truth_files))
+    leaked = len(set(findings.inputFiles()) & set(truth.inputFiles()))
     m = one_row(
         figures(
             newest, codes=F.count_if(F.col("recorded_at") == F.col("newest")), bad=F.count_if((F.col("detected_count") < 0) | (F.col("affected_rows_this_run") < 0)),

@@ -255,6 +255,21 @@ def upsert_merge(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
+@proof(
+    "person:i price:n2 newest:i day:d",
+    """SELECT DISTINCT ON (o_custkey) o_custkey AS person, o_totalprice AS price, o_orderkey AS newest, CASE WHEN o_orderkey % 4 > 0 THEN CAST(date_trunc('month', o_orderdate) AS DATE) END AS day
+    FROM orders ORDER BY o_custkey, o_orderkey DESC""",
+)
+def upsert_null_partition(t: Tables) -> DataFrame:
+    """Two loads of each customer's latest order; every fourth order has no day."""
+    path = scratch_path(t.spark, "orders")
+    day = F.when(F.col("o_orderkey") % 4 > 0, F.to_date(F.date_trunc("month", "o_orderdate")))
+    rows = t.orders.select(F.col("o_custkey").alias("person"), F.col("o_totalprice").alias("price"), F.col("o_orderkey").alias("newest"), day.alias("day"))
+    for part in (F.col("newest") % 3 == 0, F.col("newest") % 3 > 0):
+        tables.upsert(rows.filter(part), path, ["person"], "day", ["newest"])
+    return t.spark.read.parquet(path)
+
+
 @proof("customer_key order_id session_key", "SELECT customer_key, order_id, session_key FROM z_attributed WHERE session_key IS NULL")
 def unattributed_orders(t: Tables) -> DataFrame:
     c = Chain(t)

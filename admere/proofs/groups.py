@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from admere.functions import values
 from admere.operators import lookup, spread, versions
-from admere.plans import marts, value
+from admere.operators.spread import with_scalars
+from admere.plans import marts, reports, value
 from admere.proofs.models import Chain
 from admere.proofs.registry import CTES, Tables, proof
 
@@ -290,11 +291,77 @@ def _fitted(t: Tables) -> tuple[value.ValueModel, DataFrame, Chain]:
 @proof("customer_key acquisition_date:d predicted_future_value_90d_raw predicted_future_value_90d value_segment", name="train_predict")
 def train_predict(t: Tables) -> DataFrame:
     """Rows only: boosted trees cannot be written in SQL."""
+    return train_predict_frame(t)
+
+
+def train_predict_frame(t: Tables) -> DataFrame:
     model, features, c = _fitted(t)
     last_day = c["dim_date"].agg(F.max("calendar_date").alias("last_day"))
     return value.ml_customer_pltv(model, features, last_day, F.lit("2024-06-01 00:00:00").cast("timestamp"))
 
 
+#: Customers seen for seven days by the last day of the calendar.
+_RIPE = """acquisition_date <= (SELECT greatest((SELECT max(performance_date) FROM z_google), (SELECT max(insight_date) FROM z_meta),
+    (SELECT max(session_date) FROM z_sessions), (SELECT max(order_date) FROM z_attributed)) - 7)"""
+
+
+@proof(
+    "customer_key acquisition_date:d clamped:b ordered:b",
+    f"SELECT customer_key, acquisition_date, true AS clamped, true AS ordered FROM z_mart_features WHERE {_RIPE}",
+)
+def scored_customers(t: Tables) -> DataFrame:
+    """Who is scored, that no score is below zero, and that no segment outranks a better one."""
+    scores = train_predict_frame(t)
+    p = F.col("predicted_future_value_90d")
+    edges = scores.agg(*[f(F.when(F.col("value_segment") == s, p)).alias(f"{f.__name__}_{s}") for s in ("high", "steady", "low") for f in (F.min, F.max)])
+    ordered = (F.col("min_high") >= F.col("max_steady")) & (F.col("min_steady") >= F.col("max_low"))
+    return with_scalars(scores, edges).select("customer_key", "acquisition_date", (p == F.greatest("predicted_future_value_90d_raw", F.lit(0.0))).alias("clamped"), ordered.alias("ordered"))
+
+
+@proof(
+    "value_segment n:i",
+    f"""SELECT CASE tile WHEN 1 THEN 'high' WHEN 2 THEN 'steady' ELSE 'low' END AS value_segment, count(*) AS n
+    FROM (SELECT ntile(3) OVER (ORDER BY customer_key) AS tile FROM z_mart_features WHERE {_RIPE}) GROUP BY 1""",
+)
+def score_segments(t: Tables) -> DataFrame:
+    return train_predict_frame(t).groupBy("value_segment").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _score_report(t: Tables, spoil: bool) -> DataFrame:
+    model, features, c = _fitted(t)
+    last_day = c["dim_date"].agg(F.max("calendar_date").alias("last_day"))
+    scores, measures = train_predict_frame(t), value.evaluate(model, features)
+    info, inputs = model.training_info(t.spark), model.feature_info(t.spark)
+    if spoil:
+        worse = scores.withColumn("predicted_future_value_90d", F.when(F.col("value_segment") == "high", F.lit(-1.0)).otherwise(F.col("predicted_future_value_90d")))
+        scores = worse.union(worse).withColumn("source_file_name", F.lit(None).cast("string")).filter("value_segment <> 'low'").withColumn("email", F.lit("x"))
+        measures, info = measures.withColumn("r2_score", F.lit(None).cast("double")), info.limit(0)
+        inputs = inputs.union(t.spark.range(1).select(F.lit(value.LABEL), F.lit(0.1)))
+    return reports.score_report(scores, features, last_day, measures, info, inputs)
+
+
+@proof(
+    "check_name status",
+    f"""WITH n AS (SELECT count(*) AS k FROM z_mart_features WHERE {_RIPE})
+    SELECT unnest(['Model training info available', 'Model training evaluated holdout loss', 'Evaluation metrics persisted', 'Evaluation metrics valid', 'Prediction keys unique', 'Predicted values non-negative',
+        'Value segment ordering valid', 'Target excluded from model features', 'No raw PII in predictions', 'Prediction lineage retained']) AS check_name, 'PASS' AS status
+    UNION ALL SELECT 'Eligible customers scored', CASE WHEN k > 0 THEN 'PASS' ELSE 'FAIL' END FROM n UNION ALL SELECT 'All value segments populated', CASE WHEN k >= 3 THEN 'PASS' ELSE 'FAIL' END FROM n""",
+)
+def score_report(t: Tables) -> DataFrame:
+    return _score_report(t, spoil=False)
+
+
+@proof(
+    "check_name status",
+    """SELECT unnest(['Model training info available', 'Model training evaluated holdout loss', 'Evaluation metrics valid', 'Eligible customers scored', 'Prediction keys unique', 'Predicted values non-negative',
+        'All value segments populated', 'Value segment ordering valid', 'Target excluded from model features', 'No raw PII in predictions', 'Prediction lineage retained']) AS check_name, 'FAIL' AS status
+    FROM (SELECT count(*) AS k FROM z_mart_features) WHERE k > 0 UNION ALL SELECT 'Evaluation metrics persisted', 'PASS'""",
+)
+def score_report_of_spoilt_scores(t: Tables) -> DataFrame:
+    """Every check of the scores can fail: the same report on scores with one fault for each."""
+    return _score_report(t, spoil=True)
+
+
 @proof("mean_absolute_error mean_squared_error mean_squared_log_error median_absolute_error r2_score explained_variance", name="ml_customer_pltv_evaluation")
 def model_evaluation(t: Tables) -> DataFrame:
     model, features, _ = _fitted(t)

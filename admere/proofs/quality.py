@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from admere.operators import checks
-from admere.plans import monitoring, reports
+from admere.plans import monitoring, reports, staging
 from admere.proofs.landing import INTERNAL_DOMAIN, Delivered, flat
 from admere.proofs.models import Chain
 from admere.proofs.registry import CTES, Tables, proof
@@ -337,6 +337,18 @@ def quarantine_by_day(t: Tables) -> DataFrame:
     return rows.groupBy(F.col("dt").alias("day")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@proof(
+    "dt:d source_file_name quarantine_reason lines:i fingerprints:i readable:i",
+    """SELECT dt, '/meta_ads/dt=' || dt || '/insights.jsonl' AS source_file_name, 'line is not valid JSON' AS quarantine_reason, count(*) AS lines, count(*) AS fingerprints, 0 AS readable
+    FROM raw_ad_days, LATERAL (SELECT CAST(day + 1 AS DATE) AS dt) WHERE ad % 2 = 1 AND ad % 25 = 7 GROUP BY 1""",
+)
+def quarantine_meta_ads(t: Tables) -> DataFrame:
+    rows = Chain(t)["quarantine_meta_ads"]
+    return rows.groupBy(*staging.LINEAGE, "quarantine_reason").agg(
+        F.count(F.lit(1)).alias("lines"), F.count_distinct("row_fingerprint").alias("fingerprints"), F.count_if(F.try_parse_json("raw_line").isNotNull()).alias("readable")
+    )
+
+
 @proof("dt:d header_lines:i data_lines:i", "SELECT CAST(day + 1 AS DATE) AS dt, 1 AS header_lines, count(*) AS data_lines FROM raw_ad_days WHERE ad % 2 = 0 GROUP BY 1")
 def delivered_lines(t: Tables) -> DataFrame:
     line = F.col("raw_line")

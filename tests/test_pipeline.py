@@ -133,7 +133,7 @@ def test_checks_pass_and_gold(spark, build):
     assert failed(reports.reconciliation_report(t, monitoring.violations(t))) == set()
 
 
-def test_monitoring(spark, build):
+def test_monitoring(spark, build, tmp_path):
     first = by(build.monitor("2026-03-13 06:00:00").filter("run_date = '2026-03-13'"), "dq_code")
     counts = {k: v["detected_count"] for k, v in first.items()}
     assert counts == {
@@ -147,7 +147,12 @@ def test_monitoring(spark, build):
     card = by(build.monitor("2026-03-14 06:00:00", manifest), "dq_code")
     assert {k: v["status"] for k, v in card.items()} == {"DQ01": "MATCHED", "DQ08": "MATCHED", "DQ02": "MATCHED", "DQ12": "MISMATCH"}
     again = build.load("ops_dq_results").filter("run_date = '2026-03-14'").collect()
-    report = {r.check_name: r.status for r in reports.monitoring_report(build.tables["ops_dq_results"], build.tables["ops_dq_scorecard"]).collect()}
+    manifest.write.parquet(str(tmp_path / "truth"))
+    truth = spark.read.parquet(str(tmp_path / "truth"))
+    tables = build.tables["ops_dq_results"], build.tables["ops_dq_scorecard"]
+    leaky = build.findings().join(truth.select(F.col("issue_code").alias("dq_code")), "dq_code", "left_semi")
+    assert {r.check_name: r.status for r in reports.monitoring_report(*tables, leaky, truth).collect()}["Truth isolated to scorecard"] == "FAIL"
+    report = {r.check_name: r.status for r in reports.monitoring_report(*tables, build.findings(), truth).collect()}
     assert report == {"All 12 DQ codes monitored": "PASS", "All detected counts non-negative": "PASS", "All planted DQ codes matched": "FAIL", "Truth isolated to scorecard": "PASS"}
     assert len(again) == 12 and all(r.affected_rows_this_run == 0 and r.previous_detected_count == r.detected_count for r in again)
 
