@@ -1,7 +1,7 @@
 """Streams over delivered files.
 
 State is bounded by the watermark: an event may be up to three days late, the
-lookback of the batch run.
+lookback of the batch run. Later ones are kept by :func:`late_sink`.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from admere.sources.tables import upsert
+from admere.sources.tables import existing, upsert
 
 LATENESS = "3 days"
 
@@ -59,6 +59,27 @@ def gap_session_stream(events: DataFrame, at: str, keys: Sequence[str], gap: str
     )
 
 
+def late_sink(events: DataFrame, at: str, path: str, marks: str, checkpoint: str, lateness: str = LATENESS) -> StreamingQuery:
+    """Keep the events that come after the watermark has passed them, which the other streams leave out.
+
+    Run beside them on the same files. An event is late if it is not newer than the
+    newest one of all earlier batches less ``lateness``. ``marks`` holds the newest
+    instant of each batch; a replayed batch writes the same rows to the same folders.
+    """
+
+    def keep(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        known = existing(spark, marks)
+        newest = None if known is None else known.filter(F.col("batch") < number).agg(F.max("newest")).first()[0]
+        if newest is not None:
+            late = batch.filter(F.col(at) <= F.lit(newest) - F.expr(f"INTERVAL {lateness}"))
+            late.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{path}/batch={number}")
+        mark = batch.agg(F.max(at).alias("newest")).filter(F.col("newest").isNotNull())
+        mark.write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{marks}/batch={number}")
+
+    return events.writeStream.foreachBatch(keep).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def append_sink(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return df.writeStream.format("parquet").option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start(path)
 
