@@ -166,47 +166,59 @@ def vocabulary_file(path: str, pattern: str) -> VocabularyFile:
         return VocabularyFile(file.read(), pattern)
 
 
-def _map(df: DataFrame, column: str, name: str, change: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """Add binary ``name``, made of the bytes of ``column``; the other columns come through."""
+def _map(df: DataFrame, column: str, names: list[str], change: Callable[[np.ndarray, np.ndarray], list[tuple[np.ndarray, np.ndarray]]]) -> DataFrame:
+    """Add binary columns made of the bytes of ``column``; the other columns come through."""
     own = [f"c{i}" for i in range(len(df.columns))]
+    added = [f"added{i}" for i in range(len(names))]
     where = df.columns.index(column)
-    spec = ", ".join([f"{c} {f.dataType.simpleString()}" for c, f in zip(own, df.schema, strict=True)] + ["added binary"])
+    spec = ", ".join([f"{c} {f.dataType.simpleString()}" for c, f in zip(own, df.schema, strict=True)] + [f"{a} binary" for a in added])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a, b, data, bounds in pieces(batch.column(where)):
-                value, edges = change(data, bounds)
-                buffers = [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(value))]
-                added = pa.Array.from_buffers(pa.large_binary(), b - a, buffers).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), added], names=[*own, "added"])
+                columns = []
+                for value, edges in change(data, bounds):
+                    buffers = [None, pa.py_buffer(edges.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(value))]
+                    columns.append(pa.Array.from_buffers(pa.large_binary(), b - a, buffers).cast(pa.binary()))
+                yield pa.RecordBatch.from_arrays([*(c.slice(a, b - a) for c in batch.columns), *columns], names=[*own, *added])
 
-    return df.toDF(*own).mapInArrow(run, spec).toDF(*df.columns, name)
+    return df.toDF(*own).mapInArrow(run, spec).toDF(*df.columns, *names)
 
 
 def encode(df: DataFrame, file: VocabularyFile, text: str = "text", name: str = "ids") -> DataFrame:
     """Add the ids of each text, as bytes of little-endian unsigned 32-bit numbers."""
 
-    def change(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def change(data: np.ndarray, bounds: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         ids, edges = file.vocabulary().encode(data, bounds)
-        return ids, edges * 4
+        return [(ids, edges * 4)]
 
-    return _map(df, text, name, change)
+    return _map(df, text, [name], change)
 
 
 def decode(df: DataFrame, file: VocabularyFile, ids: str = "ids", name: str = "decoded") -> DataFrame:
     """Add the bytes that ids stand for."""
-    return _map(df, ids, name, lambda data, bounds: file.vocabulary().decode(np.frombuffer(data.tobytes(), "<u4"), bounds // 4))
+    return _map(df, ids, [name], lambda data, bounds: [file.vocabulary().decode(np.frombuffer(data.tobytes(), "<u4"), bounds // 4)])
+
+
+def round_trip(df: DataFrame, file: VocabularyFile, text: str = "text", names: tuple[str, str] = ("ids", "decoded")) -> DataFrame:
+    """Add the ids of each text and what they decode to, in one pass, so with one Python worker a task."""
+
+    def change(data: np.ndarray, bounds: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        ids, edges = file.vocabulary().encode(data, bounds)
+        return [(ids, edges * 4), file.vocabulary().decode(ids, edges)]
+
+    return _map(df, text, list(names), change)
 
 
 def digest_documents(docs: DataFrame, file: VocabularyFile) -> DataFrame:
     """Number of tokens of every document, and digests of its ids and of what they decode to."""
-    coded = decode(encode(docs.select("doc_id", "text"), file).drop("text"), file)
+    coded = round_trip(docs.select("doc_id", "text"), file)
     count = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
     return coded.select("doc_id", count, F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
 def tokenize(docs: DataFrame, file: VocabularyFile) -> DataFrame:
     """Ids of every document and whether they decode to its text."""
-    coded = decode(encode(docs.select("doc_id", "lang", "source", "text"), file), file)
+    coded = round_trip(docs.select("doc_id", "lang", "source", "text"), file)
     exact = F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return coded.select("doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids", exact.alias("exact"))

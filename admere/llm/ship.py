@@ -1,4 +1,4 @@
-"""Give Python workers on other machines this package."""
+"""Give Python workers on other machines this package, and texts in batches they can hold."""
 
 from __future__ import annotations
 
@@ -10,11 +10,15 @@ from pyspark.sql import SparkSession
 
 import admere
 
+#: Rows of an Arrow batch.
+ROWS = 512
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> SparkSession:
     """Add the package to the session's Python files, once per application."""
+    # texts are long: fewer rows to a batch keep workers and Arrow buffers small
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
     context = spark.sparkContext
     if context.applicationId not in _SHIPPED:
         _SHIPPED.add(context.applicationId)

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Bytes of text handled at a time; a single longer text is still handled whole.
-PIECE = 2 << 20
+PIECE = 1 << 20
 
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 

@@ -72,7 +72,10 @@ def test_digests_of_documents(spark, byte_bpe):
         ids = library.encode_ordinary(t or "")
         want.append((i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()))
     assert sorted(map(tuple, bpe.digest_documents(docs, file).collect()), key=str) == sorted(want, key=str)
-    assert bpe.encode(docs, file, name="coded").columns == [*docs.columns, "coded"]
+    coded = bpe.encode(docs, file, name="coded")
+    assert coded.columns == [*docs.columns, "coded"]
+    apart = bpe.decode(coded, file, "coded").select("coded", "decoded")
+    assert sorted(map(tuple, apart.collect())) == sorted(map(tuple, bpe.round_trip(docs.select("text"), file).select("ids", "decoded").collect()))
     assert bpe.digest_documents(docs.limit(0), file).collect() == []
 
 
