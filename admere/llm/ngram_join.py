@@ -229,23 +229,23 @@ def _verify(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.
     yield out(ready)
 
 
-def _marked(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``texts`` whose id may be wanted, so that only these are shuffled.
+def _marked(df: DataFrame, wanted: DataFrame, id: str) -> DataFrame:
+    """Add ``__marked``: false if the row's id is surely not wanted, so it need not be shuffled to find out.
 
     Wanted ids set bits in a bitmap of ``BITS`` bits, which is broadcast whatever their
-    number. A row that shares its bit with a wanted id passes, and goes at the join.
+    number. A row that shares its bit with a wanted id is marked as well.
     """
-    place = F.pmod(F.xxhash64("id"), F.lit(BITS))
+    place = F.pmod(F.xxhash64(id), F.lit(BITS))
     bitmap = (
         wanted.select(place.alias("p"))
-        .groupBy(F.bitmap_bucket_number("p").alias("part"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
+        .groupBy(F.bitmap_bucket_number("p").alias("__part"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("__bits"))
     )
-    spot = F.bitmap_bit_position("p")
-    byte = F.conv(F.hex(F.substring(F.col("bits"), (spot / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    found = texts.withColumn("p", place).withColumn("part", F.bitmap_bucket_number("p"))
-    found = found.join(F.broadcast(bitmap), "part").withColumn("byte", byte)
-    return found.filter(F.expr("shiftright(byte, cast(bitmap_bit_position(p) % 8 AS int)) & 1 = 1")).select(*texts.columns)
+    spot = "bitmap_bit_position(__place)"
+    bit = F.expr(f"shiftright(cast(conv(hex(substring(__bits, cast({spot} / 8 AS int) + 1, 1)), 16, 10) AS int), cast({spot} % 8 AS int)) & 1 = 1")
+    found = df.withColumn("__place", place).withColumn("__part", F.bitmap_bucket_number("__place"))
+    found = found.join(F.broadcast(bitmap), "__part", "left").withColumn("__marked", F.coalesce(bit, F.lit(False)))
+    return found.select(*df.columns, "__marked")
 
 
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = SIZE, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
@@ -273,7 +273,7 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int =
         member.groupBy("key").agg(F.sort_array(F.collect_list("bucket")).alias("buckets")).join(heads.select("key", "id", "copies"), "key")
     )
     wanted = near.select("id", F.col("key").alias("wanted"))
-    whole = _marked(texts, wanted).join(wanted, "id").select("text", "wanted").mapInArrow(lambda b: _members(b, size), "key binary, grams binary")
+    whole = _marked(texts, wanted, "id").filter("__marked").join(wanted, "id").select("text", "wanted").mapInArrow(lambda b: _members(b, size), "key binary, grams binary")
     armed = member.join(near.select("key", "copies", "buckets").join(whole, "key"), "key")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     block = F.pmod(F.xxhash64("key", "bucket"), blocks).cast("int")
@@ -313,7 +313,9 @@ def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Data
     """
     found = stable(classes(docs, id, text).filter(F.col(id).isNotNull()))
     gone = found.filter(F.col("class_id") != F.col(id)).select(id).distinct()
-    kept = docs.join(gone, id, "left_anti")
+    gone = stable(gone)
+    marked = _marked(docs, gone, id)
+    kept = marked.filter(~F.col("__marked")).select(docs.columns).union(marked.filter("__marked").join(gone, id, "left_anti").select(docs.columns))
     repeated = found.groupBy(id).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(id)
     if repeated.isEmpty():
         return kept

@@ -80,6 +80,11 @@ def targets(sizes: DataFrame, source: str = "source", size: str = "size", weight
     return ranked.withColumn("target", F.least(top.cast("double"), F.col("weight") * F.lit(float(level)))).drop("weight")
 
 
+def _turn(id: str) -> Column:
+    """Where a row stands in the shuffled order of its source."""
+    return F.md5(F.concat(F.lit(SEED + "|"), F.coalesce(F.col(id).cast("string"), F.lit(""))).cast("binary"))
+
+
 def mix(sizes: DataFrame, id: str = "doc_id", source: str = "source", size: str = "size") -> DataFrame:
     """Add ``source_size``, ``target`` and ``copies``: how often the mix takes each row."""
     plan = stable(targets(sizes, source, size))
@@ -87,9 +92,8 @@ def mix(sizes: DataFrame, id: str = "doc_id", source: str = "source", size: str
     # a source's words start behind those of the sources before it
     ahead = running_total(plan.select("place", "source_size"), [F.col("place")], "source_size", "upto").select(F.col("place").alias("__n"), (F.col("upto") - F.col("source_size")).alias("start"))
     facts = plan.join(ahead, F.col("place") == F.col("__n")).select(F.col(source).alias("__source"), "place", "source_size", "target", "start")
-    turn = F.md5(F.concat(F.lit(SEED + "|"), F.coalesce(F.col(id).cast("string"), F.lit(""))).cast("binary"))
     # as many sources as there are rows of facts; Spark measures it
-    placed = sizes.join(facts, F.col(source).eqNullSafe(F.col("__source"))).drop("__source").withColumn("turn", turn)
+    placed = sizes.join(facts, F.col(source).eqNullSafe(F.col("__source"))).drop("__source").withColumn("turn", _turn(id))
     queued = running_total(placed, [F.col("place"), F.col("turn"), F.col(id), F.col(size)], size, "upto")
     queued = stable(queued.withColumn("queue", F.col("upto") - F.col("start")).drop("turn", "upto", "start"))
 
@@ -99,12 +103,12 @@ def mix(sizes: DataFrame, id: str = "doc_id", source: str = "source", size: str
     entries = queued.filter(F.col(size) > 0).select("place", "queue", "source_size", "target", size, F.explode(F.sequence(F.lit(0), F.lit(REPEATS - 1))).alias("turn"))
     entries = entries.select("place", finish(F.col("turn")).alias("finish"), size)
     last = running_total(entries, [F.col("finish"), F.col("place")], size).filter(F.col("total") <= budget).agg(F.max(F.struct("finish", "place")).alias("last")).first()["last"]
+    release(plan)
     if last is None:
         return queued.withColumn("copies", F.lit(0)).drop("place", "queue")
     end, place = F.lit(last["finish"]), F.lit(last["place"])
     taken = [((finish(t) < end) | ((finish(t) == end) & (F.col("place") <= place))).cast("int") for t in range(REPEATS)]
     copies = F.when(F.col(size) > 0, sum(taken[1:], taken[0])).otherwise(F.lit(0))
-    release(plan)
     return queued.withColumn("copies", copies).drop("place", "queue")
 
 
@@ -117,12 +121,19 @@ def mix_documents(docs: DataFrame) -> DataFrame:
 def draw(docs: DataFrame) -> DataFrame:
     """The mixed documents: each as many times as the mix takes it, so some not at all.
 
-    Rows equal in id, text and source are taken alike.
+    In every source the rows taken a given number of times are the first ones of its
+    shuffled order, so the last of them says which: ``REPEATS`` cuts per source go to the
+    documents, and no text is shuffled. Rows equal in id, source and size are taken alike.
     """
-    mark = F.xxhash64(docs["text"])
-    rows = docs.select("doc_id", "source", mark.alias("mark"), word_count().alias("size"))
-    units = stable(rows.groupBy("doc_id", "source", "mark").agg((F.max("size") * F.count(F.lit(1))).alias("size")))
-    chosen = mix(units).filter("copies > 0").select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("mark").alias("__mark"), F.col("copies").alias("__copies"))
-    same = F.col("doc_id").eqNullSafe(F.col("__id")) & F.col("source").eqNullSafe(F.col("__source")) & (mark == F.col("__mark"))
-    joined = docs.join(chosen, same).select(*(docs[c] for c in docs.columns), F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy"))
-    return joined.drop("__copy")
+    order = F.struct(_turn("doc_id").alias("turn"), F.col("doc_id").alias("id"), F.col("size").alias("size"))
+    taken = mix(stable(docs.select("doc_id", "source", word_count().alias("size"))))
+    cuts = stable(
+        taken.filter("copies > 0")
+        .groupBy(F.col("source").alias("__source"))
+        .agg(*[F.max(F.when(F.col("copies") > t, order)).alias(f"__cut{t}") for t in range(REPEATS)])
+    )
+    own = F.struct(_turn("doc_id"), F.col("doc_id"), F.col("__size"))
+    copies = sum((F.coalesce(own <= F.col(f"__cut{t}"), F.lit(False)).cast("int") for t in range(1, REPEATS)), F.coalesce(own <= F.col("__cut0"), F.lit(False)).cast("int"))
+    sized = docs.withColumn("__size", word_count()).filter("__size > 0")
+    joined = sized.join(cuts, F.col("source").eqNullSafe(F.col("__source"))).withColumn("__copies", copies)
+    return joined.filter("__copies > 0").select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy")).drop("__copy")
