@@ -7,7 +7,9 @@ and the five control characters 0x09 to 0x0D, everywhere in this package.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +50,19 @@ def pieces(column: pa.Array, limit: int = PIECE) -> Iterator[tuple[int, int, np.
         end = max(first + 1, int(np.searchsorted(at, at[first] + limit, "right")) - 1)
         yield first, end, data[at[first] : at[end]], at[first : end + 1] - at[first]
         first = end
+    tidy()
+
+
+@functools.cache
+def _trim() -> Callable[[int], int]:
+    """The C library's way to give freed memory back; nothing where it has none."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", lambda _: 0)
+
+
+def tidy() -> None:
+    """Give freed memory back, since a worker that waits for its next task keeps it otherwise."""
+    _trim()(0)
+    pa.default_memory_pool().release_unused()
 
 
 def gaps(data: np.ndarray) -> np.ndarray:
