@@ -109,8 +109,7 @@ def url_parameter(url: Column | str, name: str, structured: Column | str | None
 
 def strip_code_fence(c: Column | str) -> Column:
     """Remove a Markdown code fence around a reply."""
-    opened = F.regexp_replace(F.trim(col(c)), r"(?is)^```(?:json)?\s*", "")
-    return F.regexp_replace(opened, r"(?is)\s*```$", "")
+    return F.regexp_extract(col(c), r"(?s)^\s*(?:`{3,}\w*)?\s*(.*?)\s*(?:`{3,})?\s*$", 1)
 
 
 def drop_columns(df: DataFrame, *names: str) -> DataFrame:
