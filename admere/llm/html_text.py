@@ -1,15 +1,19 @@
 """Main text of web pages by tag-path ratios.
 
-A page is read into blocks of text, each with its path of tags (and first class names)
-from the root. Length and punctuation are added up per path and divided by the path's
-blocks. These ratios are smoothed over neighbouring blocks, fused with what the path's
-tags say about themselves, added up for every container on the way to the root, and
-paths are kept whose container reaches a share of the page's best (``SHARE``).
-
-Two kinds of tags speak for themselves: an article (or a main element without one) holds
-the text, and menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
-and reader comments do not, whatever their ratios. They are known by element, role, or by a word of
-their class or id. Headings inside the article are text.
+A page is read into blocks of text, each at a path of tags (and first class names) from
+the root. Length and punctuation are added up per path and divided by the path's blocks.
+These ratios are smoothed over neighbouring blocks and fused with what the path's tags say
+of themselves: links take away, an article or main element adds (the more articles a page
+has, the less each says), words of a class or id take away. The fused values are added up
+for every container on the way to the root. The best container is kept with all below it,
+and so is each other one that holds ``SHARE`` of its weight. Lists, quotes and tables
+belong to the container they stand in.
+
+Below a kept container only what looks like page furniture goes: elements that are mostly
+links with few stops, links under a name that hints at furniture, and elements whose whole
+name is one (``comments``, ``ad-1``; not ``related-work``). Menus, headers, footers,
+sidebars, forms, scripts and styles known by element or role are never text. Headings
+inside the main text are text, whatever their id.
 
 Character references are decoded, white space inside a block becomes one space, and
 blocks are joined in page order by one space.
@@ -33,6 +37,14 @@ from pyspark.sql import functions as F
 
 #: A container is kept if it holds this share of the best one's weight.
 SHARE = 0.35
+#: Factor of a name that says nothing, hints at page furniture, or is one.
+NAMED = (1.0, 0.5, 0.05)
+#: What is added for a main element, and for a page's only article.
+MAIN, ARTICLE = 0.5, 2.0
+#: A container counts so much less for every level that its text lies deeper.
+DEEPER = 0.7
+#: Share of links from which a path with less than a stop a block is furniture: anywhere, in an article, under a name that hints.
+LINKS, LINKS_ARTICLE, LINKS_HINTED = 0.5, 0.8, 0.25
 #: Bytes of text handed back in one batch.
 ROOM = 4 << 20
 
@@ -62,8 +74,15 @@ _ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search for
 _ASIDE_WORDS = frozenset(
     "ad ads adbox advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices notification alert popup modal overlay "
     "nav navbar navigation menu submenu breadcrumb breadcrumbs pagination pager toolbar header masthead footer sidebar aside widget widgets related recommended share sharing social "
-    "newsletter subscribe subscription signup login form comment comments commentlist reply replies respond disqus discussion".split()
+    "newsletter subscribe subscription signup login form comment comments commentlist reply replies respond disqus discussion teaser teasers".split()
 )
+#: Words among them that parts of a story are called by too; alone they only hint.
+_MILD = frozenset("promotion consent notice notices notification alert header related recommended share sharing social subscription form reply replies respond discussion widget widgets".split())
+#: Words that say where or how big a part is, and nothing else.
+_NEUTRAL = frozenset("site page top bottom left right main global primary secondary list box bar area wrap wrapper container inner outer slot block section item items content link links button buttons".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements whose text belongs to the container around them; table cells with a class are parts of a layout.
+_INNER = _HEADINGS | frozenset("p ul ol li dl dt dd dir blockquote pre figure figcaption caption table thead tbody tfoot tr td th details summary address hgroup center hr".split())
 _WORD = re.compile(r"[a-z]+")
 _BESIDE = re.compile(r"(has|with|no|without)[-_]")
 _ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>]*))?""")
@@ -71,20 +90,34 @@ _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>
 _LOOSE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>")
 _STOPS = re.compile(r"[.,;:!?…。、！？]")
 
+#: Elements that are not furniture for links alone: a heading or one item may be a link.
+_SINGLE = _HEADINGS | frozenset("p li dt dd caption figcaption thead tbody tfoot tr td th summary".split())
+
 
 @dataclass
 class _Element:
     tag: str
-    label: str
     aside: bool
     main: int
+    linked: bool
+    place: int
+
+
+@dataclass
+class _Node:
+    """A path: the one around it, its last tag, how far its name says it is furniture, and its container."""
+
+    up: int
+    tag: str
+    named: int
+    container: int
 
 
 @dataclass
 class Block:
-    """A run of text under one path; ``main`` is 2 inside an article, 1 inside a main element."""
+    """A run of text at a place; ``main`` is 2 inside an article, 1 inside a main element."""
 
-    path: tuple[str, ...]
+    place: int
     text: str
     main: int
     linked: int
@@ -95,10 +128,15 @@ class _Reader:
     blocks: list[Block] = field(default_factory=list)
     stack: list[_Element] = field(default_factory=list)
     parts: list[tuple[str, bool]] = field(default_factory=list)
+    nodes: list[_Node] = field(default_factory=lambda: [_Node(-1, "", 0, 0)])
+    known: dict[tuple[int, str, int], int] = field(default_factory=dict)
+    #: Elements in page order: the element around each, and its path.
+    places: list[tuple[int, int]] = field(default_factory=lambda: [(-1, 0)])
+    articles: int = 0
 
     def text(self, raw: str) -> None:
         if raw and not (self.stack and self.stack[-1].aside):
-            self.parts.append((raw, any(e.tag == "a" for e in self.stack)))
+            self.parts.append((raw, bool(self.stack) and self.stack[-1].linked))
 
     def flush(self) -> None:
         if not self.parts:
@@ -106,8 +144,8 @@ class _Reader:
         text = " ".join(html.unescape("".join(p for p, _ in self.parts)).split())
         if text:
             linked = sum(len(" ".join(p.split())) for p, link in self.parts if link)
-            main = self.stack[-1].main if self.stack else 0
-            self.blocks.append(Block(tuple(e.label for e in self.stack if e.tag in _BLOCK), text, main, min(linked, len(text))))
+            main, place = (self.stack[-1].main, self.stack[-1].place) if self.stack else (0, 0)
+            self.blocks.append(Block(place, text, main, min(linked, len(text))))
         self.parts = []
 
     def open(self, tag: str, attributes: str, closed: bool) -> None:
@@ -123,8 +161,8 @@ class _Reader:
                 self._end(name, _HOLDS)
         if tag in _VOID or (closed and tag not in _BLOCK):
             return
-        up = self.stack[-1] if self.stack else _Element("", "", False, 0)
-        label, aside = tag, up.aside or tag in _ASIDE_TAGS
+        up = self.stack[-1] if self.stack else _Element("", False, 0, False, 0)
+        label, aside, named = tag, up.aside or tag in _ASIDE_TAGS, 0
         if attributes and not aside:
             found = {k.lower(): html.unescape((v or "").strip("\"'")).lower() for k, v in _ATTRIBUTE.findall(attributes)}
             names = found.get("class", "").split()
@@ -132,10 +170,22 @@ class _Reader:
                 label += "." + names[0]
             # "has-sidebar" is said of what stands beside one
             words = {w for name in [*names, found.get("id", "")] for w in (_WORD.findall(name) if not _BESIDE.match(name) else ())}
-            plain = tag in ("html", "body", "article", "main")
-            aside = found.get("role", "") in _ASIDE_ROLES or (not plain and bool(words & _ASIDE_WORDS))
-        main = max(up.main, 2 if tag == "article" else 1 if tag == "main" else 0)
-        self.stack.append(_Element(tag, label, aside, main))
+            plain = tag in ("html", "body", "main")
+            aside = found.get("role", "") in _ASIDE_ROLES or (not plain and bool(words & (_ASIDE_WORDS if tag != "article" else {"teaser", "comment"})))
+        main = max(up.main, 2 if tag == "article" and named < 2 else 1 if tag == "main" else 0)
+        if main == 2 and up.main < 2 and not aside:
+            self.articles += 1
+        place = up.place
+        if tag in _BLOCK and not aside:
+            around = self.places[place][1]
+            node = self.known.setdefault((around, label, named), len(self.nodes))
+            if node == len(self.nodes):
+                inner = tag in _INNER and not (tag in ("td", "th") and label != tag)
+                self.nodes.append(_Node(around, tag, named, self.nodes[around].container if inner else node))
+            self.places.append((place, node))
+            place = len(self.places) - 1
+        linked = up.linked or tag == "a" or (named == 2 and tag not in _BLOCK)
+        self.stack.append(_Element(tag, aside, main, linked, place))
 
     def close(self, tag: str) -> None:
         if tag in _BLOCK:
@@ -159,8 +209,17 @@ class _Reader:
                 return
 
 
-def read(page: str) -> list[Block]:
-    """Blocks of a page that are not set aside by their tags, in page order."""
+def _named(name: str) -> int:
+    """2 if a class or id is a name of page furniture, 1 if part of it is, else 0."""
+    words = [] if _BESIDE.match(name) else _WORD.findall(name)
+    aside = [w for w in words if w in _ASIDE_WORDS]
+    if not aside:
+        return 0
+    return 2 if any(w not in _MILD for w in aside) and all(w in _ASIDE_WORDS or w in _NEUTRAL for w in words) else 1
+
+
+def read(page: str) -> _Reader:
+    """The blocks of a page that are not set aside by their tags, in page order, and their paths."""
     reader = _Reader()
     at, n = 0, len(page)
     last = page.rfind(">")
@@ -198,37 +257,68 @@ def read(page: str) -> list[Block]:
             reader.text(inside)
             at = n if stop is None else stop.start()
     reader.flush()
-    return reader.blocks
+    return reader
 
 
-def select(blocks: list[Block]) -> list[Block]:
+def select(page: _Reader) -> list[Block]:
     """The blocks whose path carries the page's main text."""
-    best = max((b.main for b in blocks), default=0)
-    blocks = [b for b in blocks if b.main == best]
-    if best:
-        return blocks
-    paths: dict[tuple[str, ...], list[float]] = {}
-    for b in blocks:
-        total = paths.setdefault(b.path, [0.0, 0.0, 0.0])
-        total[0] += len(b.text) - b.linked
-        total[1] += len(_STOPS.findall(b.text))
-        total[2] += 1
-    ratio = [(paths[b.path][0] / paths[b.path][2], paths[b.path][1] / paths[b.path][2]) for b in blocks]
+    blocks, nodes, places = page.blocks, page.nodes, page.places
+    node = [places[b.place][1] for b in blocks]
+    paths: dict[int, list[float]] = {}
+    # of every element with all inside: characters, those in links, stops, blocks
+    below = [[0, 0, 0, 0] for _ in places]
+    for b, n in zip(blocks, node, strict=True):
+        stops = len(_STOPS.findall(b.text))
+        total = paths.setdefault(n, [0.0, 0.0, 0.0])
+        for k, x in enumerate((len(b.text) - b.linked, stops, 1)):
+            total[k] += x
+        for k, x in enumerate((len(b.text), b.linked, stops, 1)):
+            below[b.place][k] += x
+    for i in range(len(places) - 1, 0, -1):
+        for k in range(4):
+            below[places[i][0]][k] += below[i][k]
+    ratio = [(paths[n][0] / paths[n][2], paths[n][1] / paths[n][2]) for n in node]
     smooth = [tuple((ratio[max(i - 1, 0)][k] + 2 * ratio[i][k] + ratio[min(i + 1, len(ratio) - 1)][k]) / 4 for k in (0, 1)) for i in range(len(ratio))]
-    weight: dict[tuple[str, ...], float] = {}
-    for b, (length, stops) in zip(blocks, smooth, strict=True):
-        # a container gets all of its own blocks' weight, and less of what lies deeper
-        value = length * (1 + stops) * (1 - b.linked / max(len(b.text), 1))
-        for depth in range(len(b.path), -1, -1):
-            weight[b.path[:depth]] = weight.get(b.path[:depth], 0.0) + value * 0.7 ** max(0, len(b.path) - depth - 1)
-    inner = {_container(b) for b in blocks}
-    top = max((weight.get(p, 0.0) for p in inner), default=0.0)
-    kept = {p for p in inner if weight.get(p, 0.0) >= SHARE * top and top > 0}
-    return [b for b in blocks if _container(b) in kept]
-
-
-def _container(block: Block) -> tuple[str, ...]:
-    return block.path[:-1] if len(block.path) > 1 else block.path
+    named, article = [0] * len(nodes), [False] * len(nodes)
+    for n in range(1, len(nodes)):
+        up = nodes[n].up
+        named[n] = max(named[up], nodes[n].named)
+        article[n] = article[up] or (nodes[n].tag == "article" and nodes[n].named < 2)
+    own = [0.0] * len(nodes)
+    for b, n, (length, stops) in zip(blocks, node, smooth, strict=True):
+        marked = 1 + (ARTICLE / max(page.articles, 1) if b.main == 2 else MAIN if b.main else 0.0)
+        links = b.linked / max(len(b.text), 1) * (0.9 if b.main else 1.0)
+        own[nodes[n].container] += length * (1 + stops) * (1 - links) * marked * NAMED[named[n]]
+    weight = own[:]
+    for n in range(len(nodes) - 1, 0, -1):
+        up = nodes[n].up
+        weight[up] += weight[n] * (DEEPER if nodes[n].container == n else 1.0)
+    held = [n for n in range(len(nodes)) if nodes[n].container == n]
+    best = max(held, key=lambda n: weight[n])
+    if weight[best] <= 0:
+        return []
+    above, at = set(), nodes[best].up
+    while at >= 0:
+        above.add(at)
+        at = nodes[at].up
+    kept = {n for n in held if own[n] >= SHARE * weight[best]} | {best}
+
+    def furniture(i: int) -> bool:
+        (text, linked, stops, count), n = below[i], places[i][1]
+        if nodes[n].named == 2:
+            return True
+        if nodes[n].tag in _SINGLE or not text:
+            return False
+        return stops < count and linked / text >= (LINKS_HINTED if nodes[n].named else LINKS_ARTICLE if article[n] else LINKS)
+
+    # 2: with all below, 1: its own text only, as the best container lies deeper
+    inside = [0] * len(places)
+    for i, (up, n) in enumerate(places):
+        if n in kept:
+            inside[i] = 1 if n in above else 2
+        elif up >= 0 and (inside[up] == 2 or (inside[up] == 1 and nodes[n].container != n)):
+            inside[i] = 0 if furniture(i) else inside[up]
+    return [b for b in blocks if inside[b.place]]
 
 
 def main_text(page: str | None) -> str:

@@ -36,3 +36,24 @@ def test_every_page_and_all_columns(spark):
     wide = html_text.extract(pages.select(F.lit(1).alias("added"), "html", F.lit(2).alias("c0")))
     assert wide.columns == ["added", "html", "c0", "text"] and wide.count() == 5
     assert html_text.extract_pages(pages.limit(0)).collect() == []
+
+
+STORY = "".join(f"<p>Paragraph {i} of the story, long enough to count. It goes on, and on; then it ends here.</p>" for i in range(10))
+TOLD = " ".join(f"Paragraph {i} of the story, long enough to count. It goes on, and on; then it ends here." for i in range(10))
+TEASERS = "".join(f"<article class=teaser><h3><a href=/{i}>Other story {i}</a></h3><p>Read it, soon.</p></article>" for i in range(5))
+
+
+@pytest.mark.parametrize("element", ["main", "div"])
+@pytest.mark.parametrize("teasers", [TEASERS, TEASERS.replace(" class=teaser", ""), TEASERS.replace(" class=teaser", " class=card")])
+def test_articles_beside_the_story(element, teasers):
+    story = f"<{element}><h1>Title</h1>{STORY}</{element}>"
+    assert html_text.main_text(f"<body>{story}{teasers}</body>") == "Title " + TOLD
+    assert html_text.main_text(f"<body><div class=more>{teasers}</div>{story}</body>") == "Title " + TOLD
+
+
+def test_quote_article_in_the_story():
+    assert html_text.main_text(f"<body><main>{STORY}<article class=quote><p>Said so.</p></article><p>End.</p></main></body>") == TOLD + " Said so. End."
+
+
+def test_many_nested_paths_take_linear_time():
+    assert len(html_text.main_text("<div>word, " * 20_000)) == 20_000 * 6 - 1
