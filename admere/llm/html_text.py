@@ -168,10 +168,11 @@ class _Reader:
             names = found.get("class", "").split()
             if names:
                 label += "." + names[0]
-            # "has-sidebar" is said of what stands beside one
-            words = {w for name in [*names, found.get("id", "")] for w in (_WORD.findall(name) if not _BESIDE.match(name) else ())}
-            plain = tag in ("html", "body", "main")
-            aside = found.get("role", "") in _ASIDE_ROLES or (not plain and bool(words & (_ASIDE_WORDS if tag != "article" else {"teaser", "comment"})))
+            aside = found.get("role", "") in _ASIDE_ROLES
+            if tag not in ("html", "body", "main"):
+                # the id of a heading or an article comes from its title
+                named = max((_named(n) for n in [*names, "" if tag in _HEADINGS or tag == "article" else found.get("id", "")]), default=0)
+                named = named if tag != "article" or named == 2 else 0
         main = max(up.main, 2 if tag == "article" and named < 2 else 1 if tag == "main" else 0)
         if main == 2 and up.main < 2 and not aside:
             self.articles += 1

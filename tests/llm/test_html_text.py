@@ -55,5 +55,22 @@ def test_quote_article_in_the_story():
     assert html_text.main_text(f"<body><main>{STORY}<article class=quote><p>Said so.</p></article><p>End.</p></main></body>") == TOLD + " Said so. End."
 
 
+@pytest.mark.parametrize("element", ["div class=content", "main", "article"])
+def test_lists_quotes_and_tables_of_the_story(element):
+    parts = "<ul><li>short one<li>two</ul><ol><li>three</ol><blockquote><p>Quoted.</p></blockquote><table><tr><th>a<td class=num>1</table><dl><dt>t<dd>d</dl>"
+    page = f"<body><div class=menu><a href=/>Home</a></div><{element}>{STORY}{parts}<p>End.</p><ul><li><a href=/1>More here</a><li><a href=/2>And here</a></ul></{element.split()[0]}></body>"
+    found = html_text.main_text(page)
+    assert found.startswith(TOLD + " short one two three Quoted. a 1 t d End.") and "Home" not in found
+    assert ("More here" in found) is False
+
+
+def test_names_that_share_a_word_with_furniture():
+    page = (
+        f"<article>{STORY}<h2 id='social-impact'>Impact</h2><p>It had some.</p><section id='related-work'><p>Others did it, too.</p></section>"
+        "<div class='order-form-guide'><p>How to order.</p></div><section class='related-posts'><a href=/1>Next</a> <a href=/2>Last</a></section><div class='comments-area'><p>I disagree. Really, I do.</p></div></article>"
+    )
+    assert html_text.main_text(page) == TOLD + " Impact It had some. Others did it, too. How to order."
+
+
 def test_many_nested_paths_take_linear_time():
     assert len(html_text.main_text("<div>word, " * 20_000)) == 20_000 * 6 - 1
