@@ -21,6 +21,8 @@ Templates equal in name are one with all their shingles. Other columns are not r
 from __future__ import annotations
 
 import math
+import re
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -36,8 +38,8 @@ LEAST, BANDS = 0.36, 24
 #: Template rows that are broadcast at most; beyond that Spark chooses the join.
 BROADCAST = 1_000_000
 
-# Notices by which licenses are named or granted.
-NOTICES = {
+# Notices by which licenses are named or granted, in several wordings.
+_WORDINGS = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "Apache-2.0 header": "You may not use this file except in compliance with the License. You may obtain a copy of the License at",
     "MIT": "Released under the MIT License",
@@ -54,7 +56,33 @@ NOTICES = {
     "CC-BY-SA-4.0": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
     "CC0-1.0": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
+    "MIT licensed": "licensed under the MIT License",
+    "MIT terms named": "under the terms of the MIT License",
+    "Apache-2.0 licensed": "licensed under the Apache License 2.0",
+    "Apache-2.0 terms named": "under the terms of the Apache License, Version 2.0",
+    "GPL-2.0 licensed": "licensed under the GNU General Public License v2.0",
+    "GPL-3.0 licensed": "licensed under the GNU General Public License v3.0",
+    "LGPL licensed": "licensed under the GNU Lesser General Public License",
+    "AGPL licensed": "licensed under the GNU Affero General Public License",
+    "BSD-2-Clause licensed": "licensed under the BSD 2-Clause License",
+    "BSD-3-Clause licensed": "licensed under the BSD 3-Clause License",
+    "MPL-2.0 licensed": "licensed under the Mozilla Public License 2.0",
+    "ISC licensed": "licensed under the ISC License",
+    "CC-BY-4.0 short": "licensed under CC BY 4.0",
+    "CC-BY-SA-4.0 short": "licensed under CC BY-SA 4.0",
+    "CC-BY-NC-4.0 named": "licensed under a Creative Commons Attribution-NonCommercial 4.0 International License",
 }
+_TEXTS = Path(__file__).parent / "license_texts"
+
+
+def _body(text: str) -> str:
+    """A license's terms alone, where they are marked as such."""
+    parts = re.split(r"\n\s*(?:END OF )?TERMS AND CONDITIONS[^\n]*\n", text)
+    return " ".join(max(parts, key=len).split())
+
+
+#: Templates: the notices, and the terms of each license in the folder.
+NOTICES = _WORDINGS | {f"{f.stem} terms": _body(f.read_text()) for f in sorted(_TEXTS.glob("*.txt"))}
 
 
 def notices(spark: SparkSession, texts: dict[str, str] | None = None) -> DataFrame:
@@ -91,9 +119,9 @@ def scan(docs: DataFrame, templates: DataFrame, id: str = "doc_id", text: str =
 
     distinct = own.select("license_id", "shingle").distinct()
     counted = distinct.groupBy("license_id").agg(F.count(F.lit(1)).alias("n_shingles"))
-    shared = held.select("id", "mark", "shingle").distinct().join(small(distinct), "shingle").groupBy("id", "mark", "license_id").agg(F.count(F.lit(1)).alias("n_found"))
-    other = candidates.select(F.col("id").alias("i"), F.col("mark").alias("m"), F.col("license_id").alias("l"))
-    kept = shared.join(other, F.col("id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m")) & (F.col("license_id") == F.col("l")), "left_semi")
+    other = candidates.select(F.col("id").alias("i"), F.col("mark").alias("m"), "license_id")
+    of_candidates = held.select("id", "mark", "shingle").distinct().join(other, F.col("id").eqNullSafe(F.col("i")) & (F.col("mark") == F.col("m")))
+    kept = of_candidates.join(small(distinct), ["license_id", "shingle"]).groupBy("id", "mark", "license_id").agg(F.count(F.lit(1)).alias("n_found"))
     share = (F.col("n_found") / F.col("n_shingles")).alias("containment")
     return kept.join(small(counted), "license_id").filter(F.col("n_found") >= F.lit(contained) * F.col("n_shingles")).select(F.col("id").alias(id), "license_id", "n_shingles", "n_found", share)
 

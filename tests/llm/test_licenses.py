@@ -57,3 +57,12 @@ def test_only_dataframe_functions(spark, rows):
 
 def test_a_window_twice_as_long_is_found_almost_surely():
     assert 1 - (1 - licenses.LEAST) ** licenses.BANDS > 0.9999
+
+
+def test_bodies_and_other_wordings(spark):
+    apache = " ".join((licenses._TEXTS / "Apache-2.0.txt").read_text().split("END OF TERMS")[0].split()[12:])
+    mit = (licenses._TEXTS / "MIT.txt").read_text().replace("persons", "people").replace("sublicense", "sub-license")
+    rows = [(1, "This project is licensed under the MIT License."), (2, "before " + apache + " after"), (3, mit), (4, "Licensed under CC BY-NC 4.0"), (5, "We deal in software.")]
+    got = {(i, name) for i, name, *_ in found(licenses.scan_documents(spark.createDataFrame(rows, "doc_id long, text string")))}
+    assert {(1, "MIT licensed"), (2, "Apache-2.0 terms"), (3, "MIT terms")} <= got
+    assert {x for x in got if x[0] in (4, 5)} == {(4, "CC-BY-NC-4.0")}
