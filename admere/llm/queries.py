@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from admere.llm import bpe, html_text, langid, licenses, lm, ngram_join, quality, source_mix, token_count, topk
+from admere.llm import bpe, html_text, langid, licenses, lm, ngram_join, quality, reputation, source_mix, token_count, topk
 from admere.llm.ship import ship
 from admere.session import prepare
 
@@ -161,3 +161,11 @@ SELECT doc_id, license_id, n AS n_shingles, c AS n_found, c / n AS containment F
 @query
 def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reputation.judge_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op11_url_filters"] = reputation.ORACLE

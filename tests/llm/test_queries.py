@@ -22,6 +22,7 @@ COLUMNS = {
     "op8_source_mix": "doc_id size source_size target taken",
     "op9_byte_bpe": "doc_id n_tokens ids_sha256 decoded_sha256",
     "op10_token_counts": "doc_id n_bytes n_tokens over_limit",
+    "op11_url_filters": "page_id host path rule verdict",
 }
 
 
