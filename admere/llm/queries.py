@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from admere.llm import bpe, html_text, langid, licenses, lm, ngram_join, quality, reputation, source_mix, token_count, topk
+from admere.llm import bpe, divergence, html_text, langid, licenses, lm, ngram_join, quality, reputation, source_mix, token_count, topk
 from admere.llm.ship import ship
 from admere.session import prepare
 
@@ -169,3 +169,11 @@ def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op11_url_filters"] = reputation.ORACLE
+
+
+@query
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_source_divergence"] = divergence.ORACLE
