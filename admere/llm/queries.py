@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from admere.llm import bpe, divergence, html_text, langid, licenses, lm, ngram_join, quality, reputation, source_mix, token_count, topk
+from admere.llm import bpe, divergence, html_text, langid, licenses, lm, ngram_join, phrases, quality, reputation, source_mix, token_count, topk
 from admere.llm.ship import ship
 from admere.session import prepare
 
@@ -177,3 +177,11 @@ def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op13_source_divergence"] = divergence.ORACLE
+
+
+@query
+def op12_phrase_mining(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_phrase_mining"] = phrases.ORACLE
