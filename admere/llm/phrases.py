@@ -1,8 +1,9 @@
 """Phrases whose words stand together more often than chance, by Toivonen's sampling method.
 
 A phrase is frequent if it occurs ``SUPPORT`` times in its language; every part of a frequent phrase is
-frequent. A sample of the documents is mined level by level with a lowered support and
-proposes phrases. One full pass then counts the proposals and their negative border exactly: a run of
+frequent. A sample is mined level by level with a lowered support and proposes phrases; it draws
+pieces of text between punctuation, not documents, so that a phrase repeated in one document is drawn like any
+other. One full pass then counts the proposals and their negative border exactly: a run of
 words is counted if its first words and its last words (all but one) are both proposed, so the border
 is never listed, only met in the texts. If a phrase of the border turns out to be frequent, what it
 opens is counted by a further full pass, until a pass finds nothing that was not proposed.
@@ -28,15 +29,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from admere.llm.spans import Codes, gather, grouped, lowered, same
-from admere.llm.text import hashes, mix, runs, tidy
+from admere.llm.spans import STEP, Codes, gather, grouped, lowered, same
+from admere.llm.text import hashes, mix, pieces, runs, tidy
 from admere.session import release, stable
 
 #: Words of a phrase at most, occurrences at least, share (in percent) of a part's occurrences within
 #: a longer phrase that makes the part redundant, and phrases listed per language.
 LONGEST, SUPPORT, PART, TOP = 5, 100, 100, 2000
 
-#: One document in so many is in the sample; the lowered support is so many standard deviations
+#: One piece of text in so many is in the sample; the lowered support is so many standard deviations
 #: below the mean of a phrase that occurs ``SUPPORT`` times.
 RATE, DEVIATIONS = 4, 3.0
 
@@ -46,8 +47,8 @@ BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 29
 #: Languages whose totals are broadcast at most.
 BROADCAST_ROWS = 50_000
 
-#: Rows of an Arrow batch that goes back.
-ROWS = 1 << 16
+#: Rows of an Arrow batch that goes back, and bytes of text counted together.
+ROWS, TEXTS = 1 << 16, 1 << 22
 
 _KEYS = [f"w{k}" for k in range(1, LONGEST + 1)]
 _SCHEMA = "lang string, word string, " + ", ".join(f"{k} long" for k in _KEYS) + ", n long"
@@ -116,15 +117,15 @@ def words(column: pa.Array, salt: int = 0) -> tuple[np.ndarray, ...]:
         if len(start):
             before = np.cumsum(cut)[start]
             fresh = np.r_[False, (before[1:] != before[:-1]) | (text[1:] != text[:-1])]
-            number = piece + 1 + np.cumsum(fresh)
+            number = (piece + 1 + np.cumsum(fresh)).astype(np.int32)
             piece = int(number[-1])
-            parts.append((data, start + offset, end + offset, hashes(order[data], start, end), text + first, number))
+            parts.append((data, start + offset, end + offset, hashes(order[data], start, end), (text + first).astype(np.int32), number))
         else:
-            parts.append((data, start, end, np.zeros(0, np.uint64), text, start))
+            parts.append((data, start, end, np.zeros(0, np.uint64), text.astype(np.int32), start.astype(np.int32)))
         offset += len(data)
     if not parts:
         none = np.zeros(0, np.int64)
-        return np.zeros(0, np.uint8), none, none, np.zeros(0, np.uint64), none, none
+        return np.zeros(0, np.uint8), none, none, np.zeros(0, np.uint64), none.astype(np.int32), none.astype(np.int32)
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
@@ -134,11 +135,11 @@ def _counted(batches: Iterator[pa.RecordBatch], levels: range, gate: Proposals |
     A phrase is admitted if its first words and its last words are proposed; a single word always is. Words
     come with their text, and the words of each language are counted in a row without any.
     """
-    for held in grouped(batches, 1):
+    for held in grouped(batches, 1, TEXTS):
         codes = Codes()
         code = codes.number([v for b in held for v in b.column(0).to_pylist()])
         data, start, end, word, text, piece = words(pa.concat_arrays([b.column(1) for b in held]), salt)
-        lang = code[text]
+        lang = code[text].astype(np.int32)
         names, seeds = pa.array(codes.values, pa.string()), _lang_hashes(codes.values)
 
         def rows(at: np.ndarray, size: int, n: np.ndarray, texts: pa.Array | None = None) -> Iterator[pa.RecordBatch]:
@@ -246,6 +247,29 @@ def _phrases(table: DataFrame) -> DataFrame:
     return table.filter(F.col("w1").isNotNull())
 
 
+def _sampled(batches: Iterator[pa.RecordBatch], rate: int) -> Iterator[pa.RecordBatch]:
+    """Texts with one piece in ``rate`` left, drawn by a hash of the row's seed and the piece's place."""
+    for batch in batches:
+        seeds = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
+        for first, end, data, bounds in pieces(batch.column(1), STEP):
+            fresh = _BREAK[data]
+            size = np.diff(bounds)
+            fresh[bounds[:-1][size > 0]] = True
+            piece = np.cumsum(fresh) - 1
+            at = np.flatnonzero(fresh)
+            text = np.searchsorted(bounds, at, "right") - 1
+            drawn = mix(seeds[first:end][text] + mix((at - bounds[text]).astype(np.uint64))) % np.uint64(rate) == 0
+            taken = drawn[piece] if len(piece) else np.zeros(0, bool)
+            ends = np.r_[0, np.cumsum(taken)][bounds].astype(np.int64)
+            texts = pa.LargeStringArray.from_buffers(end - first, pa.py_buffer(ends), pa.py_buffer(data[taken]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, end - first), texts.cast(pa.string())], names=["lang", "text"])
+
+
+def draw(texts: DataFrame, seed: Column, rate: int = RATE) -> DataFrame:
+    """A sample of the pieces of ``texts`` (``lang``, ``text``); rows of different seeds are drawn independently."""
+    return texts.select("lang", "text", seed.alias("seed")).mapInArrow(lambda b: _sampled(b, rate), "lang string, text string")
+
+
 def proposals(sample: DataFrame, support: int, longest: int, salt: int = 0) -> DataFrame:
     """Phrases of less than ``longest`` words with ``support`` occurrences in the sample, level by level."""
     spark, found, gate = sample.sparkSession, None, None
@@ -306,9 +330,9 @@ def collocations(
     """The best phrases of each language: ``lang``, ``rank``, ``phrase``, its count ``a``, those of its two parts ``l`` and ``r``, the words ``n`` and ``score``."""
     if not 2 <= longest <= LONGEST:
         raise ValueError(f"phrases have 2 to {LONGEST} words")
-    texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(text, F.lit("")).alias("text"))
-    drawn = F.pmod(F.xxhash64(F.col(id), F.col(text)), F.lit(rate)) == 0
-    sample = stable(texts.where(drawn))
+    read = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.coalesce(text, F.lit("")).alias("text"), F.xxhash64(id, text).alias("seed"))
+    texts = read.drop("seed")
+    sample = stable(draw(read, F.col("seed"), rate))
     salt = 0
     while True:
         every, _ = frequent(texts, sample, support, longest, rate, salt)
