@@ -5,8 +5,10 @@ frequent. A sample is mined level by level with a lowered support and proposes p
 pieces of text between punctuation, not documents, so that a phrase repeated in one document is drawn like any
 other. One full pass then counts the proposals and their negative border exactly: a run of
 words is counted if its first words and its last words (all but one) are both proposed, so the border
-is never listed, only met in the texts. If a phrase of the border turns out to be frequent, what it
-opens is counted by a further full pass, until a pass finds nothing that was not proposed.
+is never listed, only met in the texts. If a phrase of the border turns out to be frequent, a further full
+pass counts what it opens: every run not counted yet whose first and last words are proposed, frequent or
+opened themselves. All frequent phrases are counted then: the parts of one that is not counted in the first pass are
+frequent, so each is proposed by now or opened as well.
 
 Proposals reach the tasks as a bitmap of at most ``MOST_BITS`` bits, sized by their number. A
 false positive counts a phrase that need not be counted and changes no result. Words are 64-bit
@@ -26,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,9 +40,9 @@ from admere.session import release, stable
 #: a longer phrase that makes the part redundant, and phrases listed per language.
 LONGEST, SUPPORT, PART, TOP = 5, 100, 100, 2000
 
-#: One piece of text in so many is in the sample; the lowered support is so many standard deviations
+#: One piece of text in so many is in the sample, of so many bytes at most; the lowered support is so many standard deviations
 #: below the mean of a phrase that occurs ``SUPPORT`` times.
-RATE, DEVIATIONS = 4, 3.0
+RATE, SEGMENT, DEVIATIONS = 4, 192, 3.0
 
 #: Bits of the bitmap of proposals: for each proposal, at least and at most (64 MB).
 BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 29
@@ -47,11 +50,11 @@ BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 29
 #: Languages whose totals are broadcast at most.
 BROADCAST_ROWS = 50_000
 
-#: Rows of an Arrow batch that goes back, and bytes of text counted together.
-ROWS, TEXTS = 1 << 16, 1 << 22
+#: Rows of an Arrow batch that goes back, bytes of text counted together, and rows added up together.
+ROWS, TEXTS, TOTAL_ROWS = 1 << 16, 1 << 22, 1 << 18
 
 _KEYS = [f"w{k}" for k in range(1, LONGEST + 1)]
-_SCHEMA = "lang string, word string, " + ", ".join(f"{k} long" for k in _KEYS) + ", n long"
+_COUNTS = "lang string, word string, " + ", ".join(f"{k} long" for k in _KEYS) + ", n long"
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -132,8 +135,9 @@ def words(column: pa.Array, salt: int = 0) -> tuple[np.ndarray, ...]:
 def _counted(batches: Iterator[pa.RecordBatch], levels: range, gate: Proposals | None, before: Proposals | None, salt: int) -> Iterator[pa.RecordBatch]:
     """Counts of the phrases of ``levels`` words that ``gate`` admits and ``before`` did not.
 
-    A phrase is admitted if its first words and its last words are proposed; a single word always is. Words
-    come with their text, and the words of each language are counted in a row without any.
+    A phrase is admitted if its first words and its last words are proposed; a single word always is. With
+    ``before``, a phrase it did not admit counts as proposed for longer ones. Words come with their
+    text, and the words of each language are counted in a row without any.
     """
     for held in grouped(batches, 1, TEXTS):
         codes = Codes()
@@ -142,15 +146,15 @@ def _counted(batches: Iterator[pa.RecordBatch], levels: range, gate: Proposals |
         lang = code[text].astype(np.int32)
         names, seeds = pa.array(codes.values, pa.string()), _lang_hashes(codes.values)
 
-        def rows(at: np.ndarray, size: int, n: np.ndarray, texts: pa.Array | None = None) -> Iterator[pa.RecordBatch]:
+        def rows(at: np.ndarray, keys: np.ndarray, size: int, n: np.ndarray, texts: pa.Array | None = None) -> Iterator[pa.RecordBatch]:
             for a in range(0, len(at), ROWS):
                 some = at[a : a + ROWS]
                 none = pa.nulls(len(some), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [names.take(pa.array(lang[some])), texts.slice(a, ROWS) if texts is not None else pa.nulls(len(some), pa.string())]
+                    [pa.array(keys[a : a + ROWS].view(np.int64)), names.take(pa.array(lang[some])), texts.slice(a, ROWS) if texts is not None else pa.nulls(len(some), pa.string())]
                     + [pa.array(word[some + k].view(np.int64)) if k < size else none for k in range(LONGEST)]
                     + [pa.array(n[a : a + ROWS])],
-                    names=["lang", "word", *_KEYS, "n"],
+                    names=["key", "lang", "word", *_KEYS, "n"],
                 )
 
         if not len(word):
@@ -159,11 +163,11 @@ def _counted(batches: Iterator[pa.RecordBatch], levels: range, gate: Proposals |
         if 1 in levels:
             order, first = same(key)
             lead = order[first]
-            yield from rows(lead, 1, np.diff(np.r_[first, len(order)]), gather(data, start[lead], end[lead]))
+            yield from rows(lead, key[lead], 1, np.diff(np.r_[first, len(order)]), gather(data, start[lead], end[lead]))
             totals = np.bincount(lang, minlength=len(names))
             at = np.flatnonzero(totals)
             order, first = same(lang)
-            yield from rows(order[first], 0, totals[at])
+            yield from rows(order[first], mix(~seeds[at]), 0, totals[at])
         del data, start, end, text
         # where a proposed phrase of the level before starts
         proposed = gate.holds(key) if gate and levels[-1] > 1 else None
@@ -181,7 +185,7 @@ def _counted(batches: Iterator[pa.RecordBatch], levels: range, gate: Proposals |
             key, last = np.zeros(len(proposed) - 1, np.uint64), len(proposed) - 1
             key[at] = keys
             proposed = np.zeros(last, bool)
-            proposed[at] = gate.holds(keys)
+            proposed[at] = gate.holds(keys) | fresh if before else gate.holds(keys)
             if before:
                 old, counted = ~fresh, np.zeros(last, bool)
                 counted[at[old]] = before.holds(keys[old])
@@ -198,16 +202,54 @@ def _distinct(at: np.ndarray, keys: np.ndarray, size: int, word: np.ndarray, lan
         fresh[1:] |= word[at[1:] + k] != word[at[:-1] + k]
     fresh[1:] |= lang[at[1:]] != lang[at[:-1]]
     first = np.flatnonzero(fresh)
-    yield from rows(at[first], size, np.diff(np.r_[first, len(at)]))
+    yield from rows(at[first], keys[order[first]], size, np.diff(np.r_[first, len(at)]))
 
 
-def _count(texts: DataFrame, levels: range, gate=None, before=None, salt: int = 0) -> DataFrame:
-    """Exact counts over all rows of ``texts``, per language and phrase; bitmaps are broadcast variables."""
+def _totals(batches: Iterator[pa.RecordBatch], support: int) -> Iterator[pa.RecordBatch]:
+    """Phrases that occur ``support`` times, from counts sorted by key.
+
+    Few keys reach the support; only their rows are told apart by language and words.
+    """
+
+    def whole() -> Iterator[pa.Table]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size < TOTAL_ROWS:
+                continue
+            table = pa.Table.from_batches(held)
+            key = table.column("key").to_numpy()
+            other = np.flatnonzero(key != key[-1])
+            cut = int(other[-1]) + 1 if len(other) else 0
+            if cut:
+                yield table.slice(0, cut)
+            held = table.slice(cut).combine_chunks().to_batches()
+            size -= cut
+        if held:
+            yield pa.Table.from_batches(held)
+
+    for table in whole():
+        key, n = table.column("key").to_numpy(), table.column("n").to_numpy()
+        if not len(key):
+            continue
+        first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+        many = np.repeat(np.add.reduceat(n, first) >= support, np.diff(np.r_[first, len(key)]))
+        if many.any():
+            found = table.take(pa.array(np.flatnonzero(many))).group_by(["lang", "word", *_KEYS]).aggregate([("n", "sum")])
+            found = found.filter(pc.greater_equal(found.column("n_sum"), support)).rename_columns({"n_sum": "n"})
+            yield from found.select(["lang", "word", *_KEYS, "n"]).to_batches()
+    tidy()
+
+
+def _count(texts: DataFrame, levels: range, support: int, gate=None, before=None, salt: int = 0) -> DataFrame:
+    """Phrases with ``support`` occurrences in all rows of ``texts``, counted exactly; bitmaps are broadcast variables."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _counted(batches, levels, gate and Proposals(gate.value), before and Proposals(before.value), salt)
 
-    return texts.mapInArrow(scan, _SCHEMA).groupBy("lang", "word", *_KEYS).agg(F.sum("n").alias("n"))
+    counted = texts.mapInArrow(scan, "key long, " + _COUNTS).repartition("key").sortWithinPartitions("key")
+    return counted.mapInArrow(lambda b: _totals(b, support), _COUNTS)
 
 
 def _places(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -248,13 +290,25 @@ def _phrases(table: DataFrame) -> DataFrame:
 
 
 def _sampled(batches: Iterator[pa.RecordBatch], rate: int) -> Iterator[pa.RecordBatch]:
-    """Texts with one piece in ``rate`` left, drawn by a hash of the row's seed and the piece's place."""
+    """Texts with one piece in ``rate`` left, drawn by a hash of the row's seed and the piece's place.
+
+    Pieces longer than ``SEGMENT`` bytes are drawn in parts.
+    """
     for batch in batches:
         seeds = batch.column(2).to_numpy(zero_copy_only=False).view(np.uint64)
         for first, end, data, bounds in pieces(batch.column(1), STEP):
             fresh = _BREAK[data]
             size = np.diff(bounds)
             fresh[bounds[:-1][size > 0]] = True
+            # long pieces are cut at a space, where a break takes its place
+            at = np.flatnonzero(fresh)
+            space = np.flatnonzero(_SPACE[data] & ~fresh)
+            start = at[np.searchsorted(at, space, "right") - 1]
+            part = (space - start) // SEGMENT
+            late = part > np.where(np.r_[False, start[1:] == start[:-1]], np.r_[0, part[:-1]], 0)
+            fresh[space[late]] = True
+            data = data.copy()
+            data[space[late]] = 10
             piece = np.cumsum(fresh) - 1
             at = np.flatnonzero(fresh)
             text = np.searchsorted(bounds, at, "right") - 1
@@ -274,7 +328,7 @@ def proposals(sample: DataFrame, support: int, longest: int, salt: int = 0) -> D
     """Phrases of less than ``longest`` words with ``support`` occurrences in the sample, level by level."""
     spark, found, gate = sample.sparkSession, None, None
     for size in range(1, longest):
-        level = stable(_phrases(_count(sample, range(size, size + 1), gate, salt=salt)).filter(F.col("n") >= support).select("lang", *_KEYS))
+        level = stable(_phrases(_count(sample, range(size, size + 1), support, gate, salt=salt)).select("lang", *_KEYS))
         n = level.count()
         found = level if found is None else found.union(level)
         if not n or size == longest - 1:
@@ -293,20 +347,16 @@ def frequent(texts: DataFrame, sample: DataFrame, support: int = SUPPORT, longes
     spark = texts.sparkSession
     proposed = proposals(sample, lowered_support(support, rate), longest, salt)
     size = bitmap_size(proposed.count())
-    bits, before, passes, every = _bitmap(proposed, size), None, 0, None
-    while True:
-        gate = spark.sparkContext.broadcast(bits)
-        levels = range(2, longest + 1) if before else range(1, longest + 1)
-        found = stable(_count(texts, levels, gate, before, salt).filter(F.col("n") >= support))
-        passes += 1
-        every = found if every is None else every.union(found)
-        # The border's failures: frequent, able to grow, not proposed.
-        grown = _phrases(found).filter(F.col(f"w{longest}").isNull()).select("lang", *_KEYS)
-        failed = stable(grown.join(proposed, _equal(grown, proposed), "left_anti"))
-        if not failed.count():
-            return every, passes
-        proposed = proposed.union(failed)
-        before, bits = gate, bits | _bitmap(failed, size)
+    bits = _bitmap(proposed, size)
+    gate = spark.sparkContext.broadcast(bits)
+    found = stable(_count(texts, range(1, longest + 1), support, gate, salt=salt))
+    # The border's failures: frequent, able to grow, not proposed.
+    grown = _phrases(found).filter(F.col(f"w{longest}").isNull()).select("lang", *_KEYS)
+    failed = stable(grown.join(proposed, _equal(grown, proposed), "left_anti"))
+    if not failed.count():
+        return found, 1
+    wider = spark.sparkContext.broadcast(bits | _bitmap(failed, size))
+    return found.union(stable(_count(texts, range(2, longest + 1), support, wider, gate, salt))), 2
 
 
 def _equal(a: DataFrame, b: DataFrame) -> Column:
