@@ -3,14 +3,15 @@
 A phrase is frequent if it occurs ``SUPPORT`` times in its language; every part of a frequent phrase is
 frequent. A sample is mined level by level with a lowered support and proposes phrases; it draws
 pieces of text between punctuation, not documents, so that a phrase repeated in one document is drawn like any
-other. One full pass then counts the proposals and their negative border exactly: a run of
+other. One full pass then counts the proposals and their negative border: a run of
 words is counted if its first words and its last words (all but one) are both proposed, so the border
-is never listed, only met in the texts. If a phrase of the border turns out to be frequent, a further full
-pass counts what it opens: every run not counted yet whose first and last words are proposed, frequent or
-opened themselves. All frequent phrases are counted then: the parts of one that is not counted in the first pass are
-frequent, so each is proposed by now or opened as well.
+is never listed, only met in the texts. This pass adds up by 64-bit hash of the phrase, which counts no
+phrase too low. The second full pass counts exactly, by the words themselves, what reached the support; and
+where a phrase of the border turned out to be frequent, all it opens: every run not counted yet whose first
+and last words are proposed, frequent or opened themselves. No third pass is needed: the parts of a frequent
+phrase that the first pass did not count are frequent, so each of them is proposed by now or opened as well.
 
-Proposals reach the tasks as a bitmap of at most ``MOST_BITS`` bits, sized by their number. A
+Sets of phrases reach the tasks as bitmaps of at most ``MOST_BITS`` bits, sized by their number. A
 false positive counts a phrase that need not be counted and changes no result. Words are 64-bit
 hashes inside phrases, and a phrase is the list of its words' hashes; words are counted by
 their text, and if two words that occur ``SUPPORT`` times share a hash, all is counted again
@@ -44,8 +45,8 @@ LONGEST, SUPPORT, PART, TOP = 5, 100, 100, 2000
 #: below the mean of a phrase that occurs ``SUPPORT`` times.
 RATE, SEGMENT, DEVIATIONS = 4, 192, 3.0
 
-#: Bits of the bitmap of proposals: for each proposal, at least and at most (64 MB).
-BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 29
+#: Bits of a bitmap of phrases: for each phrase, at least and at most (32 MB).
+BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 28
 
 #: Languages whose totals are broadcast at most.
 BROADCAST_ROWS = 50_000
@@ -58,8 +59,8 @@ _COUNTS = "lang string, word string, " + ", ".join(f"{k} long" for k in _KEYS) +
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
-class Proposals:
-    """A bitmap of phrases: the keys that may be proposed."""
+class Phrases:
+    """A set of phrases as a bitmap of their keys, which may hold more than it should."""
 
     def __init__(self, bits: np.ndarray):
         self.bits = bits
@@ -132,19 +133,60 @@ def words(column: pa.Array, salt: int = 0) -> tuple[np.ndarray, ...]:
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
-def _counted(batches: Iterator[pa.RecordBatch], levels: range, gate: Proposals | None, before: Proposals | None, salt: int) -> Iterator[pa.RecordBatch]:
-    """Counts of the phrases of ``levels`` words that ``gate`` admits and ``before`` did not.
+def _runs(key: np.ndarray, word: np.ndarray, piece: np.ndarray, longest: int, gate: Phrases, before: Phrases | None) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Runs of 2 to ``longest`` words whose first and last words ``gate`` holds: size, places, keys, and which are opened.
 
-    A phrase is admitted if its first words and its last words are proposed; a single word always is. With
-    ``before``, a phrase it did not admit counts as proposed for longer ones. Words come with their
-    text, and the words of each language are counted in a row without any.
+    A run is opened if ``before`` held its first and last words not; an opened run counts as held for longer ones.
     """
+    # where a held phrase of the size before starts; where one that was held before does
+    held, old = gate.holds(key), before.holds(key) if before else None
+    for size in range(2, longest + 1):
+        at = np.flatnonzero(held[:-1] & held[1:] & (piece[: len(held) - 1] == piece[size - 1 :]))
+        if not len(at):
+            return
+        keys = _next_keys(key[at], word[at + size - 1])
+        opened = ~(old[at] & old[at + 1]) if before else np.zeros(len(at), bool)
+        yield size, at, keys, opened
+        if size == longest:
+            return
+        last = len(held) - 1
+        key, held = np.zeros(last, np.uint64), np.zeros(last, bool)
+        key[at], held[at] = keys, gate.holds(keys) | opened
+        if before:
+            old = np.zeros(last, bool)
+            old[at[~opened]] = before.holds(keys[~opened])
+
+
+def _texts(batches: Iterator[pa.RecordBatch], salt: int) -> Iterator[tuple]:
+    """Groups of texts: bytes, start, end, hash, piece and language number of each word, language names and hashes."""
     for held in grouped(batches, 1, TEXTS):
         codes = Codes()
-        code = codes.number([v for b in held for v in b.column(0).to_pylist()])
+        code = codes.number([v for b in held for v in b.column(0).to_pylist()]).astype(np.int32)
         data, start, end, word, text, piece = words(pa.concat_arrays([b.column(1) for b in held]), salt)
-        lang = code[text].astype(np.int32)
-        names, seeds = pa.array(codes.values, pa.string()), _lang_hashes(codes.values)
+        if len(word):
+            yield data, start, end, word, piece, code[text], codes.values, _lang_hashes(codes.values)
+    tidy()
+
+
+def _hashed(batches: Iterator[pa.RecordBatch], levels: range, gate: Phrases | None, salt: int) -> Iterator[pa.RecordBatch]:
+    """Counts by key of the phrases of ``levels`` words whose first and last words ``gate`` holds; single words always."""
+    for *_, word, piece, lang, _, seeds in _texts(batches, salt):
+        key = _first_keys(word, seeds[lang])
+        parts = [key] if 1 in levels else []
+        if levels[-1] > 1:
+            parts += [keys for size, _, keys, _ in _runs(key, word, piece, levels[-1], gate, None) if size in levels]
+        for keys in parts:
+            found, n = np.unique(keys, return_counts=True)
+            yield from pa.Table.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["key", "n"]).to_batches(ROWS)
+
+
+def _resolved(batches: Iterator[pa.RecordBatch], longest: int, gate: Phrases, before: Phrases, wanted: Phrases, salt: int) -> Iterator[pa.RecordBatch]:
+    """Counts by words of the phrases that ``wanted`` holds and of those that ``gate`` opens.
+
+    Words come with their text, and the words of each language are counted in a row without any.
+    """
+    for data, start, end, word, piece, lang, values, seeds in _texts(batches, salt):
+        names = pa.array(values, pa.string())
 
         def rows(at: np.ndarray, keys: np.ndarray, size: int, n: np.ndarray, texts: pa.Array | None = None) -> Iterator[pa.RecordBatch]:
             for a in range(0, len(at), ROWS):
@@ -157,39 +199,19 @@ def _counted(batches: Iterator[pa.RecordBatch], levels: range, gate: Proposals |
                     names=["key", "lang", "word", *_KEYS, "n"],
                 )
 
-        if not len(word):
-            continue
         key = _first_keys(word, seeds[lang])
-        if 1 in levels:
-            order, first = same(key)
-            lead = order[first]
-            yield from rows(lead, key[lead], 1, np.diff(np.r_[first, len(order)]), gather(data, start[lead], end[lead]))
-            totals = np.bincount(lang, minlength=len(names))
-            at = np.flatnonzero(totals)
-            order, first = same(lang)
-            yield from rows(order[first], mix(~seeds[at]), 0, totals[at])
-        del data, start, end, text
-        # where a proposed phrase of the level before starts
-        proposed = gate.holds(key) if gate and levels[-1] > 1 else None
-        counted = before.holds(key) if before else None
-        for size in range(2, levels[-1] + 1):
-            at = np.flatnonzero(proposed[:-1] & proposed[1:] & (piece[: len(proposed) - 1] == piece[size - 1 :]))
-            if not len(at):
-                break
-            keys = _next_keys(key[at], word[at + size - 1])
-            fresh = ~(counted[at] & counted[at + 1]) if before else np.ones(len(at), bool)
-            if size in levels:
-                yield from _distinct(at[fresh], keys[fresh], size, word, lang, rows)
-            if size == levels[-1]:
-                break
-            key, last = np.zeros(len(proposed) - 1, np.uint64), len(proposed) - 1
-            key[at] = keys
-            proposed = np.zeros(last, bool)
-            proposed[at] = gate.holds(keys) | fresh if before else gate.holds(keys)
-            if before:
-                old, counted = ~fresh, np.zeros(last, bool)
-                counted[at[old]] = before.holds(keys[old])
-        tidy()
+        order, first = same(key)
+        n, lead = np.diff(np.r_[first, len(order)]), order[first]
+        some = wanted.holds(key[lead])
+        n, lead = n[some], lead[some]
+        yield from rows(lead, key[lead], 1, n, gather(data, start[lead], end[lead]))
+        order, first = same(lang)
+        at = lang[order[first]]
+        yield from rows(order[first], mix(~seeds[at]), 0, np.diff(np.r_[first, len(order)]))
+        del data, start, end
+        for size, at, keys, opened in _runs(key, word, piece, longest, gate, before):
+            some = opened | wanted.holds(keys)
+            yield from _distinct(at[some], keys[some], size, word, lang, rows)
 
 
 def _distinct(at: np.ndarray, keys: np.ndarray, size: int, word: np.ndarray, lang: np.ndarray, rows) -> Iterator[pa.RecordBatch]:
@@ -242,33 +264,33 @@ def _totals(batches: Iterator[pa.RecordBatch], support: int) -> Iterator[pa.Reco
     tidy()
 
 
-def _count(texts: DataFrame, levels: range, support: int, gate=None, before=None, salt: int = 0) -> DataFrame:
-    """Phrases with ``support`` occurrences in all rows of ``texts``, counted exactly; bitmaps are broadcast variables."""
+def _shared(value):
+    """A broadcast bitmap as a set, on the executor."""
+    return value and Phrases(value.value)
+
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _counted(batches, levels, gate and Proposals(gate.value), before and Proposals(before.value), salt)
+def hash_counts(texts: DataFrame, levels: range, support: int, gate=None, salt: int = 0) -> DataFrame:
+    """Keys of the phrases of ``levels`` words that occur ``support`` times or more; ``gate`` is a broadcast bitmap."""
+    counted = texts.mapInArrow(lambda b: _hashed(b, levels, _shared(gate), salt), "key long, n long")
+    return counted.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= support).select("key")
 
-    counted = texts.mapInArrow(scan, "key long, " + _COUNTS).repartition("key").sortWithinPartitions("key")
-    return counted.mapInArrow(lambda b: _totals(b, support), _COUNTS)
+
+def exact_counts(texts: DataFrame, longest: int, support: int, gate, before, wanted, salt: int = 0) -> DataFrame:
+    """Phrases that occur ``support`` times, counted by their words; see :func:`_resolved`."""
+    counted = texts.mapInArrow(lambda b: _resolved(b, longest, _shared(gate), _shared(before), _shared(wanted), salt), "key long, " + _COUNTS)
+    return counted.repartition("key").sortWithinPartitions("key").mapInArrow(lambda b: _totals(b, support), _COUNTS)
 
 
 def _places(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
-    """The bits of phrases in a bitmap of ``size`` bits, by block of 2^15."""
+    """The bits of keys in a bitmap of ``size`` bits, by block of 2^15."""
     for batch in batches:
-        langs = _lang_hashes([v or "" for v in batch.column(0).to_pylist()])
-        lists = [batch.column(1 + k) for k in range(LONGEST)]
-        present = [np.asarray(c.is_valid()) for c in lists]
-        value = [c.fill_null(0).to_numpy(zero_copy_only=False).view(np.uint64) for c in lists]
-        key = _first_keys(value[0], langs)
-        for k in range(1, LONGEST):
-            key = np.where(present[k], _next_keys(key, value[k]), key)
-        spot = np.concatenate(Proposals.spots(key, size))
+        spot = np.concatenate(Phrases.spots(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), size))
         yield pa.RecordBatch.from_arrays([pa.array((spot >> 15).astype(np.int64)), pa.array((spot & 32767).astype(np.int64))], names=["block", "bit"])
 
 
-def _bitmap(phrases: DataFrame, size: int) -> np.ndarray:
-    """The bitmap of a table of phrases; the driver gets ``size`` bits, whatever their number."""
-    blocks = phrases.select("lang", *_KEYS).mapInArrow(lambda b: _places(b, size), "block long, bit long")
+def _bitmap(keys: DataFrame, size: int) -> np.ndarray:
+    """The bitmap of a table of keys; the driver gets ``size`` bits, whatever their number."""
+    blocks = keys.mapInArrow(lambda b: _places(b, size), "block long, bit long")
     out = np.zeros(size // 8, np.uint8)
     for row in blocks.groupBy("block").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():
         out[row["block"] * 4096 : row["block"] * 4096 + 4096] |= np.frombuffer(row["bits"], np.uint8)
@@ -285,10 +307,6 @@ def lowered_support(support: int, rate: int = RATE, deviations: float = DEVIATIO
     return max(1, math.floor(mean - deviations * math.sqrt(mean)))
 
 
-def _phrases(table: DataFrame) -> DataFrame:
-    return table.filter(F.col("w1").isNotNull())
-
-
 def _sampled(batches: Iterator[pa.RecordBatch], rate: int) -> Iterator[pa.RecordBatch]:
     """Texts with one piece in ``rate`` left, drawn by a hash of the row's seed and the piece's place.
 
@@ -325,45 +343,32 @@ def draw(texts: DataFrame, seed: Column, rate: int = RATE) -> DataFrame:
 
 
 def proposals(sample: DataFrame, support: int, longest: int, salt: int = 0) -> DataFrame:
-    """Phrases of less than ``longest`` words with ``support`` occurrences in the sample, level by level."""
+    """Keys of phrases of less than ``longest`` words with ``support`` occurrences in the sample, level by level."""
     spark, found, gate = sample.sparkSession, None, None
     for size in range(1, longest):
-        level = stable(_phrases(_count(sample, range(size, size + 1), support, gate, salt=salt)).select("lang", *_KEYS))
-        n = level.count()
+        level = stable(hash_counts(sample, range(size, size + 1), support, gate, salt))
         found = level if found is None else found.union(level)
-        if not n or size == longest - 1:
-            break
-        if gate:
-            gate.unpersist()
+        if size == longest - 1 or not level.count():
+            return found
         gate = spark.sparkContext.broadcast(_bitmap(found, bitmap_size(found.count())))
     return found
 
 
 def frequent(texts: DataFrame, sample: DataFrame, support: int = SUPPORT, longest: int = LONGEST, rate: int = RATE, salt: int = 0) -> tuple[DataFrame, int]:
-    """All phrases of ``texts`` (``lang``, ``text``) with ``support`` occurrences, counted exactly; and the full passes taken.
+    """All phrases of ``texts`` (``lang``, ``text``) with ``support`` occurrences, counted exactly; and the border's failures.
 
     Rows without words hold the number of words of a language.
     """
-    spark = texts.sparkSession
+    share = texts.sparkSession.sparkContext.broadcast
     proposed = proposals(sample, lowered_support(support, rate), longest, salt)
     size = bitmap_size(proposed.count())
     bits = _bitmap(proposed, size)
-    gate = spark.sparkContext.broadcast(bits)
-    found = stable(_count(texts, range(1, longest + 1), support, gate, salt=salt))
-    # The border's failures: frequent, able to grow, not proposed.
-    grown = _phrases(found).filter(F.col(f"w{longest}").isNull()).select("lang", *_KEYS)
-    failed = stable(grown.join(proposed, _equal(grown, proposed), "left_anti"))
-    if not failed.count():
-        return found, 1
-    wider = spark.sparkContext.broadcast(bits | _bitmap(failed, size))
-    return found.union(stable(_count(texts, range(2, longest + 1), support, wider, gate, salt))), 2
-
-
-def _equal(a: DataFrame, b: DataFrame) -> Column:
-    found = a["lang"] == b["lang"]
-    for k in _KEYS:
-        found = found & a[k].eqNullSafe(b[k])
-    return found
+    gate = share(bits)
+    many = stable(hash_counts(texts, range(1, longest + 1), support, gate, salt))
+    failures = many.join(proposed, "key", "left_anti").count()
+    wider = share(bits | _bitmap(many, size))
+    wanted = share(_bitmap(many, bitmap_size(many.count())))
+    return exact_counts(texts, longest, support, wider, gate, wanted, salt), failures
 
 
 def collocations(

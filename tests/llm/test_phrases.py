@@ -95,15 +95,15 @@ def test_sql_and_odd_rows(spark):
         phrases.collocations(frame(spark, ODD), longest=6)
 
 
-def test_border_failures_trigger_further_passes(spark):
+def test_border_failures_are_opened(spark):
     docs = corpus()
     texts = frame(spark, docs).selectExpr("coalesce(lang, 'und') AS lang", "text")
     nothing, everything = texts.limit(0), texts
-    rows, passes = phrases.frequent(texts, nothing, 8)
+    rows, failures = phrases.frequent(texts, nothing, 8)
     same, few = phrases.frequent(texts, everything, 8, rate=1)
     key = ["lang", "w1", "w2", "w3", "w4", "w5", "n"]
     assert sorted(map(tuple, rows.select(key).fillna(0).collect())) == sorted(map(tuple, same.select(key).fillna(0).collect()))
-    assert (few, passes) == (1, 2)
+    assert failures > 50 and few <= sum(r["w5"] is not None for r in same.collect())  # runs of five words are never proposed
 
 
 def test_the_sample_draws_whole_pieces_independently(spark):
@@ -140,9 +140,9 @@ def test_bitmap_holds_all_and_little_else():
     rng = np.random.default_rng(1)
     keys, size = rng.integers(0, 2**63, 60_000, dtype=np.uint64), phrases.bitmap_size(60_000)
     bits = np.zeros(size // 8, np.uint8)
-    for spot in phrases.Proposals.spots(keys, size):
+    for spot in phrases.Phrases.spots(keys, size):
         np.bitwise_or.at(bits, spot >> 3, (1 << (spot & 7)).astype(np.uint8))
-    held = phrases.Proposals(bits)
+    held = phrases.Phrases(bits)
     assert held.holds(keys).all() and held.holds(rng.integers(0, 2**63, 60_000, dtype=np.uint64)).mean() < 0.05
     assert phrases.bitmap_size(0) == phrases.LEAST_BITS and phrases.bitmap_size(10**12) == phrases.MOST_BITS
 
