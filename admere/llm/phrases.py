@@ -51,8 +51,9 @@ BITS_EACH, LEAST_BITS, MOST_BITS = 16, 1 << 20, 1 << 28
 #: Languages whose totals are broadcast at most.
 BROADCAST_ROWS = 50_000
 
-#: Rows of an Arrow batch that goes back, bytes of text counted together, and rows added up together.
-ROWS, TEXTS, TOTAL_ROWS = 1 << 16, 1 << 22, 1 << 18
+#: Rows of an Arrow batch that goes back, bytes of text counted together, rows added up together,
+#: and rows of exact counts a task holds back to add them up.
+ROWS, TEXTS, TOTAL_ROWS, HELD_ROWS = 1 << 16, 1 << 22, 1 << 18, 1 << 20
 
 _KEYS = [f"w{k}" for k in range(1, LONGEST + 1)]
 _COUNTS = "lang string, word string, " + ", ".join(f"{k} long" for k in _KEYS) + ", n long"
@@ -214,6 +215,27 @@ def _resolved(batches: Iterator[pa.RecordBatch], longest: int, gate: Phrases, be
             yield from _distinct(at[some], keys[some], size, word, lang, rows)
 
 
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of a task added up, so that a phrase found in each group of texts goes out once; at most some rows are held."""
+    held, size = [], 0
+
+    def added() -> list[pa.RecordBatch]:
+        table = pa.Table.from_batches(held).group_by(["key", "lang", "word", *_KEYS]).aggregate([("n", "sum")])
+        return table.rename_columns({"n_sum": "n"}).select(["key", "lang", "word", *_KEYS, "n"]).combine_chunks().to_batches(ROWS)
+
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size > HELD_ROWS:
+            found = added()
+            held, size = found, sum(b.num_rows for b in found)
+            if size > HELD_ROWS // 2:  # too many distinct ones
+                yield from held
+                held, size = [], 0
+    if held:
+        yield from added()
+
+
 def _distinct(at: np.ndarray, keys: np.ndarray, size: int, word: np.ndarray, lang: np.ndarray, rows) -> Iterator[pa.RecordBatch]:
     """One row per phrase at the places ``at``; phrases of one key but other words stay apart."""
     order, first = same(keys)
@@ -277,7 +299,7 @@ def hash_counts(texts: DataFrame, levels: range, support: int, gate=None, salt:
 
 def exact_counts(texts: DataFrame, longest: int, support: int, gate, before, wanted, salt: int = 0) -> DataFrame:
     """Phrases that occur ``support`` times, counted by their words; see :func:`_resolved`."""
-    counted = texts.mapInArrow(lambda b: _resolved(b, longest, _shared(gate), _shared(before), _shared(wanted), salt), "key long, " + _COUNTS)
+    counted = texts.mapInArrow(lambda b: _gathered(_resolved(b, longest, _shared(gate), _shared(before), _shared(wanted), salt)), "key long, " + _COUNTS)
     return counted.repartition("key").sortWithinPartitions("key").mapInArrow(lambda b: _totals(b, support), _COUNTS)
 
 
