@@ -45,15 +45,20 @@ def late_placeholders(facts: DataFrame, dimension: DataFrame, key: str, newest:
     return missing.groupBy(key).agg(F.max(dt).alias(dt), latest_by(source, *newest).alias(source))
 
 
+#: A node's links are told their least neighbour by a broadcast if it has more of them than this and than a
+#: share of all links. Fewer than twice as many nodes as the share says can pass it, so what is broadcast is bounded.
+HOT_DEGREE, HOT_SHARE = 64, 50_000
+
+
 def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -> DataFrame:
     """Component of every node as the smallest node name it is linked to.
 
     Alternates the large-star and small-star steps of the published map-reduce
     algorithm until no edge changes; the number of rounds grows with the logarithm
     of the component size. Each step is one minimum per node (partial on the map
-    side) joined back to its edges, so a node with very many neighbours is never
-    held by one task. The edge list never grows; each round is written and the one
-    before it deleted.
+    side) given back to its edges: by a broadcast to those of the few nodes with very many
+    neighbours, which then stay where they are, and by a join to all others. The edge list never
+    grows; each round is written and the one before it deleted.
     """
     nodes = edges.select(F.col(src).alias("node")).union(edges.select(F.col(dst).alias("node"))).distinct()
     links = stable(
@@ -63,8 +68,6 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
     )
     state = None
     while True:
-        before, links = links, stable(_small_star(_large_star(links)))
-        release(before)
         row = links.agg(
             F.count(F.lit(1)).alias("n"),
             F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h"),
@@ -72,41 +75,63 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
         if state == (row["n"], row["h"]):
             break
         state = (row["n"], row["h"])
+        degree = max(HOT_DEGREE, row["n"] // HOT_SHARE)
+        before, links = links, stable(_small_star(_large_star(links, degree), degree))
+        release(before)
     roots = links.groupBy("u").agg(F.min("v").alias("component"))
     return nodes.join(roots, F.col("node") == F.col("u"), "left").select(
         "node", F.coalesce("component", "node").alias("component")
     )
 
 
-def _large_star(links: DataFrame) -> DataFrame:
+def _with_least(pairs: DataFrame, least: DataFrame, degree: int) -> DataFrame:
+    """Add the ``root`` of ``n`` to pairs (``n``, ``m``); nodes of more than ``degree`` pairs are not shuffled."""
+    many = F.broadcast(least.filter(F.col("degree") > degree).select("n", F.struct("root").alias("__hot")))
+    told = pairs.join(many, "n", "left")
+    hot = told.filter(F.col("__hot").isNotNull()).select("n", "m", F.col("__hot.root").alias("root"))
+    cold = told.filter(F.col("__hot").isNull()).select("n", "m").join(least.filter(F.col("degree") <= degree).select("n", "root"), "n")
+    return hot.unionByName(cold)
+
+
+def _large_star(links: DataFrame, degree: int) -> DataFrame:
     """Link every larger neighbour of a node to the node's smallest neighbour."""
     both = links.select(F.col("u").alias("n"), F.col("v").alias("m")).union(
         links.select(F.col("v").alias("n"), F.col("u").alias("m"))
     )
-    least = both.groupBy("n").agg(F.least(F.col("n"), F.min("m")).alias("root"))
+    least = both.groupBy("n").agg(F.least(F.col("n"), F.min("m")).alias("root"), F.count(F.lit(1)).alias("degree"))
     return (
-        both.join(least, "n")
+        _with_least(both, least, degree)
         .filter(F.col("m") > F.col("n"))
         .select(F.col("m").alias("u"), F.col("root").alias("v"))
         .distinct()
     )
 
 
-def _small_star(links: DataFrame) -> DataFrame:
+def _small_star(links: DataFrame, degree: int) -> DataFrame:
     """Link a node and its smaller neighbours to the smallest of them."""
-    least = links.groupBy(F.col("u").alias("n")).agg(F.min("v").alias("root"))
-    moved = links.join(least, F.col("u") == F.col("n")).select(F.col("v").alias("u"), F.col("root").alias("v"))
+    pairs = links.select(F.col("u").alias("n"), F.col("v").alias("m"))
+    least = pairs.groupBy("n").agg(F.min("m").alias("root"), F.count(F.lit(1)).alias("degree"))
+    moved = _with_least(pairs, least, degree).select(F.col("m").alias("u"), F.col("root").alias("v"))
     own = least.select(F.col("n").alias("u"), F.col("root").alias("v"))
     return moved.union(own).filter(F.col("u") != F.col("v")).distinct()
 
 
 def people(customers: DataFrame, key: str = "customer_id", email: str = "email_hash", phone: str = "phone_hash") -> DataFrame:
     """Transitive identity: records linked by any chain of shared e-mails and phones."""
+    found = connected_components(record_links(customers, key, email, phone)).filter(F.col("node").startswith("c|"))
+    return _labelled(customers, found, key)
+
+
+def record_links(customers: DataFrame, key: str = "customer_id", email: str = "email_hash", phone: str = "phone_hash") -> DataFrame:
+    """Edges between records and the e-mails and phones they hold."""
+    record = F.concat(F.lit("c|"), F.col(key))
+    mail = customers.filter(F.col(email).isNotNull()).select(record.alias("src"), F.concat(F.lit("e|"), F.col(email)).alias("dst"))
+    call = customers.filter(F.col(phone).isNotNull()).select(record.alias("src"), F.concat(F.lit("p|"), F.col(phone)).alias("dst"))
+    return mail.union(call)
+
+
+def _labelled(customers: DataFrame, found: DataFrame, key: str) -> DataFrame:
     record = F.concat(F.lit("c|"), F.col(key))
-    edges = customers.filter(F.col(email).isNotNull()).select(record.alias("src"), F.concat(F.lit("e|"), F.col(email)).alias("dst")).union(
-        customers.filter(F.col(phone).isNotNull()).select(record.alias("src"), F.concat(F.lit("p|"), F.col(phone)).alias("dst"))
-    )
-    found = connected_components(edges).filter(F.col("node").startswith("c|"))
     return customers.select(key).join(
         found.select(F.substring("node", 3, 2_000_000_000).alias(key), "component"), key, "left"
     ).withColumn("component", F.coalesce("component", record))

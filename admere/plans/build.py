@@ -23,16 +23,25 @@ class Build:
         self.raw = read_landing(spark, landing)
         self.domains = internal_domains(spark, domains)
         self.tables: dict[str, DataFrame] = {}
+        #: Tables with versions, since daily loads change parts of them.
+        self.versioned = {
+            "stg_ga4_events": incremental.event_table(spark, self.path("stg_ga4_events")),
+            "stg_meta_ads": incremental.ad_table(spark, self.path("stg_meta_ads")),
+        }
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
     def write(self, name: str, df: DataFrame, partition: str | None = None, cluster: Sequence[str] = ()) -> DataFrame:
-        write_full(df, self.path(name), partition, cluster)
+        if name in self.versioned:
+            self.versioned[name].replace(df)
+        else:
+            write_full(df, self.path(name), partition, cluster)
         return self.load(name)
 
     def load(self, name: str) -> DataFrame:
-        self.tables[name] = self.spark.read.parquet(self.path(name))
+        table = self.versioned.get(name)
+        self.tables[name] = table.read() if table else self.spark.read.parquet(self.path(name))
         return self.tables[name]
 
     def silver(self, full_refresh: bool = True, answer: Callable | None = None, last_day: str | None = None) -> dict[str, DataFrame]:
@@ -48,13 +57,13 @@ class Build:
         self.write("stg_weather", staging.weather(raw["weather_daily"]))
         self.write("stg_creatives", staging.creatives(raw["creative_copy_raw"]))
         if full_refresh:
-            self.write("stg_meta_ads", staging.meta_ads(raw["meta_ads_insights_raw"], t["stg_fx_rates"]), "insight_date", ("campaign_id", "ad_id"))
+            self.write("stg_meta_ads", staging.meta_ads(raw["meta_ads_insights_raw"], t["stg_fx_rates"]))
             # Detectors read the landed rows, too.
             raw["ga4_events"] = land(raw["ga4_events"])
-            self.write("stg_ga4_events", staging.ga4_events(raw["ga4_events"], self.zone), "event_date", incremental.EVENT_CLUSTER)
+            self.write("stg_ga4_events", staging.ga4_events(raw["ga4_events"], self.zone))
         else:
-            incremental.load_meta_ads(raw["meta_ads_insights_raw"], t["stg_fx_rates"], self.path("stg_meta_ads"))
-            incremental.load_events(raw["ga4_events"], self.path("stg_ga4_events"), zone=self.zone)
+            incremental.load_meta_ads(raw["meta_ads_insights_raw"], t["stg_fx_rates"], self.versioned["stg_meta_ads"])
+            incremental.load_events(raw["ga4_events"], self.versioned["stg_ga4_events"], zone=self.zone)
             self.load("stg_meta_ads"), self.load("stg_ga4_events")
         self.write("int_customer_identity", conformed.customer_identity(t["stg_crm_customers"], t["stg_crm_orders"]))
         self.write("int_sessions", conformed.sessions(

@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from admere.operators import identity, matching, sessions, spread, versions
-from admere.plans import conformed, incremental, staging
+from admere.plans import conformed, identities, incremental, staging
 from admere.proofs.landing import Delivered, flat
 from admere.proofs.models import Chain
 from admere.proofs.registry import CTES, Tables, proof
 from admere.session import scratch_path
 from admere.sources import tables
+from admere.sources.versioned import VersionedTable
 
 CTES["latest_order"] = "SELECT DISTINCT ON (order_id) * FROM raw_orders ORDER BY order_id, updated_at DESC, dt DESC, source_file_name DESC"
 
@@ -183,6 +184,22 @@ def identity_components(t: Tables) -> DataFrame:
     return identity.people(Chain(t)["stg_crm_customers"])
 
 
+@proof(
+    "customer_id component",
+    """SELECT customer_id, coalesce(component, 'c|' || customer_id) AS component FROM z_customers LEFT JOIN (
+        WITH RECURSIVE pairs AS (SELECT DISTINCT x.a AS l, y.a AS r FROM z_nodes x JOIN z_nodes y ON x.b = y.b),
+        reach AS (SELECT DISTINCT l, l AS root FROM pairs UNION SELECT p.r, reach.root FROM reach JOIN pairs p ON p.l = reach.l)
+        SELECT substr(l, 3) AS customer_id, min(root) AS component FROM reach GROUP BY 1) USING (customer_id)""",
+)
+def identity_increment(t: Tables) -> DataFrame:
+    """Three deliveries of customers, each contracted onto the labels of those before."""
+    customers = Chain(t)["stg_crm_customers"]
+    labels = identities.Labels(t.spark, scratch_path(t.spark, "labels"))
+    for part in range(3):
+        identities.add_customers(labels, customers.filter(F.pmod(F.xxhash64("customer_id"), F.lit(3)) == part))
+    return identities.people_so_far(labels, customers)
+
+
 @proof("customer_id dt:d source_file_name", "SELECT customer_id, dt, source_file_name FROM z_identity WHERE is_placeholder")
 def late_dimension(t: Tables) -> DataFrame:
     c = Chain(t)
@@ -248,11 +265,30 @@ def lookback_window(t: Tables) -> DataFrame:
 )
 def upsert_merge(t: Tables) -> DataFrame:
     """Two daily loads give the table a full refresh gives."""
-    path = scratch_path(t.spark, "events")
+    table = incremental.event_table(t.spark, scratch_path(t.spark, "events"))
     raw = Delivered(t)["ga4_events"]
-    incremental.load_events(raw.filter(F.col("dt") <= F.lit("2024-01-15").cast("date")), path)
-    incremental.load_events(raw, path)
-    return t.spark.read.parquet(path)
+    incremental.load_events(raw.filter(F.col("dt") <= F.lit("2024-01-15").cast("date")), table)
+    incremental.load_events(raw, table)
+    return table.read()
+
+
+@proof(
+    "version:i day:d rows:i price:n2",
+    """SELECT 1 AS version, CAST(date_trunc('month', o_orderdate) AS DATE) AS day, count(*) AS rows, sum(o_totalprice) AS price
+    FROM (SELECT DISTINCT ON (o_custkey) * FROM orders WHERE o_orderkey % 3 = 0 ORDER BY o_custkey, o_orderkey DESC) GROUP BY 2
+    UNION ALL SELECT 2, CAST(date_trunc('month', o_orderdate) AS DATE), count(*), sum(o_totalprice)
+    FROM (SELECT DISTINCT ON (o_custkey) * FROM orders WHERE o_orderkey % 3 < 2 ORDER BY o_custkey, o_orderkey DESC) GROUP BY 2
+    UNION ALL SELECT 3, CAST(date_trunc('month', o_orderdate) AS DATE), count(*), sum(o_totalprice)
+    FROM (SELECT DISTINCT ON (o_custkey) * FROM orders ORDER BY o_custkey, o_orderkey DESC) GROUP BY 2""",
+)
+def upsert_versions(t: Tables) -> DataFrame:
+    """Three loads of each customer's latest order by month; every version is read after the last load."""
+    table = VersionedTable(t.spark, scratch_path(t.spark, "orders"), "day", [(["person"], None)])
+    rows = t.orders.select(F.col("o_custkey").alias("person"), F.col("o_totalprice").alias("price"), F.col("o_orderkey").alias("newest"), F.to_date(F.date_trunc("month", "o_orderdate")).alias("day"))
+    for part in range(3):
+        tables.upsert(rows.filter(F.col("newest") % 3 == part), table, ["person"], "day", ["newest"])
+    each = [table.read(v).select(F.lit(v).alias("version"), "day", "price") for v in table.versions()]
+    return each[0].union(each[1]).union(each[2]).groupBy("version", "day").agg(F.count(F.lit(1)).alias("rows"), F.sum("price").alias("price"))
 
 
 @proof(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from admere.proofs.registry import Tables, proof
 from admere.session import scratch_path
+from admere.sources.versioned import VersionedTable
 from admere.streaming import jobs
 
 
@@ -46,7 +47,7 @@ def stream_sessions(t: Tables) -> DataFrame:
 @proof("user_id:i day:d event_id:i value:n2", "SELECT DISTINCT ON (user_id, CAST(ts AS DATE)) user_id, CAST(ts AS DATE) AS day, event_id, value FROM events ORDER BY user_id, CAST(ts AS DATE), ts DESC, event_id DESC")
 def stream_upsert(t: Tables) -> DataFrame:
     """The latest event of a visitor and day restates the earlier ones."""
-    path = scratch_path(t.spark, "stream-upsert")
+    table = VersionedTable(t.spark, scratch_path(t.spark, "stream-upsert"), "day")
     rows = _event_stream(t).withColumn("day", F.to_date("ts"))
-    _finish(jobs.upsert_sink(rows, path, scratch_path(t.spark, "cp"), ["user_id", "day"], "day", ["ts", "event_id"]))
-    return t.spark.read.parquet(path)
+    _finish(jobs.upsert_sink(rows, table, scratch_path(t.spark, "cp"), ["user_id", "day"], "day", ["ts", "event_id"]))
+    return table.read()

@@ -11,19 +11,25 @@ from pyspark.sql import functions as F
 
 from admere.operators.versions import latest_version
 from admere.session import release, remove_folder, stable
-
+from admere.sources.versioned import VersionedTable
 
 #: Fixed value: the folder name of a partition without a value.
 _NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
 
 
+#: The mark of a table without rows.
+START = datetime.date(1900, 1, 1)
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
 
 
-def existing(spark: SparkSession, path: str) -> DataFrame | None:
+def existing(spark: SparkSession, path: str | VersionedTable) -> DataFrame | None:
     """The table at ``path``; None if nothing was written there, or only empty loads."""
+    if isinstance(path, VersionedTable):
+        return path.read()
     if not table_exists(spark, path):
         return None
     try:
@@ -49,13 +55,13 @@ def append_snapshot(df: DataFrame, path: str, partition: str = "run_date") -> No
 
 def upsert(
     batch: DataFrame,
-    path: str,
+    path: str | VersionedTable,
     keys: Sequence[str],
     partition: str,
     newest: Sequence[str] = (),
     cluster: Sequence[str] = (),
     rebuild: Callable[[DataFrame], DataFrame] | None = None,
-    links: Sequence[tuple[Sequence[str], Column | None]] | None = None,
+    links: Sequence[tuple[Sequence[str], str | None]] | None = None,
 ) -> None:
     """Replace rows with the same key, insert the rest.
 
@@ -74,7 +80,15 @@ def upsert(
     last row are removed after the commit. A driver lost in between leaves moved
     rows in both places; running the same batch again finds both and repairs it.
     Running a finished batch again changes nothing.
+
+    A :class:`VersionedTable` in place of the path has neither gap nor search: readers see whole
+    versions, and its index finds the partitions.
     """
+    if isinstance(path, VersionedTable):
+        if path.partition != partition:
+            raise ValueError(f"the table is partitioned by {path.partition}, not {partition}")
+        path.upsert(batch, keys, newest, rebuild, links)
+        return
     spark = batch.sparkSession
     links = [(keys, None)] if links is None else links
     rebuild = rebuild or (lambda rows: latest_version(rows, keys, newest))
@@ -118,10 +132,9 @@ def _among(column: Column, values: set) -> Column:
 
 def high_water_mark(target: DataFrame | None, column: str = "dt"):
     """Greatest delivery day already loaded; 1900-01-01 for an empty or missing target."""
-    start = datetime.date(1900, 1, 1)
     if target is None:
-        return start
-    return target.agg(F.max(column)).first()[0] or start
+        return START
+    return target.agg(F.max(column)).first()[0] or START
 
 
 def lookback(df: DataFrame, mark, days: int = 3, column: str = "dt") -> DataFrame:

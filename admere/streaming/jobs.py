@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from admere.sources.tables import existing, upsert
+from admere.sources.versioned import VersionedTable
 
 LATENESS = "3 days"
 
@@ -86,7 +87,7 @@ def append_sink(df: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
 
 def upsert_sink(
     df: DataFrame,
-    path: str,
+    path: str | VersionedTable,
     checkpoint: str,
     keys: Sequence[str],
     partition: str,
