@@ -119,7 +119,8 @@ def _sign(batches: Iterator[pa.RecordBatch], size: int, bands: int, rows: int) -
             grams, edges = sets(data, bounds, size)
             minima = _minima(grams, edges, bands, rows).view(np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.arange(b - a + 1, dtype=np.int32) * bands), pa.array(minima.ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(_keys(grams, edges), pa.binary()), lists], names=["id", "key", "bands"])
+            own = [batch.column(i).slice(a, b - a) for i in (0, 2)]
+            yield pa.RecordBatch.from_arrays([own[0], own[1], pa.array(_keys(grams, edges), pa.binary()), lists], names=["id", "mark", "key", "bands"])
 
 
 def _members(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -250,14 +251,20 @@ def _marked(df: DataFrame, wanted: DataFrame, id: str) -> DataFrame:
 
 def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int = SIZE, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
     """One row per row of ``docs``: its id, ``class_id`` and ``n_links``."""
+    return _classes(docs, id, text, size, threshold, recall).select(id, "class_id", "n_links")
+
+
+def _classes(docs: DataFrame, id: str, text: str, size: int = SIZE, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """The rows of :func:`classes` with a hash of each text (``mark``) and of the text that leads its class (``lead``)."""
     bands, rows = plan(threshold, recall)
     kind = docs.schema[id].dataType.simpleString()
-    texts = docs.select(F.col(id).alias("id"), F.col(text).alias("text"))
-    signed = stable(texts.mapInArrow(lambda b: _sign(b, size, bands, rows), f"id {kind}, key binary, bands array<bigint>"))
+    texts = docs.select(F.col(id).alias("id"), F.col(text).alias("text"), F.xxhash64(text).alias("mark"))
+    signed = stable(texts.mapInArrow(lambda b: _sign(b, size, bands, rows), f"id {kind}, mark bigint, key binary, bands array<bigint>"))
     heads = stable(
         signed.filter(F.col("key").isNotNull())
         .groupBy("key")
-        .agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
+        .agg(F.min(F.when(F.col("id").isNotNull(), F.struct("id", "mark"))).alias("first"), F.count(F.lit(1)).alias("copies"), F.first("bands").alias("bands"))
+        .select("key", "first", "first.id", "copies", "bands")
         .filter(F.col("id").isNotNull())
     )
     keyed = heads.select("key", F.posexplode("bands").alias("band", "value"))
@@ -292,30 +299,36 @@ def classes(docs: DataFrame, id: str = "doc_id", text: str = "text", size: int =
     found = stable(parts.mapInArrow(lambda b: _verify(b, threshold), "key binary, links long, root binary"))
     links = found.groupBy("key").agg(F.sum("links").alias("links"))
     component = connected_components(found.filter("root IS NOT NULL").select("key", "root"), "key", "root")
-    component = component.withColumnRenamed("node", "key").join(heads.select("key", "id"), "key")
-    named = component.join(component.groupBy("component").agg(F.min("id").alias("class")), "component").select("key", "class")
-    facts = heads.select("key", "id", "copies").join(links, "key", "left").join(named, "key", "left")
-    facts = stable(facts.select("key", F.coalesce("class", "id").alias("class"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links")))
+    component = component.withColumnRenamed("node", "key").join(heads.select("key", "first"), "key")
+    named = component.join(component.groupBy("component").agg(F.min("first").alias("class")), "component").select("key", "class")
+    facts = heads.select("key", "first", "copies").join(links, "key", "left").join(named, "key", "left")
+    facts = stable(facts.select("key", F.coalesce("class", "first").alias("class"), (F.col("copies") - 1 + F.coalesce("links", F.lit(0))).alias("links")))
     for frame in (kept, member, near, found):
         release(frame)
     return (
-        signed.select("id", "key")
+        signed.select("id", "mark", "key")
         .join(facts, "key", "left")
-        .select(F.col("id").alias(id), F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("class")).alias("class_id"), F.coalesce("links", F.lit(0)).alias("n_links"))
+        .select(
+            F.col("id").alias(id),
+            F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("class.id")).alias("class_id"),
+            F.coalesce("links", F.lit(0)).alias("n_links"),
+            "mark",
+            F.when(F.col("key").isNull(), F.col("mark")).otherwise(F.col("class.mark")).alias("lead"),
+        )
     )
 
 
 def one_of_each(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Documents without those that near-equal one with a smaller id.
+    """Documents without those that near-equal another one: of each class the smallest id stays.
 
-    Rows that repeat an id are one document if they also repeat the text. Rows without
-    an id stay.
+    A document is an id and a text: rows that repeat both are one, other texts under the same id are others.
+    Rows without an id stay.
     """
-    found = stable(classes(docs, id, text).filter(F.col(id).isNotNull()))
-    gone = found.filter(F.col("class_id") != F.col(id)).select(id).distinct()
-    gone = stable(gone)
+    found = stable(_classes(docs, id, text).filter(F.col(id).isNotNull()))
+    gone = stable(found.filter((F.col("class_id") != F.col(id)) | (F.col("lead") != F.col("mark"))).select(id, F.col("mark").alias("__mark")).distinct())
     marked = _marked(docs, gone, id)
-    kept = marked.filter(~F.col("__marked")).select(docs.columns).union(marked.filter("__marked").join(gone, id, "left_anti").select(docs.columns))
+    suspect = marked.filter("__marked").withColumn("__mark", F.xxhash64(text))
+    kept = marked.filter(~F.col("__marked")).select(docs.columns).union(suspect.join(gone, [id, "__mark"], "left_anti").select(docs.columns))
     repeated = found.groupBy(id).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(id)
     if repeated.isEmpty():
         return kept

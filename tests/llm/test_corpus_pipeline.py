@@ -65,5 +65,19 @@ def test_the_entry_works_without_this_package(tmp_path):
     shutil.copytree(root / "admere", tmp_path / "admere", ignore=shutil.ignore_patterns("llm", "__pycache__"))
     code = "import __spark_entry__ as e; q = e.queries(); assert 'campaign_value' in q and 'pipeline' not in q and not any(k.startswith('op') and k[2].isdigit() for k in q); assert set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True)
-    code = "import __spark_entry__ as e; q = e.queries(); assert 'pipeline' in q and sum(k.startswith('op') and k[2].isdigit() for k in q) == 10; assert set(e.oracle_sql()) <= set(q)"
+    code = "import __spark_entry__ as e; q = e.queries(); assert 'pipeline' in q and sum(k.startswith('op') and k[2].isdigit() for k in q) == 13; assert set(e.oracle_sql()) <= set(q)"
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
+def test_removal_is_by_document_not_by_id(spark):
+    from admere.llm.ship import ship
+
+    a, b = " ".join(f"w{i}" for i in range(60)), " ".join(f"x{i}" for i in range(40))
+    rows = [(1, a), (7, a + " more"), (7, b), (9, b), (9, b + " end"), (5, "alone"), (None, a), (3, a), (3, a + " less"), (7, b)]
+    docs = ship(spark).createDataFrame(rows, "doc_id long, text string")
+    kept = sorted(map(tuple, ngram_join.one_of_each(docs).collect()), key=str)
+    assert kept == sorted([(1, a), (7, b), (5, "alone"), (None, a)], key=str)
+    # near copies under the smallest id itself: one of them stays
+    twice = ship(spark).createDataFrame([(1, a), (1, a + " more"), (1, b)], "doc_id long, text string")
+    texts = [r["text"] for r in ngram_join.one_of_each(twice).collect()]
+    assert len(texts) == 2 and b in texts
