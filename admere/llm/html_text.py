@@ -9,11 +9,16 @@ for every container on the way to the root. The best container is kept with all
 and so is each other one that holds ``SHARE`` of its weight. Lists, quotes and tables
 belong to the container they stand in.
 
+The story is more than its best container. If that lies in an article, the whole article is kept; if it lies
+in a main element, or in a container below the body, the containers beside it there are kept whose fused
+value per block is at least ``RATIO`` of the best one's, and those that hold headings alone.
+
 Below a kept container only what looks like page furniture goes: elements that are mostly
 links with few stops, links under a name that hints at furniture, and elements whose whole
-name is one (``comments``, ``ad-1``; not ``related-work``). Menus, headers, footers,
-sidebars, forms, scripts and styles known by element or role are never text. Headings
-inside the main text are text, whatever their id.
+name is one (``comments``, ``ad-1``; not ``related-work``). In an article, prose under a name that may be part of a
+story too (``menu``, ``teaser``) stays. Menus, headers, footers,
+sidebars, forms, scripts and styles known by element or role are never text, but for a header inside
+an article or main element. Headings inside the main text are text, whatever their id.
 
 Character references are decoded, white space inside a block becomes one space, and
 blocks are joined in page order by one space.
@@ -37,8 +42,10 @@ from pyspark.sql import functions as F
 
 #: A container is kept if it holds this share of the best one's weight.
 SHARE = 0.35
-#: Factor of a name that says nothing, hints at page furniture, or is one.
-NAMED = (1.0, 0.5, 0.05)
+#: A container beside the best one is kept if a block of it is worth this share of one of the best one's.
+RATIO = 0.2
+#: Factor of a name that says nothing, hints at page furniture, is one, or is one of no story.
+NAMED = (1.0, 0.5, 0.05, 0.05)
 #: What is added for a main element, and for a page's only article.
 MAIN, ARTICLE = 0.5, 2.0
 #: A container counts so much less for every level that its text lies deeper.
@@ -77,9 +84,14 @@ _ASIDE_WORDS = frozenset(
     "newsletter subscribe subscription signup login form comment comments commentlist reply replies respond disqus discussion teaser teasers".split()
 )
 #: Words among them that parts of a story are called by too; alone they only hint.
-_MILD = frozenset("promotion consent notice notices notification alert header related recommended share sharing social subscription form reply replies respond discussion widget widgets".split())
+_MILD = frozenset("promotion consent notification alert header related recommended share sharing social subscription form reply replies respond discussion widget widgets".split())
 #: Words that say where or how big a part is, and nothing else.
-_NEUTRAL = frozenset("site page top bottom left right main global primary secondary list box bar area wrap wrapper container inner outer slot block section item items content link links button buttons".split())
+_NEUTRAL = frozenset("site page top bottom left right main global primary secondary list box bar area wrap wrapper container inner outer slot block section item items content link links button buttons text".split())
+#: Words among the names of page furniture that never name a part of the story.
+_HARD = frozenset(
+    "ad ads adbox advert adverts advertisement advertising sponsor sponsored cookie cookies consent gdpr notice notices popup modal overlay nav navbar navigation breadcrumb breadcrumbs "
+    "pagination pager footer sidebar widget widgets newsletter subscribe signup login comment comments commentlist replies disqus".split()
+)
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements whose text belongs to the container around them; table cells with a class are parts of a layout.
 _INNER = _HEADINGS | frozenset("p ul ol li dl dt dd dir blockquote pre figure figcaption caption table thead tbody tfoot tr td th details summary address hgroup center hr".split())
@@ -105,7 +117,7 @@ class _Element:
 
 @dataclass
 class _Node:
-    """A path: the one around it, its last tag, how far its name says it is furniture, and its container."""
+    """A path: the one around it, its last tag, how far its name says it is furniture (3: of no story), and its container."""
 
     up: int
     tag: str
@@ -162,7 +174,7 @@ class _Reader:
         if tag in _VOID or (closed and tag not in _BLOCK):
             return
         up = self.stack[-1] if self.stack else _Element("", False, 0, False, 0)
-        label, aside, named = tag, up.aside or tag in _ASIDE_TAGS, 0
+        label, aside, named = tag, up.aside or (tag in _ASIDE_TAGS and not (tag == "header" and up.main)), 0
         if attributes and not aside:
             found = {k.lower(): html.unescape((v or "").strip("\"'")).lower() for k, v in _ATTRIBUTE.findall(attributes)}
             names = found.get("class", "").split()
@@ -172,7 +184,9 @@ class _Reader:
             if tag not in ("html", "body", "main"):
                 # the id of a heading or an article comes from its title
                 named = max((_named(n) for n in [*names, "" if tag in _HEADINGS or tag == "article" else found.get("id", "")]), default=0)
-                named = named if tag != "article" or named == 2 else 0
+                named = named if tag != "article" or named >= 2 else 0
+                if named == 3 and tag == "p" and "comment" in names:
+                    named = 2
         main = max(up.main, 2 if tag == "article" and named < 2 else 1 if tag == "main" else 0)
         if main == 2 and up.main < 2 and not aside:
             self.articles += 1
@@ -185,7 +199,7 @@ class _Reader:
                 self.nodes.append(_Node(around, tag, named, self.nodes[around].container if inner else node))
             self.places.append((place, node))
             place = len(self.places) - 1
-        linked = up.linked or tag == "a" or (named == 2 and tag not in _BLOCK)
+        linked = up.linked or tag == "a" or (named >= 2 and tag not in _BLOCK)
         self.stack.append(_Element(tag, aside, main, linked, place))
 
     def close(self, tag: str) -> None:
@@ -211,12 +225,14 @@ class _Reader:
 
 
 def _named(name: str) -> int:
-    """2 if a class or id is a name of page furniture, 1 if part of it is, else 0."""
+    """2 if a class or id is a name of page furniture, 3 if of no part of a story, 1 if part of it is, else 0."""
     words = [] if _BESIDE.match(name) else _WORD.findall(name)
     aside = [w for w in words if w in _ASIDE_WORDS]
     if not aside:
         return 0
-    return 2 if any(w not in _MILD for w in aside) and all(w in _ASIDE_WORDS or w in _NEUTRAL for w in words) else 1
+    if any(w not in _MILD for w in aside) and all(w in _ASIDE_WORDS or w in _NEUTRAL for w in words):
+        return 3 if any(w in _HARD for w in aside) else 2
+    return 1
 
 
 def read(page: str) -> _Reader:
@@ -261,35 +277,47 @@ def read(page: str) -> _Reader:
     return reader
 
 
+def ratios(paths: list[int], lengths: list[int], stops: list[int]) -> list[tuple[float, float]]:
+    """Length and stops of each block's path, added up and divided by the path's blocks."""
+    total: dict[int, list[int]] = {}
+    for path, length, stop in zip(paths, lengths, stops, strict=True):
+        sums = total.setdefault(path, [0, 0, 0])
+        sums[0] += length
+        sums[1] += stop
+        sums[2] += 1
+    return [(total[p][0] / total[p][2], total[p][1] / total[p][2]) for p in paths]
+
+
+def smoothed(values: list[tuple[float, float]]) -> list[tuple[float, float]]:
+    """Each value with half the weight of its neighbours' on both sides."""
+    last = len(values) - 1
+    return [tuple((values[max(i - 1, 0)][k] + 2 * values[i][k] + values[min(i + 1, last)][k]) / 4 for k in (0, 1)) for i in range(len(values))]
+
+
 def select(page: _Reader) -> list[Block]:
     """The blocks whose path carries the page's main text."""
     blocks, nodes, places = page.blocks, page.nodes, page.places
     node = [places[b.place][1] for b in blocks]
-    paths: dict[int, list[float]] = {}
-    # of every element with all inside: characters, those in links, stops, blocks
-    below = [[0, 0, 0, 0] for _ in places]
-    for b, n in zip(blocks, node, strict=True):
-        stops = len(_STOPS.findall(b.text))
-        total = paths.setdefault(n, [0.0, 0.0, 0.0])
-        for k, x in enumerate((len(b.text) - b.linked, stops, 1)):
-            total[k] += x
-        for k, x in enumerate((len(b.text), b.linked, stops, 1)):
+    stops = [len(_STOPS.findall(b.text)) for b in blocks]
+    # of every element with all inside: characters, those in links, stops, blocks, and blocks that are no heading
+    below = [[0, 0, 0, 0, 0] for _ in places]
+    for b, n, stop in zip(blocks, node, stops, strict=True):
+        for k, x in enumerate((len(b.text), b.linked, stop, 1, nodes[n].tag not in _HEADINGS)):
             below[b.place][k] += x
     for i in range(len(places) - 1, 0, -1):
-        for k in range(4):
+        for k in range(5):
             below[places[i][0]][k] += below[i][k]
-    ratio = [(paths[n][0] / paths[n][2], paths[n][1] / paths[n][2]) for n in node]
-    smooth = [tuple((ratio[max(i - 1, 0)][k] + 2 * ratio[i][k] + ratio[min(i + 1, len(ratio) - 1)][k]) / 4 for k in (0, 1)) for i in range(len(ratio))]
     named, article = [0] * len(nodes), [False] * len(nodes)
     for n in range(1, len(nodes)):
         up = nodes[n].up
         named[n] = max(named[up], nodes[n].named)
         article[n] = article[up] or (nodes[n].tag == "article" and nodes[n].named < 2)
-    own = [0.0] * len(nodes)
-    for b, n, (length, stops) in zip(blocks, node, smooth, strict=True):
+    own, count = [0.0] * len(nodes), [0] * len(nodes)
+    for b, n, (length, stop) in zip(blocks, node, smoothed(ratios(node, [len(b.text) - b.linked for b in blocks], stops)), strict=True):
         marked = 1 + (ARTICLE / max(page.articles, 1) if b.main == 2 else MAIN if b.main else 0.0)
         links = b.linked / max(len(b.text), 1) * (0.9 if b.main else 1.0)
-        own[nodes[n].container] += length * (1 + stops) * (1 - links) * marked * NAMED[named[n]]
+        own[nodes[n].container] += length * (1 + stop) * (1 - links) * marked * NAMED[named[n]]
+        count[nodes[n].container] += 1
     weight = own[:]
     for n in range(len(nodes) - 1, 0, -1):
         up = nodes[n].up
@@ -303,25 +331,59 @@ def select(page: _Reader) -> list[Block]:
         above.add(at)
         at = nodes[at].up
     kept = {n for n in held if own[n] >= SHARE * weight[best]} | {best}
+    region = _region(nodes, best, article)
+    if region is not None:
+        kept.add(region)
+    # the value of a block: of the richest container in the best one's part of the page
+    rich = max((own[n] / count[n] for n in held if count[n] and (n == best or n in kept)), default=0.0)
+
+    def poor(i: int) -> bool:
+        n = places[i][1]
+        if nodes[n].container != n or nodes[n].tag in ("td", "th") or n in above or article[n] or not below[i][4] or not count[n]:
+            return False
+        return own[n] / count[n] < RATIO * rich
 
     def furniture(i: int) -> bool:
-        (text, linked, stops, count), n = below[i], places[i][1]
-        if nodes[n].named == 2:
+        (text, linked, stop, some, _), n = below[i], places[i][1]
+        if nodes[n].named == 3:
             return True
+        if nodes[n].named == 2:
+            # in an article, prose stays whatever its name
+            return not (article[n] and stop >= some and linked < LINKS_HINTED * text)
         if nodes[n].tag in _SINGLE or not text:
             return False
-        return stops < count and linked / text >= (LINKS_HINTED if nodes[n].named else LINKS_ARTICLE if article[n] else LINKS)
+        return stop < some and linked / text >= (LINKS_HINTED if nodes[n].named else LINKS_ARTICLE if article[n] else LINKS)
 
-    # 2: with all below, 1: its own text only, as the best container lies deeper
+    # 3: with what is rich enough below, 2: with all below, 1: its own text only, as the best container lies deeper
     inside = [0] * len(places)
     for i, (up, n) in enumerate(places):
-        if n in kept:
+        if n == region:
+            inside[i] = 2 if article[n] else 3
+        elif up >= 0 and inside[up] == 3:
+            inside[i] = 0 if furniture(i) or poor(i) else 2 if n == best else 3
+        elif n in kept and not (up >= 0 and inside[up] == 2):
             inside[i] = 1 if n in above else 2
         elif up >= 0 and (inside[up] == 2 or (inside[up] == 1 and nodes[n].container != n)):
             inside[i] = 0 if furniture(i) else inside[up]
     return [b for b in blocks if inside[b.place]]
 
 
+def _region(nodes: list[_Node], best: int, article: list[bool]) -> int | None:
+    """The path of the part of the page the best container lies in: its article, main element, or the container around it."""
+    up, main, around = best, None, None
+    while up > 0:
+        if article[up] and not article[nodes[up].up]:
+            return up
+        if nodes[up].tag == "main":
+            main = up
+        if around is None and up != best and nodes[up].container == up:
+            around = up
+        up = nodes[up].up
+    if main is not None:
+        return main
+    return around if around is not None and nodes[around].tag not in ("html", "body") else None
+
+
 def main_text(page: str | None) -> str:
     """Main text of one page."""
     return " ".join(b.text for b in select(read(page))) if page else ""

@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,3 +75,62 @@ def test_names_that_share_a_word_with_furniture():
 
 def test_many_nested_paths_take_linear_time():
     assert len(html_text.main_text("<div>word, " * 20_000)) == 20_000 * 6 - 1
+
+
+def paragraphs(n, start=0):
+    return "".join(f"<p>Paragraph {i} of the story, long enough to count. It goes on, and on; then it ends here.</p>" for i in range(start, start + n))
+
+
+def told(n, start=0):
+    return " ".join(f"Paragraph {i} of the story, long enough to count. It goes on, and on; then it ends here." for i in range(start, start + n))
+
+
+@pytest.mark.parametrize("more", [1, 2, 3, 4])
+@pytest.mark.parametrize("element", ["article", "main", "div class=content"])
+def test_short_second_part_of_the_story(element, more):
+    page = f"<body><nav><a href=/>Home</a></nav><{element}><div class=part1>{paragraphs(10)}</div><div class=part2>{paragraphs(more, 10)}</div></{element.split()[0]}><div class=side><a href=/1>Other one</a> <a href=/2>Other two</a></div></body>"
+    assert html_text.main_text(page) == told(10 + more)
+
+
+@pytest.mark.parametrize("element", ["article", "main"])
+def test_headline_lede_and_conclusion_in_elements_of_their_own(element):
+    parts = f"<h1>Title</h1><div class=lede><p>What it is about, in short.</p></div><div class=text>{STORY}</div><div class=conclusion><p>So it ends, at last.</p></div>"
+    assert html_text.main_text(f"<body><{element}>{parts}</{element}></body>") == f"Title What it is about, in short. {TOLD} So it ends, at last."
+    sibling = f"<div class=title><h1>Title</h1></div><div class=text>{STORY}</div>"
+    assert html_text.main_text(f"<body><{element}>{sibling}</{element}></body>") == "Title " + TOLD
+
+
+def test_names_inside_the_story_of_an_article():
+    inner = (
+        "<header><h1>Title</h1></header><p class=teaser>First of all, this.</p>" + STORY + "<p class=comment>As she said, it is so.</p>"
+        "<section class=content-banner><p>More of it, told here.</p></section><section id=menu><p>Soup, bread, and wine.</p></section>"
+    )
+    gone = "<div class=notice><p>We moved. Call us, please.</p></div><div class=ad-text><p>Buy now, it is cheap.</p></div><div class=comment><p>I disagree. Really, I do.</p></div><footer>By me.</footer>"
+    found = html_text.main_text(f"<body><header>Site</header><article>{inner}{gone}</article></body>")
+    assert found == f"Title First of all, this. {TOLD} As she said, it is so. More of it, told here. Soup, bread, and wine."
+
+
+def brute_ratios(paths, lengths, stops):
+    def mean(values, path):
+        mine = [v for p, v in zip(paths, values, strict=True) if p == path]
+        return sum(mine) / len(mine)
+
+    return [(mean(lengths, p), mean(stops, p)) for p in paths]
+
+
+def test_path_ratios_decide(monkeypatch):
+    labels = "".join(f"<div class=row>Label {i}</div>" for i in range(100))
+    page = f"<body><div class=a>{labels}</div><div class=b>{STORY}</div></body>"
+    assert html_text.main_text(page) == TOLD
+    read = html_text.read(page)
+    paths = [read.places[b.place][1] for b in read.blocks]
+    lengths, stops = [len(b.text) for b in read.blocks], [len(html_text._STOPS.findall(b.text)) for b in read.blocks]
+    assert np.allclose(html_text.ratios(paths, lengths, stops), brute_ratios(paths, lengths, stops))
+    assert html_text.smoothed([(0.0, 4.0), (4.0, 0.0)]) == [(1.0, 3.0), (3.0, 1.0)]
+    monkeypatch.setattr(html_text, "ratios", lambda paths, lengths, stops: [(1.0, 1.0)] * len(paths))
+    assert html_text.main_text(page) != TOLD
+
+
+def test_poor_containers_beside_the_story_go():
+    page = f"<body><main><div class=x>{STORY}</div><div class=y><span>Tag one</span></div><div class=z><div>12</div><div>34</div></div></main></body>"
+    assert html_text.main_text(page) == TOLD
