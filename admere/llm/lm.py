@@ -1,19 +1,24 @@
 """Language-model scores of whole texts: logistic context mixing, learnt on one part of a table.
 
-1. Words are counted over the whole table, those to learn from apart.
+1. Words, and the first bytes of what follows each, are counted over the whole table, those
+   to learn from apart.
 2. Every partition of the vocabulary adds its words' bit decisions, as often as each word
    occurs, to hashed tables of counts (:mod:`admere.llm.lm_model`); the tables, of fixed
-   size, are added up.
-3. Every partition learns mixing weights and the refining map online from its words, each
-   predicted without itself; partitions are joined by how firmly each knows its weights.
-4. Every distinct word gets its probability once.
-5. Texts are scored: a word's probability is mixed with its share of the text's words so
-   far (``CACHE``), so a text that repeats itself becomes likelier as it goes.
-
-Words of a share above 1 in ``COMMON`` of all tokens, so at most ``COMMON`` of them, travel to the
-tasks that read the texts; the other words of a text, added up first, are joined with the
-vocabulary in a shuffle where no word holds more than that share. What is learnt never
-depends on the texts held out, and scores do not depend on the order of rows.
+   size, are added up. What follows a word stays with the word, so it grows with the corpus.
+3. The vocabulary is cut by a hash of the word into parts of about ``PART`` words. Every part
+   learns mixing weights and the refining map online, in the order of the hash, each word
+   predicted without itself; parts are joined by how firmly each knows its weights.
+4. Every distinct word gets its probability once its first byte is known, and the
+   probability of each first byte that follows it anywhere.
+5. Texts are scored: the first byte of a word by the word before, its rest by the word model,
+   mixed with the word's share of the text's words so far that begin alike (``CACHE``), so
+   a text that repeats itself becomes likelier as it goes.
+
+Words of a share above 1 in ``COMMON`` of all tokens, and first bytes after a word of such a
+share, so at most ``COMMON`` of each, travel to the tasks that read the texts; the others of
+a text, added up first, are joined with the vocabulary in a shuffle where no word holds more
+than that share. What is learnt never depends on the texts held out, and scores depend
+neither on the order of rows nor on how many partitions or executors there are.
 
 The text scored is its lower-cased words, each followed by a space, and an end; its
 probability is one of all such texts. Bits per byte is over these bytes.
@@ -44,6 +49,8 @@ CACHE = 0.2
 COMMON = 1 << 20
 #: Mixers that reach the driver, at most.
 MERGES = 16
+#: Words that one mixer learns from, on average, and words it takes in at a time.
+PART, CHUNK = 1 << 16, 1 << 12
 #: Bytes whose words are counted together.
 PIECE = 4 << 20
 
@@ -60,8 +67,16 @@ def _strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_string(), len(start), [None, pa.py_buffer(stop.astype(np.int64)), pa.py_buffer(flat)]).cast(pa.string())
 
 
+def _following(data: np.ndarray, start: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """The first byte of the word after each word; the end's after the last of a text."""
+    out = np.full(len(start), lm_model.END)
+    same = np.flatnonzero(text[1:] == text[:-1])
+    out[same] = data[start[same + 1]]
+    return out
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of each batch with their occurrences, and those in texts to learn from."""
+    """Words of each batch and the first bytes after them, with their occurrences, and those in texts to learn from."""
     for batch in batches:
         learnt = batch.column(1).to_numpy(zero_copy_only=False)
         for a, b, data, bounds in pieces(batch.column(0), PIECE):
@@ -69,17 +84,22 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start, end, text = words(data, bounds)
             if not len(start):
                 continue
-            _, first, place = np.unique(hashes(data, start, end), return_index=True, return_inverse=True)
+            follow = _following(data, start, text)
+            _, first, place = np.unique(mix(hashes(data, start, end) ^ mix(follow.astype(np.uint64) + np.uint64(1))), return_index=True, return_inverse=True)
             total = np.bincount(place)
             own = np.bincount(place[learnt[a:b][text]], minlength=len(first))
-            yield pa.RecordBatch.from_arrays([_strings(data, start[first], end[first]), pa.array(own), pa.array(total)], names=["word", "own", "total"])
+            yield pa.RecordBatch.from_arrays(
+                [_strings(data, start[first], end[first]), pa.array(follow[first], pa.int32()), pa.array(own), pa.array(total)], names=["word", "next", "own", "total"]
+            )
 
 
 def vocabulary(docs: DataFrame, text: str, learnt: Column) -> DataFrame:
-    """Every word with its occurrences, and those in texts to learn from; in a shuffled order that is always the same."""
+    """Every word with its occurrences, those in texts to learn from, and both for each first byte ``after`` it."""
     rows = docs.select(F.col(text).alias("text"), learnt.alias("learnt"))
-    counted = rows.mapInArrow(_count, "word string, own long, total long").groupBy("word").agg(F.sum("own").alias("own"), F.sum("total").alias("total"))
-    return counted.sortWithinPartitions(F.xxhash64("word"), "word")
+    both = [F.sum("own").alias("own"), F.sum("total").alias("total")]
+    counted = rows.mapInArrow(_count, "word string, next int, own long, total long").groupBy("word", "next").agg(*both)
+    # at most one row a byte
+    return counted.groupBy("word").agg(*both, F.sort_array(F.collect_list(F.struct("next", "own", "total"))).alias("after"))
 
 
 def _word_bytes(batch: pa.RecordBatch) -> list[bytes]:
@@ -87,11 +107,14 @@ def _word_bytes(batch: pa.RecordBatch) -> list[bytes]:
 
 
 def _frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(256, np.int64)
+    """Bytes of the distinct words, then how often a word begins with each byte."""
+    total = np.zeros(512, np.int64)
     for batch in batches:
-        for _, _, data, bounds in pieces(batch.column(0)):
-            total += np.bincount(data, minlength=256)
+        own = batch.column(1).to_numpy()
+        for a, b, data, bounds in pieces(batch.column(0)):
+            total[:256] += np.bincount(data, minlength=256)
             total[lm_model.SPACE] += len(bounds) - 1
+            np.add.at(total[256:], data[bounds[:-1]], own[a:b])
     yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["total"])
 
 
@@ -137,19 +160,65 @@ def _add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([_packed(value)], pa.binary())], names=["block", "counts"])
 
 
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.Table]]:
+    """Rows sorted by part as runs of ``CHUNK`` rows of one part, wherever batches begin."""
+    held: list[pa.RecordBatch] = []
+    part, rows = 0, 0
+    for batch in batches:
+        ids = batch.column(0).to_numpy()
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(ids)) + 1, [len(ids)]])
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            if a == b:
+                continue
+            if held and int(ids[a]) != part:
+                yield part, pa.Table.from_batches(held)
+                held, rows = [], 0
+            part = int(ids[a])
+            while a < b:
+                take = min(b - a, CHUNK - rows)
+                held.append(batch.slice(a, take))
+                a, rows = a + take, rows + take
+                if rows == CHUNK:
+                    yield part, pa.Table.from_batches(held)
+                    held, rows = [], 0
+    if held:
+        yield part, pa.Table.from_batches(held)
+
+
+def _after(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, list[pa.Array]]:
+    """What stands after each word: the word's place in the column, and next bytes and counts."""
+    lists = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    lists = pa.concat_arrays(lists.chunks) if isinstance(lists, pa.ChunkedArray) else lists
+    size = np.diff(lists.offsets.to_numpy())
+    return np.repeat(np.arange(len(lists)), size), lists.flatten().flatten()
+
+
 def _join_mixers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The mixers of a partition as one."""
-    raw = sorted(value for batch in batches for value in batch.column(0).to_pylist())
-    if raw:
-        joined = lm_model.Mixer.joined([lm_model.Mixer.read(value) for value in raw])
-        yield pa.RecordBatch.from_arrays([pa.array([joined.to_bytes()], pa.binary())], names=["mixer"])
+    """The mixers of each group as one, joined in the order of their parts."""
+    groups: dict[int, list[tuple[int, bytes, bytes]]] = {}
+    for batch in batches:
+        for part, raw, starts in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            groups.setdefault(part % MERGES, []).append((part, raw, starts))
+    for group, found in sorted(groups.items()):
+        found.sort()
+        mixer = lm_model.Mixer.joined([lm_model.Mixer.read(raw) for _, raw, _ in found])
+        starts = _join_starts([raw for _, _, raw in found])
+        yield pa.RecordBatch.from_arrays([pa.array([group], pa.int32()), pa.array([mixer.to_bytes()]), pa.array([starts.to_bytes()])], names=_MIXERS)
+
+
+def _join_starts(raw: list[bytes]) -> lm_model.Mixer:
+    start = lm_model.Mixer.starts()
+    return lm_model.Mixer.joined([lm_model.Mixer.read(r, *start.weights.shape) for r in raw], start)
+
+
+_MIXERS = ["part", "mixer", "starts"]
 
 
 class Model:
     """What was learnt, and the totals that go with it."""
 
-    def __init__(self, coding: lm_model.Code, table: np.ndarray, mixer: lm_model.Mixer, tokens: int, distinct: int, ends: int):
-        self.coding, self.table, self.mixer = coding, table, mixer
+    def __init__(self, coding: lm_model.Code, table: np.ndarray, mixer: lm_model.Mixer, starts: lm_model.Starts, tokens: int, distinct: int, ends: int):
+        self.coding, self.table, self.mixer, self.starts = coding, table, mixer, starts
         self.tokens, self.distinct, self.ends = tokens, distinct, ends
 
     def base(self, count: float | np.ndarray) -> np.ndarray:
@@ -157,13 +226,14 @@ class Model:
 
 
 def train(vocab: DataFrame, ends: int) -> Model:
-    """Learn from a vocabulary; tables of fixed size pass through the driver."""
+    """Learn from a vocabulary; tables of fixed size pass through the driver. Without ``after`` no order is learnt."""
     spark = vocab.sparkSession
-    known = vocab.filter("own > 0").select("word", "own")
+    known = vocab.filter("own > 0").select("word", "own", *(c for c in vocab.columns if c == "after"))
     totals = known.agg(F.coalesce(F.sum("own"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    parts = known.select("word").mapInArrow(_frequencies, "total binary").collect()
-    frequency = sum((np.frombuffer(p.total, np.int64) for p in parts), np.zeros(256, np.int64))
+    sums = known.select("word", "own").mapInArrow(_frequencies, "total binary").collect()
+    frequency, firsts = sum((np.frombuffer(p.total, np.int64) for p in sums), np.zeros(512, np.int64)).reshape(2, 256)
     frequency[lm_model.END] += 1
+    firsts[lm_model.END] += ends
     coding = lm_model.code(frequency)
     found = known.mapInArrow(lambda b: _tables(b, coding), "block int, counts binary").repartition("block").mapInArrow(_add_up, "block int, counts binary")
     table = np.zeros((lm_model.SLOTS * 2 // (lm_model.BLOCK * 2), lm_model.BLOCK * 2))
@@ -176,44 +246,73 @@ def train(vocab: DataFrame, ends: int) -> Model:
     shared = spark.sparkContext.broadcast(_narrow(table))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer, counts = lm_model.Mixer.fresh(), shared.value.astype(np.float64)
-        for words_, weight in _weighted(batches):
-            for events, each in lm_model.parts(words_, weight, coding):
+        counts = shared.value.astype(np.float64)
+        at, mixer, starts = -1, None, None
+
+        def learnt() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([at], pa.int32()), pa.array([mixer.to_bytes()]), pa.array([starts.mixer.to_bytes()])], names=_MIXERS)
+
+        for part, rows in _chunks(batches):
+            if part != at:
+                if mixer:
+                    yield learnt()
+                at, mixer, starts = part, lm_model.Mixer.fresh(), lm_model.Starts(coding, firsts, lm_model.Mixer.starts())
+            words_ = rows.column("word").cast(pa.binary()).to_pylist()
+            for events, each in lm_model.parts(words_, rows.column("own").to_numpy().astype(np.float64), coding):
                 lm_model.learn(events, each, counts, mixer)
-        yield pa.RecordBatch.from_arrays([pa.array([mixer.to_bytes()], pa.binary())], names=["mixer"])
-
-    # a tree of two levels, so that few mixers reach the driver from any number of partitions
-    some = known.mapInArrow(learn, "mixer binary").repartition(MERGES, F.xxhash64("mixer")).mapInArrow(_join_mixers, "mixer binary")
-    mixers = [lm_model.Mixer.read(raw) for raw in sorted(bytes(row.mixer) for row in some.collect())]
+            if "after" in rows.column_names:
+                before, (byte, own, _) = _after(rows.column("after"))
+                starts.learn(before, byte.to_numpy(), own.to_numpy())
+        if mixer:
+            yield learnt()
+
+    # the parts follow from the words alone; a tree of two levels, so that few mixers reach the driver from any number of parts
+    parts = max(1, -(-int(totals.v) // PART))
+    order = F.xxhash64("word")
+    cut = known.select(F.pmod(order, F.lit(parts)).cast("int").alias("part"), "*").repartition("part").sortWithinPartitions("part", order, "word")
+    schema = "part int, mixer binary, starts binary"
+    some = cut.mapInArrow(learn, schema).repartition(MERGES, F.col("part") % MERGES).mapInArrow(_join_mixers, schema)
+    found = sorted((row.part, bytes(row.mixer), bytes(row.starts)) for row in some.collect())
+    mixers = [lm_model.Mixer.read(raw) for _, raw, _ in found]
     shared.destroy()
     if ends:
-        # learnt from once, whatever the number of partitions
+        # learnt from once, whatever the number of parts
         own = lm_model.Mixer.fresh()
         lm_model.learn(last, times, table, own)
         mixers.append(own)
     mixer = lm_model.Mixer.joined(mixers)
-    return Model(coding, table, mixer, int(totals.n) + ends, int(totals.v) + bool(ends), ends)
+    starts = lm_model.Starts(coding, firsts, _join_starts([raw for _, _, raw in found]))
+    return Model(coding, table, mixer, starts, int(totals.n) + ends, int(totals.v) + bool(ends), ends)
 
 
 def _scored(vocab: DataFrame, model: Model) -> DataFrame:
-    """The vocabulary with each word's log10 probability and hash."""
-    shared = vocab.sparkSession.sparkContext.broadcast((model.coding, _narrow(model.table), model.mixer))
+    """The vocabulary with the log10 probability of each word's rest, its hash, and that of each first byte after it."""
+    shared = vocab.sparkSession.sparkContext.broadcast((model.coding, _narrow(model.table), model.mixer, model.starts))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = None
         for batch in batches:
-            scorer = scorer or lm_model.Scorer(*shared.value)
+            *tables, starts = shared.value
+            scorer = scorer or lm_model.Scorer(*tables)
             name = [hashes(data, bounds[:-1], bounds[1:]) for _, _, data, bounds in pieces(batch.column(0))]
+            before, (byte, own, total) = _after(batch.column(3))
+            log_p = pa.array(starts.score(before, byte.to_numpy(), own.to_numpy()))
+            edges = np.concatenate([[0], np.cumsum(np.bincount(before, minlength=batch.num_rows))]).astype(np.int32)
+            after = pa.ListArray.from_arrays(pa.array(edges), pa.StructArray.from_arrays([byte, total, log_p], names=["next", "total", "log_p"]))
+            rest = pa.array(scorer.words(_word_bytes(batch), rest=True))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scorer.words(_word_bytes(batch))), pa.array(np.concatenate(name).view(np.int64))], names=["word", "own", "total", "log_p", "name"]
+                [*batch.columns[:3], rest, pa.array(np.concatenate(name).view(np.int64)), after], names=["word", "own", "total", "log_p", "name", "after"]
             )
 
-    return vocab.mapInArrow(score, "word string, own long, total long, log_p double, name long")
+    return vocab.mapInArrow(score, "word string, own long, total long, log_p double, name long, after array<struct<next:int,total:long,log_p:double>>")
 
 
-def _texts(common: tuple[np.ndarray, np.ndarray, np.ndarray], model_base: Callable[[np.ndarray], np.ndarray], end_p: float, end_base: float, ends: int):
-    """Per text one row with what its common words and its end add up to, and one per other word."""
-    names, count, log_p = common
+def _texts(common: tuple[np.ndarray, ...], model_base: Callable[[np.ndarray], np.ndarray], begin: np.ndarray, end_base: float, ends: int):
+    """Per text one row with what its common words and its end add up to, and one per other word.
+
+    A common word followed by a first byte that is not common after it has such a row too, with no occurrences.
+    """
+    names, count, log_p, pairs, pair_p = common
     base, chance = model_base(count), 10.0**log_p
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,7 +322,15 @@ def _texts(common: tuple[np.ndarray, np.ndarray, np.ndarray], model_base: Callab
                 start, end, text = words(data, bounds)
                 name = hashes(data, start, end)
                 each = np.bincount(text, minlength=n)
-                place = np.arange(len(text)) - np.searchsorted(text, text)
+                follow = _following(data, start, text)
+                # how many words of the text so far begin like this one
+                alike = text * 256 + data[start]
+                sorted_ = np.argsort(alike, kind="stable")
+                place = np.empty(len(text), np.int64)
+                place[sorted_] = np.arange(len(text)) - np.searchsorted(alike[sorted_], alike[sorted_])
+                opening = np.full(n, lm_model.END)
+                heads = np.flatnonzero(np.diff(text, prepend=-1))
+                opening[text[heads]] = data[start[heads]]
                 pair = mix(name ^ mix(text.astype(np.uint64) + np.uint64(1)))
                 order = np.argsort(pair, kind="stable")
                 fresh = np.ones(len(order), bool)
@@ -244,35 +351,49 @@ def _texts(common: tuple[np.ndarray, np.ndarray, np.ndarray], model_base: Callab
                 token = spot[group[mine]]
                 owner = text[order[mine]]
                 value = np.log10(scale[mine] * chance[token] + again[mine])
-                score = np.bincount(owner, weights=value, minlength=n) + np.where(each > 0, math.log10(1 - CACHE), 0.0) + end_p
+                key = token * 256 + follow[order[mine]]
+                if len(pairs):
+                    at_pair = np.minimum(np.searchsorted(pairs, key), len(pairs) - 1)
+                    usual_pair = pairs[at_pair] == key
+                    value += np.where(usual_pair, pair_p[at_pair], 0.0)
+                else:
+                    usual_pair = np.zeros(len(key), bool)
+                score = np.bincount(owner, weights=value, minlength=n) + begin[opening]
                 base_sum = np.bincount(owner, weights=base[token], minlength=n) + end_base
                 known = np.bincount(owner, weights=count[token] > 0, minlength=n).astype(np.int64) + (ends > 0)
                 size = np.bincount(text, weights=end - start + 1, minlength=n).astype(np.int64) + 1
                 rare = np.flatnonzero(~usual)
                 size_of = np.diff(np.append(head, len(order)))[rare]
+                # common words before a first byte that is not common after them
+                odd = order[mine][~usual_pair]
                 # shares of the later occurrences of each other word
                 later = ~mine & ~fresh
                 edges = np.concatenate([[0], np.cumsum(size_of - 1)])
-                repeats = pa.ListArray.from_arrays(pa.array(edges.astype(np.int32)), pa.array(again[later]))
+                repeats = pa.ListArray.from_arrays(pa.array(np.append(edges, np.full(len(odd), edges[-1])).astype(np.int32)), pa.array(again[later]))
+                spans = np.concatenate([[0], np.cumsum(size_of), int(size_of.sum()) + np.arange(1, len(odd) + 1)])
+                nexts = pa.ListArray.from_arrays(pa.array(spans.astype(np.int32)), pa.array(np.concatenate([follow[order[~mine]], follow[odd]]), pa.int32()))
                 ids, marks = batch.column(0).slice(a, n), batch.column(1).slice(a, n)
                 nothing = pa.ListArray.from_arrays(pa.array(np.zeros(n + 1, np.int32)), pa.array(np.zeros(0)))
+                no_next = pa.ListArray.from_arrays(pa.array(np.zeros(n + 1, np.int32)), pa.array(np.zeros(0), pa.int32()))
                 no = np.zeros(n)
                 yield pa.RecordBatch.from_arrays(
-                    [ids, marks, pa.nulls(n, pa.string()), pa.array(no), nothing, pa.array(each + 1), pa.array(known), pa.array(base_sum), pa.array(score), pa.array(size)], names=_COLUMNS
+                    [ids, marks, pa.nulls(n, pa.string()), pa.array(no), nothing, no_next, pa.array(each + 1), pa.array(known), pa.array(base_sum), pa.array(score), pa.array(size)], names=_COLUMNS
                 )
-                owner = pa.array(text[first[rare]])
-                none = pa.array(np.zeros(len(rare), np.int64))
+                token_at = np.concatenate([first[rare], odd])
+                owner = pa.array(text[token_at])
+                none, zero = pa.array(np.zeros(len(token_at), np.int64)), pa.array(np.zeros(len(token_at)))
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.take(owner),
                         marks.take(owner),
-                        _strings(data, start[first[rare]], end[first[rare]]),
-                        pa.array(np.log10(scale[head[rare]])),
+                        _strings(data, start[token_at], end[token_at]),
+                        pa.array(np.append(np.log10(scale[head[rare]]), np.zeros(len(odd)))),
                         repeats,
+                        nexts,
                         none,
-                        pa.array(size_of),
-                        pa.array(np.zeros(len(rare))),
-                        pa.array(np.zeros(len(rare))),
+                        pa.array(np.append(size_of, np.zeros(len(odd), np.int64))),
+                        zero,
+                        zero,
                         none,
                     ],
                     names=_COLUMNS,
@@ -281,8 +402,8 @@ def _texts(common: tuple[np.ndarray, np.ndarray, np.ndarray], model_base: Callab
     return run
 
 
-_COLUMNS = ["id", "mark", "word", "scale", "repeats", "tokens", "known", "base", "score", "bytes"]
-_SPEC = "mark long, word string, scale double, repeats array<double>, tokens long, known long, base double, score double, bytes long"
+_COLUMNS = ["id", "mark", "word", "scale", "repeats", "nexts", "tokens", "known", "base", "score", "bytes"]
+_SPEC = "mark long, word string, scale double, repeats array<double>, nexts array<int>, tokens long, known long, base double, score double, bytes long"
 
 
 def score(docs: DataFrame, learnt: Column, id: str = "doc_id", text: str = "text") -> tuple[DataFrame, Model]:
@@ -295,28 +416,38 @@ def score(docs: DataFrame, learnt: Column, id: str = "doc_id", text: str = "text
     scored = stable(_scored(vocab, model))
     release(vocab)
     total = scored.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
-    # at most COMMON words have such a share
-    usual = scored.filter(F.col("total") * F.lit(COMMON) >= F.lit(total)).select("name", "own", "log_p").toArrow()
-    name = usual.column("name").to_numpy().view(np.uint64) if usual.num_rows else np.zeros(0, np.uint64)
+    # at most COMMON words have such a share, and at most COMMON pairs of a word and a first byte after it
+    share = F.lit(total / COMMON)
+    usual = scored.filter(F.col("total") >= share).select("name", "own", "log_p", F.filter("after", lambda a: a.total >= share).alias("after")).toArrow()
+    name = usual.column("name").to_numpy().view(np.uint64)
     order = np.argsort(name)
-    common = (name[order], usual.column("own").to_numpy()[order].astype(np.float64), usual.column("log_p").to_numpy()[order]) if usual.num_rows else (name, np.zeros(0), np.zeros(0))
-    end_p = float(lm_model.Scorer(model.coding, model.table, model.mixer).words([b"\n"])[0])
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    before, (byte, _, pair_p) = _after(usual.column("after"))
+    key = place[before] * 256 + byte.to_numpy()
+    by_key = np.argsort(key)
+    common = (name[order], usual.column("own").to_numpy()[order].astype(np.float64), usual.column("log_p").to_numpy()[order], key[by_key], pair_p.to_numpy()[by_key])
+    begin = model.starts.first()
     shared = docs.sparkSession.sparkContext.broadcast(common)
     divisor = model.tokens + 1.0 * (model.distinct + 1)
     end_base = math.log10((ends + 1) / divisor)
 
     def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return _texts(shared.value, lambda c: np.log10((c + 1.0) / divisor), end_p, end_base, ends)(batches)
+        return _texts(shared.value, lambda c: np.log10((c + 1.0) / divisor), begin, end_base, ends)(batches)
 
     kind = docs.schema[id].dataType.simpleString()
     rows = docs.select(F.col(id).alias("id"), mark.alias("mark"), F.col(text).alias("text")).mapInArrow(texts, f"id {kind}, {_SPEC}")
     # a text's own row meets no word: words hold no line ends
     spread = F.coalesce("word", F.concat(F.lit("\n"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("mark").cast("string")))
-    words_of = scored.select(F.col("word").alias("spread"), "own", "log_p").hint("shuffle_hash")
+    words_of = scored.select(F.col("word").alias("spread"), "own", "log_p", "after").hint("shuffle_hash")
     joined = rows.withColumn("spread", spread).join(words_of, "spread", "left")
     p = F.pow(F.lit(10.0), F.col("log_p")) * (1 - CACHE)
     repeated = F.when(F.size("repeats") > 0, F.aggregate("repeats", F.lit(0.0), lambda a, q: a + F.log10(p + q))).otherwise(0.0)
     other = F.col("own").isNotNull()
+    byte, chance = F.col("after.next"), F.col("after.log_p")
+    order_p = F.aggregate("nexts", F.lit(0.0), lambda a, b: a + F.get(chance, (F.array_position(byte, b) - 1).cast("int")))
+    # rows without occurrences tell what follows only
+    own_p = F.when(F.col("known") > 0, F.col("scale") + F.col("log_p") + repeated).otherwise(0.0)
     parts = joined.select(
         "id",
         "mark",
@@ -325,7 +456,7 @@ def score(docs: DataFrame, learnt: Column, id: str = "doc_id", text: str = "text
         "bytes",
         F.when(other & (F.col("own") == 0), 0).otherwise(F.col("known")).alias("known"),
         F.when(other, F.col("known") * F.log10((F.col("own") + 1.0) / F.lit(divisor))).otherwise(F.col("base")).alias("base"),
-        F.when(other, F.col("scale") + F.col("log_p") + repeated).otherwise(F.col("score")).alias("score"),
+        F.when(other, own_p + order_p).otherwise(F.col("score")).alias("score"),
     )
     sums = parts.groupBy("id", "mark").agg(*[F.sum(c).alias(c) for c in ("rows", "tokens", "bytes", "known", "base", "score")])
     # rows equal in id and text have been added up

@@ -9,6 +9,10 @@ all of it so far. A context and a place in the code give a slot of a hashed tabl
 the zeros and ones counted there. The predictions are mixed in the logistic domain by
 weights that a gate picks, the gate being how well the longer contexts are known. A last
 map refines the mix by what followed equal mixes.
+
+The first byte of a word has the word before as its context: two predictors, what followed
+that word and what begins words at all, are mixed and refined the same way, the gate being
+how often the word before was met on this way through the code (:class:`Starts`).
 """
 
 from __future__ import annotations
@@ -150,6 +154,14 @@ class Mixer:
     hits: np.ndarray
     visits: np.ndarray
 
+    @classmethod
+    def starts(cls) -> Mixer:
+        """A mixer of the two predictors of a word's first byte."""
+        grid = _squash(np.linspace(-LIMIT, LIMIT, STEPS))
+        trust = np.linspace(0.2, 1.0, len(_EDGES) + 1)
+        n = len(trust)
+        return cls(np.stack([trust, 1.2 - trust], axis=1), np.tile(np.eye(2) * FIRM, (n, 1, 1)), np.tile(grid * 20, (n, 1)), np.full((n, STEPS), 20.0))
+
     @classmethod
     def fresh(cls) -> Mixer:
         grid = _squash(np.linspace(-LIMIT, LIMIT, STEPS))
@@ -164,16 +176,16 @@ class Mixer:
         return b"".join(a.astype(np.float64).tobytes() for a in (self.weights, self.bend, self.hits, self.visits))
 
     @classmethod
-    def read(cls, raw: bytes) -> Mixer:
-        shapes = [(GATES, TABLES), (GATES, TABLES, TABLES), (GATES, STEPS), (GATES, STEPS)]
+    def read(cls, raw: bytes, gates: int = GATES, tables: int = TABLES) -> Mixer:
+        shapes = [(gates, tables), (gates, tables, tables), (gates, STEPS), (gates, STEPS)]
         edges = np.cumsum([0, *(int(np.prod(s)) for s in shapes)])
         flat = np.frombuffer(raw, np.float64)
         return cls(*(flat[a:b].reshape(s).copy() for a, b, s in zip(edges, edges[1:], shapes, strict=False)))
 
     @classmethod
-    def joined(cls, mixers: list[Mixer]) -> Mixer:
-        """One mixer of several that learnt apart: weights as firmly as each knows them."""
-        start = cls.fresh()
+    def joined(cls, mixers: list[Mixer], start: Mixer | None = None) -> Mixer:
+        """One mixer of several that learnt apart from ``start``: weights as firmly as each knows them."""
+        start = start or cls.fresh()
         bend = start.bend + sum(m.bend - start.bend for m in mixers)
         force = np.einsum("gij,gj->gi", start.bend, start.weights)
         force = force + sum(np.einsum("gij,gj->gi", m.bend, m.weights) - force for m in mixers)
@@ -193,6 +205,25 @@ class Mixer:
         return np.clip(0.5 * (_squash(mixed) + found), 1e-7, 1 - 1e-7)
 
 
+    def move(self, inputs: np.ndarray, gate: np.ndarray, mixed: np.ndarray, bit: np.ndarray, own: np.ndarray) -> None:
+        """Move the weights by one step of Newton's method along some decisions, and add these to the map."""
+        gates, tables = self.weights.shape
+        p = _squash(mixed)
+        pull, curve = (bit - p) * own, np.maximum(p * (1 - p), 1e-6) * own
+        for j in range(tables):
+            for k in range(j + 1):
+                part = np.bincount(gate, weights=curve * inputs[j] * inputs[k], minlength=gates)
+                self.bend[:, j, k] += part
+                if j != k:
+                    self.bend[:, k, j] += part
+        force = np.stack([np.bincount(gate, weights=pull * x, minlength=gates) for x in inputs], axis=1)
+        self.weights += np.linalg.solve(self.bend, force[:, :, None])[:, :, 0]
+        near = np.minimum(np.rint((mixed + LIMIT) * ((STEPS - 1) / (2 * LIMIT))).astype(np.int64), STEPS - 1)
+        spot = gate * STEPS + near
+        self.hits += np.bincount(spot, weights=own * bit, minlength=gates * STEPS).reshape(gates, STEPS)
+        self.visits += np.bincount(spot, weights=own, minlength=gates * STEPS).reshape(gates, STEPS)
+
+
 def _gates(long: np.ndarray, middle: np.ndarray) -> np.ndarray:
     return np.searchsorted(_EDGES, long, "right") * (len(_MIDDLE) + 1) + np.searchsorted(_MIDDLE, middle, "right")
 
@@ -215,20 +246,58 @@ def learn(found: Events, weight: np.ndarray, table: np.ndarray, mixer: Mixer) ->
         inputs = np.log((ones + PRIOR) / (zeros + PRIOR))
         gate = _gates(ones[4] + zeros[4], ones[3] + zeros[3])
         mixed = mixer.mix(inputs, gate)
-        p = _squash(mixed)
-        pull, curve = (bit - p) * own, np.maximum(p * (1 - p), 1e-6) * own
-        for j in range(TABLES):
-            for k in range(j + 1):
-                part = np.bincount(gate, weights=curve * inputs[j] * inputs[k], minlength=GATES)
-                mixer.bend[:, j, k] += part
-                if j != k:
-                    mixer.bend[:, k, j] += part
-        force = np.stack([np.bincount(gate, weights=pull * x, minlength=GATES) for x in inputs], axis=1)
-        mixer.weights += np.linalg.solve(mixer.bend, force[:, :, None])[:, :, 0]
-        near = np.minimum(np.rint((mixed + LIMIT) * ((STEPS - 1) / (2 * LIMIT))).astype(np.int64), STEPS - 1)
-        spot = gate * STEPS + near
-        mixer.hits += np.bincount(spot, weights=own * bit, minlength=GATES * STEPS).reshape(GATES, STEPS)
-        mixer.visits += np.bincount(spot, weights=own, minlength=GATES * STEPS).reshape(GATES, STEPS)
+        mixer.move(inputs, gate, mixed, bit, own)
+
+
+class Starts:
+    """First bytes of words after other words: what was counted, and how it is mixed."""
+
+    def __init__(self, coding: Code, counts: np.ndarray, mixer: Mixer):
+        self.code, self.mixer = coding, mixer
+        node, bit, byte, _ = self._steps(np.arange(256))
+        self.all = np.zeros((256, 2))
+        np.add.at(self.all, (node, bit), counts[byte].astype(np.float64))
+
+    def _steps(self, byte: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Place, bit, byte and row of every decision on the way to some bytes."""
+        each = self.code.length[byte]
+        row = np.repeat(np.arange(len(byte)), each)
+        at = self.code.start[byte][row] + np.arange(len(row)) - np.repeat(np.cumsum(each) - each, each)
+        return self.code.node[at], self.code.bit[at], byte[row], row
+
+    def _met(self, before: np.ndarray, byte: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, ...]:
+        node, bit, _, row = self._steps(byte)
+        place = before[row] * 256 + node
+        size = (int(before.max()) + 1) * 512 if len(before) else 0
+        table = np.bincount(place * 2 + bit, weights=count[row], minlength=size).reshape(-1, 2)
+        return node, bit, row, table[place]
+
+    @staticmethod
+    def _inputs(own: np.ndarray, every: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        inputs = np.stack([np.log((c[:, 1] + PRIOR) / (c[:, 0] + PRIOR)) for c in (own, every)])
+        return inputs, np.searchsorted(_EDGES, own.sum(axis=1), "right")
+
+    def learn(self, before: np.ndarray, byte: np.ndarray, count: np.ndarray) -> None:
+        """Move the mixer along first bytes met ``count`` times after words, each predicted from the other times."""
+        some = count > 0
+        before, byte, count = before[some], byte[some], count[some].astype(np.float64)
+        node, bit, row, met = self._met(before, byte, count)
+        itself = np.stack([1.0 - bit, bit], axis=1)
+        for low in range(0, len(bit), BATCH):
+            cut = slice(low, low + BATCH)
+            inputs, gate = self._inputs(np.maximum(met[cut] - itself[cut], 0), np.maximum(self.all[node[cut]] - itself[cut], 0))
+            self.mixer.move(inputs, gate, self.mixer.mix(inputs, gate), bit[cut].astype(np.float64), count[row[cut]])
+
+    def score(self, before: np.ndarray, byte: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """Log10 of the probability of each first byte after its word; all that followed a word stands in one call."""
+        node, bit, row, met = self._met(before, byte, count.astype(np.float64))
+        inputs, gate = self._inputs(met, self.all[node])
+        p = self.mixer.refine(self.mixer.mix(inputs, gate), gate)
+        return np.bincount(row, weights=np.log10(np.where(bit > 0, p, 1 - p)), minlength=len(byte))
+
+    def first(self) -> np.ndarray:
+        """Log10 of the probability of each byte where no word stands before."""
+        return self.score(np.zeros(256, np.int64), np.arange(256), np.zeros(256))
 
 
 class Scorer:
@@ -240,14 +309,18 @@ class Scorer:
         self.input = np.log((pairs[:, 1] + PRIOR) / (pairs[:, 0] + PRIOR))
         self.total = pairs.sum(axis=1)
 
-    def words(self, words: list[bytes]) -> np.ndarray:
-        """Log10 of the probability of each word."""
+    def words(self, words: list[bytes], rest: bool = False) -> np.ndarray:
+        """Log10 of the probability of each word, or of its ``rest`` once its first byte is known."""
         out = np.zeros(len(words))
         for low, part in _parts(words):
             found = events(part, self.code)
             gate = _gates(self.total[found.slots[4]], self.total[found.slots[3]])
             p = self.mixer.refine(self.mixer.mix(self.input[found.slots], gate), gate)
             cost = np.log10(np.where(found.bit > 0, p, 1 - p))
+            if rest:
+                began = np.searchsorted(found.word, np.arange(len(part)))
+                begin = self.code.length[[w[0] for w in part]]
+                cost[np.arange(len(cost)) - began[found.word] < begin[found.word]] = 0.0
             out[low : low + len(part)] = np.bincount(found.word, weights=cost, minlength=len(part))
         return out
 

@@ -27,23 +27,55 @@ def scored(spark):
     return ship(spark).createDataFrame(corpus(), "doc_id long, text string")
 
 
+def path(coding, byte):
+    """Places in the code and bits taken there, on the way to a byte."""
+    a = coding.start[byte]
+    return [(int(coding.node[i]), int(coding.bit[i])) for i in range(a, a + coding.length[byte])]
+
+
+def first_byte(model, after, every, byte):
+    """Log10 of a first byte's probability, decision by decision, from what followed the word before."""
+    total, start = 0.0, model.starts.mixer
+    for node, bit in path(model.coding, byte):
+        own, all_ = ([sum(n for b, n in c.items() if (node, x) in path(model.coding, b)) for x in (0, 1)] for c in (after, every))
+        gate = int(np.searchsorted(lm_model._EDGES, sum(own), "right"))
+        inputs = [math.log((c[1] + lm_model.PRIOR) / (c[0] + lm_model.PRIOR)) for c in (own, all_)]
+        mixed = min(max(sum(w * x for w, x in zip(start.weights[gate], inputs, strict=True)), -lm_model.LIMIT), lm_model.LIMIT)
+        spot = (mixed + lm_model.LIMIT) / (2 * lm_model.LIMIT) * (lm_model.STEPS - 1)
+        low = min(int(spot), lm_model.STEPS - 2)
+        ratio = start.hits[gate] / start.visits[gate]
+        p = 0.5 * (1 / (1 + math.exp(-mixed)) + ratio[low] * (low + 1 - spot) + ratio[low + 1] * (spot - low))
+        total += math.log10(p if bit else 1 - p)
+    return total
+
+
 def brute(rows, model):
     learnt = [i is not None and zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in rows]
-    counts = collections.Counter()
+    counts, after, every = collections.Counter(), collections.defaultdict(collections.Counter), collections.Counter()
     for yes, (_, text) in zip(learnt, rows, strict=True):
         if yes:
-            counts.update([*tokens(text), "\n"])
+            found = [*tokens(text), "\n"]
+            counts.update(found)
+            every.update(w.encode()[0] for w in found)
+            for u, w in zip(found, found[1:], strict=False):
+                after[u][w.encode()[0]] += 1
     n, v = sum(counts.values()), len(counts)
     scorer = lm_model.Scorer(model.coding, model.table, model.mixer)
-    words = sorted({w for _, t in rows for w in tokens(t)} | {"\n"})
-    p = dict(zip(words, 10 ** scorer.words([w.encode() for w in words]), strict=True))
+    words = sorted({w for _, t in rows for w in tokens(t)})
+    rest = dict(zip(words, 10 ** scorer.words([w.encode() for w in words], rest=True), strict=True))
+    known = {}
     out = []
     for i, text in rows:
-        found, seen, score = tokens(text), collections.Counter(), 0.0
-        for t, w in enumerate([*found, "\n"]):
-            score += math.log10(p[w] if t == 0 else (1 - lm.CACHE) * p[w] + lm.CACHE * seen[w] / t)
+        found, seen, alike, score = [*tokens(text), "\n"], collections.Counter(), collections.Counter(), 0.0
+        for u, w in zip([None, *found], found, strict=False):
+            b = w.encode()[0]
+            if (u, b) not in known:
+                known[u, b] = first_byte(model, after[u], every, b)
+            score += known[u, b]
+            if w != "\n":
+                score += math.log10((1 - lm.CACHE) * rest[w] + lm.CACHE * seen[w] / alike[b] if alike[b] else rest[w])
             seen[w] += 1
-        found.append("\n")
+            alike[b] += 1
         base = sum(math.log10((counts[w] + 1) / (n + v + 1)) for w in found)
         out.append((i, i is not None and zlib.crc32(str(i).encode()) % 7 == 2, len(found), sum(counts[w] > 0 for w in found), n, base, score))
     return sorted(out, key=str)
@@ -59,7 +91,8 @@ def test_scores_equal_brute_force(scored, monkeypatch):
         monkeypatch.undo()
         want = brute(corpus(), kept["model"])
         assert [g[:5] for g in got] == [w[:5] for w in want]
-        assert np.allclose([g[5:] for g in got], [w[5:] for w in want], rtol=1e-9)
+        assert np.allclose([g[5] for g in got], [w[5] for w in want], rtol=1e-9)
+        assert np.allclose([g[6] for g in got], [w[6] for w in want], rtol=1e-5)
         assert found.columns == ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
 
 
@@ -127,3 +160,48 @@ def test_text_ends_are_learnt_from_once(spark):
         words, weight = [*(r[0].encode() for r in rows), b"\n"], np.array([*(r[1] for r in rows), 1000.0])
         found = lm_model.events(words, model.coding)
         assert np.isclose((model.mixer.visits - start.visits).sum(), weight[found.word].sum())
+
+
+def test_scores_do_not_depend_on_partitions(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    names = [f"{a}{b}" for a in "abcdefgh" for b in range(40)]
+    docs = ship(spark).createDataFrame([(i, " ".join(rng.choice(names, 60))) for i in range(120)], "doc_id long, text string")
+    # several parts, and chunks that end inside them
+    monkeypatch.setattr(lm, "PART", 50)
+    monkeypatch.setattr(lm, "CHUNK", 20)
+    kept, width = [], spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in (1, 8, 40):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            kept.append({r.doc_id: r.score for r in lm.score_documents(docs.repartition(n, "text")).collect()})
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+    for other in kept[1:]:
+        assert all(np.isclose(other[i], s, rtol=1e-6) for i, s in kept[0].items())
+
+
+def test_the_order_of_words_counts(spark):
+    """Sentences of a fixed order, held out, score above the same words shuffled."""
+    rng = np.random.default_rng(5)
+    kinds = [[f"{c}{i}" for i in range(12)] for c in "dnvap"]
+    rows = [(i, " ".join(" ".join(rng.choice(k) for k in kinds) for _ in range(12))) for i in range(300)]
+    held = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 7 == 2]
+    mixed = [(i, " ".join(rng.permutation(t.split()))) for i, (_, t) in zip(held_out_ids(1000, len(held)), held, strict=True)]
+    found = {r.doc_id: r for r in lm.score_documents(ship(spark).createDataFrame(rows + mixed, "doc_id long, text string")).collect()}
+    assert len(held) > 20
+    assert all(found[a].held_out and found[b].held_out and found[a].score > found[b].score for (a, _), (b, _) in zip(held, mixed, strict=True))
+
+
+def held_out_ids(first, n):
+    out = [i for i in range(first, first + 20 * n) if zlib.crc32(str(i).encode()) % 7 == 2]
+    return out[:n]
+
+
+def test_first_bytes_after_a_word_share_one_probability():
+    rng = np.random.default_rng(6)
+    coding = lm_model.code(rng.integers(0, 1000, 256))
+    starts = lm_model.Starts(coding, rng.integers(0, 500, 256), lm_model.Mixer.starts())
+    before, byte, count = np.repeat([0, 1], [256, 256]), np.tile(np.arange(256), 2), rng.integers(0, 9, 512)
+    starts.learn(before, byte, count)
+    p = 10 ** starts.score(before, byte, count)
+    assert np.allclose(np.bincount(before, weights=p), 1, atol=1e-4) and np.isclose((10 ** starts.first()).sum(), 1, atol=1e-4)
