@@ -4,7 +4,9 @@ Every letter has a fixed random vector of +1 and -1. A three-letter gram is boun
 its letters' vectors, rotated by two places, one and none, and multiplied; a text is
 the sum (bundle) of its grams' vectors, a language the sum of its texts' vectors, each
 scaled to the same length first. A text gets the language whose prototype has the
-largest cosine with it.
+largest cosine with it. Short texts hold few grams, so their cosines are low in any
+language: what a text must reach to be kept follows from the learnt texts of the language
+that are about as long (a class for each doubling of the length).
 
 Word edges take part as one extra letter; the middle of a gram is always a letter.
 Counting grams first and multiplying the counts by the gram vectors gives the same
@@ -24,15 +26,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from admere.llm.text import pieces
 
 #: Places in a vector.
 PLACES = 1024
-#: Texts with a cosine below this are like no language learnt.
+#: Texts with a cosine below this are like no language learnt, whatever their length.
 FLOOR = 0.05
+#: Share of the learnt texts of a language and length that may lie below the cosine taken as usual, and
+#: the part of that cosine which a text of the language must reach.
+LOWEST, MARGIN = 0.01, 0.5
+#: Classes of length, each twice as long as the one before; a text has fewer than 2^31 code points.
+_CLASSES = 31
+#: Steps of a cosine between 0 and 1, for its distribution.
+_STEPS = 1000
 UNKNOWN = "und"
 #: Bytes of text whose grams are counted together.
 PIECE = 2 << 20
@@ -178,8 +187,41 @@ def label_documents(docs: DataFrame) -> DataFrame:
     return identify(held, prototypes).drop("text")
 
 
+def _class(text: str) -> Column:
+    """Length class of a text: a step for each doubling of its code points."""
+    return F.floor(F.log2(F.greatest(F.length(text), F.lit(1)).cast("double"))).cast("int")
+
+
+def floors(learnt: DataFrame, prototypes: dict[str, np.ndarray], text: str = "text", lang: str = "lang") -> dict[tuple[str, int], float]:
+    """The cosine that texts of each language and length class must reach, from all texts learnt.
+
+    Counts by step of the cosine are added up in Spark; a language gives at most 31 numbers, fewer than its prototype has.
+    """
+    marked = identify(learnt.select(F.col(text).alias("text"), F.col(lang).alias("lang")), prototypes)
+    step = F.floor(F.col("score") * _STEPS).cast("int").alias("step")
+    counts = marked.filter("lang_pred = lang").groupBy("lang_pred", _class("text").alias("class"), step).agg(F.count(F.lit(1)).alias("n"))
+    group = Window.partitionBy("lang_pred", "class")
+    so_far = counts.select("*", F.sum("n").over(group.orderBy("step")).alias("below"), F.sum("n").over(group).alias("all"))
+    usual = so_far.filter(F.col("below") > F.col("all") * LOWEST).groupBy("lang_pred", "class").agg(F.min("step").alias("step"))
+    found = {(r["lang_pred"], r["class"]): max(FLOOR, MARGIN * r["step"] / _STEPS) for r in usual.collect()}
+    # at a length not learnt, what the next shorter texts must reach
+    for name in prototypes:
+        for size in range(_CLASSES):
+            found.setdefault((name, size), found.get((name, size - 1), FLOOR))
+    return found
+
+
 def keep_known(docs: DataFrame) -> DataFrame:
-    """Documents in one of the languages learnt from their own ``lang`` column; the others go."""
-    prototypes = learn(docs.filter(fold("doc_id", 3) != 1), "text", "lang")
-    marked = identify(docs.select("doc_id", "text", "lang", "source", "n_chars"), prototypes, names=("_pred", "_score"))
-    return marked.filter((F.col("_pred") != UNKNOWN) & (F.col("_score") >= FLOOR)).drop("_pred", "_score")
+    """Documents in one of the languages learnt from their own ``lang`` column; the others go.
+
+    A text goes if it has no letters or its cosine is below the floor of its language and length (``floors``).
+    Lengths at which a language was not learnt have the floor of the next shorter ones, else ``FLOOR``. The result has the columns of documents.
+    """
+    learnt = docs.filter(fold("doc_id", 3) != 1)
+    prototypes = learn(learnt, "text", "lang")
+    found = floors(learnt, prototypes)
+    marked = identify(docs.select("doc_id", "text", "lang", "source", "n_chars"), prototypes, names=("_pred", "_score")).withColumn("_class", _class("text"))
+    # at most 31 rows a language
+    least = docs.sparkSession.createDataFrame([(k, c, f) for (k, c), f in sorted(found.items())], "_pred string, _class int, _floor double")
+    kept = marked.join(F.broadcast(least), ["_pred", "_class"], "left").filter((F.col("_pred") != UNKNOWN) & (F.col("_score") >= F.coalesce("_floor", F.lit(FLOOR))))
+    return kept.select("doc_id", "text", "lang", "source", "n_chars")

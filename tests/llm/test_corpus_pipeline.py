@@ -33,7 +33,10 @@ def test_stages_are_the_operators(spark, kept):
     assert all(df.columns == COLUMNS for df in kept[:-1])
     labels = spark.read.parquet(f"{SMALL}/labels.parquet")
     labelled = langid.label_documents(kept[0])
-    assert ids(kept[1]) == ids(labelled.filter((F.col("lang_pred") != "und") & (F.col("score") >= langid.FLOOR)))
+    learnt = kept[0].filter(langid.fold("doc_id", 3) != 1)
+    floors = langid.floors(learnt, langid.learn(learnt, "text", "lang"))
+    size = {r.doc_id: len(r.text or "").bit_length() - 1 for r in kept[0].collect()}
+    assert ids(kept[1]) == sorted(r.doc_id for r in labelled.collect() if r.lang_pred != "und" and r.score >= floors.get((r.lang_pred, size[r.doc_id]), langid.FLOOR))
     assert ids(kept[2]) == ids(quality.judge_documents(kept[1], labels).filter("kept"))
     assert ids(kept[3]) == ids(ngram_join.classes(kept[2]).filter("doc_id = class_id"))
     taken = source_mix.mix_documents(kept[3]).filter("taken > 0").select("doc_id", F.explode(F.sequence(F.lit(1), (F.col("taken") / F.col("size")).cast("int"))))
@@ -81,3 +84,22 @@ def test_removal_is_by_document_not_by_id(spark):
     twice = ship(spark).createDataFrame([(1, a), (1, a + " more"), (1, b)], "doc_id long, text string")
     texts = [r["text"] for r in ngram_join.one_of_each(twice).collect()]
     assert len(texts) == 2 and b in texts
+
+
+FOREIGN = [
+    "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem i sumieniem",
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью",
+    "qxzvk wjjpq zzxkw vqpjx kkwzq xvjqp zqxwk jvpzx qkwxj vzpqk xwjzv kqpxz wvjkq pzxqw vjkzp qxwvj kzpxq",
+]
+
+
+def test_the_language_stage_refuses_languages_it_did_not_learn(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    foreign = spark.createDataFrame([(10_000_000 + i, t, None, "s", len(t)) for i, t in enumerate(FOREIGN)], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.language(spark, docs.select(COLUMNS).union(foreign), SMALL)
+    left = {r.doc_id: r.text for r in kept.collect()}
+    assert not any(i >= 10_000_000 for i in left)
+    # running text of the learnt languages stays; one word over and over is no language
+    running = {r.doc_id for r in docs.filter("size(array_distinct(split(text, ' '))) >= 10").collect()}
+    assert running <= set(left) and len(running) > 0.9 * docs.count()
