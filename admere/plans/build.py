@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from admere.functions.values import DEFAULT_ZONE
 from admere.operators.checks import assert_empty, scorecard, snapshot
-from admere.plans import conformed, incremental, marts, monitoring, staging, star, value
+from admere.plans import conformed, incremental, marts, monitoring, propagate, staging, star, value
 from admere.session import prepare
 from admere.sources.files import city_mapping, internal_domains, land, read_landing
 from admere.sources.tables import append_snapshot, existing, write_full
@@ -27,6 +27,7 @@ class Build:
         self.versioned = {
             "stg_ga4_events": incremental.event_table(spark, self.path("stg_ga4_events")),
             "stg_meta_ads": incremental.ad_table(spark, self.path("stg_meta_ads")),
+            **propagate.tables(spark, self.root),
         }
 
     def path(self, name: str) -> str:
@@ -45,7 +46,7 @@ class Build:
         return self.tables[name]
 
     def silver(self, full_refresh: bool = True, answer: Callable | None = None, last_day: str | None = None) -> dict[str, DataFrame]:
-        """Staging and conformed tables. Without ``full_refresh`` events and ads load incrementally."""
+        """Staging and conformed tables. Without ``full_refresh`` events and ads load incrementally, sessions and orders after them."""
         raw, t = self.raw, self.tables
         self.write("stg_crm_customers", staging.crm_customers(raw["crm_customers"], city_mapping(self.spark), self.domains, self.zone))
         self.write("stg_crm_orders", staging.crm_orders(raw["crm_orders"], t["stg_crm_customers"], self.zone))
@@ -66,17 +67,17 @@ class Build:
             incremental.load_events(raw["ga4_events"], self.versioned["stg_ga4_events"], zone=self.zone)
             self.load("stg_meta_ads"), self.load("stg_ga4_events")
         self.write("int_customer_identity", conformed.customer_identity(t["stg_crm_customers"], t["stg_crm_orders"]))
-        self.write("int_sessions", conformed.sessions(
-            t["stg_ga4_events"], t["stg_crm_orders"], t["int_customer_identity"], t["stg_google_clicks"], t["stg_meta_ads"]))
-        self.write("int_orders_attributed", conformed.orders_attributed(t["stg_crm_orders"], t["int_customer_identity"], t["int_sessions"]))
+        propagate.conform(
+            self.versioned, self.versioned["stg_ga4_events"], t["stg_crm_orders"], t["int_customer_identity"], t["stg_google_clicks"], t["stg_meta_ads"], full_refresh)
+        self.load("int_sessions"), self.load("int_orders_attributed")
         self.write("int_creative_features", conformed.creative_features(t["stg_creatives"], answer))
         return t
 
-    def star(self) -> dict[str, DataFrame]:
+    def star(self, full_refresh: bool = True) -> dict[str, DataFrame]:
         t = self.tables
         google, meta = t["stg_google_ads_performance"], t["stg_meta_ads"]
-        self.write("fct_orders", star.fct_orders(t["int_orders_attributed"]))
-        self.write("fct_sessions", star.fct_sessions(t["int_sessions"]))
+        propagate.facts(self.versioned, full_refresh)
+        self.load("fct_orders"), self.load("fct_sessions")
         self.write("fct_ad_spend_daily", star.fct_ad_spend_daily(google, meta))
         self.write("dim_date", star.dim_date([
             (google, "performance_date"), (meta, "insight_date"), (t["int_sessions"], "session_date"), (t["int_orders_attributed"], "order_date")]))
@@ -124,9 +125,14 @@ class Build:
         results = self.load("ops_dq_results")
         return results if manifest is None else self.write("ops_dq_scorecard", scorecard(results, manifest))
 
+    def vacuum(self, keep: int = 3) -> None:
+        """Remove old versions of all versioned tables; readers of older ones must have ended."""
+        for table in self.versioned.values():
+            table.vacuum(keep)
+
     def run(self, full_refresh: bool = True, **gold) -> DataFrame:
         self.silver(full_refresh)
-        self.star()
+        self.star(full_refresh)
         self.check()
         self.gold(**gold)
         return self.story()

@@ -46,10 +46,18 @@ SESSION_COLUMNS = (
 
 def sessions(events: DataFrame, orders: DataFrame, identity: DataFrame, clicks: DataFrame, meta: DataFrame) -> DataFrame:
     """One row per outside web session with its person and campaign."""
-    rolled = roll_up(events)
     order_people = orders.select("order_id", "customer_id").join(identity.select("customer_id", "customer_key"), "customer_id")
-    current_ads = meta.groupBy("ad_id").agg(latest_by("campaign_id", "insight_date", "pulled_at_utc").alias("campaign_id"))
-    placed = session_campaigns(session_people(rolled, session_orders(events), order_people), clicks, current_ads)
+    return place_sessions(roll_up(events), session_orders(events), order_people, clicks, current_ads(meta))
+
+
+def current_ads(meta: DataFrame) -> DataFrame:
+    """Campaign each ad belongs to now."""
+    return meta.groupBy("ad_id").agg(latest_by("campaign_id", "insight_date", "pulled_at_utc").alias("campaign_id"))
+
+
+def place_sessions(rolled: DataFrame, named: DataFrame, order_people: DataFrame, clicks: DataFrame, ads: DataFrame) -> DataFrame:
+    """Person and campaign of rolled-up sessions; ``named`` lists all sessions of their visitors that name an order."""
+    placed = session_campaigns(session_people(rolled, named, order_people), clicks, ads)
     return placed.withColumn("session_key", session_key()).filter(~F.col("is_internal_session")).select(*SESSION_COLUMNS)
 
 
@@ -71,7 +79,11 @@ def orders_attributed(orders: DataFrame, identity: DataFrame, sessions: DataFram
 
     A session that names another order ranks like one that names none.
     """
-    genuine = orders.filter(~F.col("is_test_order")).join(identity.select("customer_id", "customer_key"), "customer_id")
+    return attribute(orders.filter(~F.col("is_test_order")).join(identity.select("customer_id", "customer_key"), "customer_id"), sessions)
+
+
+def attribute(genuine: DataFrame, sessions: DataFrame) -> DataFrame:
+    """Orders that carry their ``customer_key``, with the best of these sessions."""
     best = best_session(
         genuine, sessions, "order_id", "order_timestamp_utc", "session_key", "session_start_utc", "customer_key", "transaction_id"
     ).drop("distance_s")

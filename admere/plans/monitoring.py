@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from admere.functions import nested
@@ -209,3 +209,17 @@ def layer_gap(t: dict[str, DataFrame], tolerance: float = 0.01) -> DataFrame:
     return m.filter(
         (F.col("silver_orders") != F.col("gold_orders")) | apart("silver_revenue", "gold_revenue") | apart("silver_spend", "gold_spend")
     )
+
+
+def uncovered_days(rows: DataFrame, key: str, day: str, settled: int = 7, delivered: str = "dt") -> DataFrame:
+    """Days between the first and the last one of a key that have no row.
+
+    Pulls send ``settled`` days again, so a day that old counts as lost, a newer one may still come. Only
+    neighbouring days are compared, so the calendar is spelt out for gaps alone. Rows without key or day do not count.
+    """
+    dated = rows.filter(F.col(key).isNotNull() & F.col(day).isNotNull()).select(key, day).distinct()
+    before = F.lag(day).over(Window.partitionBy(key).orderBy(day))
+    gaps = dated.withColumn("__before", before).filter(F.datediff(day, "__before") > 1)
+    lost = gaps.select(key, F.explode(F.sequence(F.date_add("__before", 1), F.date_sub(day, 1))).alias(day))
+    newest = rows.agg(F.max(delivered).alias("__newest"))
+    return with_scalars(lost, newest).filter(F.col(day) <= F.date_sub("__newest", settled)).drop("__newest")

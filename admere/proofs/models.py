@@ -411,17 +411,18 @@ _model(
     "customer_id customer_key email_hash phone_hash identity_method city_standard created_at_utc:t created_date:d is_guest:b marketing_opt_in:b is_internal_customer:b is_placeholder:b dt:d source_file_name",
     "FROM z_identity",
 )
-_model(
-    "int_sessions",
+SESSION_SPEC = (
     "session_key user_pseudo_id ga_session_id:i session_start_utc:t session_end_utc:t session_date:d city device_category operating_system customer_id customer_key gclid srsltid fbclid utm_source utm_medium "
-    "utm_campaign_id utm_campaign_name utm_content campaign_id ad_id attribution_method attributed_platform transaction_id is_provisional:b event_count:i engagement_time_msec:i dt:d source_file_name",
-    "SELECT *, started AS session_start_utc, ended AS session_end_utc, tag_source AS utm_source, tag_medium AS utm_medium, tag_campaign AS utm_campaign_id, tag_name AS utm_campaign_name, tag_content AS utm_content FROM z_sessions",
+    "utm_campaign_id utm_campaign_name utm_content campaign_id ad_id attribution_method attributed_platform transaction_id is_provisional:b event_count:i engagement_time_msec:i dt:d source_file_name"
 )
-_ORDER_SPEC = (
+SESSION_SQL = "SELECT *, started AS session_start_utc, ended AS session_end_utc, tag_source AS utm_source, tag_medium AS utm_medium, tag_campaign AS utm_campaign_id, tag_name AS utm_campaign_name, tag_content AS utm_content FROM z_sessions"
+_model("int_sessions", SESSION_SPEC, SESSION_SQL)
+ORDER_SPEC = (
     "order_id customer_id customer_key order_timestamp_utc:t order_date:d revenue:n2 status session_key session_start_utc:t campaign_id ad_id attributed_platform attribution_method gclid fbclid "
     "exact_transaction_match:b dt:d source_file_name session_source_file_name"
 )
-_model("int_orders_attributed", _ORDER_SPEC, "SELECT *, started AS session_start_utc, exact AS exact_transaction_match, session_file AS session_source_file_name FROM z_attributed")
+ORDER_SQL = "SELECT *, started AS session_start_utc, exact AS exact_transaction_match, session_file AS session_source_file_name FROM z_attributed"
+_model("int_orders_attributed", ORDER_SPEC, ORDER_SQL)
 _model("int_creative_features", "ad_id copy_text tone discount_pct:i cta product extraction_method dt:d", "SELECT *, 'deterministic_fallback' AS extraction_method FROM z_features")
 _model("dim_customer", "customer_key customer_ids identity_count:i city_standard first_created_date:d has_guest_identity:b marketing_opt_in:b is_placeholder:b first_order_timestamp_utc:t first_order_date:d latest_order_timestamp_utc:t lifetime_order_count:i dt:d source_file_name",
        "SELECT *, ids AS customer_ids, first_at AS first_order_timestamp_utc, last_at AS latest_order_timestamp_utc FROM z_people")

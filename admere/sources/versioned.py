@@ -2,7 +2,7 @@
 
     <path>/data/__load=<id>/<partition>=<value>/   rows of one load, never changed
     <path>/index/__load=<id>/<partition>=<value>/  hashes of the keys those rows can be found by
-    <path>/versions/<number>.json                which folders make up a version
+    <path>/versions/<number>.json                which folders make up a version, and of what it was made
 
 A version becomes visible when its file is renamed into place. A writer that stops before leaves
 the version before, one that stops after leaves its own; no reader sees a partition
@@ -110,19 +110,76 @@ class VersionedTable:
         escape = self.spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
         return f"{escape(self.partition)}={escape(text)}"
 
+    def version(self) -> int | None:
+        """Number of the newest version; None before the first load."""
+        return max(self.versions(), default=None)
+
+    def notes(self) -> dict[str, int]:
+        """What the last writer noted with its rows: here the versions of the tables they were made from."""
+        return (self.manifest() or {}).get("notes") or {}
+
+    # ------------------------------------------------------------------ keys and changes
+
+    def lookup(self, wanted: DataFrame, keys: Sequence[str], version: int | None = None) -> DataFrame:
+        """Rows whose ``keys`` are among those of ``wanted``; NULL is a key like any other.
+
+        Opens only the partitions the index names. ``wanted`` is read several times, so hand in a stored table.
+        """
+        found = self.manifest(version)
+        return matching(self._rows(found, self._pick(found, self.holding(wanted, keys, found))), wanted, keys)
+
+    def holding(self, wanted: DataFrame, keys: Sequence[str], manifest: dict[str, Any] | None = None) -> set:
+        """Partition values in which a key of ``wanted`` occurs, by the index if the keys have a link.
+
+        Without a link, the key columns of the table are read.
+        """
+        manifest = manifest or self.manifest()
+        return {value for missing in (False, True) for value in self._found(wanted.select(*keys), keys, None, manifest, manifest["folders"], missing)}
+
+    def changes(self, since: int, columns: Sequence[str] | None = None, until: int | None = None) -> DataFrame | None:
+        """Rows that differ between two versions, each once: ``columns`` and ``added`` (else it was removed).
+
+        Reads the folders only one of them names, as folders never change. None if version ``since`` is gone.
+        """
+        if since not in self.versions():
+            return None
+        old, new = self.manifest(since), self.manifest(until)
+        columns = list(columns or StructType.fromJson(new["schema"]).names)
+        before = self._rows(old, [f for f in old["folders"] if f not in new["folders"]]).select(*columns, F.lit(-1).alias("__side"))
+        after = self._rows(new, [f for f in new["folders"] if f not in old["folders"]]).select(*columns, F.lit(1).alias("__side"))
+        differ = before.unionByName(after).groupBy(*columns).agg(F.sum("__side").alias("__side")).filter(F.col("__side") != 0)
+        return differ.select(*columns, (F.col("__side") > 0).alias("added"))
+
     # ------------------------------------------------------------------ writers
 
-    def replace(self, rows: DataFrame) -> int:
+    def replace(self, rows: DataFrame, notes: dict[str, int] | None = None) -> int:
         """A version of these rows alone."""
         load, folders = self._write(rows)
-        return self._publish(self.manifest(), rows.schema, folders, {load: list(self.links)})
+        return self._publish(self.manifest(), rows.schema, folders, {load: self._indexed()}, notes or {})
+
+    def exchange(self, gone: DataFrame, rows: DataFrame, keys: Sequence[str], notes: dict[str, int] | None = None) -> int:
+        """A version without the rows whose ``keys`` are in ``gone``, and with ``rows``.
+
+        Partitions that lose no row stay as they are, also those that gain some.
+        """
+        before = self.manifest()
+        if before is None:
+            return self.replace(rows, notes)
+        gone = stable(gone.select(*keys).distinct())
+        chosen = self._pick(before, self.holding(gone, keys, before))
+        kept = matching(self._rows(before, chosen), gone, keys, "left_anti")
+        load, folders = self._write(kept.select(*rows.columns).unionByName(rows))
+        rest = [entry for entry in before["folders"] if entry not in chosen]
+        version = self._publish(before, StructType.fromJson(before["schema"]), rest + folders, before["links"] | {load: self._indexed()}, notes)
+        release(gone)
+        return version
 
     def append(self, rows: DataFrame) -> int:
         """A version with these rows added to the newest one."""
         before = self.manifest()
         load, folders = self._write(rows)
         old, links = (before["folders"], before["links"]) if before else ([], {})
-        return self._publish(before, rows.schema, old + folders, links | {load: list(self.links)})
+        return self._publish(before, rows.schema, old + folders, links | {load: self._indexed()})
 
     def upsert(
         self,
@@ -148,7 +205,7 @@ class VersionedTable:
         rows = self._rows(before, chosen).select(*batch.columns).unionByName(batch)
         load, folders = self._write(rebuild(rows))
         kept = [entry for entry in before["folders"] if entry not in chosen]
-        version = self._publish(before, StructType.fromJson(before["schema"]), kept + folders, before["links"] | {load: list(self.links)})
+        version = self._publish(before, StructType.fromJson(before["schema"]), kept + folders, before["links"] | {load: self._indexed()})
         release(batch)
         return version
 
@@ -161,22 +218,37 @@ class VersionedTable:
         for keys, condition in links:
             if self.partition in keys or not others:
                 continue
-            name = _link_name(keys, condition)
-            indexed = [entry for entry in others if name in manifest["links"].get(entry[1], ())]
-            wanted = stable(_hashes(batch, keys, None).distinct())
-            few = F.broadcast(wanted) if wanted.count() <= BROADCAST_ROWS else wanted
-            found = []
-            if indexed:
-                found.append(self._index(manifest, indexed).filter(F.col("link") == name).select(self.partition, "hash"))
-            if len(indexed) < len(others):
-                # Loads made without this link: look at their key columns.
-                rest = self._rows(manifest, [entry for entry in others if entry not in indexed])
-                found.append(_hashes(rest, keys, condition, self.partition))
-            for place in found:
-                values |= {row[0] for row in place.join(few, "hash", "left_semi").select(self.partition).distinct().collect()}
+            values |= self._found(batch, keys, condition, manifest, others)
+        return values
+
+    def _found(self, batch: DataFrame, keys: Sequence[str], condition: str | None, manifest: dict[str, Any], among: list[list[str]], missing: bool = False) -> set:
+        """Values of those partitions ``among`` the given ones that may hold a key of the batch; ``missing``: a key with a NULL part."""
+        if not among:
+            return set()
+        name = _link_name(keys, condition, missing)
+        indexed = [entry for entry in among if name in manifest["links"].get(entry[1], ())]
+        wanted = stable(_hashes(batch, keys, None, missing=missing).distinct())
+        number = wanted.count()
+        if not number:
             release(wanted)
+            return set()
+        few = F.broadcast(wanted) if number <= BROADCAST_ROWS else wanted
+        found, values = [], set()
+        if indexed:
+            found.append(self._index(manifest, indexed).filter(F.col("link") == name).select(self.partition, "hash"))
+        if len(indexed) < len(among):
+            # Loads made without this link: look at their key columns.
+            rest = self._rows(manifest, [entry for entry in among if entry not in indexed])
+            found.append(_hashes(rest, keys, condition, self.partition, missing=missing))
+        for place in found:
+            values |= {row[0] for row in place.join(few, "hash", "left_semi").select(self.partition).distinct().collect()}
+        release(wanted)
         return values
 
+    def _indexed(self) -> list[str]:
+        """Names of what a load is indexed by."""
+        return [*self.links, *[_link_name(keys, None, True) for keys, condition in self.links.values() if condition is None]]
+
     def _index(self, manifest: dict[str, Any], folders: list[list[str]]) -> DataFrame:
         kind = StructType.fromJson(manifest["schema"])[self.partition].dataType.simpleString()
         reader = self.spark.read.schema(f"link string, hash long, `{self.partition}` {kind}").option("basePath", f"{self.path}/index")
@@ -198,7 +270,10 @@ class VersionedTable:
         folders = [[name, load] for name in sorted(names)]
         if self.links and folders:
             written = self._rows({"schema": json.loads(rows.schema.json())}, folders)
-            parts = [_hashes(written, keys, condition, self.partition).select(F.lit(name).alias("link"), "hash", self.partition) for name, (keys, condition) in self.links.items()]
+            kinds = [(keys, condition, missing) for keys, condition in self.links.values() for missing in (False, True) if not (condition and missing)]
+            parts = [
+                _hashes(written, *kind[:2], self.partition, missing=kind[2]).select(F.lit(_link_name(*kind)).alias("link"), "hash", self.partition) for kind in kinds
+            ]
             every = parts[0]
             for part in parts[1:]:
                 every = every.union(part)
@@ -206,12 +281,13 @@ class VersionedTable:
             index.write.partitionBy(self.partition).parquet(f"{self.path}/index/__load={load}")
         return load, folders
 
-    def _publish(self, before: dict[str, Any] | None, schema: StructType, folders: list[list[str]], links: dict[str, list[str]]) -> int:
-        """Make a version visible by renaming its file into place."""
+    def _publish(self, before: dict[str, Any] | None, schema: StructType, folders: list[list[str]], links: dict[str, list[str]], notes: dict[str, int] | None = None) -> int:
+        """Make a version visible by renaming its file into place. Without ``notes`` those of the version before stay."""
         number = before["version"] + 1 if before else 1
         used = {load for _, load in folders}
         mark = max(filter(None, [before and before["mark"], self._newest(schema, [f for f in folders if not before or f not in before["folders"]])]), default=None)
-        text = json.dumps({"version": number, "mark": mark, "schema": json.loads(schema.json()), "folders": folders, "links": {k: v for k, v in links.items() if k in used}})
+        kept = (before or {}).get("notes") if notes is None else notes
+        text = json.dumps({"version": number, "mark": mark, "schema": json.loads(schema.json()), "folders": folders, "links": {k: v for k, v in links.items() if k in used}, "notes": kept})
         fs, draft = self._fs(f"{self.path}/versions/_{uuid.uuid4().hex}")
         stream = fs.create(draft)
         try:
@@ -262,12 +338,24 @@ class VersionedTable:
         return folder.getFileSystem(self.spark._jsc.hadoopConfiguration()), folder
 
 
-def _link_name(keys: Sequence[str], condition: str | None) -> str:
-    return ",".join(keys) + ("" if condition is None else f" where {condition}")
+def matching(rows: DataFrame, wanted: DataFrame, keys: Sequence[str], how: str = "left_semi") -> DataFrame:
+    """Rows whose keys are (``left_semi``) or are not (``left_anti``) among the wanted ones; NULL equals NULL."""
+    renamed = wanted.select(*[F.col(k).alias(f"__wanted_{i}") for i, k in enumerate(keys)])
+    equal = F.lit(True)
+    for i, k in enumerate(keys):
+        equal = equal & F.col(k).eqNullSafe(F.col(f"__wanted_{i}"))
+    return rows.join(renamed, equal, how)
+
+
+def _link_name(keys: Sequence[str], condition: str | None, missing: bool = False) -> str:
+    return ",".join(keys) + ("" if condition is None else f" where {condition}") + (" with NULL" if missing else "")
 
 
-def _hashes(rows: DataFrame, keys: Sequence[str], condition: str | None, *more: str) -> DataFrame:
-    """Hash of the key of each row that has one; as text, so that a key's type may widen."""
+def _hashes(rows: DataFrame, keys: Sequence[str], condition: str | None, *more: str, missing: bool = False) -> DataFrame:
+    """Hash of the key of each row that has one, or with ``missing`` of each key with a NULL part; as text, so that a key's type may widen."""
     among = rows if condition is None else rows.filter(condition)
-    whole = among.dropna(subset=list(keys))
+    lacking = F.lit(False)
+    for k in keys:
+        lacking = lacking | F.col(k).isNull()
+    whole = among.filter(lacking if missing else ~lacking)
     return whole.select(F.xxhash64(*[F.col(k).cast("string") for k in keys]).alias("hash"), *more)
