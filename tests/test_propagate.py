@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import deliveries
+from admere.plans import propagate
 from admere.plans.build import Build
 from admere.sources.versioned import VersionedTable
 from test_versioned import days, unreadable
@@ -38,57 +39,55 @@ def more(root):
         event("20260312", "2026-03-12 09:00:00", "page_view", None, None),
         event("20260312", "2026-03-12 09:30:00", "page_view", "v1", 9),
     ])
-    put(root, "crm/dt=2026-03-12/orders.csv", deliveries.ORDERS + "o8,c3,2026-03-11 08:00:01,ZAR,70,0,70.00,completed,1,2026-03-12 01:00:00\n")
+    put(root, "crm/dt=2026-03-12/orders.csv", deliveries.ORDERS + "o8,c4,2026-03-11 08:00:01,ZAR,70,0,70.00,completed,1,2026-03-12 01:00:00\n")
     put(root, "crm/dt=2026-03-12/customers.csv", deliveries.CUSTOMERS + "ghost,gus@mail.example,Gus,G,0831119999,Durban,2026-03-06 07:00:00,false,true\n")
     put(root, "google_ads/dt=2026-03-12/click_view.csv", deliveries.CLICKS + "2026-03-11,g-late,G7,grp,a7,Durban\n")
     put(root, "meta_ads/dt=2026-03-12/insights.jsonl", deliveries.insight("2026-03-11", "2026-03-12 06:00:00", "1.00", "0", ad="m9") + "\n")
 
 
-def test_daily_runs_equal_a_full_refresh(spark, tmp_path):
+def test_a_stopped_and_repeated_daily_run_equals_a_full_refresh(spark, tmp_path, monkeypatch):
+    """And it opens no partition that it does not touch."""
     landing = tmp_path / "landing"
     deliveries.deliver(landing)
     more(landing)
-    for day in ("2026-03-03", "2026-03-10", "2026-03-12", "2026-03-12"):
-        daily = until(spark, landing, day, tmp_path / "daily")
-        daily.silver(full_refresh=False, last_day="2026-03-12")
-        daily.star(full_refresh=False)
-        if day == "2026-03-12":
-            whole = until(spark, landing, day, tmp_path / f"whole-{day}")
-            whole.silver(last_day="2026-03-12")
-            whole.star()
-            for name in TABLES:
-                assert shown(daily.tables, name) == shown(whole.tables, name)
-    s = {(r.user_pseudo_id, r.ga_session_id): r for r in daily.tables["int_sessions"].collect()}
-    assert s["v4", 1].campaign_id == "G7" and s["v5", 1].campaign_id == "M1"  # the click and the ad came a day after
-    assert s["v3", 4].customer_id == "c3" and (None, None) in s
-    # the run that found nothing new wrote no version of them
-    table = daily.versioned["fct_orders"]
-    assert table.notes() == {"int_orders_attributed": daily.versioned["int_orders_attributed"].version()}
-    daily.vacuum(1)
-    daily.silver(full_refresh=False, last_day="2026-03-12")
-    daily.star(full_refresh=False)
-    for name in TABLES:
-        assert shown(daily.tables, name) == shown(whole.tables, name)
 
+    def daily(day):
+        build = until(spark, landing, day, tmp_path / "daily")
+        build.silver(full_refresh=False, last_day="2026-03-12")
+        propagate.facts(build.versioned)
+        return build
+
+    first = daily("2026-03-10")
+    # On 03-04 only v2 came, and nothing delivered later is about v2 or the person behind.
+    for name in ("int_session_rollup", "int_sessions", "fct_sessions"):
+        assert "session_date=2026-03-04" in [f for f, _ in first.versioned[name].manifest()["folders"]]
+        unreadable(first.versioned[name], "session_date=2026-03-04")
+    real = VersionedTable._publish
 
-def test_a_daily_run_opens_no_partition_it_does_not_touch(spark, tmp_path):
-    landing = tmp_path / "landing"
-    deliveries.deliver(landing)
-    more(landing)
-    first = until(spark, landing, "2026-03-10", tmp_path / "tables")
-    first.silver(full_refresh=False, last_day="2026-03-12")
-    first.star(full_refresh=False)
-    # On 03-04 only v2 came, and nothing delivered later is about v2.
-    for name, folder in (("int_session_rollup", "session_date"), ("int_sessions", "session_date"), ("fct_sessions", "session_date")):
-        assert f"{folder}=2026-03-04" in [f for f, _ in first.versioned[name].manifest()["folders"]]
-        unreadable(first.versioned[name], f"{folder}=2026-03-04")
-    second = Build(spark, str(landing), str(tmp_path / "tables"), ["staff.example"])
-    second.silver(full_refresh=False, last_day="2026-03-12")
-    second.star(full_refresh=False)
-    kept = [d for d, _ in second.versioned["fct_sessions"].manifest()["folders"] if "03-04" not in d]
-    dates = [datetime.date.fromisoformat(d.split("=")[1]) for d in kept]
-    got = {(r.user_pseudo_id, r.ga_session_id) for r in second.versioned["fct_sessions"].read(only=dates).collect()}
-    assert {("v3", 6), ("v4", 1), ("v5", 1), ("v1", 9)} <= got
+    def stop(self, *args):
+        if self.path.endswith("int_orders_attributed"):  # sessions are there, their orders are not
+            raise RuntimeError("lost")
+        return real(self, *args)
+
+    monkeypatch.setattr(VersionedTable, "_publish", stop)
+    with pytest.raises(RuntimeError):
+        daily("2026-03-12")
+    monkeypatch.setattr(VersionedTable, "_publish", real)
+    tables = daily("2026-03-12").versioned
+    whole = until(spark, landing, "2026-03-12", tmp_path / "whole")
+    whole.silver(last_day="2026-03-12")
+    propagate.facts(whole.versioned, full=True)
+    for name in TABLES:
+        folders = {f for f, _ in tables[name].manifest()["folders"]} - {"session_date=2026-03-04"}
+        assert not any("HIVE" in f for f in folders)
+        only = [datetime.date.fromisoformat(f.split("=")[1]) for f in folders]
+        kept = whole.versioned[name].read()
+        if tables[name].partition == "session_date":
+            kept = kept.filter("session_date <> '2026-03-04'")
+        assert shown({name: tables[name].read(only=only)}, name) == shown({name: kept}, name)
+    s = {(r.user_pseudo_id, r.ga_session_id): r for r in whole.load("int_sessions").collect()}
+    assert s["v4", 1].campaign_id == "G7" and s["v5", 1].campaign_id == "M1"  # the click and the ad came a day after
+    assert s["v3", 4].customer_id == "c4" and (None, None) in s
 
 
 def test_changes_lookups_and_exchange(spark, tmp_path):
@@ -109,31 +108,6 @@ def test_changes_lookups_and_exchange(spark, tmp_path):
     assert t.changes(1) is None
 
 
-def test_a_stopped_run_is_repeated(spark, tmp_path, monkeypatch):
-    landing = tmp_path / "landing"
-    deliveries.deliver(landing)
-    more(landing)
-    root = str(tmp_path / "tables")
-    until(spark, landing, "2026-03-10", root).silver(full_refresh=False, last_day="2026-03-12")
-    real = VersionedTable._publish
-
-    def stop(self, *args):
-        if self.path.endswith("int_orders_attributed"):  # sessions are there, their orders are not
-            raise RuntimeError("lost")
-        return real(self, *args)
-
-    monkeypatch.setattr(VersionedTable, "_publish", stop)
-    with pytest.raises(RuntimeError):
-        Build(spark, str(landing), root, ["staff.example"]).silver(full_refresh=False, last_day="2026-03-12")
-    monkeypatch.setattr(VersionedTable, "_publish", real)
-    again = Build(spark, str(landing), root, ["staff.example"])
-    again.silver(full_refresh=False, last_day="2026-03-12")
-    whole = Build(spark, str(landing), str(tmp_path / "whole"), ["staff.example"])
-    whole.silver(last_day="2026-03-12")
-    for name in TABLES[:2]:
-        assert shown(again.tables, name) == shown(whole.tables, name)
-
-
 def test_uncovered_days(spark):
     from admere.plans.monitoring import uncovered_days
 
