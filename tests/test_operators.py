@@ -39,6 +39,24 @@ def test_best_session_against_brute_force(spark):
     assert {r.oid: r.n_candidates for r in matching.candidate_counts(o, s, **names).collect()} == counts
 
 
+def test_orders_are_matched_without_sorting_them_by_order(spark, monkeypatch):
+    """Three points an order and a grouping of rich rows by order made the spill grow faster than the input."""
+    at = lambda c: F.timestamp_micros(F.col(c) * 60_000_000)
+    orders = spark.range(1000).select(F.col("id").alias("oid"), at("id").alias("ots"), F.concat(F.lit("p"), F.col("id") % 10).alias("who"))
+    sessions = orders.filter("who < 'p2'").select(F.col("oid").alias("sid"), F.col("ots").alias("sts"), "who", F.lit(None).cast("long").alias("link"))
+    written, keep = [], matching.stable
+    monkeypatch.setattr(matching, "stable", lambda df: written.append(keep(df)) or written[-1])
+    names = dict(order_id="oid", order_at="ots", session_id="sid", session_at="sts", person="who")
+    best = matching.best_session(orders, sessions, **names, link="link")
+    assert best.count() == 200 and best.filter("oid <> sid").count() == 0
+    # Sessions and one point of each order of the two people seen, in both steps.
+    assert [df.count() for df in written if "place" in df.columns] == [400, 400]
+    # Nothing of the first step is sorted for an aggregate over its points.
+    narrow = matching.interval_matches(orders, sessions, **names, before=60, after=60, counted=False)
+    assert narrow.count() == 200
+    assert all("n_matches" not in df.columns for df in written)
+
+
 def test_forward_fill_over_chunks(spark):
     rnd = random.Random(1)
     rows = [(k, d, rnd.choice([None, None, d])) for k in ("hot", "b") for d in range(400)]
