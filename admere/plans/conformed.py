@@ -12,6 +12,7 @@ from admere.operators.identity import bridge_identity, late_placeholders, person
 from admere.operators.matching import best_session
 from admere.operators.sessions import roll_up, session_campaigns, session_key, session_orders, session_people
 from admere.operators.versions import latest_by
+from admere.session import stable
 
 IDENTITY_COLUMNS = (
     "customer_id", "customer_key", "email_hash", "phone_hash", "identity_method", "city_standard", "created_at_utc",
@@ -46,7 +47,10 @@ SESSION_COLUMNS = (
 
 def sessions(events: DataFrame, orders: DataFrame, identity: DataFrame, clicks: DataFrame, meta: DataFrame) -> DataFrame:
     """One row per outside web session with its person and campaign."""
-    order_people = orders.select("order_id", "customer_id").join(identity.select("customer_id", "customer_key"), "customer_id")
+    # Most orders are named by no event; those that are are written out, as two joins read them.
+    ids = events.filter(F.col("transaction_id").isNotNull()).select(F.col("transaction_id").alias("order_id")).distinct()
+    named = orders.select("order_id", "customer_id").join(ids, "order_id", "left_semi")
+    order_people = stable(named.join(identity.select("customer_id", "customer_key"), "customer_id"))
     return place_sessions(roll_up(events), session_orders(events), order_people, clicks, current_ads(meta))
 
 
@@ -79,22 +83,31 @@ def orders_attributed(orders: DataFrame, identity: DataFrame, sessions: DataFram
 
     A session that names another order ranks like one that names none.
     """
-    return attribute(orders.filter(~F.col("is_test_order")).join(identity.select("customer_id", "customer_key"), "customer_id"), sessions)
+    genuine = orders.filter(~F.col("is_test_order"))
+    people = identity.select("customer_id", "customer_key")
+    chosen = chosen_sessions(genuine.join(people, "customer_id"), sessions)
+    # The long key joins last, so whole orders carry it through no other shuffle.
+    return with_session(genuine, chosen).join(people, "customer_id").select(*ORDER_COLUMNS)
 
 
 def attribute(genuine: DataFrame, sessions: DataFrame) -> DataFrame:
     """Orders that carry their ``customer_key``, with the best of these sessions."""
+    return with_session(genuine, chosen_sessions(genuine, sessions)).select(*ORDER_COLUMNS)
+
+
+def chosen_sessions(genuine: DataFrame, sessions: DataFrame) -> DataFrame:
+    """What an order takes from its best session; orders without one are absent."""
     best = best_session(
         genuine, sessions, "order_id", "order_timestamp_utc", "session_key", "session_start_utc", "customer_key", "transaction_id"
     ).drop("distance_s")
-    chosen = best.join(
+    return best.join(
         sessions.select("session_key", *_FROM_SESSION, F.col("source_file_name").alias("session_source_file_name")), "session_key"
     )
-    return (
-        genuine.join(chosen, "order_id", "left")
-        .withColumn("attribution_method", F.coalesce("attribution_method", F.lit("unattributed")))
-        .select(*ORDER_COLUMNS)
-    )
+
+
+def with_session(orders: DataFrame, chosen: DataFrame) -> DataFrame:
+    joined = orders.join(chosen, "order_id", "left")
+    return joined.withColumn("attribution_method", F.coalesce("attribution_method", F.lit("unattributed")))
 
 
 def creative_features(creatives: DataFrame, answer: Callable | None = None) -> DataFrame:

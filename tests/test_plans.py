@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from admere.operators import matching, sessions, spread, versions
-from admere.plans import staging
+from admere.plans import conformed, staging
 from admere.sources import files, tables
 
 
@@ -94,3 +94,30 @@ def test_session_rollup_aggregates_before_the_shuffle(spark, wide):
     )
     text = plan(sessions.roll_up(events))
     assert text.count("Exchange hashpartitioning") == 1 and "partial_min_by" in text
+
+
+def test_sessions_read_people_of_named_orders_only(spark, monkeypatch):
+    """All orders went through the joins to identities and sessions, most of them named by no event."""
+    written, keep = [], conformed.stable
+    monkeypatch.setattr(conformed, "stable", lambda df: written.append(keep(df)) or written[-1])
+    monkeypatch.setattr(conformed, "place_sessions", lambda rolled, named, people, clicks, ads: people)
+    monkeypatch.setattr(conformed, "roll_up", lambda events: None)
+    monkeypatch.setattr(conformed, "session_orders", lambda events: None)
+    monkeypatch.setattr(conformed, "current_ads", lambda meta: None)
+    orders = spark.range(100).select(F.concat(F.lit("O"), "id").alias("order_id"), F.concat(F.lit("C"), F.col("id") % 7).alias("customer_id"))
+    identity = spark.range(7).select(F.concat(F.lit("C"), "id").alias("customer_id"), F.col("id").cast("string").alias("customer_key"))
+    events = spark.createDataFrame([("O1",), ("O1",), (None,), ("O9",), ("none",)], "transaction_id string")
+    found = conformed.sessions(events, orders, identity, None, None)
+    assert sorted((r.order_id, r.customer_key) for r in found.collect()) == [("O1", "1"), ("O9", "2")] and len(written) == 1
+
+
+def test_whole_orders_carry_no_person_key_to_their_session(spark, monkeypatch):
+    """The key joined first, so that each order carried it through the shuffle by order id."""
+    seen = []
+    monkeypatch.setattr(conformed, "chosen_sessions", lambda genuine, sessions: genuine.select("order_id"))
+    monkeypatch.setattr(conformed, "with_session", lambda orders, chosen, real=conformed.with_session: seen.append(orders.columns) or orders)
+    monkeypatch.setattr(conformed, "ORDER_COLUMNS", ("order_id", "customer_key"))
+    orders = spark.createDataFrame([("O1", "C1", False), ("O2", "C1", True)], "order_id string, customer_id string, is_test_order boolean")
+    identity = spark.createDataFrame([("C1", "k")], "customer_id string, customer_key string")
+    assert [tuple(r) for r in conformed.orders_attributed(orders, identity, None).collect()] == [("O1", "k")]
+    assert seen == [["order_id", "customer_id", "is_test_order"]]
