@@ -121,3 +121,16 @@ def test_whole_orders_carry_no_person_key_to_their_session(spark, monkeypatch):
     identity = spark.createDataFrame([("C1", "k")], "customer_id string, customer_key string")
     assert [tuple(r) for r in conformed.orders_attributed(orders, identity, None).collect()] == [("O1", "k")]
     assert seen == [["order_id", "customer_id", "is_test_order"]]
+
+
+def test_orders_stay_where_they_are_for_the_internal_flag(spark, monkeypatch):
+    """Only internal customers tell; joining all of them shuffled every order once more."""
+    written, keep = [], staging.stable
+    monkeypatch.setattr(staging, "stable", lambda df: written.append(keep(df)) or written[-1])
+    names = ["order_id", "customer_id", "order_ts", "currency", "subtotal", "discount", "revenue", "status", "item_count", "updated_at"]
+    row = lambda o, c, revenue: (o, c, "2024-01-01 00:00:00", "ZAR", "5", "", revenue, "completed", "1", "2024-01-01 00:00:00", "f")
+    raw = spark.createDataFrame([row("O1", "C1", "9"), row("O2", "C2", "9"), row("O3", None, "9"), row("O4", "C2", "1")], ", ".join(f"{n} string" for n in [*names, "source_file_name"])).withColumn("dt", F.lit("2024-01-01").cast("date"))
+    customers = spark.createDataFrame([("C1", True), ("C2", False), (None, False)], "customer_id string, is_internal_customer boolean")
+    found = staging.crm_orders(raw, customers)
+    assert {r.order_id: r.is_test_order for r in found.collect()} == {"O1": True, "O2": False, "O3": False, "O4": True}
+    assert [df.count() for df in written] == [1]
