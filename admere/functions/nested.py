@@ -45,7 +45,8 @@ def action_value(payload: Column, field: str, action_type: str) -> Column:
 
 def split_json(df: DataFrame, line: str = "raw_line") -> tuple[DataFrame, DataFrame]:
     """Rows whose line parses (with ``payload``), and rows whose line does not."""
-    parsed = df.withColumn("payload", F.try_parse_json(F.col(line)))
+    # As a generator the line is parsed once per row; a plain projection would be parsed again for the filter.
+    parsed = df.select("*", F.inline(F.array(F.struct(F.try_parse_json(F.col(line)).alias("payload")))))
     good = parsed.filter(F.col("payload").isNotNull())
     bad = df.filter(~valid_json(line))
     return good, bad

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from admere.functions import nested
 from admere.operators import matching, sessions, spread, versions
 from admere.plans import conformed, staging
 from admere.sources import files, tables
@@ -134,3 +135,10 @@ def test_orders_stay_where_they_are_for_the_internal_flag(spark, monkeypatch):
     found = staging.crm_orders(raw, customers)
     assert {r.order_id: r.is_test_order for r in found.collect()} == {"O1": True, "O2": False, "O3": False, "O4": True}
     assert [df.count() for df in written] == [1]
+
+
+def test_a_json_line_is_parsed_once(spark):
+    lines = spark.createDataFrame([('{"a": "1"}',), ('{"a": ',)], "raw_line string")
+    good, bad = nested.split_json(lines)
+    assert plan(good.select(nested.json_text(F.col("payload"), "$.a"))).count("parseJson") == 1
+    assert [r[0] for r in good.select(nested.json_text(F.col("payload"), "$.a")).collect()] == ["1"] and bad.count() == 1
