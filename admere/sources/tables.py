@@ -43,7 +43,8 @@ def existing(spark: SparkSession, path: str | VersionedTable) -> DataFrame | Non
 def write_full(df: DataFrame, path: str, partition: str | None = None, cluster: Sequence[str] = ()) -> None:
     """Replace a table. ``cluster`` sorts rows inside files, so row groups can be skipped."""
     shaped = df.sortWithinPartitions(*cluster) if cluster else df
-    writer = shaped.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    # Hashed keys are hexadecimal text, which only an entropy coder makes shorter.
+    writer = shaped.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd")
     if partition:
         writer = writer.partitionBy(partition)
     writer.parquet(path)

@@ -142,3 +142,8 @@ def test_a_json_line_is_parsed_once(spark):
     good, bad = nested.split_json(lines)
     assert plan(good.select(nested.json_text(F.col("payload"), "$.a"))).count("parseJson") == 1
     assert [r[0] for r in good.select(nested.json_text(F.col("payload"), "$.a")).collect()] == ["1"] and bad.count() == 1
+
+
+def test_tables_are_written_with_an_entropy_coder(spark, tmp_path):
+    tables.write_full(spark.range(3), str(tmp_path / "t"))
+    assert list((tmp_path / "t").glob("*.zstd.parquet")) and not list((tmp_path / "t").glob("*.snappy.parquet"))
