@@ -76,8 +76,11 @@ def connected_components(edges: DataFrame, src: str = "src", dst: str = "dst") -
             break
         state = (row["n"], row["h"])
         degree = max(HOT_DEGREE, row["n"] // HOT_SHARE)
-        before, links = links, stable(_small_star(_large_star(links, degree), degree))
-        release(before)
+        # Written between the steps, as the second reads the first four times.
+        large = stable(_large_star(links, degree))
+        release(links)
+        links = stable(_small_star(large, degree))
+        release(large)
     roots = links.groupBy("u").agg(F.min("v").alias("component"))
     return nodes.join(roots, F.col("node") == F.col("u"), "left").select(
         "node", F.coalesce("component", "node").alias("component")

@@ -70,3 +70,14 @@ def test_labels_of_a_growing_graph(spark, tmp_path):
     again = labels.add(spark.createDataFrame(edges, "src string, dst string"))  # the same load once more
     assert again.count() == 0 and components(labels.read()) == union_find(seen)
     assert labels.add(spark.createDataFrame([], "src string, dst string")).count() == 0
+
+
+def test_a_round_writes_its_large_star_once(spark, monkeypatch):
+    """The second step read the first one's plan four times over, so each round did the first step several times."""
+    written, keep, given = [], identity.stable, []
+    monkeypatch.setattr(identity, "stable", lambda df: written.append(keep(df)) or written[-1])
+    monkeypatch.setattr(identity, "_small_star", lambda links, degree, real=identity._small_star: given.append(links) or real(links, degree))
+    df = spark.createDataFrame([("a", "b"), ("b", "c"), ("d", "e")], "src string, dst string")
+    found = {r.node: r.component for r in identity.connected_components(df).collect()}
+    assert found == {"a": "a", "b": "a", "c": "a", "d": "d", "e": "d"}
+    assert given and all(any(links is kept for kept in written) for links in given)
