@@ -5,17 +5,19 @@ frequent. A sample is mined level by level with a lowered support and proposes p
 pieces of text between punctuation, not documents, so that a phrase repeated in one document is drawn like any
 other. One full pass then counts the proposals and their negative border: a run of
 words is counted if its first words and its last words (all but one) are both proposed, so the border
-is never listed, only met in the texts. This pass adds up by 64-bit hash of the phrase, which counts no
-phrase too low. The second full pass counts exactly, by the words themselves, what reached the support; and
-where a phrase of the border turned out to be frequent, all it opens: every run not counted yet whose first
+is never listed, only met in the texts. This pass adds up by 64-bit hash of the phrase and by a trace of its
+words: its size, 16 bits of the last word and 13 of all (a single word's length and first and last byte). The hash of a phrase follows from that of its first
+words and its last word and can be taken back by that word, so what reached the support is spelt out size by
+size: the last words of that trace lead to first words, and those that are frequent themselves are the phrase's.
+The first task of those that hold a frequent word tells its text in the second full pass; and where a phrase of the border turned out to be
+frequent, exactly by its words, all it opens: every run not counted yet whose first
 and last words are proposed, frequent or opened themselves. No third pass is needed: the parts of a frequent
 phrase that the first pass did not count are frequent, so each of them is proposed by now or opened as well.
 
 Sets of phrases reach the tasks as bitmaps of at most ``MOST_BITS`` bits, sized by their number. A
 false positive counts a phrase that need not be counted and changes no result. Words are 64-bit
-hashes inside phrases, and a phrase is the list of its words' hashes; words are counted by
-their text, and if two words that occur ``SUPPORT`` times share a hash, all is counted again
-with another one.
+hashes inside phrases, and a phrase is the list of its words' hashes; if two texts of words
+that occur ``SUPPORT`` times share a hash, or two phrases a hash and a trace, all is counted again with another one.
 
 Defined cases: NULL text is empty, NULL language ``und``. Repeated rows are documents of their own. Very
 long texts are read whole. Without frequent phrases (or without rows) the result is empty. Equal
@@ -26,10 +28,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,8 +60,12 @@ BROADCAST_ROWS = 50_000
 ROWS, TEXTS, TOTAL_ROWS, HELD_ROWS = 1 << 16, 1 << 22, 1 << 18, 1 << 20
 
 _KEYS = [f"w{k}" for k in range(1, LONGEST + 1)]
-_COUNTS = "lang string, word string, " + ", ".join(f"{k} long" for k in _KEYS) + ", n long"
+_COUNTS = "trace int, lang string, word string, " + ", ".join(f"{k} long" for k in _KEYS) + ", n long"
+_HASHED, _PART = "key long, trace int, n long", "part int"
+_TRACED = ["trace", "lang", "word", *_KEYS]
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+#: What undoes the factors of a key: 64-bit inverses.
+_UNDO = [np.uint64(pow(x, -1, 1 << 64)) for x in (0x94D049BB133111EB, 0xBF58476D1CE4E5B9, 0x9E3779B97F4A7C15)]
 
 
 class Phrases:
@@ -80,13 +88,55 @@ class Phrases:
 
 
 def _first_keys(words: np.ndarray, langs: np.ndarray) -> np.ndarray:
-    return mix(words + langs)
+    # "de" in the language "en" is not "en" in "de"
+    return mix(words + mix(langs))
 
 
 def _next_keys(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
     return mix(keys * _ODD + words)
 
 
+def _first_words(keys: np.ndarray, words: np.ndarray) -> np.ndarray:
+    """The keys of the phrases that ``words`` made longer to phrases of these keys; undoes :func:`_next_keys`."""
+    x = (keys ^ (keys >> np.uint64(31)) ^ (keys >> np.uint64(62))) * _UNDO[0]
+    x = (x ^ (x >> np.uint64(27)) ^ (x >> np.uint64(54))) * _UNDO[1]
+    return ((x ^ (x >> np.uint64(30)) ^ (x >> np.uint64(60))) - words) * _UNDO[2]
+
+
+def _traces(word: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """16 bits of the last word, 13 of all words and 3 of the size of the phrases at some places."""
+    every = np.zeros(len(at), np.uint64)
+    for k in range(size):
+        every ^= word[at + k] >> np.uint64(16 + 6 * k)
+    trace = (word[at + size - 1] & np.uint64(0xFFFF)) << np.uint64(16) | (every & np.uint64(0x1FFF)) << np.uint64(3) | np.uint64(size)
+    return trace.astype(np.uint32).view(np.int32)
+
+
+def _word_traces(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Traces of single words, from their bytes."""
+    ends = data[start].astype(np.uint64) << np.uint64(24) | data[end - 1].astype(np.uint64) << np.uint64(16)
+    trace = ends | ((end - start).astype(np.uint64) & np.uint64(0x1FFF)) << np.uint64(3) | np.uint64(1)
+    return trace.astype(np.uint32).view(np.int32)
+
+
+def _changes(*columns: np.ndarray) -> np.ndarray:
+    """Rows that differ from the row before."""
+    fresh = np.zeros(len(columns[0]), bool)
+    fresh[:1] = True
+    for values in columns:
+        fresh[1:] |= values[1:] != values[:-1]
+    return np.flatnonzero(fresh)
+
+
+def _owned(key: np.ndarray, part: int | np.ndarray) -> np.ndarray:
+    """Keys of words as those of one task."""
+    return mix(key + np.asarray(part).astype(np.uint64))
+
+
+def _task() -> int:
+    return TaskContext.get().partitionId()
+
+
 def _lang_hashes(values: list[str]) -> np.ndarray:
     data = [v.encode() for v in values]
     ends = np.cumsum([len(d) for d in data], dtype=np.int64)
@@ -169,50 +219,56 @@ def _texts(batches: Iterator[pa.RecordBatch], salt: int) -> Iterator[tuple]:
     tidy()
 
 
-def _hashed(batches: Iterator[pa.RecordBatch], levels: range, gate: Phrases | None, salt: int) -> Iterator[pa.RecordBatch]:
-    """Counts by key of the phrases of ``levels`` words whose first and last words ``gate`` holds; single words always."""
-    for *_, word, piece, lang, _, seeds in _texts(batches, salt):
+def _hashed(batches: Iterator[pa.RecordBatch], levels: range, gate: Phrases | None, salt: int, part: int) -> Iterator[pa.RecordBatch]:
+    """Counts by key and trace of the phrases of ``levels`` words whose first and last words ``gate`` holds; single words always."""
+    for data, start, end, word, piece, lang, _, seeds in _texts(batches, salt):
         key = _first_keys(word, seeds[lang])
-        parts = [key] if 1 in levels else []
-        if levels[-1] > 1:
-            parts += [keys for size, _, keys, _ in _runs(key, word, piece, levels[-1], gate, None) if size in levels]
-        for keys in parts:
-            found, n = np.unique(keys, return_counts=True)
-            yield from pa.Table.from_arrays([pa.array(found.view(np.int64)), pa.array(n)], names=["key", "n"]).to_batches(ROWS)
+        longer = _runs(key, word, piece, levels[-1], gate, None) if levels[-1] > 1 else ()
+        for size, at, keys, *_ in chain([(1, np.arange(len(key)), key)], longer):
+            if size not in levels:
+                continue
+            order = np.argsort(keys)
+            keys, at = keys[order], at[order]
+            trace = _traces(word, at, size) if size > 1 else _word_traces(data, start[at], end[at])
+            first = _changes(keys, trace)
+            n = np.diff(np.r_[first, len(keys)])
+            own = pa.array(np.full(len(first), part, np.int32))
+            yield from pa.Table.from_arrays([pa.array(keys[first].view(np.int64)), pa.array(trace[first]), pa.array(n), own], names=["key", "trace", "n", "part"]).to_batches(ROWS)
 
 
-def _resolved(batches: Iterator[pa.RecordBatch], longest: int, gate: Phrases, before: Phrases, wanted: Phrases, salt: int) -> Iterator[pa.RecordBatch]:
-    """Counts by words of the phrases that ``wanted`` holds and of those that ``gate`` opens.
+def _resolved(batches: Iterator[pa.RecordBatch], longest: int, gate: Phrases, before: Phrases, wanted: Phrases, salt: int, part: int) -> Iterator[pa.RecordBatch]:
+    """The text of the single words that ``wanted`` holds as this task's, and counts by words of the phrases that ``gate`` opens.
 
-    Words come with their text, and the words of each language are counted in a row without any.
+    The words of each language are counted in a row without any.
     """
     for data, start, end, word, piece, lang, values, seeds in _texts(batches, salt):
         names = pa.array(values, pa.string())
 
-        def rows(at: np.ndarray, keys: np.ndarray, size: int, n: np.ndarray, texts: pa.Array | None = None) -> Iterator[pa.RecordBatch]:
+        def rows(at: np.ndarray, keys: np.ndarray, size: int, n: np.ndarray, texts: pa.Array | None = None, traces: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
             for a in range(0, len(at), ROWS):
                 some = at[a : a + ROWS]
                 none = pa.nulls(len(some), pa.int64())
+                trace = pa.array(traces[a : a + ROWS]) if traces is not None else pa.nulls(len(some), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys[a : a + ROWS].view(np.int64)), names.take(pa.array(lang[some])), texts.slice(a, ROWS) if texts is not None else pa.nulls(len(some), pa.string())]
+                    [pa.array(keys[a : a + ROWS].view(np.int64)), trace, names.take(pa.array(lang[some])), texts.slice(a, ROWS) if texts is not None else pa.nulls(len(some), pa.string())]
                     + [pa.array(word[some + k].view(np.int64)) if k < size else none for k in range(LONGEST)]
                     + [pa.array(n[a : a + ROWS])],
-                    names=["key", "lang", "word", *_KEYS, "n"],
+                    names=["key", *_TRACED, "n"],
                 )
 
         key = _first_keys(word, seeds[lang])
-        order, first = same(key)
-        n, lead = np.diff(np.r_[first, len(order)]), order[first]
-        some = wanted.holds(key[lead])
-        n, lead = n[some], lead[some]
-        yield from rows(lead, key[lead], 1, n, gather(data, start[lead], end[lead]))
+        mine = np.flatnonzero(wanted.holds(_owned(key, part)))
+        mine = mine[np.argsort(key[mine], kind="stable")]
+        traces = _word_traces(data, start[mine], end[mine])
+        first = _changes(key[mine], traces, lang[mine])
+        lead = mine[first]
+        yield from rows(lead, key[lead], 1, np.diff(np.r_[first, len(mine)]), gather(data, start[lead], end[lead]), traces[first])
         order, first = same(lang)
         at = lang[order[first]]
         yield from rows(order[first], mix(~seeds[at]), 0, np.diff(np.r_[first, len(order)]))
         del data, start, end
         for size, at, keys, opened in _runs(key, word, piece, longest, gate, before):
-            some = opened | wanted.holds(keys)
-            yield from _distinct(at[some], keys[some], size, word, lang, rows)
+            yield from _distinct(at[opened], keys[opened], size, word, lang, rows)
 
 
 def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -220,8 +276,8 @@ def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held, size = [], 0
 
     def added() -> list[pa.RecordBatch]:
-        table = pa.Table.from_batches(held).group_by(["key", "lang", "word", *_KEYS]).aggregate([("n", "sum")])
-        return table.rename_columns({"n_sum": "n"}).select(["key", "lang", "word", *_KEYS, "n"]).combine_chunks().to_batches(ROWS)
+        table = pa.Table.from_batches(held).group_by(["key", *_TRACED]).aggregate([("n", "sum")])
+        return table.rename_columns({"n_sum": "n"}).select(["key", *_TRACED, "n"]).combine_chunks().to_batches(ROWS)
 
     for batch in batches:
         held.append(batch)
@@ -280,9 +336,9 @@ def _totals(batches: Iterator[pa.RecordBatch], support: int) -> Iterator[pa.Reco
         first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
         many = np.repeat(np.add.reduceat(n, first) >= support, np.diff(np.r_[first, len(key)]))
         if many.any():
-            found = table.take(pa.array(np.flatnonzero(many))).group_by(["lang", "word", *_KEYS]).aggregate([("n", "sum")])
+            found = table.take(pa.array(np.flatnonzero(many))).group_by(_TRACED).aggregate([("n", "sum")])
             found = found.filter(pc.greater_equal(found.column("n_sum"), support)).rename_columns({"n_sum": "n"})
-            yield from found.select(["lang", "word", *_KEYS, "n"]).to_batches()
+            yield from found.select([*_TRACED, "n"]).to_batches()
     tidy()
 
 
@@ -292,15 +348,80 @@ def _shared(value):
 
 
 def hash_counts(texts: DataFrame, levels: range, support: int, gate=None, salt: int = 0) -> DataFrame:
-    """Keys of the phrases of ``levels`` words that occur ``support`` times or more; ``gate`` is a broadcast bitmap."""
-    counted = texts.mapInArrow(lambda b: _hashed(b, levels, _shared(gate), salt), "key long, n long")
-    return counted.groupBy("key").agg(F.sum("n").alias("n")).filter(F.col("n") >= support).select("key")
+    """Keys, traces and counts of the phrases of ``levels`` words that occur ``support`` times or more, and the first task that holds each; ``gate`` is a broadcast bitmap."""
+    counted = texts.mapInArrow(lambda b: _hashed(b, levels, _shared(gate), salt, _task()), f"{_HASHED}, {_PART}")
+    return counted.groupBy("key", "trace").agg(F.sum("n").alias("n"), F.min("part").alias("part")).filter(F.col("n") >= support)
+
+
+def exact_counts(texts: DataFrame, longest: int, support: int, gate, before, many: DataFrame, salt: int = 0) -> DataFrame:
+    """The words of ``many``, totals of languages, and opened phrases that occur ``support`` times, counted by their words; see :func:`_resolved`."""
+    share = texts.sparkSession.sparkContext.broadcast
+    single = many.filter(F.col("trace").bitwiseAND(7) == 1).select("key", "trace", "n", "part")
+
+    def told(keys: DataFrame, longest: int, part: int | None) -> DataFrame:
+        owned = keys.mapInArrow(lambda b: _owners(b, part), "key long")
+        wanted = share(_bitmap(owned, bitmap_size(keys.count())))
+        schema = "key long, " + _COUNTS
+        return stable(texts.mapInArrow(lambda b: _gathered(_resolved(b, longest, _shared(gate), _shared(before), _shared(wanted), salt, _task() if part is None else part)), schema))
+
+    def named(rows: DataFrame) -> DataFrame:
+        return rows.filter("w1 IS NOT NULL AND w2 IS NULL").drop("n").distinct().join(single.select("key", "trace", "n"), ["key", "trace"])
+
+    counted = told(single, longest, None)
+    words_ = stable(named(counted))
+    rest = single.join(words_, ["key", "trace"], "left_anti")
+    if not rest.isEmpty():
+        # the rows were dealt to other tasks than before: every task that holds one of these words tells it
+        words_ = words_.unionByName(named(told(rest, 1, 0)).join(rest, ["key", "trace"], "left_semi"))
+    others = counted.filter("w1 IS NULL OR w2 IS NOT NULL").repartition("key").sortWithinPartitions("key").mapInArrow(lambda b: _totals(b, support), _COUNTS)
+    return others.withColumn("key", F.lit(None).cast("long")).unionByName(words_)
+
+
+def _owners(batches: Iterator[pa.RecordBatch], part: int | None) -> Iterator[pa.RecordBatch]:
+    """Keys of words (``key``, ``trace``, ``n``, ``part``) as those of their first task, or of ``part``."""
+    for batch in batches:
+        key = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+        owner = batch.column(3).to_numpy(zero_copy_only=False) if part is None else part
+        yield pa.RecordBatch.from_arrays([pa.array(_owned(key, owner).view(np.int64))], names=["key"])
+
+
+def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The key of each single word (``lang``, ``w1``)."""
+    for batch in batches:
+        codes = Codes()
+        code = codes.number(batch.column(0).to_pylist())
+        seeds = _lang_hashes(codes.values) if codes.values else np.zeros(0, np.uint64)
+        word = batch.column(1).to_numpy(zero_copy_only=False).view(np.uint64)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_first_keys(word, seeds[code]).view(np.int64))], names=["lang", "w1", "key"])
+
+
+def _shortened(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of phrases with the key of their first words, if ``w`` is the last one."""
+    for batch in batches:
+        key, word = (batch.column(name).to_numpy(zero_copy_only=False).view(np.uint64) for name in ("key", "w"))
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(_first_words(key, word).view(np.int64))], names=[*batch.schema.names, "shorter"])
 
 
-def exact_counts(texts: DataFrame, longest: int, support: int, gate, before, wanted, salt: int = 0) -> DataFrame:
-    """Phrases that occur ``support`` times, counted by their words; see :func:`_resolved`."""
-    counted = texts.mapInArrow(lambda b: _gathered(_resolved(b, longest, _shared(gate), _shared(before), _shared(wanted), salt)), "key long, " + _COUNTS)
-    return counted.repartition("key").sortWithinPartitions("key").mapInArrow(lambda b: _totals(b, support), _COUNTS)
+def spelt(many: DataFrame, single: DataFrame, longest: int) -> DataFrame:
+    """The words of frequent phrases, from keys and traces of all their parts and single words (``lang``, ``w1``): ``lang``, ``word`` (null), ``w1`` to ``w5``, ``n``, ``key``, ``trace``."""
+    last = stable(single.select(F.col("w1").alias("w"), F.col("w1").bitwiseAND(0xFFFF).cast("int").alias("low")).distinct())
+    held = stable(single.select("lang", "w1").mapInArrow(_keyed, "lang string, w1 long, key long"))
+    out, size_of = None, F.col("trace").bitwiseAND(7)
+    many = many.drop("part")
+    for size in range(2, longest + 1):
+        found = many.filter(size_of == size).withColumn("low", F.shiftrightunsigned("trace", 16)).join(last, "low").select("key", "trace", "n", "w")
+        found = found.mapInArrow(_shortened, f"{_HASHED}, w long, shorter long")
+        words_ = [F.col(k) for k in _KEYS[: size - 1]] + [F.col("w").alias(_KEYS[size - 1])]
+        found = found.join(held.withColumnRenamed("key", "shorter"), "shorter").select("key", "trace", "n", "lang", *words_)
+        every = F.lit(0).cast("long")
+        for k, name in enumerate(_KEYS[:size]):
+            every = every.bitwiseXOR(F.shiftrightunsigned(name, 16 + 6 * k))
+        held = stable(found.filter(every.bitwiseAND(0x1FFF) == F.shiftrightunsigned("trace", 3).bitwiseAND(0x1FFF)))
+        none = [F.lit(None).cast("string").alias("word"), *(F.lit(None).cast("long").alias(k) for k in _KEYS[size:])]
+        rows = held.select("lang", *_KEYS[:size], *none, "n", "key", "trace")
+        out = rows if out is None else out.unionByName(rows)
+        held = held.drop("n", "trace")
+    return out
 
 
 def _places(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
@@ -368,7 +489,7 @@ def proposals(sample: DataFrame, support: int, longest: int, salt: int = 0) -> D
     """Keys of phrases of less than ``longest`` words with ``support`` occurrences in the sample, level by level."""
     spark, found, gate = sample.sparkSession, None, None
     for size in range(1, longest):
-        level = stable(hash_counts(sample, range(size, size + 1), support, gate, salt))
+        level = stable(hash_counts(sample, range(size, size + 1), support, gate, salt).select("key"))
         found = level if found is None else found.union(level)
         if size == longest - 1 or not level.count():
             return found
@@ -379,7 +500,7 @@ def proposals(sample: DataFrame, support: int, longest: int, salt: int = 0) -> D
 def frequent(texts: DataFrame, sample: DataFrame, support: int = SUPPORT, longest: int = LONGEST, rate: int = RATE, salt: int = 0) -> tuple[DataFrame, int]:
     """All phrases of ``texts`` (``lang``, ``text``) with ``support`` occurrences, counted exactly; and the border's failures.
 
-    Rows without words hold the number of words of a language.
+    Rows without words hold the number of words of a language; ``key`` and ``trace`` are those a phrase was spelt out from.
     """
     share = texts.sparkSession.sparkContext.broadcast
     proposed = proposals(sample, lowered_support(support, rate), longest, salt)
@@ -389,8 +510,9 @@ def frequent(texts: DataFrame, sample: DataFrame, support: int = SUPPORT, longes
     many = stable(hash_counts(texts, range(1, longest + 1), support, gate, salt))
     failures = many.join(proposed, "key", "left_anti").count()
     wider = share(bits | _bitmap(many, size))
-    wanted = share(_bitmap(many, bitmap_size(many.count())))
-    return exact_counts(texts, longest, support, wider, gate, wanted, salt), failures
+    exact = stable(exact_counts(texts, longest, support, wider, gate, many, salt))
+    phrases = spelt(many, exact.filter("w1 IS NOT NULL AND w2 IS NULL"), longest)
+    return exact.unionByName(phrases), failures
 
 
 def collocations(
@@ -414,8 +536,9 @@ def collocations(
     while True:
         every, _ = frequent(texts, sample, support, longest, rate, salt)
         counts = stable(every)
-        single = counts.filter("w1 IS NOT NULL AND w2 IS NULL")
-        if not single.groupBy("lang", "w1").count().filter("count > 1").limit(1).count():
+        single = counts.filter("w1 IS NOT NULL AND w2 IS NULL").groupBy("lang", "w1").count()
+        traced = counts.filter("trace IS NOT NULL").groupBy("key", "trace").count()
+        if not single.select("count").union(traced.select("count")).filter("count > 1").limit(1).count():
             break
         salt += 1
     release(sample)

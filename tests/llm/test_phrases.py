@@ -153,3 +153,50 @@ def test_score_passes_64_bits(spark):
     row = spark.createDataFrame([(10**13, 10**15, 10**13 + 7, 10**13 + 9)], "a long, n long, l long, r long")
     got = row.select(phrases.score(*map(F.col, ("a", "n", "l", "r"))).alias("s")).first()["s"]
     assert got == 1000 * 10**13 * 10**15 // ((10**13 + 7) * (10**13 + 9))
+
+
+def test_the_second_pass_gives_back_each_frequent_word_once(spark):
+    """However many tasks read a frequent phrase, it is spelt out from its key, and one task tells a word."""
+    texts = spark.createDataFrame([("en", "to be or not to be"), ("fr", "Be to")] * 80, "lang string, text string").repartition(8)
+    assert texts.rdd.getNumPartitions() == 8
+    texts = phrases.stable(texts)
+    given, real = [], phrases.stable
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(phrases, "stable", lambda df: given.append(real(df)) or given[-1])
+        rows, _ = phrases.frequent(texts, texts, 80, rate=1)
+    told = [r for df in given if df.columns[:3] == ["key", "trace", "lang"] and "w5" in df.columns and "word" in df.columns for r in df.filter("n IS NOT NULL").collect()]
+    assert Counter((r["lang"], r["word"]) for r in told if r["w1"] and not r["w2"]).most_common(1)[0][1] <= 2  # as told, and with its count
+    assert not any(r["w2"] for r in told)
+    got = {(r["lang"], r["word"], r["n"]) for r in rows.collect() if r["w2"] is None}
+    assert got == {("en", "to", 160), ("en", "be", 160), ("en", "or", 80), ("en", "not", 80), ("fr", "be", 80), ("fr", "to", 80), ("en", None, 480), ("fr", None, 160)}
+
+
+def test_words_are_found_when_rows_are_dealt_anew(spark):
+    """The task said to hold a word may not hold it in the next pass."""
+    texts = frame(spark, corpus()).selectExpr("coalesce(lang, 'und') AS lang", "text")
+    many = phrases.stable(phrases.hash_counts(texts, range(1, 2), 8).withColumn("part", phrases.F.lit(10_000)))
+    none = spark.sparkContext.broadcast(np.zeros(phrases.LEAST_BITS // 8, np.uint8))
+    rows = [r for r in phrases.exact_counts(texts, 1, 8, none, none, many).collect() if r["word"]]
+    assert len(rows) == many.count() > 50 and len({(r["lang"], r["word"]) for r in rows}) == len(rows)
+
+
+def test_keys_lead_back_to_the_first_words():
+    rng = np.random.default_rng(3)
+    keys, word = (rng.integers(0, 2**64, 1000, dtype=np.uint64) for _ in range(2))
+    assert (phrases._first_words(phrases._next_keys(keys, word), word) == keys).all()
+
+
+def test_a_key_that_leads_to_two_phrases_is_counted_again(spark, monkeypatch):
+    """A row of a key and trace that comes twice, the first time, makes all be counted again with other hashes."""
+    docs = corpus()
+    real, salts = phrases.spelt, []
+    monkeypatch.setattr(phrases, "spelt", lambda many, single, longest: salts.append(1) or real(many.unionByName(many.filter("trace & 7 = 2").limit(int(len(salts) == 1))), single, longest))
+    assert found(spark, docs, support=8, rate=2) == brute(docs, 8)
+    assert len(salts) == 2
+
+
+def test_a_word_named_like_another_language(spark):
+    docs = [(1, "de la " * 9, "en"), (2, "en la " * 7, "de"), (3, "de en " * 5, "de")]
+    assert found(spark, docs, support=3, rate=1) == brute(docs, 3)
+    keys = phrases._first_keys(phrases._lang_hashes(["de", "en"]), phrases._lang_hashes(["en", "de"]))
+    assert keys[0] != keys[1]
