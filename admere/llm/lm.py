@@ -14,8 +14,8 @@
    mixed with the word's share of the text's words so far that begin alike (``CACHE``), so
    a text that repeats itself becomes likelier as it goes.
 
-Words of a share above 1 in ``COMMON`` of all tokens, and first bytes after a word of such a
-share, so at most ``COMMON`` of each, travel to the tasks that read the texts; the others of
+Words of a share above 1 in ``COMMON`` of all tokens, and first bytes after such a word of a share
+above 1 in ``PAIRS * COMMON``, so at most that many of each, travel to the tasks that read the texts; the others of
 a text, added up first, are joined with the vocabulary in a shuffle where no word holds more
 than that share. What is learnt never depends on the texts held out, and scores depend
 neither on the order of rows nor on how many partitions or executors there are.
@@ -45,8 +45,8 @@ from admere.session import release, stable
 
 #: Weight of the text's own words in a prediction.
 CACHE = 0.2
-#: Words that may travel to every task, at most.
-COMMON = 1 << 20
+#: Words that may travel to every task, at most, and pairs of one and a first byte after it for each of these.
+COMMON, PAIRS = 1 << 20, 8
 #: Mixers that reach the driver, at most.
 MERGES = 16
 #: Words that one mixer learns from, on average, and words it takes in at a time.
@@ -246,7 +246,7 @@ def train(vocab: DataFrame, ends: int) -> Model:
     shared = spark.sparkContext.broadcast(_narrow(table))
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value.astype(np.float64)
+        counts = shared.value
         at, mixer, starts = -1, None, None
 
         def learnt() -> pa.RecordBatch:
@@ -416,9 +416,9 @@ def score(docs: DataFrame, learnt: Column, id: str = "doc_id", text: str = "text
     scored = stable(_scored(vocab, model))
     release(vocab)
     total = scored.agg(F.coalesce(F.sum("total"), F.lit(0))).first()[0]
-    # at most COMMON words have such a share, and at most COMMON pairs of a word and a first byte after it
-    share = F.lit(total / COMMON)
-    usual = scored.filter(F.col("total") >= share).select("name", "own", "log_p", F.filter("after", lambda a: a.total >= share).alias("after")).toArrow()
+    # at most COMMON words have such a share, and at most PAIRS * COMMON pairs of a word and a first byte after it
+    share, rarer = F.lit(total / COMMON), F.lit(total / (PAIRS * COMMON))
+    usual = scored.filter(F.col("total") >= share).select("name", "own", "log_p", F.filter("after", lambda a: a.total >= rarer).alias("after")).toArrow()
     name = usual.column("name").to_numpy().view(np.uint64)
     order = np.argsort(name)
     place = np.empty(len(order), np.int64)

@@ -239,10 +239,14 @@ def learn(found: Events, weight: np.ndarray, table: np.ndarray, mixer: Mixer) ->
     for low in range(0, len(found.bit), BATCH):
         cut = slice(low, low + BATCH)
         bit, own = found.bit[cut], total[cut]
-        counts = pairs[found.slots[:, cut]].astype(np.float32)
-        own_once = np.where((np.arange(TABLES) < TABLES - 1)[:, None] | (total[cut] > 1), 1.0, 0.0).astype(np.float32)
-        ones = np.maximum(counts[:, :, 1] - bit * own_once, 0)
-        zeros = np.maximum(counts[:, :, 0] - (1 - bit) * own_once, 0)
+        counts = pairs.take(found.slots[:, cut], axis=0)
+        zeros, ones = (counts[:, :, k].astype(np.float32) for k in (0, 1))
+        # the last table holds no word met once
+        once = np.where(total[cut] > 1, np.float32(1), np.float32(0))
+        for met, itself in ((ones, bit), (zeros, 1 - bit)):
+            met[:-1] -= itself
+            met[-1] -= itself * once
+            np.maximum(met, 0, out=met)
         inputs = np.log((ones + PRIOR) / (zeros + PRIOR))
         gate = _gates(ones[4] + zeros[4], ones[3] + zeros[3])
         mixed = mixer.mix(inputs, gate)

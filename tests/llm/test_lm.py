@@ -205,3 +205,31 @@ def test_first_bytes_after_a_word_share_one_probability():
     starts.learn(before, byte, count)
     p = 10 ** starts.score(before, byte, count)
     assert np.allclose(np.bincount(before, weights=p), 1, atol=1e-4) and np.isclose((10 ** starts.first()).sum(), 1, atol=1e-4)
+
+
+def test_a_common_words_rarer_followers_travel_with_it(spark, monkeypatch):
+    """A first byte of a share below that of common words, after one of them, makes no rows for a join; scores stay."""
+    docs = ship(spark).createDataFrame([(i, "the " * 40 + f"of {chr(97 + i % 10)}x") for i in range(200)], "doc_id long, text string")
+    monkeypatch.setattr(lm, "COMMON", 100)
+    shared, scores, real = [], [], spark.sparkContext.broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: shared.append(value) or real(value))
+    for pairs in (1, lm.PAIRS):
+        monkeypatch.setattr(lm, "PAIRS", pairs)
+        scores.append({r.doc_id: r.score for r in lm.score_documents(docs).collect()})
+    few, more = (len(v[3]) for v in shared if isinstance(v, tuple) and len(v) == 5)
+    assert few < more  # "of" before each of 10 letters: 20 times in 8,400 words
+    assert scores[0].keys() == scores[1].keys() and all(np.isclose(scores[1][k], v, rtol=1e-9) for k, v in scores[0].items())
+
+
+def test_learning_from_narrow_counts_is_the_same():
+    words, weight = [b"the", b"of", b"thing", b"once", b"offing"], np.array([500.0, 300, 40, 1, 20])
+    coding = lm_model.code(np.bincount(np.frombuffer(b"".join(words), np.uint8), minlength=256))
+    table = np.zeros(lm_model.SLOTS * 2)
+    found = [(e, w) for e, w in lm_model.parts(words, weight, coding)]
+    for events, each in found:
+        lm_model.count(events, each, table)
+    mixers = [lm_model.Mixer.fresh() for _ in range(2)]
+    for mixer, counts in zip(mixers, (table, lm._narrow(table)), strict=True):
+        for events, each in found:
+            lm_model.learn(events, each, counts, mixer)
+    assert mixers[0].to_bytes() == mixers[1].to_bytes()
