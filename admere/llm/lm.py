@@ -35,12 +35,13 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from admere.llm import lm_model
 from admere.llm.langid import fold
-from admere.llm.text import hashes, mix, pieces, words
+from admere.llm.text import hashes, mix, pieces, together, words
 from admere.session import release, stable
 
 #: Weight of the text's own words in a prediction.
@@ -52,7 +53,7 @@ MERGES = 16
 #: Words that one mixer learns from, on average, and words it takes in at a time.
 PART, CHUNK = 1 << 16, 1 << 12
 #: Bytes whose words are counted together.
-PIECE = 4 << 20
+PIECE = 8 << 20
 
 
 def _lower(data: np.ndarray) -> np.ndarray:
@@ -75,8 +76,21 @@ def _following(data: np.ndarray, start: np.ndarray, text: np.ndarray) -> np.ndar
     return out
 
 
+def _fresh(values: np.ndarray) -> np.ndarray:
+    """Which values differ from the one before."""
+    out = np.ones(len(values), bool)
+    out[1:] = values[1:] != values[:-1]
+    return out
+
+
+def _since(fresh: np.ndarray) -> np.ndarray:
+    """How many places each place comes after the last marked one."""
+    place = np.arange(len(fresh))
+    return place - np.maximum.accumulate(np.where(fresh, place, 0))
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of each batch and the first bytes after them, with their occurrences, and those in texts to learn from."""
+    """Words of each batch; per first byte after one: the byte, occurrences in texts to learn from, and all."""
     for batch in batches:
         learnt = batch.column(1).to_numpy(zero_copy_only=False)
         for a, b, data, bounds in pieces(batch.column(0), PIECE):
@@ -84,22 +98,88 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start, end, text = words(data, bounds)
             if not len(start):
                 continue
-            follow = _following(data, start, text)
-            _, first, place = np.unique(mix(hashes(data, start, end) ^ mix(follow.astype(np.uint64) + np.uint64(1))), return_index=True, return_inverse=True)
-            total = np.bincount(place)
-            own = np.bincount(place[learnt[a:b][text]], minlength=len(first))
-            yield pa.RecordBatch.from_arrays(
-                [_strings(data, start[first], end[first]), pa.array(follow[first], pa.int32()), pa.array(own), pa.array(total)], names=["word", "next", "own", "total"]
-            )
+            name = hashes(data, start, end)
+            order = together(name)
+            begun = _fresh(name[order])
+            first = order[begun]
+            key = np.empty(len(name), np.int64)
+            key[order] = (np.cumsum(begun) - 1) * 256
+            key += _following(data, start, text)
+            order = together(key)
+            head = np.flatnonzero(_fresh(key[order]))
+            met = key[order[head]]
+            total = np.diff(np.append(head, len(order)))
+            own = np.add.reduceat(learnt[a:b][text][order].astype(np.int64), head)
+            edges = np.searchsorted(met >> 8, np.arange(len(first) + 1))
+            yield pa.RecordBatch.from_arrays([_strings(data, start[first], end[first]), _pack(edges, met & 255, own, total)], names=["word", "after"])
+
+
+def _pack(edges: np.ndarray, byte: np.ndarray, own: np.ndarray, total: np.ndarray) -> pa.Array:
+    """What follows each word, between the edges, in two numbers an entry: all occurrences with the byte, and those learnt from."""
+    raw = np.stack([total << 8 | byte, own], axis=1).astype(np.int64)
+    where = (edges * 16).astype(np.int64)
+    return pa.Array.from_buffers(pa.large_binary(), len(edges) - 1, [None, pa.py_buffer(where), pa.py_buffer(raw)]).cast(pa.binary())
+
+
+def _unpack(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, list[np.ndarray]]:
+    """How many entries each word has, and their bytes and counts."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    column = pa.concat_arrays(column.chunks) if isinstance(column, pa.ChunkedArray) else column
+    column = column.cast(pa.large_binary())
+    _, where, raw = column.buffers()
+    where = np.frombuffer(where, np.int64)[column.offset : column.offset + len(column) + 1]
+    pairs = np.frombuffer(raw, np.uint8)[where[0] : where[-1]].view(np.int64).reshape(-1, 2) if raw is not None else np.zeros((0, 2), np.int64)
+    return np.diff(where) // 16, [pairs[:, 0] & 255, pairs[:, 1].copy(), pairs[:, 0] >> 8]
+
+
+def _add_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by hash as one row per word, wherever batches begin."""
+    held: tuple | None = None
+
+    def rows(word: pa.Array, size: np.ndarray, byte: np.ndarray, own: np.ndarray, total: np.ndarray) -> pa.RecordBatch:
+        edges = np.concatenate([[0], np.cumsum(size)])
+        sums = [pa.array(np.add.reduceat(c, edges[:-1]) if len(size) else c) for c in (own, total)]
+        return pa.RecordBatch.from_arrays([word.cast(pa.string()), *sums, _pack(edges, byte, own, total)], names=["word", "own", "total", "after"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        word, name = batch.column(0).cast(pa.large_string()), batch.column(2).to_numpy()
+        size, values = _unpack(batch.column(1))
+        if held:
+            word, name, size = pa.concat_arrays([held[0], word]), np.append(held[1], name), np.append(held[2], size)
+            values = [np.concatenate(pair) for pair in zip(held[3:], values, strict=True)]
+        fresh = _fresh(name)
+        group, first = np.cumsum(fresh) - 1, np.flatnonzero(fresh)
+        other = np.zeros(len(word), bool)
+        other[1:] = pc.not_equal(word.slice(1), word.slice(0, len(word) - 1)).to_numpy(zero_copy_only=False)
+        if (other & ~fresh).any():
+            # different words of one hash
+            code = word.dictionary_encode().indices.to_numpy().astype(np.int64)
+            _, first, group = np.unique(group * len(word) + code, return_index=True, return_inverse=True)
+        key = np.repeat(group, size) * 256 + values[0]
+        order = together(key)
+        head = np.flatnonzero(_fresh(key[order]))
+        met = key[order[head]]
+        byte, own, total = met & 255, *(np.add.reduceat(v[order], head) for v in values[1:])
+        size = np.bincount(met >> 8, minlength=len(first))
+        # words of the last hash may go on
+        kept = int(np.count_nonzero(name[first] != name[-1]))
+        cut = int(size[:kept].sum())
+        word = word.take(pa.array(first))
+        held = (word.slice(kept), name[first[kept:]], size[kept:], byte[cut:], own[cut:], total[cut:])
+        yield rows(word.slice(0, kept), size[:kept], byte[:cut], own[:cut], total[:cut])
+    if held:
+        yield rows(held[0], *held[2:])
 
 
 def vocabulary(docs: DataFrame, text: str, learnt: Column) -> DataFrame:
-    """Every word with its occurrences, those in texts to learn from, and both for each first byte ``after`` it."""
+    """Every word with its occurrences, those in texts to learn from, and, packed, both for each first byte ``after`` it."""
     rows = docs.select(F.col(text).alias("text"), learnt.alias("learnt"))
-    both = [F.sum("own").alias("own"), F.sum("total").alias("total")]
-    counted = rows.mapInArrow(_count, "word string, next int, own long, total long").groupBy("word", "next").agg(*both)
-    # at most one row a byte
-    return counted.groupBy("word").agg(*both, F.sort_array(F.collect_list(F.struct("next", "own", "total"))).alias("after"))
+    # one row a word and piece of text; a word's rows meet once, whatever follows it
+    counted = rows.mapInArrow(_count, "word string, after binary").repartition("word")
+    counted = counted.withColumn("name", F.xxhash64("word")).sortWithinPartitions("name")
+    return counted.mapInArrow(_add_words, "word string, own long, total long, after binary")
 
 
 def _word_bytes(batch: pa.RecordBatch) -> list[bytes]:
@@ -261,8 +341,8 @@ def train(vocab: DataFrame, ends: int) -> Model:
             for events, each in lm_model.parts(words_, rows.column("own").to_numpy().astype(np.float64), coding):
                 lm_model.learn(events, each, counts, mixer)
             if "after" in rows.column_names:
-                before, (byte, own, _) = _after(rows.column("after"))
-                starts.learn(before, byte.to_numpy(), own.to_numpy())
+                size, (byte, own, _) = _unpack(rows.column("after"))
+                starts.learn(np.repeat(np.arange(len(size)), size), byte, own)
         if mixer:
             yield learnt()
 
@@ -295,10 +375,11 @@ def _scored(vocab: DataFrame, model: Model) -> DataFrame:
             *tables, starts = shared.value
             scorer = scorer or lm_model.Scorer(*tables)
             name = [hashes(data, bounds[:-1], bounds[1:]) for _, _, data, bounds in pieces(batch.column(0))]
-            before, (byte, own, total) = _after(batch.column(3))
-            log_p = pa.array(starts.score(before, byte.to_numpy(), own.to_numpy()))
-            edges = np.concatenate([[0], np.cumsum(np.bincount(before, minlength=batch.num_rows))]).astype(np.int32)
-            after = pa.ListArray.from_arrays(pa.array(edges), pa.StructArray.from_arrays([byte, total, log_p], names=["next", "total", "log_p"]))
+            size, (byte, own, total) = _unpack(batch.column(3))
+            log_p = pa.array(starts.score(np.repeat(np.arange(len(size)), size), byte, own))
+            edges = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
+            after = pa.StructArray.from_arrays([pa.array(byte, pa.int32()), pa.array(total), log_p], names=["next", "total", "log_p"])
+            after = pa.ListArray.from_arrays(pa.array(edges), after)
             rest = pa.array(scorer.words(_word_bytes(batch), rest=True))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:3], rest, pa.array(np.concatenate(name).view(np.int64)), after], names=["word", "own", "total", "log_p", "name", "after"]
@@ -325,26 +406,28 @@ def _texts(common: tuple[np.ndarray, ...], model_base: Callable[[np.ndarray], np
                 follow = _following(data, start, text)
                 # how many words of the text so far begin like this one
                 alike = text * 256 + data[start]
-                sorted_ = np.argsort(alike, kind="stable")
+                sorted_ = together(alike)
                 place = np.empty(len(text), np.int64)
-                place[sorted_] = np.arange(len(text)) - np.searchsorted(alike[sorted_], alike[sorted_])
+                place[sorted_] = _since(_fresh(alike[sorted_]))
                 opening = np.full(n, lm_model.END)
                 heads = np.flatnonzero(np.diff(text, prepend=-1))
                 opening[text[heads]] = data[start[heads]]
-                pair = mix(name ^ mix(text.astype(np.uint64) + np.uint64(1)))
-                order = np.argsort(pair, kind="stable")
-                fresh = np.ones(len(order), bool)
-                fresh[1:] = pair[order][1:] != pair[order][:-1]
+                # by word, then by text
+                order = together(name)
+                same = name[order]
+                begun = _fresh(same)
+                fresh = begun | _fresh(text[order])
                 head = np.flatnonzero(fresh)
                 group = np.cumsum(fresh) - 1
-                before = np.arange(len(order)) - head[group]
+                before = _since(fresh)
                 at = place[order]
                 again = CACHE * before / np.maximum(at, 1)
                 scale = np.where(at > 0, 1 - CACHE, 1.0)
                 first = order[head]
+                distinct, kind = same[begun], np.cumsum(begun)[head] - 1
                 if len(names):
-                    spot = np.minimum(np.searchsorted(names, name[first]), len(names) - 1)
-                    usual = names[spot] == name[first]
+                    spot = np.minimum(np.searchsorted(names, distinct), len(names) - 1)
+                    spot, usual = spot[kind], (names[spot] == distinct)[kind]
                 else:
                     spot, usual = np.zeros(len(first), np.int64), np.zeros(len(first), bool)
                 mine = usual[group]

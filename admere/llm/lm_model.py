@@ -110,15 +110,17 @@ def events(words: list[bytes], coding: Code) -> Events:
     contexts = [mix(c + np.uint64((k + 1) * 0x9E3779B97F4A7C15 % 2**64)) for k, c in enumerate(contexts)]
     byte = data.astype(np.int64)
     each = coding.length[byte]
-    step = np.arange(int(each.sum())) - np.repeat(np.cumsum(each) - each, each)
-    at = np.repeat(coding.start[byte], each) + step
+    source = np.repeat(np.arange(len(data)), each)
+    at = (coding.start[byte] - np.cumsum(each) + each)[source] + np.arange(len(source))
     node, bit = coding.node[at], coding.bit[at].astype(np.float32)
     spread = mix(np.arange(256, dtype=np.uint64) + np.uint64(77))[node]
-    source = np.repeat(np.arange(len(data)), each)
     slots = np.empty((TABLES, len(at)), np.int64)
     for k, bits in enumerate(BITS):
-        value = (contexts[k][source] ^ spread) * np.uint64(0x9E3779B97F4A7C15)
-        slots[k] = (value >> np.uint64(64 - bits)).astype(np.int64) + OFFSETS[k]
+        value = contexts[k][source]
+        value ^= spread
+        value *= np.uint64(0x9E3779B97F4A7C15)
+        value >>= np.uint64(64 - bits)
+        np.add(value.view(np.int64), OFFSETS[k], out=slots[k])
     return Events(slots, bit, owner[source])
 
 
@@ -312,13 +314,18 @@ class Scorer:
         self.code, self.mixer = coding, mixer
         self.input = np.log((pairs[:, 1] + PRIOR) / (pairs[:, 0] + PRIOR))
         self.total = pairs.sum(axis=1)
+        # what the slots of the last two tables add to the gate
+        middle, whole = self.total[OFFSETS[3] : OFFSETS[4]], self.total[OFFSETS[4] :]
+        self.gate = np.zeros(SLOTS, np.int8)
+        self.gate[OFFSETS[3] : OFFSETS[4]] = _gates(np.zeros(1, np.float32), middle)
+        self.gate[OFFSETS[4] :] = _gates(whole, np.zeros(1, np.float32))
 
     def words(self, words: list[bytes], rest: bool = False) -> np.ndarray:
         """Log10 of the probability of each word, or of its ``rest`` once its first byte is known."""
         out = np.zeros(len(words))
         for low, part in _parts(words):
             found = events(part, self.code)
-            gate = _gates(self.total[found.slots[4]], self.total[found.slots[3]])
+            gate = self.gate[found.slots[4]].astype(np.int64) + self.gate[found.slots[3]]
             p = self.mixer.refine(self.mixer.mix(self.input[found.slots], gate), gate)
             cost = np.log10(np.where(found.bit > 0, p, 1 - p))
             if rest:

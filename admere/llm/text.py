@@ -41,7 +41,9 @@ def pieces(column: pa.Array, limit: int = PIECE) -> Iterator[tuple[int, int, np.
     Bounds holds one more entry than rows: where each text starts in the bytes. NULL
     counts as empty.
     """
-    column = pc.fill_null(column.cast(pa.large_binary()), b"")
+    column = column.cast(pa.large_binary())
+    if column.null_count:
+        column = pc.fill_null(column, b"")
     _, where, data = column.buffers()
     at = np.frombuffer(where, np.int64)[column.offset : column.offset + len(column) + 1]
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
@@ -80,7 +82,8 @@ def runs(inside: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray
     last[bounds[bounds > 0] - 1] = True
     start = np.flatnonzero(inside & fresh[:n])
     end = np.flatnonzero(inside & last[:n]) + 1
-    return start, end, np.searchsorted(bounds, start, "right") - 1
+    edges = np.concatenate([[0], np.searchsorted(start, bounds), [len(start)]])
+    return start, end, np.repeat(np.arange(-1, len(bounds)), np.diff(edges))
 
 
 def hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -105,6 +108,22 @@ def words(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return runs(~_GAP[data], bounds)
 
 
+def together(values: np.ndarray) -> np.ndarray:
+    """Places in an order in which equal numbers (64 bits, not negative) stand together, first places first."""
+    values = values.astype(np.uint64, copy=False)
+    bits = max(len(values) - 1, 1).bit_length()
+    shift, place = np.uint64(bits), np.arange(len(values), dtype=np.uint64)
+    mask = (np.uint64(1) << shift) - np.uint64(1)
+    if not len(values) or int(values.max()).bit_length() + bits <= 64:
+        return (np.sort((values << shift) | place) & mask).astype(np.int64)
+    # long numbers make room for the place, so that plain numbers are sorted
+    order = (np.sort((values & ~mask) | place) & mask).astype(np.int64)
+    found = values[order]
+    if (((found[1:] ^ found[:-1]) & ~mask == 0) & (found[1:] != found[:-1])).any():
+        return np.argsort(values, kind="stable")
+    return order
+
+
 def windows(values: np.ndarray, texts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every run of ``size`` consecutive values of one text, and where it starts."""
     if len(values) < size:

@@ -233,3 +233,54 @@ def test_learning_from_narrow_counts_is_the_same():
         for events, each in found:
             lm_model.learn(events, each, counts, mixer)
     assert mixers[0].to_bytes() == mixers[1].to_bytes()
+
+
+def test_vocabulary_counts_what_follows_in_one_shuffle(spark, monkeypatch):
+    """Pieces and batches of any size give each word once, with every first byte after it; one row a word and piece is shuffled."""
+    docs = ship(spark).createDataFrame(corpus(), "doc_id long, text string").repartition(3)
+    own, every = collections.Counter(), collections.Counter()
+    for i, text in corpus():
+        found = [w.encode() for w in tokens(text)]
+        for word, after in zip(found, [w[0] for w in found[1:]] + [lm_model.END], strict=True) if found else ():
+            every[word.decode(), after] += 1
+            own[word.decode(), after] += i is not None and i > 50
+    learnt = lm.F.coalesce(lm.F.col("doc_id") > 50, lm.F.lit(False))
+    for piece in (64, lm.PIECE):
+        monkeypatch.setattr(lm, "PIECE", piece)
+        vocab = lm.vocabulary(docs, "text", learnt)
+        found = vocab.toArrow().combine_chunks()
+        words = found.column("word").to_pylist()
+        size, (byte, mine, total) = lm._unpack(found.column("after"))
+        keys = [(words[w], int(b)) for w, b in zip(np.repeat(np.arange(len(words)), size), byte, strict=True)]
+        assert len(set(words)) == len(words) and len(set(keys)) == len(keys)
+        assert dict(zip(keys, total.tolist(), strict=True)) == every and dict(zip(keys, mine.tolist(), strict=True)) == dict(own)
+        assert found.column("total").to_pylist() == [sum(n for (v, _), n in every.items() if v == w) for w in words]
+        # docs has one shuffle of its own
+        plan = vocab._jdf.queryExecution().executedPlan().toString()
+        assert plan.split("Initial Plan")[0].count("Exchange hashpartitioning") == 1
+    batch = next(lm._count(iter([lm.pa.record_batch([lm.pa.array(["a b a c a d"]), lm.pa.array([True])], names=["text", "learnt"])])))
+    assert sorted(batch.column(0).to_pylist()) == ["a", "b", "c", "d"]
+
+
+def test_words_of_one_hash_stay_apart():
+    """Rows of two words under one hash, mixed and over several batches, add up by word."""
+    words = ["x", "y", "x", "y", "y", "z"]
+    after = lm._pack(np.arange(7), np.array([97, 97, 98, 97, 99, 97]), np.arange(6), np.full(6, 2**40))
+    rows = lm.pa.record_batch([lm.pa.array(words), after, lm.pa.array([5, 5, 5, 5, 5, 9])], names=["word", "after", "name"])
+    for step in (1, 2, 4, 6):
+        found = lm.pa.Table.from_batches(list(lm._add_words(rows.slice(i, step) for i in range(0, 6, step))))
+        size, (byte, own, total) = lm._unpack(found.column("after"))
+        names = np.array(found.column("word").to_pylist())
+        assert sorted(zip(names.tolist(), found.column("own").to_pylist(), found.column("total").to_pylist(), strict=True)) == [("x", 2, 2**41), ("y", 8, 3 * 2**40), ("z", 5, 2**40)]
+        entries = sorted(zip(np.repeat(names, size).tolist(), byte.tolist(), own.tolist(), total.tolist(), strict=True))
+        assert entries == [("x", 97, 0, 2**40), ("x", 98, 2, 2**40), ("y", 97, 4, 2**41), ("y", 99, 4, 2**40), ("z", 97, 5, 2**40)]
+
+
+def test_equal_numbers_stand_together(monkeypatch):
+    rng = np.random.default_rng(3)
+    for values in (rng.integers(0, 9, 500), rng.integers(0, 2**64, 40, dtype=np.uint64)[rng.integers(0, 40, 500)], np.array([2**63, 2**63 + 1] * 50, np.uint64), np.zeros(0, np.int64)):
+        order = lm.together(values)
+        assert sorted(order.tolist()) == list(range(len(values)))
+        runs = np.flatnonzero(lm._fresh(values[order]))
+        assert len(runs) == len(np.unique(values))
+        assert all(np.all(np.diff(part) > 0) for part in np.split(order, runs[1:]) if len(part))
