@@ -89,11 +89,25 @@ def _since(fresh: np.ndarray) -> np.ndarray:
     return place - np.maximum.accumulate(np.where(fresh, place, 0))
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[pa.Table]:
+    """Small batches put together to about ``limit`` bytes."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        if held and size + batch.nbytes > limit:
+            yield pa.Table.from_batches(held)
+            held, size = [], 0
+        held.append(batch)
+        size += batch.nbytes
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Words of each batch; per first byte after one: the byte, occurrences in texts to learn from, and all."""
-    for batch in batches:
-        learnt = batch.column(1).to_numpy(zero_copy_only=False)
-        for a, b, data, bounds in pieces(batch.column(0), PIECE):
+    for rows in _gathered(batches, PIECE):
+        learnt = rows.column(1).to_numpy()
+        for a, b, data, bounds in pieces(rows.column(0).combine_chunks(), PIECE):
             data = _lower(data)
             start, end, text = words(data, bounds)
             if not len(start):
@@ -522,13 +536,13 @@ def score(docs: DataFrame, learnt: Column, id: str = "doc_id", text: str = "text
     rows = docs.select(F.col(id).alias("id"), mark.alias("mark"), F.col(text).alias("text")).mapInArrow(texts, f"id {kind}, {_SPEC}")
     # a text's own row meets no word: words hold no line ends
     spread = F.coalesce("word", F.concat(F.lit("\n"), F.coalesce(F.col("id").cast("string"), F.lit("")), F.col("mark").cast("string")))
-    words_of = scored.select(F.col("word").alias("spread"), "own", "log_p", "after").hint("shuffle_hash")
+    follows = [F.col("after.next").alias("byte"), F.col("after.log_p").alias("chance")]
+    words_of = scored.select(F.col("word").alias("spread"), "own", "log_p", *follows).hint("shuffle_hash")
     joined = rows.withColumn("spread", spread).join(words_of, "spread", "left")
     p = F.pow(F.lit(10.0), F.col("log_p")) * (1 - CACHE)
     repeated = F.when(F.size("repeats") > 0, F.aggregate("repeats", F.lit(0.0), lambda a, q: a + F.log10(p + q))).otherwise(0.0)
     other = F.col("own").isNotNull()
-    byte, chance = F.col("after.next"), F.col("after.log_p")
-    order_p = F.aggregate("nexts", F.lit(0.0), lambda a, b: a + F.get(chance, (F.array_position(byte, b) - 1).cast("int")))
+    order_p = F.aggregate("nexts", F.lit(0.0), lambda a, b: a + F.get("chance", (F.array_position("byte", b) - 1).cast("int")))
     # rows without occurrences tell what follows only
     own_p = F.when(F.col("known") > 0, F.col("scale") + F.col("log_p") + repeated).otherwise(0.0)
     parts = joined.select(

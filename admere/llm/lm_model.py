@@ -88,8 +88,8 @@ class Events:
     word: np.ndarray
 
 
-def events(words: list[bytes], coding: Code) -> Events:
-    """All bit decisions of some words, each followed by a space; the end of a text by nothing."""
+def events(words: list[bytes], coding: Code, rest: bool = False) -> Events:
+    """All bit decisions of some words, or of their ``rest`` after the first byte, each followed by a space; the end of a text by nothing."""
     data = np.frombuffer(b"".join([w if w == b"\n" else w + b" " for w in words]), np.uint8).astype(np.uint64)
     size = np.array([len(w) + (w != b"\n") for w in words])
     first = np.cumsum(size) - size
@@ -110,6 +110,8 @@ def events(words: list[bytes], coding: Code) -> Events:
     contexts = [mix(c + np.uint64((k + 1) * 0x9E3779B97F4A7C15 % 2**64)) for k, c in enumerate(contexts)]
     byte = data.astype(np.int64)
     each = coding.length[byte]
+    if rest:
+        each[place == 0] = 0
     source = np.repeat(np.arange(len(data)), each)
     at = (coding.start[byte] - np.cumsum(each) + each)[source] + np.arange(len(source))
     node, bit = coding.node[at], coding.bit[at].astype(np.float32)
@@ -213,8 +215,9 @@ class Mixer:
         p = _squash(mixed)
         pull, curve = (bit - p) * own, np.maximum(p * (1 - p), 1e-6) * own
         for j in range(tables):
+            bent = curve * inputs[j]
             for k in range(j + 1):
-                part = np.bincount(gate, weights=curve * inputs[j] * inputs[k], minlength=gates)
+                part = np.bincount(gate, weights=bent * inputs[k], minlength=gates)
                 self.bend[:, j, k] += part
                 if j != k:
                     self.bend[:, k, j] += part
@@ -324,14 +327,10 @@ class Scorer:
         """Log10 of the probability of each word, or of its ``rest`` once its first byte is known."""
         out = np.zeros(len(words))
         for low, part in _parts(words):
-            found = events(part, self.code)
+            found = events(part, self.code, rest)
             gate = self.gate[found.slots[4]].astype(np.int64) + self.gate[found.slots[3]]
             p = self.mixer.refine(self.mixer.mix(self.input[found.slots], gate), gate)
             cost = np.log10(np.where(found.bit > 0, p, 1 - p))
-            if rest:
-                began = np.searchsorted(found.word, np.arange(len(part)))
-                begin = self.code.length[[w[0] for w in part]]
-                cost[np.arange(len(cost)) - began[found.word] < begin[found.word]] = 0.0
             out[low : low + len(part)] = np.bincount(found.word, weights=cost, minlength=len(part))
         return out
 

@@ -284,3 +284,14 @@ def test_equal_numbers_stand_together(monkeypatch):
         runs = np.flatnonzero(lm._fresh(values[order]))
         assert len(runs) == len(np.unique(values))
         assert all(np.all(np.diff(part) > 0) for part in np.split(order, runs[1:]) if len(part))
+
+
+def test_small_batches_are_counted_together():
+    """Batches below the limit give one row a word, not one a batch; the rest of a word is scored without its first byte."""
+    batch = lm.pa.record_batch([lm.pa.array(["the same words", None]), lm.pa.array([True, False])], names=["text", "learnt"])
+    rows = lm.pa.Table.from_batches(list(lm._count(iter([batch] * 5))))
+    assert sorted(rows.column(0).to_pylist()) == ["same", "the", "words"] and lm._unpack(rows.column(1))[1][2].tolist() == [5, 5, 5]
+    assert [t.num_rows for t in lm._gathered(iter([batch] * 5), 2 * batch.nbytes)] == [4, 4, 2]
+    coding = lm_model.code(np.ones(256, np.int64))
+    whole, rest = (lm_model.events([b"ab", b"c"], coding, rest) for rest in (False, True))
+    assert len(rest.bit) == len(whole.bit) - int(coding.length[97] + coding.length[99]) and rest.word.tolist() == sorted(rest.word.tolist())
