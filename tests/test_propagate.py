@@ -6,12 +6,15 @@ import pytest
 from pyspark.sql import functions as F
 
 import deliveries
-from admere.plans import propagate
+from admere.plans import conformed, propagate
 from admere.plans.build import Build
+from admere.sources import versioned
 from admere.sources.versioned import VersionedTable
 from test_versioned import days, unreadable
 
 TABLES = ("int_sessions", "int_orders_attributed", "fct_sessions", "fct_orders")
+#: What an attributed order has from its session.
+SHARED = set(conformed.ATTRIBUTED_FROM) - {"customer_key", "transaction_id", "source_file_name"} | {"exact_transaction_match"}
 
 
 def shown(tables, name):
@@ -120,3 +123,84 @@ def test_uncovered_days(spark):
     got = [str(r.day) for r in uncovered_days(rows, "ad", "day").orderBy("day").collect()]
     assert got == ["2024-01-02", "2024-01-03", *[f"2024-01-{d:02}" for d in range(5, 14)]]  # 14 and 15 may still come
     assert uncovered_days(dated([]), "ad", "day").count() == 0
+
+
+def test_partitions_of_one_version_are_taken_whole(spark, tmp_path):
+    """Rows of a partition that only the newer version has are neither shuffled for a comparison nor looked up by key."""
+    t = VersionedTable(spark, str(tmp_path / "t"), "day", [(("k",), None)])
+    t.replace(days(spark, [(1, 10, 1, "2024-01-01"), (2, 20, 1, "2024-01-02")]))
+    t.exchange(spark.createDataFrame([(1,)], "k long"), days(spark, [(1, 11, 1, "2024-01-01"), (3, 30, 1, "2024-01-03"), (3, 30, 1, "2024-01-03")]), ["k"])
+    found = t.difference(1)
+    assert [f for f, _ in found.fresh] == ["day=2024-01-03"]
+    assert sorted((r.k, r.v, r.added) for r in found.compared.collect()) == [(1, 10, False), (1, 11, True)]
+    assert [(r.k, r.v, r.added) for r in found.whole.collect()] == [(3, 30, True)] * 2
+    assert "Exchange" not in found.whole._jdf.queryExecution().executedPlan().toString()
+    assert {r.k for r in t.changes(1).collect()} == {1, 3}
+    # Without the partition, rows of different days can be equal, so all are compared.
+    assert t.difference(1, ["k"]).whole is None and not t.difference(1, ["k"]).fresh
+    unreadable(t, "day=2024-01-03")
+    keys = spark.createDataFrame([(1,), (3,)], "k long")
+    assert [r.v for r in t.lookup(keys, ["k"], besides=found.fresh).collect()] == [11]
+
+
+def test_many_keys_find_their_partitions_by_a_share_of_the_hashes(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(versioned, "BROADCAST_ROWS", 50)
+    searched = []
+    real = VersionedTable._search
+
+    def search(self, batch, keys, condition, manifest, among, *args):
+        searched.append((sorted(f for f, _ in among), args[-1]))
+        return real(self, batch, keys, condition, manifest, among, *args)
+
+    monkeypatch.setattr(VersionedTable, "_search", search)
+    t = VersionedTable(spark, str(tmp_path / "t"), "day", [(("k",), None)])
+    many = [(k, 0, 1, f"2024-01-0{1 + k % 2}") for k in range(1000)]
+    t.replace(days(spark, [*many, (5000, 0, 1, "2024-01-03"), (None, 0, 1, "2024-01-04"), (7000, 0, 1, "2024-01-05")]))
+    wanted = spark.createDataFrame([(k,) for k in (*range(1000), 5000, None)], "k long")
+    assert t.holding(wanted, ["k"]) == {datetime.date(2024, 1, d) for d in (1, 2, 3, 4)}
+    all_of = [f"day=2024-01-0{d}" for d in range(1, 6)]
+    share, rest, null = searched
+    assert share == (all_of, True) and not rest[1] and null == (all_of, True)
+    assert not {"day=2024-01-01", "day=2024-01-02"} & set(rest[0])
+
+
+def test_orders_of_a_second_run_equal_a_full_attribution(spark, tmp_path, monkeypatch):
+    """Orders without a person, moved, refunded and new ones, by keys few and many."""
+    order = ("order_id", "customer_id", "customer_key", "order_timestamp_utc", "revenue", "status", "is_test_order")
+    session = ("session_key", "user_pseudo_id", "customer_key", "transaction_id", "session_start_utc", "campaign_id")
+
+    def table(rows, names, columns, date, at):
+        made = spark.createDataFrame(rows, ", ".join(f"{n} {'boolean' if n == 'is_test_order' else 'string'}" for n in names))
+        made = made.withColumn(at, F.col(at).cast("timestamp")).withColumn(date, F.col(at).cast("date"))
+        return made.select("*", *[F.lit(None).cast("string").alias(c) for c in columns if c not in made.columns])
+
+    orders = lambda rows: table(rows, order, [c for c in conformed.ORDER_COLUMNS if c not in ("session_source_file_name", *SHARED)], "order_date", "order_timestamp_utc")
+    visits = lambda rows: table(rows, session, conformed.SESSION_COLUMNS, "session_date", "session_start_utc")
+    old = [
+        ("o1", "c1", "k1", "2024-01-01 10:00:00", "5", "completed", False), ("o2", "c2", None, "2024-01-01 11:00:00", "5", "completed", False),
+        ("o3", "c3", "k3", "2024-01-02 10:00:00", "5", "completed", False), ("o4", "c1", "k1", "2024-01-02 12:00:00", "5", "completed", False),
+        ("o5", "c5", "k5", "2024-01-02 12:00:00", "5", "completed", False), ("o6", "c6", "k6", "2024-01-02 13:00:00", "5", "completed", True),
+    ]
+    new = [
+        *old[:2], ("o3", "c3", "k3", "2024-01-02 10:00:00", "5", "refunded", False), old[3], ("o5", "c5", "k5", "2024-01-03 12:00:00", "5", "completed", False),
+        ("o6", "c6", "k6", "2024-01-02 13:00:00", "5", "completed", False), ("o7", "c1", "k1", "2024-01-03 10:00:00", "5", "completed", False),
+        ("o8", "c8", None, "2024-01-04 10:00:00", "5", "completed", False), ("o9", "c9", "k9", "2024-01-04 10:00:00", "5", "completed", True),
+    ]
+    seen = [("s1", "u1", "k1", None, "2024-01-01 09:00:00", "M1"), ("s2", "u2", None, "o2", "2024-01-01 10:59:00", "M2"), ("s3", "u3", "k3", "o3", "2024-01-02 09:00:00", "M3")]
+    later = [
+        ("s1", "u1", "k1", None, "2024-01-01 09:00:00", "G1"), *seen[1:], ("s4", "u1", "k1", "o1", "2024-01-03 09:59:00", "M4"),
+        ("s5", "u5", "k5", None, "2024-01-03 11:00:00", "M5"), ("s6", "u6", None, "o8", "2024-01-04 09:00:00", "M6"), ("s7", "u7", "k9", "o9", "2024-01-04 09:00:00", "M7"),
+    ]
+    for most in (0, 1_000_000):
+        monkeypatch.setattr(versioned, "BROADCAST_ROWS", most)
+        t = propagate.tables(spark, str(tmp_path / f"daily{most}"))
+        for people, sessions in ((old, seen), (new, later)):
+            t["int_order_people"].replace(orders(people))
+            t["int_sessions"].replace(visits(sessions))
+            propagate.orders_attributed(t)
+            propagate.fact(t, "fct_orders", "int_orders_attributed", ["order_id"], lambda rows: rows)
+        whole = conformed.attribute(orders(new).filter("not is_test_order"), visits(later))
+        shape = lambda rows: sorted(map(repr, rows.select(*sorted(conformed.ORDER_COLUMNS)).collect()))
+        assert shape(t["int_orders_attributed"].read()) == shape(whole) == shape(t["fct_orders"].read())
+        campaigns = {r.order_id: r.campaign_id for r in whole.collect()}
+        assert campaigns == {"o1": "M4", "o2": "M2", "o3": "M3", "o4": None, "o5": "M5", "o6": None, "o7": "M4", "o8": "M6"}
