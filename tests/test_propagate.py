@@ -143,6 +143,23 @@ def test_partitions_of_one_version_are_taken_whole(spark, tmp_path):
     assert [r.v for r in t.lookup(keys, ["k"], besides=found.fresh).collect()] == [11]
 
 
+def test_settled_rows_are_written_without_a_shuffle(spark, tmp_path, monkeypatch):
+    """A fact takes the rows of new partitions from where they lie; only those of compared ones are dealt out by partition."""
+    source, target = (VersionedTable(spark, str(tmp_path / name), "day", [(("k",), None)]) for name in ("source", "target"))
+    t = {"source": source, "target": target}
+    source.replace(days(spark, [(1, 10, 1, "2024-01-01"), (2, 20, 1, "2024-01-02")]))
+    propagate.fact(t, "target", "source", ["k"], lambda rows: rows)
+    source.replace(days(spark, [(1, 11, 1, "2024-01-01"), (3, 30, 1, "2024-01-03"), (2, 21, 1, "2024-01-04"), (None, 40, 1, None)]))
+    written = []
+    real = VersionedTable._write
+    monkeypatch.setattr(VersionedTable, "_write", lambda self, *rows: written.append(rows) or real(self, *rows))
+    propagate.fact(t, "target", "source", ["k"], lambda rows: rows)
+    (rows, settled), = written
+    assert sorted(r.v for r in rows.collect()) == [11] and sorted(r.v for r in settled.collect()) == [21, 30, 40]
+    assert "Exchange" not in settled._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(repr, target.read().collect())) == sorted(map(repr, source.read().collect()))
+
+
 def test_many_keys_find_their_partitions_by_a_share_of_the_hashes(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(versioned, "BROADCAST_ROWS", 50)
     searched = []
